@@ -27,6 +27,9 @@ def canonical(rows, names):
     return sorted((tuple(str(r[i]) for i in order) for r in rows))
 
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, con, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     got = canonical([tuple(r) for r in df.collect()], df.columns)
@@ -38,6 +41,10 @@ def compare(spark, con, sf_dir, name):
     want = canonical(cur.fetchall(), names)
     if sorted(names) != sorted(df.columns):
         return len(got), f"columns {sorted(df.columns)} against {sorted(names)}"
+    kinds = {d[0]: str(d[1]) for d in cur.description}
+    for column, kind in df.dtypes:
+        if SQL_TYPES.get(kind) != kinds[column]:
+            return len(got), f"{column} is {kind} against {kinds[column]}"
     if got != want:
         extra = next((g for g in got if g not in set(want)), None)
         lacking = next((w for w in want if w not in set(got)), None)

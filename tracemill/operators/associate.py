@@ -14,9 +14,6 @@ HOT_SHARE = 0.005
 HOT_KEYS = int(1 / HOT_SHARE)
 HOT_ROWS = 1_000_000
 
-# Rows without a key match nothing; they are only spread.
-KEYLESS_PARTS = 4096
-
 
 def event_sources(files: DataFrame, kind: str) -> DataFrame:
     return files.select(F.lit(kind).alias("file_entry_type"), "path")
@@ -35,15 +32,20 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[tuple]:
     """Keys holding much of `df` and into how many parts to split each; at most `HOT_KEYS`.
 
     One mergeable sketch finds them, so nothing is shuffled by key. A key it
-    misses costs time only: results do not depend on the list.
+    misses costs time only: results do not depend on the list. Rows without a
+    key are listed under None.
     """
     found = df.agg(
-        F.expr(f"approx_top_k({key}, {HOT_KEYS}, {64 * HOT_KEYS})").alias("top"), F.count("*").alias("total")
+        F.expr(f"approx_top_k({key}, {HOT_KEYS}, {64 * HOT_KEYS})").alias("top"),
+        F.count_if(F.col(key).isNull()).alias("keyless"),
+        F.count("*").alias("total"),
     )
     share = F.col("count") / F.col("total")
+    keyless = F.array(F.struct(F.lit(None).alias("item"), F.col("keyless").alias("count")))
+    named = F.filter("top", lambda t: t["item"].isNotNull())
     hot = (
-        found.select("total", F.inline("top"))
-        .where(F.col("item").isNotNull() & (share > HOT_SHARE) & (F.col("count") > hot_rows))
+        found.select("total", F.inline(F.concat(named, keyless)))
+        .where((share > HOT_SHARE) & (F.col("count") > hot_rows))
         .select("item", F.ceil(share / HOT_SHARE).cast("int").alias("parts"))
     )
     return [tuple(row) for row in hot.collect()]
@@ -56,20 +58,20 @@ def skew_left_join(
 
     Rows of a hot key are cut into parts by a hash of `spread_by`, and the one
     matching row on the right is repeated per part. The list of hot keys is
-    taken once, so both sides agree on the parts.
+    taken once, so both sides agree on the parts. Without hot keys it is the
+    plain join.
     """
     hot = hot_keys(left, key, hot_rows)
-    spot = F.xxhash64(*spread_by)
-    keyless = F.when(F.col(key).isNull(), F.pmod(spot, F.lit(KEYLESS_PARTS)))
     if not hot:
-        cut = left.withColumn("part", F.coalesce(keyless, F.lit(0)).cast("int"))
-        return cut.join(right.withColumn("part", F.lit(0)), [key, "part"], "left").drop("part")
-    schema = f"{key} {left.schema[key].dataType.simpleString()}, parts INT"
+        return left.join(right, key, "left")
+    schema = f"hot_key {left.schema[key].dataType.simpleString()}, parts INT"
     table = F.broadcast(left.sparkSession.createDataFrame(hot, schema))
     parts = F.coalesce("parts", F.lit(1))
-    cut = left.join(table, key, "left").withColumn("part", F.coalesce(keyless, F.pmod(spot, parts)).cast("int"))
-    repeated = right.join(table, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return cut.drop("parts").join(repeated.drop("parts"), [key, "part"], "left").drop("part")
+    part = F.pmod(F.xxhash64(*spread_by), parts).cast("int")
+    is_hot = F.col(key).eqNullSafe(F.col("hot_key"))
+    cut = left.join(table, is_hot, "left").withColumn("part", part).drop("parts", "hot_key")
+    repeated = right.join(table, is_hot, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return cut.join(repeated.drop("parts", "hot_key"), [key, "part"], "left").drop("part")
 
 
 def event_stream_join(

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tracemill.operators.registry import ALWAYS, Extractor, Signature, with_signature, without_signature
 from tracemill.sources.files import read_range
 
-# A signature table is looked up by (offset, length); more shapes than this
+# Signatures compared one by one in a projection.
+MAX_INLINE = 200
+
+# A longer signature table is looked up by (offset, length); more shapes than this
 # would multiply every file too often.
 MAX_SIGNATURE_SHAPES = 256
 
@@ -48,13 +51,20 @@ def signature_match(files: DataFrame, registry: Iterable[Extractor]) -> DataFram
     return files.select("path", F.explode(signature_parsers(registry)).alias("parser"))
 
 
-def signature_match_table(files: DataFrame, signatures: DataFrame) -> DataFrame:
+def signature_match_table(files: DataFrame, signatures: DataFrame, max_inline: int = MAX_INLINE) -> DataFrame:
     """Signature matching against a table `(parser, magic, offset)` instead of a registry.
 
-    Each file gives one key per distinct (offset, length) of the table and meets
-    it in an equi-join, so neither side is compared pairwise; Spark broadcasts
-    the table only if its measured size allows it.
+    A table of at most `max_inline` rows becomes comparisons in a projection. A
+    longer one is met in an equi-join: each file gives one key per distinct
+    (offset, length), so neither side is compared pairwise.
     """
+    rows = signatures.select("parser", "magic", "offset").limit(max_inline + 1).collect()
+    if len(rows) <= max_inline:
+        by_parser: dict[str, list[Signature]] = {}
+        for row in rows:
+            by_parser.setdefault(row["parser"], []).append(Signature(bytes(row["magic"]), row["offset"]))
+        return signature_match(files, [Extractor(name, tuple(marks)) for name, marks in by_parser.items()])
+
     sized = signatures.withColumn("size", F.octet_length("magic"))
     shapes = sized.select("offset", "size").distinct().limit(MAX_SIGNATURE_SHAPES + 1).collect()
     if len(shapes) > MAX_SIGNATURE_SHAPES:

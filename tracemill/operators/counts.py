@@ -13,9 +13,21 @@ def parser_counts(results: DataFrame) -> DataFrame:
     return events.groupBy(F.col("parser").alias("name")).agg(F.count("*").alias("number_of_events"))
 
 
+def run_counters(results: DataFrame) -> DataFrame:
+    """Both counters a run keeps per extractor chain, in one pass: events made,
+    and events the timeline has a time for."""
+    timed = F.exists("times", lambda t: t["timestamp"].isNotNull())
+    events = results.where(F.col("container") == EVENT_DATA)
+    both = events.groupBy(F.col("parser").alias("name")).agg(
+        F.count("*").alias("made"), F.count_if(timed).alias("timed")
+    )
+    counters = F.map_from_arrays(F.array(F.lit("made"), F.lit("timed")), F.array("made", "timed"))
+    return both.select("name", F.explode(counters).alias("counter", "number_of_events")).where("number_of_events > 0")
+
+
 def merge_parser_counts(*counters: DataFrame) -> DataFrame:
     """Counters added up by name; a name new to one side starts from the other's count."""
-    everything = reduce(DataFrame.unionByName, counters)
+    everything = reduce(DataFrame.unionByName, (c.select("name", "number_of_events") for c in counters))
     return everything.groupBy("name").agg(F.sum("number_of_events").alias("number_of_events"))
 
 

@@ -1,6 +1,8 @@
 """Running extractors over work items."""
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,6 +22,27 @@ def _quote(value: str | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def bind_settings(extractors: Iterable[Extractor], values: Mapping[str, object]) -> tuple[Extractor, ...]:
+    """Extractors with each `:name` in their expressions replaced by that setting as a literal."""
+
+    def bound(sql: str | None) -> str | None:
+        def literal(match: re.Match) -> str:
+            value = values.get(match[1])
+            return str(value) if isinstance(value, int) else _quote(value)
+
+        return sql and re.sub(r"(?<!:):(preferred_\w+)", literal, sql)
+
+    def bound_emit(emit: Emit) -> Emit:
+        return replace(
+            emit,
+            when=bound(emit.when),
+            attributes={k: bound(v) for k, v in emit.attributes.items()},
+            times={k: bound(v) for k, v in emit.times.items()},
+        )
+
+    return tuple(replace(e, records=bound(e.records), emits=tuple(map(bound_emit, e.emits))) for e in extractors)
+
+
 def _emit_rows(extractor: Extractor, emit: Emit) -> str:
     """SQL for the zero or one row an emit rule gives for a record."""
     attributes = ", ".join(f"{_quote(k)}, {v}" for k, v in emit.attributes.items())

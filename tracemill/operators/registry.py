@@ -2,7 +2,8 @@
 
 An extractor is declared with Spark SQL expressions over the columns `path`,
 `name`, `length`, `mtime`, `content`, and, after its content is cut into
-records, `seq` and `record`. Declared extractors run inside generated code.
+records, `seq` and `record`. `:preferred_time_zone`, `:preferred_year` and
+`:preferred_codepage` stand for the run's settings. Declared extractors run inside generated code.
 An extractor that has to be written in Python gives a generator instead and
 runs over Arrow batches.
 """

@@ -3,14 +3,14 @@
 import time
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracemill.operators import counts
 from tracemill.operators.distribute import partition_stats, spread
-from tracemill.operators.extract import items_with_content, run_extractors
+from tracemill.operators.extract import bind_settings, items_with_content, run_extractors
 from tracemill.operators.oversize import oversize_results
 from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
 from tracemill.plans import settings as S
@@ -53,7 +53,7 @@ def extract(
     run counts results and delivers nothing. No result row passes the driver.
     """
     get_formatter(formatter)
-    chosen = select_extractors(registry, extractors)
+    chosen = bind_settings(select_extractors(registry, extractors), asdict(settings))
     files = readable = source
     oversize = None
     if isinstance(source, str):

@@ -192,10 +192,8 @@ def parser_counts(spark, sf_dir):
 
 def merge_parser_counts(spark, sf_dir):
     """Counters of events and of timed events of this run, on top of those of an older store."""
-    found = results(spark, sf_dir)
-    timed = found.where(F.get("times", F.lit(0))["timestamp"].isNotNull())
     older = spark.createDataFrame([("filestat", 5), ("legacy", 7)], "name STRING, number_of_events BIGINT")
-    return counts.merge_parser_counts(counts.parser_counts(found), counts.parser_counts(timed), older)
+    return counts.merge_parser_counts(counts.run_counters(results(spark, sf_dir)), older)
 
 
 def parser_chain(spark, sf_dir):

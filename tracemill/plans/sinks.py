@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracemill.operators.associate import data_streams, emitted_streams, event_sources
+from tracemill.operators.associate import event_sources
 from tracemill.operators.counts import merge_parser_counts, parser_counts
 from tracemill.operators.timeline import timeline
 from tracemill.schemas import DIRECTORY, EVENT_DATA, EXTRACTION_WARNING, FILE, FILES, RECOVERY_WARNING, RESULTS
@@ -116,7 +116,9 @@ def write_containers(
     _put(results, store, "results", session_id, "container")
     event_data = read_container(spark, store, EVENT_DATA, session_id)
     _put(event_sources(files, storage_kind), store, "event_source", session_id)
-    _put(emitted_streams(data_streams(files), event_data), store, "event_data_stream", session_id)
+    # Every event comes from a file of this run, so the streams that own events
+    # are the distinct locations of the events.
+    _put(event_data.select("path").distinct(), store, "event_data_stream", session_id)
     _put(timeline(event_data), store, "timeline", session_id)
     written = read_container(spark, store, "results", session_id)
     _put(parser_counts(written).coalesce(1), store, "parser_count", session_id)

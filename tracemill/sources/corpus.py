@@ -7,8 +7,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tracemill.sources.files import as_files
 
 
+# The columns used; stating them spares a job per table to find them out.
+COLUMNS = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING",
+    "pages": "page_id BIGINT, html STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, text STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _file(df: DataFrame, path: list[Column | str], body: str, mtime: str | None = None) -> DataFrame:

@@ -8,6 +8,9 @@ from tracemill.schemas import DIRECTORY, FILE
 # A row can hold at most 2 GiB, so longer files go through the line source.
 MAX_CONTENT_BYTES = 2**31 - 1
 
+# What Spark's binary file source gives.
+BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def _utc(ts: Column) -> Column:
     return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
@@ -111,6 +114,11 @@ def file_stat(files: DataFrame) -> DataFrame:
     )
 
 
+def _lineage(folder: Column) -> Column:
+    """A folder and all folders above it."""
+    return F.array_union(paths.path_prefixes(folder), F.array(folder))
+
+
 def folders(files: DataFrame) -> DataFrame:
     """Every folder that leads to a file.
 
@@ -118,9 +126,8 @@ def folders(files: DataFrame) -> DataFrame:
     distinct combines on the map side, so the shuffle carries folders only.
     """
     parents = files.select("parent").distinct()
-    chain = F.array_append(paths.path_prefixes(F.col("parent")), F.col("parent"))
     path = F.col("path")
-    return parents.select(F.explode(F.array_distinct(chain)).alias("path")).distinct().select(
+    return parents.select(F.explode(_lineage(F.col("parent"))).alias("path")).distinct().select(
         "path",
         paths.basename(path).alias("name"),
         paths.parent_dir(path).alias("parent"),
@@ -138,11 +145,23 @@ def list_tree(files: DataFrame) -> DataFrame:
     """Number of direct children of each folder.
 
     A file path occurs once in a listing, so files are counted per parent
-    straight away (combined on the map side); only folders need a distinct.
+    straight away, combined on the map side; from there on rows are folders.
+    Each folder then adds its own files to itself and one child to its parent.
     """
-    file_children = files.groupBy("parent").agg(F.count("*").alias("n"))
-    folder_children = folders(files).where(F.col("parent").isNotNull()).groupBy("parent").agg(F.count("*").alias("n"))
-    return file_children.unionByName(folder_children).groupBy("parent").agg(F.sum("n").alias("children"))
+    per_parent = files.groupBy("parent").agg(F.count("*").alias("n"))
+    own = F.when(F.col("folder") == F.col("parent"), F.col("n")).otherwise(F.lit(0))
+    held = (
+        per_parent.select("parent", "n", F.explode(_lineage(F.col("parent"))).alias("folder"))
+        .groupBy("folder")
+        .agg(F.sum(own).alias("n"))
+    )
+    shares = F.array(
+        F.struct(F.col("folder").alias("parent"), F.col("n").alias("n")),
+        F.struct(paths.parent_dir(F.col("folder")).alias("parent"), F.lit(1).cast("bigint").alias("n")),
+    )
+    return held.select(F.inline(shares)).where(F.col("parent").isNotNull()).groupBy("parent").agg(
+        F.sum("n").alias("children")
+    )
 
 
 def children(listing: DataFrame, folder: str) -> DataFrame:

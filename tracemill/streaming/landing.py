@@ -6,18 +6,20 @@ its own but the source and a sink that can be replayed.
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tracemill.operators.extract import extract_results
 from tracemill.operators.registry import DEFAULT, Extractor
 from tracemill.plans.sinks import write_containers
-from tracemill.sources.files import MAX_CONTENT_BYTES, from_binary_files
+from tracemill.sources.files import BINARY_FILE, from_binary_files
 
 
-def arriving_files(spark: SparkSession, root: str, max_bytes: int = MAX_CONTENT_BYTES) -> DataFrame:
-    source = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
-    return from_binary_files(source.load(root).where(F.col("length") <= max_bytes))
+def arriving_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files as they arrive. One too long for a row stops the query with an
+    error; such files are for the batch extraction, which reads them by line."""
+    source = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
+    return from_binary_files(source.load(root))
 
 
 def extract_arrivals(
