@@ -67,7 +67,8 @@ def test_hot_keys_are_found_and_bounded(spark):
     assert set(hot) == {"hot"} and 60 <= hot["hot"] <= 67
 
 
-def test_emitted_streams(spark):
+@pytest.mark.parametrize("hot_rows", [10**9, 0])
+def test_emitted_streams(spark, hot_rows):
     streams = spark.createDataFrame([(1, "/a"), (2, "/b"), (3, "/a")], "stream_id INT, path STRING")
     events = spark.createDataFrame([(n, "/a") for n in range(50)], "event_id INT, path STRING")
-    assert sorted(r["stream_id"] for r in associate.emitted_streams(streams, events).collect()) == [1, 3]
+    assert sorted(r["stream_id"] for r in associate.emitted_streams(streams, events, hot_rows=hot_rows).collect()) == [1, 3]

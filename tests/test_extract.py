@@ -126,6 +126,7 @@ def test_metadata_extractors_do_not_read_content(spark, tmp_path):
 def test_extraction_is_one_pass_without_shuffle(files):
     plan = extract.extract_results(files, DEFAULT)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("Scan") <= 1
+    assert plan.count("split(") == 1
 
 
 def test_python_extractors_keep_rows_before_a_failure(make_files):

@@ -82,10 +82,13 @@ def event_stream_join(
     return skew_left_join(events, first, "path", event_key, hot_rows)
 
 
-def emitted_streams(streams: DataFrame, events: DataFrame) -> DataFrame:
+def emitted_streams(
+    streams: DataFrame, events: DataFrame, stream_key: Sequence[str] = ("stream_id",), hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Streams that own at least one event. Locations are made distinct first,
     so a location with many events is one row in the shuffle."""
-    return streams.join(events.select("path").distinct(), "path", "left_semi")
+    owning = events.select("path").distinct().withColumn("owned", F.lit(True))
+    return skew_left_join(streams, owning, "path", stream_key, hot_rows).where("owned").drop("owned")
 
 
 def _differs(a: pa.Array, b: pa.Array) -> pa.Array:

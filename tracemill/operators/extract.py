@@ -117,7 +117,9 @@ def run_extractors(items: DataFrame, registry: Iterable[Extractor], seq: str | N
                 "content": _content_for(e.name for e in declared if e.needs_content and not e.records),
             })
             kept = ["path", "parser", "name", "length", "mtime", "content", *([seq] if seq else [])]
-            rows = cut.select(*kept, F.posexplode("records").alias("seq", "record"))
+            # An outer generator: for a plain one the optimizer adds a filter on the
+            # number of records and so cuts the content a second time.
+            rows = cut.select(*kept, F.posexplode_outer("records").alias("seq", "record")).where("seq IS NOT NULL")
         else:
             rows = items.withColumns({"seq": F.lit(0), "record": F.lit(None).cast("string")})
         if seq:
