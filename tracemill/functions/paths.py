@@ -11,16 +11,22 @@ def basename(path: Column) -> Column:
     return F.when(last == "", F.lit(SEPARATOR)).otherwise(last)
 
 
+def _head(path: Column) -> Column:
+    """Everything up to and including the last separator."""
+    tail = F.substring_index(path, SEPARATOR, -1)
+    return F.substr(path, F.lit(1), F.char_length(path) - F.char_length(tail))
+
+
 def dirname(path: Column) -> Column:
     """Text before the last separator, its trailing separators dropped unless it is the root."""
-    head = F.regexp_extract(path, r"^(.*/)[^/]*$", 1)
-    return F.when(head.rlike(r"^/+$"), head).otherwise(F.rtrim(head, F.lit(SEPARATOR)))
+    trimmed = F.rtrim(_head(path), F.lit(SEPARATOR))
+    return F.when(trimmed == "", _head(path)).otherwise(trimmed)
 
 
 def parent_dir(path: Column) -> Column:
     """Parent folder of an absolute path, `/` for a top-level entry, null for the root itself."""
-    up = dirname(path)
-    return F.when(path == SEPARATOR, F.lit(None)).when(up == "", F.lit(SEPARATOR)).otherwise(up)
+    trimmed = F.rtrim(_head(path), F.lit(SEPARATOR))
+    return F.when(path == SEPARATOR, F.lit(None)).when(trimmed == "", F.lit(SEPARATOR)).otherwise(trimmed)
 
 
 def join_path(*segments: Column) -> Column:

@@ -12,7 +12,6 @@ from tracemill.operators.pyextract import run_python
 from tracemill.operators.registry import Emit, Extractor
 from tracemill.schemas import ATTRIBUTES, RESULTS, TIMES
 
-ROW = f"STRUCT<container: STRING, parser: STRING, message: STRING, attributes: {ATTRIBUTES}, times: {TIMES}>"
 PYTHON_COLUMNS = ("parser", "path", "name", "length", "mtime", "content")
 
 
@@ -43,21 +42,28 @@ def bind_settings(extractors: Iterable[Extractor], values: Mapping[str, object])
     return tuple(replace(e, records=bound(e.records), emits=tuple(map(bound_emit, e.emits))) for e in extractors)
 
 
-def _emit_rows(extractor: Extractor, emit: Emit) -> str:
-    """SQL for the zero or one row an emit rule gives for a record."""
-    attributes = ", ".join(f"{_quote(k)}, {v}" for k, v in emit.attributes.items())
-    times = ", ".join(
+def _rules(extractors: list[Extractor]) -> list[tuple[int, Extractor, Emit]]:
+    """All emit rules, numbered."""
+    pairs = [(e, emit) for e in extractors for emit in e.emits]
+    return [(n, e, emit) for n, (e, emit) in enumerate(pairs)]
+
+
+def _by_rule(rules: list[tuple[int, Extractor, Emit]], value, kind: str) -> Column:
+    """A result column: the value of the rule that made the row."""
+    cases = " ".join(f"WHEN {n} THEN {sql}" for n, e, emit in rules if (sql := value(e, emit)) is not None)
+    return F.expr(f"CAST(CASE rule {cases} END AS {kind})" if cases else f"CAST(NULL AS {kind})")
+
+
+def _attributes(_: Extractor, emit: Emit) -> str:
+    pairs = ", ".join(f"{_quote(k)}, {v}" for k, v in emit.attributes.items())
+    return f"CAST(map({pairs}) AS {ATTRIBUTES})"
+
+
+def _times(_: Extractor, emit: Emit) -> str:
+    pairs = ", ".join(
         f"named_struct('timestamp_desc', {_quote(k)}, 'timestamp', {v})" for k, v in emit.times.items()
     )
-    row = (
-        f"named_struct('container', {_quote(emit.container)}, 'parser', {_quote(extractor.chain)}, "
-        f"'message', {_quote(emit.message)}, 'attributes', CAST(map({attributes}) AS {ATTRIBUTES}), "
-        f"'times', CAST(array({times}) AS {TIMES}))"
-    )
-    rows = f"CAST(array({row}) AS ARRAY<{ROW}>)"
-    if emit.when is None:
-        return rows
-    return f"CASE WHEN {emit.when} THEN {rows} ELSE CAST(array() AS ARRAY<{ROW}>) END"
+    return f"CAST(array({pairs}) AS {TIMES})"
 
 
 def _records(extractors: list[Extractor]) -> Column:
@@ -71,15 +77,35 @@ def _records(extractors: list[Extractor]) -> Column:
     return whole if cut is None else cut.otherwise(whole)
 
 
-def _rows(extractors: list[Extractor]) -> Column:
-    """Dispatch by extractor name. A name nobody has gives null and so no rows."""
-    dispatch = None
+def _fired(extractors: list[Extractor]) -> Column:
+    """Numbers of the rules that give a row for this record, by the item's extractor.
+
+    A name nobody has gives null and so no rows.
+    """
+    rules = _rules(extractors)
+    fired = None
     for e in extractors:
-        rules = [_emit_rows(e, emit) for emit in e.emits]
-        made = F.expr(f"concat({', '.join(rules)})" if len(rules) > 1 else rules[0])
-        case = (F.col("parser") == e.name, made)
-        dispatch = F.when(*case) if dispatch is None else dispatch.when(*case)
-    return F.expr(f"CAST(NULL AS ARRAY<{ROW}>)") if dispatch is None else dispatch
+        mine = [
+            f"array({n})" if emit.when is None else f"CASE WHEN {emit.when} THEN array({n}) ELSE CAST(array() AS ARRAY<INT>) END"
+            for n, owner, emit in rules
+            if owner is e
+        ]
+        case = (F.col("parser") == e.name, F.expr(f"concat({', '.join(mine)})"))
+        fired = F.when(*case) if fired is None else fired.when(*case)
+    return fired
+
+
+def _result_columns(extractors: list[Extractor]) -> list[Column]:
+    rules = _rules(extractors)
+    return [
+        _by_rule(rules, lambda e, emit: _quote(emit.container), "STRING").alias("container"),
+        F.col("path"),
+        _by_rule(rules, lambda e, emit: _quote(e.chain), "STRING").alias("parser"),
+        F.col("seq").cast("bigint").alias("seq"),
+        _by_rule(rules, lambda e, emit: emit.message and _quote(emit.message), "STRING").alias("message"),
+        _by_rule(rules, _attributes, ATTRIBUTES).alias("attributes"),
+        _by_rule(rules, _times, TIMES).alias("times"),
+    ]
 
 
 def items_with_content(files: DataFrame, registry: Iterable[Extractor]) -> DataFrame:
@@ -103,11 +129,11 @@ def run_extractors(items: DataFrame, registry: Iterable[Extractor], seq: str | N
     """Results of work items `(parser, path, name, length, mtime, content)`.
 
     All declared extractors share one pass: cut into records, dispatch by name,
-    one row per emitted container. Python extractors share one more. Where the
+    one row per emit rule that holds. Python extractors share one more. Where the
     items are pieces of files, `seq` names the column with the piece's number.
     """
     registry = tuple(registry)
-    declared = [e for e in registry if e.python is None]
+    declared = [e for e in registry if e.python is None and e.emits]
     results = None
     if declared:
         if any(e.records for e in declared):
@@ -124,9 +150,9 @@ def run_extractors(items: DataFrame, registry: Iterable[Extractor], seq: str | N
             rows = items.withColumns({"seq": F.lit(0), "record": F.lit(None).cast("string")})
         if seq:
             rows = rows.withColumn("seq", F.col(seq))
-        results = rows.select("path", F.col("seq").cast("bigint").alias("seq"), F.inline(_rows(declared))).select(
-            "container", "path", "parser", "seq", "message", "attributes", "times"
-        )
+        # Only rule numbers are exploded; what a rule yields is computed after
+        # that, for the columns and containers the plan goes on with.
+        results = rows.withColumn("rule", F.explode(_fired(declared))).select(*_result_columns(declared))
     functions = {e.name: e.python for e in registry if e.python is not None}
     if functions:
         mine = items.where(F.col("parser").isin(list(functions))).select(*PYTHON_COLUMNS)
