@@ -7,6 +7,7 @@ from tracemill.operators import extract
 from tracemill.operators.registry import DEFAULT
 from tracemill.plans import formatters, sinks
 from tracemill.plans.pipeline import extract as run_extract
+from tracemill.plans.uploads import ingest
 from tracemill.plans.settings import Settings, enabled_parsers
 from tracemill.sources import files as src
 from tracemill.streaming.landing import arriving_files, extract_arrivals
@@ -177,3 +178,31 @@ def test_arriving_files_are_extracted_once(spark, tmp_path):
     assert found.count() == EVENTS + 2
     assert found.select("session_id").distinct().count() == 2
     assert dict(map(tuple, sinks.read_parser_counts(spark, store).collect()))["filestat"] == 4
+
+
+def test_uploads_to_landing_to_store(spark, tmp_path):
+    """The whole way: packed uploads, one of them long, a long plain file, landed and extracted."""
+    import io
+    import zipfile
+
+    up = tmp_path / "up"
+    fill(up)
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        archive.writestr("inner.json", '{"k": 1}')
+        archive.writestr("pad.txt", "p" * 6000)
+    (up / "box.zip").write_bytes(packed.getvalue())
+    (up / "long.log").write_text("\n".join(f"row {n}" for n in range(1000)))
+    plain = ingest(spark, str(up), str(up), max_bytes=4000)
+    area = sinks.land_files(src.as_files(plain), str(tmp_path / "landing"))
+    run = run_extract(spark, area, output=str(tmp_path / "store"), long_root=str(up), max_bytes=4000, partitions=5)
+    events = sinks.read_container(spark, run.store, "event_data")
+    found = {}
+    for r in events.collect():
+        found.setdefault(r["path"].rsplit("/", 1)[-1], []).append((r["parser"], r["seq"], dict(r["attributes"])))
+    assert found.keys() == {"page.html", "obj.json", "text.txt", "inner.json", "pad.txt", "long.log"}
+    assert ("json/kv", 0, {"k": "1"}) in found["inner.json"]
+    assert len(found["long.log"]) == 1001 and ("text", 999, {"bytes": "7"}) in found["long.log"]
+    assert [e for e in found["long.log"] if e[0] == "filestat"] == [("filestat", 0, {"size": str((up / "long.log").stat().st_size)})]
+    counted = dict(map(tuple, sinks.read_parser_counts(spark, run.store).collect()))
+    assert counted["filestat"] == 6

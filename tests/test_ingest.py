@@ -9,7 +9,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tracemill.operators import codecs, ingest
+from tracemill.operators import codecs, ingest, long_archives
+from tracemill.plans.uploads import ingest as upload
 
 
 def make_zip(members, method=zipfile.ZIP_DEFLATED):
@@ -145,7 +146,7 @@ def test_disposition_and_roots(make_files):
     }
     assert got == {"/up/a": ("move", "/done/a"), "/up/z.zip": ("drop", "/done/z.zip"), "/done/b": ("keep", "/done/b")}
     archive = make_files({"/up/s/z.zip": make_zip([("m", b"1")]), "/up/p": b"2"})
-    landed = sorted(r["path"] for r in ingest.ingest(archive, "/up").collect())
+    landed = sorted(r["path"] for r in upload(archive.sparkSession, archive, "/up").collect())
     assert landed[0] == "/p" and landed[1].startswith("/s/z_zip_extracted") and landed[1].endswith("/m")
 
 
@@ -157,3 +158,45 @@ def test_tar_round_trip(members, mode):
     kind = {"w": "tar", "w:gz": "gzip", "w:xz": "xz"}[mode]
     opened = [(n, d) for n, d, w in codecs.open_packed(kind, packed, codecs.Limits()) if w is None]
     assert [d for _, d in opened] == [d for _, d in wanted]
+
+
+@pytest.mark.filterwarnings("ignore:Duplicate name")
+def test_long_archives_are_opened_in_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(long_archives, "TASK_BYTES", 2000)
+    body = bytes(range(256)) * 20
+    nested = make_tar([("in.txt", b"in"), ("deep.gz", gzip.compress(b"deep"))], "w:gz")
+    folder = tmp_path / "up" / "sub dir"
+    folder.mkdir(parents=True)
+    packed = {
+        "deflated.zip": make_zip([("a/", b""), ("a/one", body), ("two", b"2" * 5000), ("two", b"again"), ("n.tgz", nested)]),
+        "stored.zip": make_zip([("s", body)], zipfile.ZIP_STORED),
+        "bz.zip": make_zip([("b", body)], zipfile.ZIP_BZIP2),
+        "lz.zip": make_zip([("l", bytes(body)), ("l2", body)], zipfile.ZIP_LZMA) + b"\0" * 10,
+        "plain.tar": make_tar([("dir", None), ("t1", body), ("t2", b"t")]),
+        "members.tar.xz": make_tar([("x1", body), ("x2", b"x")], "w:xz"),
+        "stream.gz": gzip.compress(body, 0),
+        "evil.zip": make_zip([("../up", b"no"), ("ok", body)], zipfile.ZIP_STORED),
+        "cut.zip": make_zip([("c", body)], zipfile.ZIP_STORED)[:3000],
+        "long.txt": b"t" * 3000,
+        "short.txt": b"short",
+    }
+    for name, data in packed.items():
+        (folder / name).write_bytes(data)
+    long = {name for name, data in packed.items() if len(data) > 100}
+    rows = upload(spark, str(tmp_path / "up"), str(tmp_path / "up"), max_bytes=100).collect()
+    files = {}
+    for r in rows:
+        if r["content"] is not None:
+            files.setdefault(r["name"], []).append(bytes(r["content"]))
+    kept = {r["name"]: r["warning"] for r in rows if r["content"] is None}
+    assert "members.tar.xz" in long and "deflated.zip" in long
+    assert sorted(files.pop("two")) == [b"2" * 5000] and files.pop("two#1") == [b"again"]
+    assert files == {
+        "one": [body], "in.txt": [b"in"], "deep": [b"deep"], "s": [body], "b": [body], "t1": [body], "t2": [b"t"],
+        "x1": [body], "x2": [b"x"], "stream": [body], "ok": [body], "short.txt": [b"short"],
+    }
+    assert kept.keys() == {"evil.zip", "cut.zip", "long.txt", "lz.zip"}
+    assert "'../up'" in kept["evil.zip"] and "damaged" in kept["cut.zip"] and "left in place" in kept["long.txt"]
+    assert all(r["path"].startswith("/sub dir/") for r in rows)
+    depth = {r["name"]: r["depth"] for r in rows}
+    assert (depth["one"], depth["in.txt"], depth["deep"], depth["short.txt"]) == (1, 2, 3, 0)

@@ -1,3 +1,6 @@
+import os
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +20,17 @@ def test_scan_reads_a_folder(spark, tmp_path):
     assert rows["a b.txt"]["path"] == f"{tmp_path}/sub/a b.txt"
     assert rows["a b.txt"]["parent"] == f"{tmp_path}/sub"
     assert (rows["c.bin"]["length"], bytes(rows["c.bin"]["content"])) == (2, b"\x00\x01")
-    assert abs(rows["c.bin"]["mtime"].timestamp() - (tmp_path / "c.bin").stat().st_mtime) < 86400
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_file_times_are_utc(spark, tmp_path, zone):
+    (tmp_path / "f").write_bytes(b"")
+    os.utime(tmp_path / "f", (1704164645, 1704164645))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert src.scan_files(spark, str(tmp_path)).first()["mtime"] == datetime(2024, 1, 2, 3, 4, 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_scan_prunes_content_and_pushes_length(spark, tmp_path):

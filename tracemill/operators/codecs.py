@@ -8,6 +8,7 @@ import tarfile
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 # A member larger than a row can hold stays inside its archive.
 ROW_LIMIT = 2**31 - 2**20
@@ -84,8 +85,7 @@ def open_tar(stream, limits: Limits) -> Iterator[Outcome]:
             yield info.name, data, None
 
 
-def _stream(kind: str, content: bytes):
-    raw = io.BytesIO(content)
+def _stream(kind: str, raw: BinaryIO):
     if kind == "gzip":
         return gzip.GzipFile(fileobj=raw)
     if kind == "bzip2":
@@ -97,16 +97,15 @@ def is_tar(head: bytes) -> bool:
     return head[257:262] == b"ustar"
 
 
-def open_stream(kind: str, content: bytes, limits: Limits) -> Iterator[Outcome]:
+def open_stream(kind: str, raw: BinaryIO, packed_bytes: int, limits: Limits) -> Iterator[Outcome]:
     """A compressed stream: its members if a tar archive is inside, else its one file, named ''."""
-    with _stream(kind, content) as stream:
-        head = stream.read(TAR_BLOCK)
-    if is_tar(head):
-        with _stream(kind, content) as stream:
+    head = _stream(kind, raw).read(TAR_BLOCK)
+    raw.seek(0)
+    with _stream(kind, raw) as stream:
+        if is_tar(head):
             yield from open_tar(stream, limits)
-        return
-    with _stream(kind, content) as stream:
-        yield "", _read(stream, len(content), limits), None
+        else:
+            yield "", _read(stream, packed_bytes, limits), None
 
 
 def open_packed(kind: str, content: bytes, limits: Limits) -> Iterator[Outcome]:
@@ -117,6 +116,6 @@ def open_packed(kind: str, content: bytes, limits: Limits) -> Iterator[Outcome]:
         elif kind == "tar":
             yield from open_tar(io.BytesIO(content), limits)
         else:
-            yield from open_stream(kind, content, limits)
+            yield from open_stream(kind, io.BytesIO(content), len(content), limits)
     except Exception as exc:
         yield None, None, f"damaged {kind} file: {exc or type(exc).__name__}"

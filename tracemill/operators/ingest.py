@@ -46,15 +46,17 @@ def detect_kind(content: Column) -> Column:
     return kind.otherwise(F.lit(PLAIN))
 
 
-def _unpack(limits: Limits):
-    fields = [
-        ("path", pa.string()), ("name", pa.string()), ("source_path", pa.string()), ("depth", pa.int32()),
-        ("mtime", pa.timestamp("us")), ("content", pa.binary()), ("kept", pa.bool_()), ("warning", pa.string()),
-    ]
+_FIELDS = [
+    ("path", pa.string()), ("name", pa.string()), ("source_path", pa.string()), ("depth", pa.int32()),
+    ("mtime", pa.timestamp("us")), ("content", pa.binary()), ("kept", pa.bool_()), ("warning", pa.string()),
+]
+
+
+def unpacked_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FIELDS)], [n for n, _ in _FIELDS])
 
-    def to_batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)], [n for n, _ in fields])
 
+def _unpack(limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
@@ -74,32 +76,40 @@ def _unpack(limits: Limits):
                     rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, False, None))
                     size += len(data)
                     if size >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
-                        yield to_batch(rows)
+                        yield unpacked_batch(rows)
                         rows, size = [], 0
                 if warnings or not unpacked:
                     # Something is still only in the packed file, so it stays.
                     rows.append((path, name, source, depth, mtime, content, True, "; ".join(warnings) or None))
                     size += len(content)
         if rows:
-            yield to_batch(rows)
+            yield unpacked_batch(rows)
 
     return run
 
 
+def _or_else(df: DataFrame, column: str, default: Column) -> Column:
+    return (F.col(column) if column in df.columns else default).alias(column)
+
+
+def member_folder() -> Column:
+    """Where the members of a packed file go: a folder beside it."""
+    up = paths.parent_dir(F.col("path"))
+    return F.concat(
+        F.when(up == "/", F.lit("/")).otherwise(F.concat(up, F.lit("/"))),
+        paths.unpack_folder(F.col("path"), F.col("name")),
+    )
+
+
 def unpack(packed: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One unpack round over rows with `path, name, depth, mtime, kind, content`.
 
     Gives one row per member. A packed file itself comes back, marked `kept`,
     if it holds nothing or anything in it could not be taken out.
     """
-    up = paths.parent_dir(F.col("path"))
-    folder = F.concat(
-        F.when(up == "/", F.lit("/")).otherwise(F.concat(up, F.lit("/"))),
-        paths.unpack_folder(F.col("path"), F.col("name")),
-    )
-    source = F.col("source_path") if "source_path" in packed.columns else F.lit(None).cast("string")
+    folder = member_folder()
     ready = packed.select(
-        "path", "name", source.alias("source_path"), folder.alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
+        "path", "name", _or_else(packed, "source_path", F.lit(None).cast("string")), folder.alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
         F.col("depth").cast("int").alias("depth"), "mtime", "kind", "content",
     )
     return ready.mapInArrow(_unpack(limits), UNPACKED)
@@ -137,7 +147,8 @@ def unpack_recursive(files: DataFrame, limits: Limits = Limits(), max_rounds: in
     spread over the cluster without a shuffle.
     """
     start = files.select(
-        "path", "name", F.lit(None).cast("string").alias("source_path"), F.lit(0).alias("depth"), "mtime", "content",
+        "path", "name", _or_else(files, "source_path", F.lit(None).cast("string")),
+        _or_else(files, "depth", F.lit(0)), "mtime", "content",
         detect_kind(F.col("content")).alias("kind"), F.lit(None).cast("string").alias("warning"),
     )
     settled = [start.where(F.col("kind") == PLAIN)]
@@ -167,11 +178,3 @@ def source_disposition(files: DataFrame, unpacked: Column, upload_root: str, pro
         disposition.alias("disposition"),
         paths.remap_root(F.col("path"), upload_root, processed_root).alias("out_path"),
     )
-
-
-def ingest(files: DataFrame, upload_root: str, processed_root: str = "", limits: Limits = Limits()) -> DataFrame:
-    """Uploaded files unpacked and moved below `processed_root`, or to paths
-    relative to the upload folder, as the landing area keeps them, by default."""
-    return unpack_recursive(files, limits).withColumn(
-        "path", paths.remap_root(F.col("path"), upload_root, processed_root)
-    )

@@ -1,33 +1,50 @@
 """Extraction from files too long to be held in one row."""
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tracemill.functions.paths import remap_root
 from tracemill.operators.classify import signature_parsers
 from tracemill.operators.extract import run_extractors
 from tracemill.operators.registry import Extractor, without_signature
 from tracemill.schemas import ATTRIBUTES, EXTRACTION_WARNING, TIMES
-from tracemill.sources.files import MAX_CONTENT_BYTES, scan_files
+from tracemill.sources.files import MAX_CONTENT_BYTES, list_files
 from tracemill.sources.lines import scan_lines
 
 
+def root_path(root: str) -> str:
+    """The path inside the storage of a folder given by path or URI."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root)
+
+
 def oversize_results(
-    spark: SparkSession, root: str, registry: Iterable[Extractor], max_bytes: int = MAX_CONTENT_BYTES
+    spark: SparkSession,
+    root: str,
+    registry: Iterable[Extractor],
+    max_bytes: int = MAX_CONTENT_BYTES,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Results of the files under `root` longer than `max_bytes`.
 
     Metadata extractors see them like any other file. Extractors that cut
     content into lines get the lines, read in splits. An extractor that needs
     the content whole is reported by a warning for each file it was due to read.
+
+    With `only`, just the files of those paths, which are relative to `root`.
     """
     registry = tuple(registry)
-    listing = scan_files(spark, root, max_bytes=None).where(F.col("length") > max_bytes).drop("content")
+    listing = list_files(spark, root, max_bytes)
     stat_only = [e for e in registry if not e.needs_content]
     by_line = [e for e in without_signature(registry) if e.needs_content and e.records]
     whole_nonsig = [e.name for e in without_signature(registry) if e.needs_content and not e.records]
 
     lines = scan_lines(spark, root, max_bytes)
+    if only is not None:
+        path = remap_root(F.col("path"), root_path(root), "")
+        listing = listing.withColumn("path", path).join(only, "path", "left_semi")
+        lines = lines.withColumn("path", path).join(only, "path", "left_semi")
     header = lines.where(F.col("seq") == 0).select("path", signature_parsers(registry, F.col("line").cast("binary")).alias("sig"))
     unread = F.when(F.size("sig") > 0, F.col("sig")).otherwise(
         F.array(*[F.lit(n) for n in whole_nonsig]).cast("array<string>")

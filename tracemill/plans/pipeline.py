@@ -16,7 +16,7 @@ from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
 from tracemill.plans import settings as S
 from tracemill.plans.formatters import format_results, get_formatter
 from tracemill.plans.sinks import read_container, write_containers, write_json, write_session
-from tracemill.sources.files import MAX_CONTENT_BYTES, scan_files
+from tracemill.sources.files import MAX_CONTENT_BYTES, only_files, scan_files
 
 
 @dataclass
@@ -44,23 +44,32 @@ def extract(
     registry: Iterable[Extractor] = DEFAULT,
     settings: S.Settings = S.Settings(),
     max_bytes: int = MAX_CONTENT_BYTES,
+    long_root: str | None = None,
 ) -> ExtractResult:
     """Extract events from `source`, a folder or a files DataFrame.
 
-    Files of a folder longer than `max_bytes` are read by line in splits.
+    Files of a folder longer than `max_bytes` are read by line in splits. Files
+    of a DataFrame that have no content were left below `long_root` and are read
+    there in the same way.
+
     Without a formatter the run is written to the store `output`; with one the
     documents are written there, or only planned if no output is given. A dry
     run counts results and delivers nothing. No result row passes the driver.
     """
     get_formatter(formatter)
     chosen = bind_settings(select_extractors(registry, extractors), asdict(settings))
-    files = readable = source
     oversize = None
     if isinstance(source, str):
         files = scan_files(spark, source, max_bytes=None)
         readable = scan_files(spark, source, max_bytes=max_bytes)
         if not files.where(F.col("length") > max_bytes).isEmpty():
             oversize = oversize_results(spark, source, chosen, max_bytes)
+    else:
+        files = readable = only_files(source)
+        if long_root:
+            left = files.where("content IS NULL").select("path")
+            readers = [e for e in chosen if e.needs_content]
+            oversize = oversize_results(spark, long_root, readers, max_bytes, left)
     items = items_with_content(readable, chosen)
     response: dict = {}
     if dry_run:

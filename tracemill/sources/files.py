@@ -17,14 +17,18 @@ def _utc(ts: Column) -> Column:
 
 
 def as_files(df: DataFrame) -> DataFrame:
-    """Complete `path`, `content`, `mtime` rows to the files shape."""
+    """Complete `path`, `content`, `mtime` rows to the files shape. A file left
+    in place has no content and states its `length`."""
     path = F.col("path")
+    length = F.octet_length("content").cast("bigint")
+    if "length" in df.columns:
+        length = F.coalesce(length, F.col("length"))
     return df.select(
         "path",
         paths.basename(path).alias("name"),
         paths.parent_dir(path).alias("parent"),
         F.lit(FILE).alias("entry_type"),
-        F.octet_length("content").cast("bigint").alias("length"),
+        length.alias("length"),
         "mtime",
         "content",
     )
@@ -54,7 +58,14 @@ def scan_files(
     return from_binary_files(found)
 
 
-def from_binary_files(found: DataFrame) -> DataFrame:
+def list_files(spark: SparkSession, root: str, min_bytes: int = 0) -> DataFrame:
+    """Files under `root` longer than `min_bytes`, without content, with the `uri` to open each by."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    found = found.where(F.col("length") > min_bytes).withColumn("uri", F.col("path"))
+    return from_binary_files(found, "uri").drop("content")
+
+
+def from_binary_files(found: DataFrame, *keep: str) -> DataFrame:
     """Rows of the binary file source in the files shape."""
     location = paths_from_uri(F.col("path"))
     return found.select(
@@ -65,6 +76,7 @@ def from_binary_files(found: DataFrame) -> DataFrame:
         "length",
         _utc(F.col("modificationTime")).alias("mtime"),
         "content",
+        *keep,
     )
 
 
