@@ -153,6 +153,7 @@ def test_long_files_are_read_by_line(spark, tmp_path):
     lines = [f"line {n}" if n % 7 else "" for n in range(4000)]
     (source / "long.log").write_text("\n".join(lines))
     (source / "long.html").write_text("<!DOCTYPE html>\n" + "x\n" * 4000)
+    (source / ".long.hid").write_text("h" * 4000)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
     try:
@@ -160,13 +161,16 @@ def test_long_files_are_read_by_line(spark, tmp_path):
         rows = run.results.where(F.col("path").contains("long.")).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    text = {r["seq"]: r["attributes"]["bytes"] for r in rows if r["parser"] == "text"}
+    text = {r["seq"]: r["attributes"]["bytes"] for r in rows if r["parser"] == "text" and r["path"].endswith("log")}
     assert text == {n: str(len(line)) for n, line in enumerate(lines) if line}
     stats = {r["path"].rsplit("/", 1)[-1] for r in rows if r["parser"] == "filestat"}
-    assert stats == {"long.log", "long.html"}
+    assert stats == {"long.log", "long.html", ".long.hid"}
+    assert {(r["parser"], r["container"]) for r in rows if r["path"].endswith("hid") and r["parser"] != "filestat"} == {
+        ("text", "extraction_warning")
+    }
     unread = {(r["parser"], r["container"]) for r in rows if r["path"].endswith("long.html") and r["parser"] != "filestat"}
     assert unread == {("html", "extraction_warning"), ("markup", "extraction_warning")}
-    assert sinks.read_container(spark, run.store, "event_source").count() == 5
+    assert sinks.read_container(spark, run.store, "event_source").count() == 6
 
 
 def test_arriving_files_are_extracted_once(spark, tmp_path):

@@ -73,3 +73,25 @@ def test_resolve(spark, tree):
     got = {r["path"]: (r["present"], r["length"]) for r in src.resolve_entries(wanted, tree).collect()}
     assert got == {"/top": (True, 1), "/gone": (False, None)}
     assert [r["path"] for r in src.missing_entries(wanted, tree).collect()] == ["/gone"]
+
+
+def test_scan_sees_empty_and_hidden_files_and_folders(spark, tmp_path):
+    tree = {"a.txt": b"a", "empty": b"", ".hidden": b"h", "_under/deep/f": b"u", "_under/.x": b"", "k=v/p": b"p", "sp ace/%41": b"%"}
+    for name, body in tree.items():
+        target = tmp_path / name
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(body)
+    (tmp_path / "bare").mkdir()
+    got = {r["path"][len(str(tmp_path)) + 1 :]: r for r in src.scan_files(spark, str(tmp_path)).collect()}
+    assert {name: bytes(r["content"]) for name, r in got.items()} == tree
+    assert all(r["length"] == len(tree[name]) and r["parent"].startswith(str(tmp_path)) for name, r in got.items())
+    listed = src.list_entries(spark, str(tmp_path))
+    folders = {r["path"][len(str(tmp_path)) + 1 :] for r in listed.where("entry_type = 'directory'").collect()}
+    assert folders == {"_under", "_under/deep", "k=v", "sp ace", "bare"}
+    assert src.only_files(listed).count() == len(tree)
+    assert {r["name"] for r in src.list_files(spark, f"file://{tmp_path}", 0).collect()} == {"a.txt", ".hidden", "f", "p", "%41"}
+
+
+def test_listing_of_an_empty_folder(spark, tmp_path):
+    assert src.list_entries(spark, str(tmp_path)).count() == 0
+    assert src.scan_files(spark, str(tmp_path)).count() == 0

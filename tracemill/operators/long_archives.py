@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tracemill.functions import paths
@@ -24,6 +23,7 @@ from tracemill.operators.ingest import (
 )
 from tracemill.schemas import UNPACKED
 from tracemill.session import spool
+from tracemill.sources.listing import open_uri
 
 # Bytes of packed members one task reads.
 TASK_BYTES = 256 << 20
@@ -48,13 +48,6 @@ LOCAL_HEADER_BYTES = 30
 NAME_LENGTH_AT, EXTRA_LENGTH_AT = 26, 28
 
 
-def _open(uri: str) -> BinaryIO:
-    if uri.startswith("file:"):
-        uri = "/" + uri[5:].lstrip("/")
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(path)
-
-
 def _kind(raw: BinaryIO) -> str:
     raw.seek(0)
     head = raw.read(512)
@@ -95,7 +88,7 @@ def _places(uri: str, length: int) -> Iterator[tuple]:
     """Where the parts of a file lie: one entry per member, or one for the whole file."""
     kind = None
     try:
-        with _open(uri) as raw:
+        with open_uri(uri) as raw:
             kind = _kind(raw)
             if kind in ("zip", "tar"):
                 for entry in _index_zip(raw) if kind == "zip" else _index_tar(raw):
@@ -165,7 +158,7 @@ def _read_members(limits: Limits):
                 if not kept:
                     try:
                         if opened != row["uri"]:
-                            opened, raw = row["uri"], _open(row["uri"])
+                            opened, raw = row["uri"], open_uri(row["uri"])
                         raw.seek(0)
                         for member, data, warning in outcomes(raw, row):
                             if warning is not None:

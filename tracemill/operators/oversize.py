@@ -3,7 +3,7 @@
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracemill.functions.paths import remap_root
 from tracemill.operators.classify import signature_parsers
@@ -11,7 +11,9 @@ from tracemill.operators.extract import run_extractors
 from tracemill.operators.registry import Extractor, without_signature
 from tracemill.schemas import ATTRIBUTES, EXTRACTION_WARNING, TIMES
 from tracemill.sources.files import MAX_CONTENT_BYTES, list_files
+from tracemill.session import spool
 from tracemill.sources.lines import scan_lines
+from tracemill.sources.listing import paths_from_uri, read_ends
 
 
 def root_path(root: str) -> str:
@@ -25,6 +27,7 @@ def oversize_results(
     registry: Iterable[Extractor],
     max_bytes: int = MAX_CONTENT_BYTES,
     only: DataFrame | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Results of the files under `root` longer than `max_bytes`.
 
@@ -35,35 +38,52 @@ def oversize_results(
     With `only`, just the files of those paths, which are relative to `root`.
     """
     registry = tuple(registry)
-    listing = list_files(spark, root, max_bytes)
     stat_only = [e for e in registry if not e.needs_content]
-    by_line = [e for e in without_signature(registry) if e.needs_content and e.records]
-    whole_nonsig = [e.name for e in without_signature(registry) if e.needs_content and not e.records]
-
+    nonsig = [e for e in without_signature(registry) if e.needs_content]
+    by_line = [e for e in nonsig if e.records]
+    listing = (list_files(spark, root) if listing is None else listing).where(F.col("length") > max_bytes)
     lines = scan_lines(spark, root, max_bytes)
     if only is not None:
         path = remap_root(F.col("path"), root_path(root), "")
         listing = listing.withColumn("path", path).join(only, "path", "left_semi")
         lines = lines.withColumn("path", path).join(only, "path", "left_semi")
-    header = lines.where(F.col("seq") == 0).select("path", signature_parsers(registry, F.col("line").cast("binary")).alias("sig"))
-    unread = F.when(F.size("sig") > 0, F.col("sig")).otherwise(
-        F.array(*[F.lit(n) for n in whole_nonsig]).cast("array<string>")
+
+    # A few rows: there is one per long file, and those are at most the bytes
+    # of the folder divided by `max_bytes`.
+    due = spool(
+        read_ends(listing).select(
+            "uri", "path", "name", "length", "mtime", signature_parsers(registry).alias("sig")
+        ),
+        "long-files",
+    )
+    # Spark's file sources pass over names they deem hidden.
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    visible = source.where(F.col("length") > max_bytes).select(paths_from_uri(F.col("path")).alias("at"), F.lit(False).alias("hidden"))
+    due = due.join(visible, paths_from_uri(F.col("uri")) == F.col("at"), "left").withColumn(
+        "passed_over", F.coalesce("hidden", F.lit(True))
+    )
+    readable = (F.size("sig") == 0) & ~F.col("passed_over")
+    unread = F.when(F.size("sig") > 0, F.col("sig")).when(F.col("passed_over"), _names(nonsig)).otherwise(
+        _names(e for e in nonsig if not e.records)
     )
-    results = header.select("path", F.explode(unread).alias("parser")).select(
+    results = due.select("path", F.explode(unread).alias("parser")).select(
         F.lit(EXTRACTION_WARNING).alias("container"), "path", "parser", F.lit(0).cast("bigint").alias("seq"),
         F.lit(f"content exceeds {max_bytes} bytes and was not read whole").alias("message"),
         F.expr(f"CAST(map() AS {ATTRIBUTES})").alias("attributes"), F.expr(f"CAST(array() AS {TIMES})").alias("times"),
     )
     if stat_only:
-        items = listing.select("path", "name", "length", "mtime", F.lit(None).cast("binary").alias("content"))
-        names = F.array(*[F.lit(e.name) for e in stat_only])
-        results = results.unionByName(run_extractors(items.withColumn("parser", F.explode(names)), stat_only))
+        items = due.select("path", "name", "length", "mtime", F.lit(None).cast("binary").alias("content"))
+        results = results.unionByName(
+            run_extractors(items.withColumn("parser", F.explode(_names(stat_only))), stat_only)
+        )
     if by_line:
-        plain = header.where(F.size("sig") == 0).select("path")
-        read = lines.join(plain, "path", "left_semi").join(listing.select("path", "name", "mtime"), "path")
-        items = read.select(
+        items = lines.join(due.where(readable).select("path", "name", "mtime"), "path").select(
             "path", "name", "length", "mtime", F.col("line").cast("binary").alias("content"), F.col("seq").alias("line_no"),
-            F.explode(F.array(*[F.lit(e.name) for e in by_line])).alias("parser"),
+            F.explode(_names(by_line)).alias("parser"),
         )
         results = results.unionByName(run_extractors(items, by_line, seq="line_no"))
     return results
+
+
+def _names(extractors: Iterable[Extractor]) -> Column:
+    return F.array(*[F.lit(e.name) for e in extractors]).cast("array<string>")

@@ -16,7 +16,7 @@ from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
 from tracemill.plans import settings as S
 from tracemill.plans.formatters import format_results, get_formatter
 from tracemill.plans.sinks import read_container, write_containers, write_json, write_session
-from tracemill.sources.files import MAX_CONTENT_BYTES, only_files, scan_files
+from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, only_files, scan_files
 
 
 @dataclass
@@ -60,10 +60,10 @@ def extract(
     chosen = bind_settings(select_extractors(registry, extractors), asdict(settings))
     oversize = None
     if isinstance(source, str):
-        files = scan_files(spark, source, max_bytes=None)
-        readable = scan_files(spark, source, max_bytes=max_bytes)
+        files = list_files(spark, source)
+        readable = scan_files(spark, source, max_bytes, listing=files)
         if not files.where(F.col("length") > max_bytes).isEmpty():
-            oversize = oversize_results(spark, source, chosen, max_bytes)
+            oversize = oversize_results(spark, source, chosen, max_bytes, listing=files)
     else:
         files = readable = only_files(source)
         if long_root:

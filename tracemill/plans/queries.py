@@ -41,7 +41,7 @@ def results(spark: SparkSession, sf_dir: str, registry=DEFAULT) -> DataFrame:
 
 
 def scan_files(spark, sf_dir):
-    return src.scan_files(spark, sf_dir, max_bytes=None).select("name", "entry_type", "length")
+    return src.scan_files(spark, sf_dir).select("name", "entry_type", "length")
 
 
 def only_files(spark, sf_dir):

@@ -29,8 +29,9 @@ def ingest(
     kept = None
     files = source
     if isinstance(source, str):
-        files = scan_files(spark, source, max_bytes=max_bytes)
-        listing = list_files(spark, source, max_bytes)
+        listed = list_files(spark, source)
+        files = scan_files(spark, source, max_bytes, listing=listed)
+        listing = listed.where(F.col("length") > max_bytes)
         if not listing.isEmpty():
             opened = spool(unpack_long(listing.withColumn("depth", F.lit(0)), limits), "long", ("kept",))
             # One row per file; the parts of an archive that failed are counted, not gathered.

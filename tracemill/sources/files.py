@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracemill.functions import paths
 from tracemill.schemas import DIRECTORY, FILE
+from tracemill.session import spool
+from tracemill.sources.listing import list_entries, paths_from_uri, read_contents
 
 # A row can hold at most 2 GiB, so longer files go through the line source.
 MAX_CONTENT_BYTES = 2**31 - 1
@@ -37,35 +39,38 @@ def as_files(df: DataFrame) -> DataFrame:
 def scan_files(
     spark: SparkSession,
     root: str,
-    glob: str | None = None,
-    max_bytes: int | None = MAX_CONTENT_BYTES,
+    max_bytes: int = MAX_CONTENT_BYTES,
     skip_unreadable: bool = False,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
-    """All files under `root`, recursively, up to `max_bytes` each.
+    """All files under `root`, recursively, up to `max_bytes` each, with content.
 
-    `content` is read only by plans that use it, and a filter on `length` or
-    `mtime` reaches the listing. Without `max_bytes` longer files are listed
-    too, but a plan that reads their content fails.
+    Spark's binary file source reads them: it reads `content` only for plans
+    that use it, and takes filters on `length` into the listing. It passes over
+    empty files and names it deems hidden, so those are read by location. A
+    `listing` of the folder's files, if at hand, saves making one.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    found = reader.load(root)
-    if max_bytes is not None:
-        found = found.where(F.col("length") <= max_bytes)
-    return from_binary_files(found)
+    visible = from_binary_files(reader.load(root))
+    listing = list_files(spark, root) if listing is None else listing
+    passed_over = spool(
+        listing.join(visible.select("path"), "path", "left_anti").where(F.col("length") <= max_bytes),
+        "passed-over",
+    )
+    found = visible.where(F.col("length") <= max_bytes)
+    if passed_over.isEmpty():
+        return found
+    return found.unionByName(read_contents(passed_over, skip_unreadable).drop("uri"))
 
 
-def list_files(spark: SparkSession, root: str, min_bytes: int = 0) -> DataFrame:
+def list_files(spark: SparkSession, root: str, min_bytes: int = -1) -> DataFrame:
     """Files under `root` longer than `min_bytes`, without content, with the `uri` to open each by."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    found = found.where(F.col("length") > min_bytes).withColumn("uri", F.col("path"))
-    return from_binary_files(found, "uri").drop("content")
+    return only_files(list_entries(spark, root)).where(F.col("length") > min_bytes)
 
 
-def from_binary_files(found: DataFrame, *keep: str) -> DataFrame:
+def from_binary_files(found: DataFrame) -> DataFrame:
     """Rows of the binary file source in the files shape."""
     location = paths_from_uri(F.col("path"))
     return found.select(
@@ -76,15 +81,9 @@ def from_binary_files(found: DataFrame, *keep: str) -> DataFrame:
         "length",
         _utc(F.col("modificationTime")).alias("mtime"),
         "content",
-        *keep,
     )
 
 
-def paths_from_uri(uri: Column) -> Column:
-    """The path inside the storage, without scheme and authority."""
-    return F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-
-
 def path_manifest(paths_df: DataFrame, column: str = "path") -> DataFrame:
     """A path list as a source; an empty or missing location fails the job."""
     location = F.col(column)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tracemill.sources.files import paths_from_uri
+from tracemill.sources.listing import paths_from_uri
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,8 @@ from tracemill.sources.files import BINARY_FILE, from_binary_files
 
 def arriving_files(spark: SparkSession, root: str) -> DataFrame:
     """Files as they arrive. One too long for a row stops the query with an
-    error; such files are for the batch extraction, which reads them by line."""
+    error, and empty or hidden files are passed over by Spark's file stream;
+    the batch scan handles both."""
     source = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
     return from_binary_files(source.load(root))
 
