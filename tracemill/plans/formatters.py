@@ -31,9 +31,13 @@ def _sorted_keys(column: Column, kind: T.DataType) -> Column:
         fields = [_sorted_keys(column[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
         return F.when(column.isNotNull(), F.struct(*fields))
     if isinstance(kind, T.MapType):
-        return F.map_from_entries(F.array_sort(F.map_entries(column)))
+        return F.when(F.size(column) > 1, F.map_from_entries(F.array_sort(F.map_entries(column)))).otherwise(column)
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-        return F.transform(column, lambda e: _sorted_keys(e, kind.elementType))
+        fields = sorted(kind.elementType, key=lambda f: f.name)
+        if any(isinstance(f.dataType, (T.StructType, T.MapType, T.ArrayType)) for f in fields):
+            return F.transform(column, lambda e: _sorted_keys(e, kind.elementType))
+        # Without a lambda the reordering stays in generated code.
+        return F.arrays_zip(*[column[f.name] for f in fields])
     return column
 
 

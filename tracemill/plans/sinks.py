@@ -1,5 +1,9 @@
 """Sinks: the landing area, the timeline store and JSON text."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracemill.operators.associate import event_sources
@@ -113,15 +117,28 @@ def write_containers(
     nothing written before is rewritten.
     """
     spark = files.sparkSession
-    _put(results, store, "results", session_id, "container")
+    _together(
+        spark,
+        lambda: _put(results, store, "results", session_id, "container"),
+        lambda: _put(event_sources(files, storage_kind), store, "event_source", session_id),
+    )
     event_data = read_container(spark, store, EVENT_DATA, session_id)
-    _put(event_sources(files, storage_kind), store, "event_source", session_id)
-    # Every event comes from a file of this run, so the streams that own events
-    # are the distinct locations of the events.
-    _put(event_data.select("path").distinct(), store, "event_data_stream", session_id)
-    _put(timeline(event_data), store, "timeline", session_id)
     written = read_container(spark, store, "results", session_id)
-    _put(parser_counts(written).coalesce(1), store, "parser_count", session_id)
+    _together(
+        spark,
+        # Every event comes from a file of this run, so the streams that own
+        # events are the distinct locations of the events.
+        lambda: _put(event_data.select("path").distinct(), store, "event_data_stream", session_id),
+        lambda: _put(timeline(event_data), store, "timeline", session_id),
+        lambda: _put(parser_counts(written).coalesce(1), store, "parser_count", session_id),
+    )
+
+
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Independent writes side by side, so that one's last tasks leave no executors idle."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
 
 
 def write_session(rows: DataFrame, store: str) -> None:
