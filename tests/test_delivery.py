@@ -96,7 +96,7 @@ def test_store_run_and_second_run(spark, tmp_path):
         "event_source", "event_data_stream", "event_data", "extraction_warning", "recovery_warning", "timeline", "session")}
     assert sizes == {
         "event_source": 3, "event_data_stream": 3, "event_data": EVENTS - 1, "extraction_warning": 1,
-        "recovery_warning": 1, "timeline": EVENTS - 1, "session": 2,
+        "recovery_warning": 1, "timeline": EVENTS - 1, "session": 3,
     }
     times = sinks.read_container(spark, store, "timeline").groupBy("timestamp_desc").count().collect()
     assert dict(map(tuple, times)) == {"Modification Time": 4, "Not a time": EVENTS - 5}
@@ -107,6 +107,7 @@ def test_store_run_and_second_run(spark, tmp_path):
     start = sessions.where("kind = 'start'")
     assert start.first()["settings"]["preferred_year"] == "2020"
     assert len(start.first()["settings"]) == 13
+    assert sessions.where("kind = 'system'").first()["settings"]["time_zone"] == "UTC"
     named = {r["ordinal"]: r["enabled_parser"] for r in enabled_parsers(start).collect()}
     assert named == {1: "html", 2: "json", 3: "text", 4: "filestat"}
     assert sessions.where("kind = 'completion'").first()["settings"]["events"] == str(EVENTS - 1)

@@ -66,6 +66,7 @@ def test_tree_and_listing(spark, tree):
     assert {r["path"] for r in src.children(listing, "/a").collect()} == {"/a/b", "/a/c"}
     assert {r["path"] for r in src.within_depth(src.only_files(listing), "/a", 2).collect()} == {"/a/b/one.txt", "/a/b/two.txt"}
     assert src.within_depth(listing, "/a").count() == 6
+    assert {r["path"] for r in src.within_depth(listing, "/", 1).collect()} == {"/a", "/top"}
 
 
 def test_resolve(spark, tree):

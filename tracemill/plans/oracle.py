@@ -55,6 +55,14 @@ _OVER_CORPUS = {
     "resolve_entries": """
         SELECT r.path, c.path IS NOT NULL AS present, c.length
         FROM (SELECT '/pages/' || (page_id * 2) || '.html' AS path FROM pages) r LEFT JOIN corpus c USING (path)""",
+    "missing_entries": """
+        SELECT path FROM (SELECT '/pages/' || (page_id * 2) || '.html' AS path FROM pages)
+        WHERE path NOT IN (SELECT path FROM corpus)""",
+    "list_area": """
+        SELECT path, 'file' AS entry_type FROM corpus WHERE len(string_split(path, '/')) <= 3
+        UNION ALL SELECT DISTINCT '/' || array_to_string(list_slice(p, 1, n), '/'), 'directory'
+        FROM (SELECT string_split(substr(path, 2), '/') AS p FROM corpus), generate_series(1, 2) g(n)
+        WHERE n < len(p)""",
     "list_tree": """
         SELECT parent, count(*) AS children FROM (
           SELECT DISTINCT '/' || array_to_string(list_slice(p, 1, n - 1), '/') AS parent,
@@ -92,6 +100,9 @@ _OVER_WORK = {
     "filter_extractors": "SELECT path, parser FROM work WHERE parser <> 'markup'",
     "work_items": "SELECT path, parser FROM work",
     "repartition_buckets": f"SELECT path, parser, ({BUCKET})::INT AS bucket FROM work",
+    "partition_sizes": f"""
+        SELECT g.b::INT AS partition, count(w.path) AS rows FROM generate_series(0, 15) g(b)
+        LEFT JOIN (SELECT path, {BUCKET} AS b FROM work) w ON w.b = g.b GROUP BY g.b""",
     "partition_stats": f"""
         SELECT min(n) AS min_rows, max(n) AS max_rows, avg(n) AS avg_rows, count(*) AS partitions FROM (
           SELECT g.b, count(w.path) AS n FROM generate_series(0, 15) g(b)
@@ -117,6 +128,9 @@ _OVER_RESULTS = {
           FROM lines LEFT JOIN (SELECT path, min(seq) AS stop FROM lines WHERE strlen(line) > 2000 GROUP BY path) USING (path)
           GROUP BY path
         ) WHERE rows_kept + errors > 0""",
+    "results_timeline": """
+        SELECT path, parser, seq, CASE WHEN t IS NULL THEN 'Not a time' ELSE 'Modification Time' END AS timestamp_desc, t AS timestamp
+        FROM results WHERE container = 'event_data'""",
     "route_containers": "SELECT container, count(*) AS rows FROM results GROUP BY container",
     "run_summary": """
         SELECT count(*) FILTER (container = 'event_data') AS events,

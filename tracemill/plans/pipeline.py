@@ -105,7 +105,11 @@ def extract(
     recorded = replace(
         settings, enabled_parser_names=S.enabled_names(chosen), parser_filter_expression=extractors
     )
-    write_session(S.session_row(spark, session_id, S.START, _now(), recorded.as_map()), output)
+    began = _now()
+    opening = S.session_row(spark, session_id, S.START, began, recorded.as_map()).unionByName(
+        S.session_row(spark, session_id, S.SYSTEM, began, S.system_values(spark, settings))
+    )
+    write_session(opening, output)
     write_containers(files, results, output, session_id, settings.storage_kind)
     written = read_container(spark, output, "results", session_id)
     totals = counts.run_summary(written).first()

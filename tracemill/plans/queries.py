@@ -68,6 +68,18 @@ def resolve_entries(spark, sf_dir):
     return src.resolve_entries(wanted, corpus(spark, sf_dir).select("path", "length")).select("path", "present", "length")
 
 
+def missing_entries(spark, sf_dir):
+    wanted = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("/pages/"), (F.col("page_id") * 2).cast("string"), F.lit(".html")).alias("path")
+    )
+    return src.missing_entries(wanted, corpus(spark, sf_dir))
+
+
+def list_area(spark, sf_dir):
+    """Files and folders at most two levels below the root."""
+    return src.within_depth(src.entries(corpus(spark, sf_dir)), "/", 2).select("path", "entry_type")
+
+
 def list_tree(spark, sf_dir):
     return src.list_tree(corpus(spark, sf_dir))
 
@@ -171,6 +183,12 @@ def partial_results(spark, sf_dir):
     )
 
 
+def results_timeline(spark, sf_dir):
+    """The timeline of the whole tree: extraction to one row per time."""
+    events = counts.route_containers(results(spark, sf_dir))[EVENT_DATA]
+    return timeline(events, keys=("path", "parser", "seq"))
+
+
 # Counts
 
 
@@ -420,6 +438,11 @@ def partition_stats(spark, sf_dir):
     return distribute.partition_stats(distribute.spread(items, BUCKETS).select("bucket"))
 
 
+def partition_sizes(spark, sf_dir):
+    items = classify.work_items(corpus(spark, sf_dir), DEFAULT)
+    return distribute.partition_sizes(distribute.spread(items, BUCKETS).select("bucket"))
+
+
 # Delivery
 
 
@@ -457,6 +480,8 @@ QUERIES: dict[str, Query] = {
     "path_source": path_source,
     "read_range": read_range,
     "resolve_entries": resolve_entries,
+    "missing_entries": missing_entries,
+    "list_area": list_area,
     "list_tree": list_tree,
     "file_stat": file_stat,
     "event_sources": event_sources,
@@ -473,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "extraction_warnings": extraction_warnings,
     "recovery_warnings": recovery_warnings,
     "partial_results": partial_results,
+    "results_timeline": results_timeline,
     "route_containers": route_containers,
     "run_summary": run_summary,
     "warning_counts": warning_counts,
@@ -497,6 +523,7 @@ QUERIES: dict[str, Query] = {
     "decode_text": decode_documents,
     "repartition_buckets": repartition_buckets,
     "partition_stats": partition_stats,
+    "partition_sizes": partition_sizes,
     "json_events": json_events,
     "land_files": land_files,
     "write_containers": write_containers,

@@ -11,6 +11,7 @@ from tracemill.operators.registry import Extractor
 SESSION = "session_id STRING, kind STRING, started TIMESTAMP_NTZ, settings MAP<STRING, STRING>"
 
 START = "start"
+SYSTEM = "system"
 COMPLETION = "completion"
 
 
@@ -36,6 +37,16 @@ class Settings:
         return {k: None if v is None else str(v) for k, v in asdict(self).items()}
 
 
+def system_values(spark: SparkSession, settings: Settings) -> dict[str, str | None]:
+    """What a reader of the store needs to know about the system that wrote it."""
+    return {
+        "code_page": settings.preferred_codepage,
+        "language": settings.preferred_language,
+        "time_zone": settings.preferred_time_zone,
+        "spark_version": spark.version,
+    }
+
+
 def enabled_names(registry: Iterable[Extractor]) -> str:
     return ",".join(e.name for e in registry)
 

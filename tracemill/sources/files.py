@@ -183,7 +183,7 @@ def children(listing: DataFrame, folder: str) -> DataFrame:
 def within_depth(listing: DataFrame, root: str, depth: int | None = None) -> DataFrame:
     """Entries below `root`, at most `depth` levels down; all of them by default."""
     base = root.rstrip("/") + "/"
-    below = listing.where(F.col("path").startswith(base))
+    below = listing.where(F.col("path").startswith(base) & (F.col("path") != base))
     if depth is None:
         return below
     level = F.size(F.split("path", "/")) - F.lit(base.count("/"))
