@@ -10,7 +10,9 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tracemill.operators import codecs, ingest, long_archives
+from tracemill.plans.pipeline import extract
 from tracemill.plans.uploads import ingest as upload
+from tracemill.sources.files import as_files
 
 
 def make_zip(members, method=zipfile.ZIP_DEFLATED):
@@ -200,3 +202,45 @@ def test_long_archives_are_opened_in_place(spark, tmp_path, monkeypatch):
     assert all(r["path"].startswith("/sub dir/") for r in rows)
     depth = {r["name"]: r["depth"] for r in rows}
     assert (depth["one"], depth["in.txt"], depth["deep"], depth["short.txt"]) == (1, 2, 3, 0)
+
+
+def test_members_too_long_for_a_row(spark, tmp_path):
+    big = b"".join(b"line %d\n" % n for n in range(2000))
+    nested = make_tar([("deep.log", big), ("small.txt", b"small")])
+    folder = tmp_path / "up"
+    folder.mkdir()
+    (folder / "box.zip").write_bytes(make_zip([("big.log", big), ("nested.tar", nested), ("ok.txt", b"ok")]))
+    (folder / "t.tgz").write_bytes(make_tar([("in.log", big)], "w:gz"))
+    (folder / "s.xz").write_bytes(lzma.compress(big))
+    (folder / "long.zip").write_bytes(make_zip([("stored.log", big), ("pad", b"p" * 9000)], zipfile.ZIP_STORED))
+    spill = str(tmp_path / "spill")
+    wanted = {"big.log", "deep.log", "in.log", "s", "stored.log"}
+
+    limits = codecs.Limits(row_bytes=10_000, spill=spill)
+    rows = upload(spark, str(folder), str(folder), limits=limits, max_bytes=10_000).collect()
+    held = {r["name"]: bytes(r["content"]) for r in rows if r["content"] is not None}
+    assert held == {"ok.txt": b"ok", "small.txt": b"small", "pad": b"p" * 9000}
+    placed = {r["name"]: r for r in rows if r["content"] is None}
+    assert placed.keys() == wanted and len(rows) == len(wanted) + 3
+    for r in placed.values():
+        assert r["length"] == len(big) and "left in place" in r["warning"]
+        assert (tmp_path / "spill").joinpath(str(folder)[1:] + r["path"]).read_bytes() == big
+    assert placed["deep.log"]["depth"] == 2
+
+    plain = upload(spark, str(folder), str(folder), limits=codecs.Limits(row_bytes=10_000), max_bytes=10_000).collect()
+    kept = {r["name"] for r in plain if r["warning"]}
+    assert kept == {"box.zip", "t.tgz", "s.xz", "long.zip"}
+
+
+def test_spilled_members_are_extracted_by_line(spark, tmp_path):
+    big = b"".join(b"line %d\n" % n for n in range(2000))
+    folder = tmp_path / "up"
+    folder.mkdir()
+    (folder / "box.zip").write_bytes(make_zip([("big.log", big), ("ok.txt", b"ok")]))
+    spill = f"{tmp_path}/spill"
+    files = upload(spark, str(folder), str(folder), limits=codecs.Limits(row_bytes=5000, spill=spill))
+    run = extract(spark, as_files(files), formatter="json", long_root=[str(folder), f"{spill}{folder}"], max_bytes=5000)
+    text = run.results.where("parser = 'text'").groupBy(F.substring_index("path", "/", -1).alias("name")).count()
+    assert dict(map(tuple, text.collect())) == {"big.log": 2000, "ok.txt": 1}
+    sizes = run.results.where("parser = 'filestat'").collect()
+    assert sorted(r["attributes"]["size"] for r in sizes) == sorted(["2", str(len(big))])

@@ -6,11 +6,12 @@ import io
 import lzma
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from typing import BinaryIO
 
-# A member larger than a row can hold stays inside its archive.
+# What a row can hold, with some room for its other columns.
 ROW_LIMIT = 2**31 - 2**20
 TAR_BLOCK = 512
 CHUNK = 1 << 20
@@ -18,34 +19,64 @@ CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class Limits:
-    """Guards against hostile archives. What a guard stops stays packed and is reported."""
+    """How members are taken out.
 
-    member_bytes: int = ROW_LIMIT
+    A member of more than `row_bytes` is written as a file below the shared
+    folder `spill`; without one it stays packed and is reported. So is a member
+    that grows by more than `ratio`, a guard against hostile archives.
+    """
+
+    row_bytes: int = ROW_LIMIT
     ratio: float | None = None
+    spill: str | None = None
 
 
 class Refused(Exception):
     """A guard stopped this member."""
 
 
-def _read(stream, packed_bytes: int | None, limits: Limits) -> bytes:
-    bound = limits.member_bytes
+class Long:
+    """A member too long for a row, still to be read in chunks."""
+
+    def __init__(self, chunks: Iterable[bytes]):
+        self.chunks = chunks
+
+
+def bounded(chunks: Iterable[bytes], packed_bytes: int | None, limits: Limits) -> Iterator[bytes]:
+    size, bound = 0, None
     if limits.ratio is not None and packed_bytes is not None:
-        bound = min(bound, int(limits.ratio * max(packed_bytes, 1)))
-    parts, size = [], 0
-    while chunk := stream.read(CHUNK):
+        bound = int(limits.ratio * max(packed_bytes, 1))
+    for chunk in chunks:
         size += len(chunk)
-        if size > bound:
+        if bound is not None and size > bound:
             raise Refused(f"output exceeds {bound} bytes")
+        yield chunk
+
+
+def _read(stream, packed_bytes: int | None, limits: Limits) -> bytes | Long:
+    parts, size = [], 0
+    chunks = bounded(iter(lambda: stream.read(CHUNK), b""), packed_bytes, limits)
+    for chunk in chunks:
         parts.append(chunk)
+        size += len(chunk)
+        if size > limits.row_bytes:
+            return Long(chain(parts, chunks))
     return b"".join(parts)
 
 
+def _exactly(size: int, chunks: Iterable[bytes]) -> Iterator[bytes]:
+    for chunk in chunks:
+        size -= len(chunk)
+        yield chunk
+    if size:
+        raise EOFError("member is cut off")
+
+
 def _safe(name: str) -> bool:
     return bool(name) and not name.startswith("/") and ".." not in name.split("/")
 
 
-Outcome = tuple[str | None, bytes | None, str | None]
+Outcome = tuple[str | None, bytes | Long | None, str | None]
 
 
 def open_zip(content: bytes, limits: Limits) -> Iterator[Outcome]:
@@ -57,12 +88,13 @@ def open_zip(content: bytes, limits: Limits) -> Iterator[Outcome]:
                 yield None, None, f"unsafe member name {info.filename!r}"
                 continue
             try:
-                with archive.open(info) as member:
-                    data = _read(member, info.compress_size, limits)
+                member = archive.open(info)
+                data = _read(member, info.compress_size, limits)
             except Exception as exc:
                 yield None, None, f"unreadable member {info.filename!r}: {exc}"
                 continue
             yield info.filename, data, None
+            member.close()
 
 
 def open_tar(stream, limits: Limits) -> Iterator[Outcome]:
@@ -76,11 +108,10 @@ def open_tar(stream, limits: Limits) -> Iterator[Outcome]:
             if not _safe(info.name):
                 yield None, None, f"unsafe member name {info.name!r}"
                 continue
-            if info.size > limits.member_bytes:
-                yield None, None, f"unreadable member {info.name!r}: output exceeds {limits.member_bytes} bytes"
-                continue
-            data = archive.extractfile(info).read()
-            if len(data) < info.size:
+            data = _read(archive.extractfile(info), None, limits)
+            if isinstance(data, Long):
+                data = Long(_exactly(info.size, data.chunks))
+            elif len(data) < info.size:
                 raise EOFError(f"member {info.name!r} is cut off")
             yield info.name, data, None
 

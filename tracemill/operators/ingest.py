@@ -7,10 +7,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracemill.functions import paths
-from tracemill.operators.codecs import Limits, open_packed
+from tracemill.operators.codecs import Limits, Long, Refused, open_packed
 from tracemill.schemas import UNPACKED
 from tracemill.session import spool
 from tracemill.sources.files import read_range
+from tracemill.sources.listing import locate
 
 # The signatures of the packed formats.
 PACKED_SIGNATURES = {
@@ -48,7 +49,7 @@ def detect_kind(content: Column) -> Column:
 
 _FIELDS = [
     ("path", pa.string()), ("name", pa.string()), ("source_path", pa.string()), ("depth", pa.int32()),
-    ("mtime", pa.timestamp("us")), ("content", pa.binary()), ("kept", pa.bool_()), ("warning", pa.string()),
+    ("mtime", pa.timestamp("us")), ("content", pa.binary()), ("length", pa.int64()), ("kept", pa.bool_()), ("warning", pa.string()),
 ]
 
 
@@ -56,6 +57,33 @@ def unpacked_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FIELDS)], [n for n, _ in _FIELDS])
 
 
+def store_member(target: str, data: bytes | Long, limits: Limits) -> tuple[bytes | None, int]:
+    """Content and length of a member; one too long for a row is written below the spill folder.
+
+    The file gets its name once it is whole; a task that is run again finds the
+    same file there and drops its own.
+    """
+    if isinstance(data, bytes):
+        return data, len(data)
+    if limits.spill is None:
+        raise Refused(f"longer than {limits.row_bytes} bytes")
+    from pyspark import TaskContext
+
+    filesystem, path = locate(limits.spill.rstrip("/") + target)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    part = f"{path}.{TaskContext.get().taskAttemptId()}"
+    length = 0
+    with filesystem.open_output_stream(part) as out:
+        for chunk in data.chunks:
+            out.write(chunk)
+            length += len(chunk)
+    if filesystem.get_file_info(path).is_file:
+        filesystem.delete_file(part)
+    else:
+        filesystem.move(part, path)
+    return None, length
+
+
 def _unpack(limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -68,19 +96,24 @@ def _unpack(limits: Limits):
                     if warning is not None:
                         warnings.append(warning)
                         continue
-                    unpacked += 1
                     target = f"{folder}/{member or stem}"
                     again = seen[target] = seen.get(target, -1) + 1
                     if again:
                         target = f"{target}#{again}"
-                    rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, False, None))
-                    size += len(data)
+                    try:
+                        data, length = store_member(target, data, limits)
+                    except Exception as exc:
+                        warnings.append(f"unreadable member {member or stem!r}: {exc or type(exc).__name__}")
+                        continue
+                    unpacked += 1
+                    rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, length, False, None))
+                    size += len(data or b"")
                     if size >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
                         yield unpacked_batch(rows)
                         rows, size = [], 0
                 if warnings or not unpacked:
                     # Something is still only in the packed file, so it stays.
-                    rows.append((path, name, source, depth, mtime, content, True, "; ".join(warnings) or None))
+                    rows.append((path, name, source, depth, mtime, content, len(content), True, "; ".join(warnings) or None))
                     size += len(content)
         if rows:
             yield unpacked_batch(rows)
@@ -119,7 +152,7 @@ def _one_round(files: DataFrame, kinds: tuple[str, ...], limits: Limits) -> Data
     mine = F.col("kind").isin(*kinds)
     rest = files.where(~mine).select(
         "path", "name", F.lit(None).cast("string").alias("source_path"), F.col("depth").cast("int").alias("depth"),
-        "mtime", "content", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("warning"),
+        "mtime", "content", F.octet_length("content").cast("bigint").alias("length"), F.lit(True).alias("kept"), F.lit(None).cast("string").alias("warning"),
     )
     return unpack(files.where(mine), limits).unionByName(rest)
 
@@ -135,7 +168,7 @@ def expand_archive(files: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def _settled(df: DataFrame) -> DataFrame:
-    return df.select("path", "name", "source_path", "depth", "mtime", "content", "kind", "warning")
+    return df.select("path", "name", "source_path", "depth", "mtime", "content", "length", "kind", "warning")
 
 
 def unpack_recursive(files: DataFrame, limits: Limits = Limits(), max_rounds: int = MAX_ROUNDS) -> DataFrame:
@@ -149,6 +182,7 @@ def unpack_recursive(files: DataFrame, limits: Limits = Limits(), max_rounds: in
     start = files.select(
         "path", "name", _or_else(files, "source_path", F.lit(None).cast("string")),
         _or_else(files, "depth", F.lit(0)), "mtime", "content",
+        _or_else(files, "length", F.octet_length("content").cast("bigint")),
         detect_kind(F.col("content")).alias("kind"), F.lit(None).cast("string").alias("warning"),
     )
     settled = [start.where(F.col("kind") == PLAIN)]

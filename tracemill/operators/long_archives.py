@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tracemill.functions import paths
-from tracemill.operators.codecs import Limits, Refused, _safe, open_stream
+from tracemill.operators.codecs import CHUNK, Limits, Long, _safe, bounded, open_stream
 from tracemill.operators.ingest import (
-    FLUSH_BYTES, FLUSH_ROWS, PACKED_SIGNATURES, PLAIN, STREAMS, member_folder, unpacked_batch,
+    FLUSH_BYTES, FLUSH_ROWS, PACKED_SIGNATURES, PLAIN, STREAMS, member_folder, store_member, unpacked_batch,
 )
 from tracemill.schemas import UNPACKED
 from tracemill.session import spool
@@ -119,22 +119,25 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield to_batch(rows)
 
 
-def _member(raw: BinaryIO, kind: str, start: int, packed: int, size: int, method: int, crc: int) -> bytes:
+def _chunks(raw: BinaryIO, kind: str, start: int, packed: int, size: int, method: int, crc: int) -> Iterator[bytes]:
+    """A member's content, checked at the end against what the archive says of it."""
     raw.seek(start)
-    if kind == "tar":
-        data = raw.read(packed)
-    else:
+    if kind == "zip":
         header = raw.read(LOCAL_HEADER_BYTES)
         skip = sum(int.from_bytes(header[at : at + 2], "little") for at in (NAME_LENGTH_AT, EXTRA_LENGTH_AT))
         raw.seek(start + LOCAL_HEADER_BYTES + skip)
-        data = raw.read(packed)
-        if method == DEFLATED:
-            data = zlib.decompressobj(-zlib.MAX_WBITS).decompress(data, size + 1)
-        elif method == BZIP2:
-            data = bz2.BZ2Decompressor().decompress(data, size + 1)
-    if len(data) != size or (crc is not None and zlib.crc32(data) != crc):
+    opener = {DEFLATED: lambda: zlib.decompressobj(-zlib.MAX_WBITS), BZIP2: bz2.BZ2Decompressor}.get(method)
+    opened = opener() if opener else None
+    left, length, check = packed, 0, 0
+    while left and (chunk := raw.read(min(left, CHUNK))):
+        left -= len(chunk)
+        if opened:
+            chunk = opened.decompress(chunk)
+        length += len(chunk)
+        check = zlib.crc32(chunk, check)
+        yield chunk
+    if length != size or (crc is not None and check != crc):
         raise ValueError("content does not match the archive's record of it")
-    return data
 
 
 def _read_members(limits: Limits):
@@ -143,12 +146,9 @@ def _read_members(limits: Limits):
         if kind in STREAMS:
             yield from open_stream(kind, raw, packed, limits)
             return
-        bound = limits.member_bytes
-        if limits.ratio is not None:
-            bound = min(bound, int(limits.ratio * max(packed, 1)))
-        if size > bound:
-            raise Refused(f"output exceeds {bound} bytes")
-        yield member, _member(raw, kind, row["start"], packed, size, row["method"], row["crc"]), None
+        place = [row[c] for c in ("kind", "start", "packed", "size", "method", "crc")]
+        chunks = bounded(_chunks(raw, *place), packed, limits)
+        yield member, Long(chunks) if size > limits.row_bytes else b"".join(chunks), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, opened, raw = [], 0, None, None
@@ -165,8 +165,9 @@ def _read_members(limits: Limits):
                                 kept.append(warning)
                                 continue
                             target = f"{row['folder']}/{member or row['stem']}{row['again']}"
-                            rows.append((target, target.rsplit("/", 1)[-1], row["path"], row["depth"] + 1, row["mtime"], data, False, None))
-                            size += len(data)
+                            data, length = store_member(target, data, limits)
+                            rows.append((target, target.rsplit("/", 1)[-1], row["path"], row["depth"] + 1, row["mtime"], data, length, False, None))
+                            size += len(data or b"")
                             if size >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
                                 yield unpacked_batch(rows)
                                 rows, size = [], 0
@@ -174,7 +175,7 @@ def _read_members(limits: Limits):
                         opened = None
                         kept.append(f"unreadable member {row['member'] or row['name']!r}: {exc or type(exc).__name__}")
                 if kept:
-                    rows.append((row["path"], row["name"], None, row["depth"], row["mtime"], None, True, "; ".join(kept)))
+                    rows.append((row["path"], row["name"], None, row["depth"], row["mtime"], None, None, True, "; ".join(kept)))
         if rows:
             yield unpacked_batch(rows)
 

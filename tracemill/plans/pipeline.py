@@ -2,7 +2,7 @@
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from datetime import UTC, datetime
 
@@ -16,6 +16,7 @@ from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
 from tracemill.plans import settings as S
 from tracemill.plans.formatters import format_results, get_formatter
 from tracemill.plans.sinks import read_container, write_containers, write_json, write_session
+from tracemill.sources.listing import exists
 from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, only_files, scan_files
 
 
@@ -44,13 +45,13 @@ def extract(
     registry: Iterable[Extractor] = DEFAULT,
     settings: S.Settings = S.Settings(),
     max_bytes: int = MAX_CONTENT_BYTES,
-    long_root: str | None = None,
+    long_root: str | Sequence[str] | None = None,
 ) -> ExtractResult:
     """Extract events from `source`, a folder or a files DataFrame.
 
     Files of a folder longer than `max_bytes` are read by line in splits. Files
-    of a DataFrame that have no content were left below `long_root` and are read
-    there in the same way.
+    of a DataFrame that have no content were left below one of `long_root` and
+    are read there in the same way.
 
     Without a formatter the run is written to the store `output`; with one the
     documents are written there, or only planned if no output is given. A dry
@@ -66,10 +67,11 @@ def extract(
             oversize = oversize_results(spark, source, chosen, max_bytes, listing=files)
     else:
         files = readable = only_files(source)
-        if long_root:
-            left = files.where("content IS NULL").select("path")
-            readers = [e for e in chosen if e.needs_content]
-            oversize = oversize_results(spark, long_root, readers, max_bytes, left)
+        left = files.where("content IS NULL").select("path")
+        readers = [e for e in chosen if e.needs_content]
+        for root in filter(exists, [long_root] if isinstance(long_root, str) else long_root or ()):
+            found = oversize_results(spark, root, readers, max_bytes, left)
+            oversize = found if oversize is None else oversize.unionByName(found)
     items = items_with_content(readable, chosen)
     response: dict = {}
     if dry_run:

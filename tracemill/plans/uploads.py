@@ -1,5 +1,7 @@
 """Uploaded files made ready for extraction."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracemill.functions import paths
@@ -24,28 +26,40 @@ def ingest(
     relative to the upload folder, as the landing area keeps them. Archives of a
     folder longer than `max_bytes` are opened in place; a file that stays too
     long for a row comes without content but with its length and a warning, and
-    is left where it is for `extract(..., long_root=source)` to read.
+    is left where it is for `extract(..., long_root=source)` to read. Long
+    members lie below `limits.spill`, under the path they would have had.
     """
-    kept = None
-    files = source
-    if isinstance(source, str):
-        listed = list_files(spark, source)
-        files = scan_files(spark, source, max_bytes, listing=listed)
-        listing = listed.where(F.col("length") > max_bytes)
-        if not listing.isEmpty():
-            opened = spool(unpack_long(listing.withColumn("depth", F.lit(0)), limits), "long", ("kept",))
-            # One row per file; the parts of an archive that failed are counted, not gathered.
-            failed = opened.where("kept").groupBy("path").agg(F.count("*").alias("n"), F.min("warning").alias("first"))
-            kept = listing.join(failed, "path").select(
-                "path", "name", "mtime", "length", F.lit(0).alias("depth"),
-                F.when(F.col("n") == 1, F.col("first"))
-                .otherwise(F.format_string("%d parts not taken out, one of them: %s", "n", "first")).alias("warning"),
-            )
-            members = opened.where("NOT kept").select("path", "name", "source_path", "depth", "mtime", "content")
-            files = files.select(
-                "path", "name", F.lit(None).cast("string").alias("source_path"), F.lit(0).alias("depth"), "mtime", "content"
-            ).unionByName(members)
-    plain = unpack_recursive(files, limits).withColumn("length", F.octet_length("content").cast("bigint"))
-    if kept is not None:
-        plain = plain.unionByName(kept, allowMissingColumns=True)
-    return plain.withColumn("path", paths.remap_root(F.col("path"), upload_root, processed_root))
+    if not isinstance(source, str):
+        return _moved(unpack_recursive(source, limits), upload_root, processed_root)
+
+    listed = list_files(spark, source)
+    settled = [unpack_recursive(scan_files(spark, source, max_bytes, listing=listed), limits)]
+    waiting = listed.where(F.col("length") > max_bytes).withColumn("depth", F.lit(0))
+    waiting = waiting.unionByName(_spilled(settled[0], limits), allowMissingColumns=True)
+    while not (waiting := spool(waiting, "waiting")).isEmpty():
+        opened = spool(unpack_long(waiting, limits), "long", ("kept",))
+        # One row per file; the parts of an archive that failed are counted, not gathered.
+        failed = opened.where("kept").groupBy("path").agg(F.count("*").alias("n"), F.min("warning").alias("first"))
+        why = F.when(F.col("n") == 1, F.col("first")).otherwise(
+            F.format_string("%d parts not taken out, one of them: %s", "n", "first")
+        )
+        stay = waiting.join(failed, "path").withColumn("warning", why)
+        members = opened.where("NOT kept").drop("kept", "warning")
+        # What waited is now open or stays in place; it is no longer among the settled.
+        settled[-1] = settled[-1].where(F.col("content").isNotNull())
+        settled.append(stay.select("path", "name", "source_path", "mtime", "length", "depth", "warning"))
+        settled.append(unpack_recursive(members, limits))
+        waiting = _spilled(settled[-1], limits)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), settled)
+    return _moved(together, upload_root, processed_root)
+
+
+def _spilled(files: DataFrame, limits: Limits) -> DataFrame:
+    """Members written below the spill folder. They may be packed themselves, so they wait like uploads."""
+    uri = F.concat(F.lit((limits.spill or "").rstrip("/")), F.col("path"))
+    long = (F.col("length") > limits.row_bytes) & F.col("content").isNull()
+    return files.where(long).select(uri.alias("uri"), "path", "name", "source_path", "depth", "mtime", "length")
+
+
+def _moved(files: DataFrame, upload_root: str, processed_root: str) -> DataFrame:
+    return files.withColumn("path", paths.remap_root(F.col("path"), upload_root, processed_root))

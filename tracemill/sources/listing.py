@@ -40,6 +40,11 @@ def open_uri(uri: str) -> BinaryIO:
     return filesystem.open_input_file(path)
 
 
+def exists(uri: str) -> bool:
+    filesystem, path = locate(uri)
+    return filesystem.get_file_info(path).type != fs.FileType.NotFound
+
+
 def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = {fs.FileType.File: FILE, fs.FileType.Directory: DIRECTORY}
     types = {"uri": pa.string(), "entry_type": pa.string(), "length": pa.int64(), "mtime": pa.timestamp("us")}
