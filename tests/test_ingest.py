@@ -175,7 +175,7 @@ def test_long_archives_are_opened_in_place(spark, tmp_path, monkeypatch):
         "bz.zip": make_zip([("b", body)], zipfile.ZIP_BZIP2),
         "lz.zip": make_zip([("l", bytes(body)), ("l2", body)], zipfile.ZIP_LZMA) + b"\0" * 10,
         "plain.tar": make_tar([("dir", None), ("t1", body), ("t2", b"t")]),
-        "members.tar.xz": make_tar([("x1", body), ("x2", b"x")], "w:xz"),
+        "members.tar.xz": make_tar([("x1", body), ("x2", b"x"), ("x2", b"y")], "w:xz"),
         "stream.gz": gzip.compress(body, 0),
         "evil.zip": make_zip([("../up", b"no"), ("ok", body)], zipfile.ZIP_STORED),
         "cut.zip": make_zip([("c", body)], zipfile.ZIP_STORED)[:3000],
@@ -195,7 +195,7 @@ def test_long_archives_are_opened_in_place(spark, tmp_path, monkeypatch):
     assert sorted(files.pop("two")) == [b"2" * 5000] and files.pop("two#1") == [b"again"]
     assert files == {
         "one": [body], "in.txt": [b"in"], "deep": [b"deep"], "s": [body], "b": [body], "t1": [body], "t2": [b"t"],
-        "x1": [body], "x2": [b"x"], "stream": [body], "ok": [body], "short.txt": [b"short"],
+        "x1": [body], "x2": [b"x"], "x2#1": [b"y"], "stream": [body], "ok": [body], "short.txt": [b"short"],
     }
     assert kept.keys() == {"evil.zip", "cut.zip", "long.txt", "lz.zip"}
     assert "'../up'" in kept["evil.zip"] and "damaged" in kept["cut.zip"] and "left in place" in kept["long.txt"]

@@ -5,19 +5,17 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Byte order marks and the character sets they announce.
-BYTE_ORDER_MARKS = {
-    "UTF-8": b"\xef\xbb\xbf",
-    "UTF-16": (b"\xfe\xff", b"\xff\xfe"),
-}
+# Byte order marks of the character sets.
+UTF8_MARK = b"\xef\xbb\xbf"
+UTF16_BIG_MARK = b"\xfe\xff"
+UTF16_LITTLE_MARK = b"\xff\xfe"
 
 WIDE_CHARSET = "UTF-16"
 
 
 def charset(content: Column, fallback: str | None = None) -> Column:
     """Character set of `content`: byte order mark, else valid UTF-8, else `fallback`."""
-    big, little = (F.lit(mark) for mark in BYTE_ORDER_MARKS[WIDE_CHARSET])
-    wide = F.startswith(content, big) | F.startswith(content, little)
+    wide = F.startswith(content, F.lit(UTF16_BIG_MARK)) | F.startswith(content, F.lit(UTF16_LITTLE_MARK))
     return (
         F.when(wide, F.lit(WIDE_CHARSET))
         .when(F.is_valid_utf8(content.cast("string")), F.lit("UTF-8"))
@@ -49,8 +47,8 @@ def decode_text(files: DataFrame, fallback: str | None = None) -> DataFrame:
     """
     decode_wide = F.pandas_udf(_decode_wide, "string")
     content = F.col("content")
-    mark = F.lit(BYTE_ORDER_MARKS["UTF-8"])
-    body = F.when(F.startswith(content, mark), F.substr(content, F.lit(4))).otherwise(content)
+    marked = F.startswith(content, F.lit(UTF8_MARK))
+    body = F.when(marked, F.substr(content, F.lit(len(UTF8_MARK) + 1))).otherwise(content)
     found = files.withColumn("charset", charset(content, fallback))
     wide = decode_wide(F.when(F.col("charset") == WIDE_CHARSET, content))
     text = F.when(F.col("charset") == WIDE_CHARSET, wide).when(F.col("charset") == "UTF-8", body.cast("string"))

@@ -142,7 +142,8 @@ def unpack(packed: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     folder = member_folder()
     ready = packed.select(
-        "path", "name", _or_else(packed, "source_path", F.lit(None).cast("string")), folder.alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
+        "path", "name", _or_else(packed, "source_path", F.lit(None).cast("string")),
+        folder.alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
         F.col("depth").cast("int").alias("depth"), "mtime", "kind", "content",
     )
     return ready.mapInArrow(_unpack(limits), UNPACKED)
@@ -152,7 +153,8 @@ def _one_round(files: DataFrame, kinds: tuple[str, ...], limits: Limits) -> Data
     mine = F.col("kind").isin(*kinds)
     rest = files.where(~mine).select(
         "path", "name", F.lit(None).cast("string").alias("source_path"), F.col("depth").cast("int").alias("depth"),
-        "mtime", "content", F.octet_length("content").cast("bigint").alias("length"), F.lit(True).alias("kept"), F.lit(None).cast("string").alias("warning"),
+        "mtime", "content", F.octet_length("content").cast("bigint").alias("length"),
+        F.lit(True).alias("kept"), F.lit(None).cast("string").alias("warning"),
     )
     return unpack(files.where(mine), limits).unionByName(rest)
 

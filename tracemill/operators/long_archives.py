@@ -134,6 +134,8 @@ def _chunks(raw: BinaryIO, kind: str, start: int, packed: int, size: int, method
         if opened:
             chunk = opened.decompress(chunk)
         length += len(chunk)
+        if length > size:
+            break
         check = zlib.crc32(chunk, check)
         yield chunk
     if length != size or (crc is not None and check != crc):
@@ -154,7 +156,7 @@ def _read_members(limits: Limits):
         rows, size, opened, raw = [], 0, None, None
         for batch in batches:
             for row in batch.to_pylist():
-                kept = [row["warning"]] if row["warning"] else []
+                kept, seen = [row["warning"]] if row["warning"] else [], {}
                 if not kept:
                     try:
                         if opened != row["uri"]:
@@ -165,8 +167,17 @@ def _read_members(limits: Limits):
                                 kept.append(warning)
                                 continue
                             target = f"{row['folder']}/{member or row['stem']}{row['again']}"
-                            data, length = store_member(target, data, limits)
-                            rows.append((target, target.rsplit("/", 1)[-1], row["path"], row["depth"] + 1, row["mtime"], data, length, False, None))
+                            again = seen[target] = seen.get(target, -1) + 1
+                            if again:
+                                target = f"{target}#{again}"
+                            try:
+                                data, length = store_member(target, data, limits)
+                            except Exception as exc:
+                                kept.append(f"unreadable member {member or row['name']!r}: {exc or type(exc).__name__}")
+                                continue
+                            name = target.rsplit("/", 1)[-1]
+                            origin = (row["path"], row["depth"] + 1, row["mtime"])
+                            rows.append((target, name, *origin, data, length, False, None))
                             size += len(data or b"")
                             if size >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
                                 yield unpacked_batch(rows)

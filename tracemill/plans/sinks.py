@@ -14,8 +14,6 @@ from tracemill.functions import paths
 from tracemill.plans.formatters import format_results, json_document
 from tracemill.plans.settings import SESSION
 
-WARNING = "path STRING, parser_chain STRING, seq BIGINT, message STRING"
-
 # The tables of a store; each run adds its rows under its own session.
 CONTAINERS = {
     "event_source": "file_entry_type STRING, path STRING",
