@@ -10,7 +10,7 @@ def con():
     return check_oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     rows, verdict = check_oracle.compare(spark, con, SF_DIR, name)
     assert rows > 0
@@ -18,6 +18,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_sql_has_a_query():
+    assert set(entry.ORACLE) <= set(entry.QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
