@@ -1,9 +1,14 @@
 """The operators bound to their tables, and the SQL of those SQL can express."""
 
+from tracemill.llm import quality
+from tracemill.llm.quality import op6_quality_rules
 from tracemill.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op6_quality_rules": op6_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": quality.ORACLE,
+}
