@@ -2,10 +2,12 @@
 
 from tracemill.llm import quality
 from tracemill.llm.quality import op6_quality_rules
+from tracemill.llm.tokens import op8_token_output
 from tracemill.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op6_quality_rules": op6_quality_rules,
+    "op8_token_output": op8_token_output,
     "op10_toxicity": op10_toxicity,
 }
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tracemill.llm.common import free_name, table, text_of, words_of
 
 # At most so many labelled documents of each class are used for fitting.
-MAX_TOXIC, MAX_ORDINARY = 1500, 8000
+MAX_TOXIC, MAX_ORDINARY = 1500, 6000
 # A segment of toxic text counts from this many toxic documents, or this share of them.
 MIN_DOCS, MIN_SHARE = 3, 0.005
 # Characters that must be new to ordinary text for a segment to be kept.
@@ -198,10 +198,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .agg(F.max("toxic").alias("toxic"), F.min("body").alias("body"))
         .select("id", "toxic", distinct_words("body").alias("words"))
         .orderBy(F.xxhash64("id"), "id")
-        .toPandas()
+        .toArrow()
     )
-    classes = [[list(w) for w in rows.loc[rows["toxic"] == y, "words"]] for y in (1, 0)]
-    return fit_words(*classes)
+    is_toxic = rows.column("toxic").to_pylist()
+    words = rows.column("words").to_pylist()
+    return fit_words(*[[w for w, toxic in zip(words, is_toxic) if toxic == y] for y in (1, 0)])
 
 
 def score(model: Model, text: Column) -> Column:
