@@ -1,16 +1,19 @@
 """The operators bound to their tables, and the SQL of those SQL can express."""
 
 from tracemill.llm import quality
+from tracemill.llm.minhash import op5_minhash_near_dedup
 from tracemill.llm.quality import op6_quality_rules
 from tracemill.llm.tokens import op8_token_output
 from tracemill.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_output": op8_token_output,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": quality.ORACLE,
 }
