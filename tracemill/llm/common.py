@@ -1,10 +1,14 @@
 """Small helpers the operators share."""
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD = re.compile(r"\w+")
+# Bytes a Python task works on at a time, a single longer row aside.
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,3 +33,11 @@ def text_of(col: Column | str) -> Column:
 def words_of(text: str) -> list[str]:
     """Lower-case runs of letters, digits and underscores."""
     return WORD.findall(text.lower())
+
+
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of about `limit` bytes, so that what numpy needs besides stays small."""
+    for batch in batches:
+        step = max(1, batch.num_rows * limit // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)

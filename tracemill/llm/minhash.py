@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracemill.llm.common import free_name, table, text_of
+from tracemill.llm.common import free_name, pieces, table, text_of
 from tracemill.llm.graph import classes
 from tracemill.session import spool
 
@@ -164,7 +164,7 @@ def fit_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts, n = Words(), np.zeros(IDF_BUCKETS, np.int64), 0
-        for batch in batches:
+        for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
                 found = np.unique(words.of(text) % np.uint64(IDF_BUCKETS)).astype(np.int64)
                 counts[found] += 1
@@ -190,7 +190,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sampler = Shingles(idf), Sampler()
-        for batch in batches:
+        for batch in pieces(batches):
             weights, bands = [], []
             for text in batch.column(2).to_pylist():
                 hashes, weight = shingles.of(text)

@@ -9,6 +9,7 @@ may skip either. Decoding looks lengths and masks up in numpy tables.
 """
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,16 +18,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tracemill.llm.common import table, text_of
+from tracemill.llm.common import pieces, table, text_of
 from tracemill.session import shared_dir, spool
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 # Chunks of text whose ids one task keeps at a time.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 500_000
 # Tokens of one file, about.
 FILE_TOKENS = 16_000_000
 
+# A word of Latin letters and the marks after it. The tokenizer parts them, and
+# for these letters its lower case is Python's, so both parts are encoded alone.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
 # Control byte to the lengths of its four values, and length to the bits that count.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.int64)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
@@ -110,8 +115,17 @@ class Encoder:
 
     def clear(self) -> None:
         self.chunks = Chunks()
+        self.parts: dict[str, list[int]] = {"": []}
         self.pool, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
 
+    def ids_of(self, chunks: list[str]) -> list[list[int]]:
+        matches = [PLAIN.fullmatch(c) for c in chunks]
+        split = [(m[1].lower(), m[2]) if m else (c, "") for c, m in zip(chunks, matches)]
+        unknown = list({part for both in split for part in both} - self.parts.keys())
+        encoded = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
+        self.parts.update((part, e.ids) for part, e in zip(unknown, encoded))
+        return [self.parts[a] + self.parts[b] for a, b in split]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end id after each, and their counts."""
         if len(self.chunks) > CACHE_CHUNKS:
@@ -123,7 +137,7 @@ class Encoder:
             numbers.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
             n_chunks.append(len(chunks))
         if self.chunks.new:
-            new = [e.ids for e in self.tokenizer.encode_batch_fast(self.chunks.new, add_special_tokens=False)]
+            new = self.ids_of(self.chunks.new)
             self.chunks.new.clear()
             self.counts = np.concatenate([self.counts, np.fromiter(map(len, new), np.int64, len(new))])
             self.pool = np.concatenate([self.pool, np.fromiter((i for ids in new for i in ids), np.uint32)])
@@ -144,7 +158,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
-        for batch in batches:
+        for batch in pieces(batches):
             ids, counts = encoder.encode(batch.column(1).to_pylist())
             packed = binary_array(ids.astype("<u4").view(np.uint8), 4 * counts)
             yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "ids"])
@@ -158,7 +172,7 @@ def frequencies(tokens: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in pieces(batches):
             ids = flat_bytes(batch.column(0))[0].view("<u4")
             more = np.bincount(ids, minlength=len(counts))
             more[: len(counts)] += counts
@@ -190,7 +204,7 @@ def write_tokens(tokens: DataFrame, folder: str) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in pieces(batches):
             ids, n_bytes = flat_bytes(batch.column("ids"))
             counts = n_bytes // 4
             control, data, n_control, n_data = encode_ranks(rank_of[ids.view("<u4")], counts)
@@ -229,7 +243,7 @@ def read_tokens(spark, folder: str, summary: bool = False) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             counts = batch.column("n_tokens").to_numpy()
             control, data = (flat_bytes(batch.column(c))[0] for c in ("control", "data"))
             ids = codebook[decode_ranks(control, data, counts)].astype("<u4")
