@@ -3,10 +3,14 @@
 from tracemill.llm import quality
 from tracemill.llm.minhash import op5_minhash_near_dedup
 from tracemill.llm.quality import op6_quality_rules
+from tracemill.llm.templates import op1_line_templates
+from tracemill.llm.tiling import op2_string_tiling
 from tracemill.llm.tokens import op8_token_output
 from tracemill.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_line_templates": op1_line_templates,
+    "op2_string_tiling": op2_string_tiling,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_output": op8_token_output,
