@@ -2,6 +2,7 @@
 
 from tracemill.llm import quality
 from tracemill.llm.minhash import op5_minhash_near_dedup
+from tracemill.llm.pieces import op3_sampled_pieces
 from tracemill.llm.quality import op6_quality_rules
 from tracemill.llm.templates import op1_line_templates
 from tracemill.llm.tiling import op2_string_tiling
@@ -11,6 +12,7 @@ from tracemill.llm.toxicity import op10_toxicity
 QUERIES = {
     "op1_line_templates": op1_line_templates,
     "op2_string_tiling": op2_string_tiling,
+    "op3_sampled_pieces": op3_sampled_pieces,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_output": op8_token_output,
@@ -18,6 +20,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_sampled_pieces": op3_sampled_pieces,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": quality.ORACLE,
 }
