@@ -4,6 +4,7 @@ from tracemill.llm import quality
 from tracemill.llm.minhash import op5_minhash_near_dedup
 from tracemill.llm.pieces import op3_sampled_pieces
 from tracemill.llm.quality import op6_quality_rules
+from tracemill.llm.secrets import op7_assignment_secrets
 from tracemill.llm.templates import op1_line_templates
 from tracemill.llm.tiling import op2_string_tiling
 from tracemill.llm.tokens import op8_token_output
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_sampled_pieces": op3_sampled_pieces,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_assignment_secrets": op7_assignment_secrets,
     "op8_token_output": op8_token_output,
     "op10_toxicity": op10_toxicity,
 }
