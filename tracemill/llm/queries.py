@@ -3,6 +3,7 @@
 from tracemill.llm import quality
 from tracemill.llm.minhash import op5_minhash_near_dedup
 from tracemill.llm.pieces import op3_sampled_pieces
+from tracemill.llm.pii import op4_semi_markov_pii
 from tracemill.llm.quality import op6_quality_rules
 from tracemill.llm.secrets import op7_assignment_secrets
 from tracemill.llm.templates import op1_line_templates
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_line_templates": op1_line_templates,
     "op2_string_tiling": op2_string_tiling,
     "op3_sampled_pieces": op3_sampled_pieces,
+    "op4_semi_markov_pii": op4_semi_markov_pii,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_assignment_secrets": op7_assignment_secrets,
@@ -23,6 +25,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op3_sampled_pieces": op3_sampled_pieces,
+    "op4_semi_markov_pii": op4_semi_markov_pii,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": quality.ORACLE,
 }
