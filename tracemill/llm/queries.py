@@ -1,6 +1,7 @@
 """The operators bound to their tables, and the SQL of those SQL can express."""
 
 from tracemill.llm import quality
+from tracemill.llm.language import op9_language_fusion
 from tracemill.llm.minhash import op5_minhash_near_dedup
 from tracemill.llm.pieces import op3_sampled_pieces
 from tracemill.llm.pii import op4_semi_markov_pii
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_assignment_secrets": op7_assignment_secrets,
     "op8_token_output": op8_token_output,
+    "op9_language_fusion": op9_language_fusion,
     "op10_toxicity": op10_toxicity,
 }
 
