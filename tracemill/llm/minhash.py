@@ -23,10 +23,15 @@ from tracemill.session import spool
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# A pair of similarity s shares a band with probability 1 - (1 - s^ROWS)^BANDS: 0.998 at 0.8.
-BANDS, ROWS = 12, 4
+# A pair of similarity s shares a band with probability 1 - (1 - s^ROWS)^BANDS: 0.995 at 0.8, 0.9994 at 0.85.
+BANDS, ROWS = 10, 4
+# Four bits of each sample make a sketch. Members of a bucket are compared if at most so many samples
+# differ in it; at similarity 0.8 a pair has 7.5 on average and more than 18 once in 20,000 cases.
+SKETCH_LONGS, MAX_DIFFERENT = 3, 18
 # Words are counted by hash in so many buckets, so what every task receives has a fixed size.
 IDF_BUCKETS = 1 << 18
+# Members of a bucket that are compared with its others at a time, once the first has been.
+PIVOTS = 512
 # Words whose hash, and texts whose shingles, one task keeps at a time.
 CACHE_WORDS, CACHE_TEXTS = 300_000, 64
 # Shingles sampled at a time, which bounds the memory for a long text.
@@ -59,7 +64,7 @@ class Words(dict):
     """Hash of each blank-separated token without case and outer punctuation; 0 if nothing is left."""
 
     def __missing__(self, token: str) -> int:
-        word = _EDGE.sub("", token.lower())
+        word = token.lower() if token.isalnum() else _EDGE.sub("", token.lower())
         value = self[token] = (xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) or 1) if word else 0
         return value
 
@@ -136,19 +141,23 @@ class Sampler:
 
     def block(self, hashes: np.ndarray, weights: np.ndarray):
         z = mix(hashes[None, :] ^ self.seeds)
-        z = np.concatenate([z.astype(np.uint32), (z >> np.uint64(32)).astype(np.uint32)])
-        r = self.r[z & np.uint32(0xFFF)]
-        b = (z >> np.uint32(24)).astype(np.float32) / np.float32(256)
-        t = np.floor(np.log(weights).astype(np.float32) / r + b)
-        a = self.log_c[z >> np.uint32(12) & np.uint32(0xFFF)] - r * (t - b) - r
-        least = a.argmin(axis=1)
-        rows = np.arange(len(a))
-        return a[rows, least], mix(hashes[least] + (t[rows, least].astype(np.int64).astype(np.uint64)) * _STEP)
-
-    def bands(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One key a band; none without shingles."""
+        log_weights = np.log(weights).astype(np.float32)
+        rows = np.arange(len(z))
+        best, drawn = [], []
+        for half in (z, z >> np.uint64(32)):
+            r = self.r.take((half & np.uint64(0xFFF)).view(np.int64))
+            b = ((half >> np.uint64(24)) & np.uint64(0xFF)).astype(np.float32) * np.float32(1 / 256)
+            t = np.floor(log_weights / r + b)
+            a = self.log_c.take((half >> np.uint64(12) & np.uint64(0xFFF)).view(np.int64)) - r * (t - b + 1)
+            least = a.argmin(axis=1)
+            best.append(a[rows, least])
+            drawn.append(mix(hashes[least] + t[rows, least].astype(np.int64).astype(np.uint64) * _STEP))
+        return np.concatenate(best), np.concatenate(drawn)
+
+    def bands(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One key a band, and the sketch; no key without shingles."""
         if not len(hashes):
-            return np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.zeros(SKETCH_LONGS, np.int64)
         best, drawn = self.block(hashes[:BLOCK], weights[:BLOCK])
         for at in range(BLOCK, len(hashes), BLOCK):
             a, sample = self.block(hashes[at : at + BLOCK], weights[at : at + BLOCK])
@@ -156,7 +165,10 @@ class Sampler:
         keys = np.arange(BANDS, dtype=np.uint64)
         for row in drawn.reshape(ROWS, BANDS):
             keys = mix(keys * _STEP + row)
-        return keys.astype(np.int64)
+        nibbles = np.zeros(16 * SKETCH_LONGS, np.uint64)
+        nibbles[: len(drawn)] = drawn & np.uint64(15)
+        sketch = np.bitwise_or.reduce(nibbles.reshape(-1, 16) << (4 * np.arange(16, dtype=np.uint64)), axis=1)
+        return keys.view(np.int64), sketch.view(np.int64)
 
 
 def fit_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -185,38 +197,56 @@ def fit_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, node (the text's digest), weight and band keys."""
+    """Per row: doc_id, digest of the text, weight, band keys and sketch."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sampler = Shingles(idf), Sampler()
         for batch in pieces(batches):
-            weights, bands = [], []
+            weights, bands, sketches = [], [], []
             for text in batch.column(2).to_pylist():
                 hashes, weight = shingles.of(text)
+                keys, sketch = sampler.bands(hashes, weight)
                 weights.append(float(weight.sum()))
-                bands.append(sampler.bands(hashes, weight))
+                bands.append(keys)
+                sketches.append(sketch)
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bands, sketches)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(weights, pa.float64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "weight", "bands"],
+                [batch.column(0), batch.column(1), pa.array(weights, pa.float64()), *lists],
+                names=["doc_id", "digest", "weight", "bands", "sketch"],
             )
 
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("node"), text.alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, node string, weight double, bands array<long>")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, digest string, weight double, bands array<long>, sketch array<long>")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, weight) of the buckets with two texts or more."""
-    rows = nodes.select("node", "weight", F.posexplode("bands").alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("bucket"), "node", "weight"
+    """A row per text and bucket, of the buckets with two texts or more, with the bucket's pivot: its least node."""
+    rows = nodes.select("node", "weight", "sketch", F.posexplode("bands").alias("band", "key")).select(
+        F.xxhash64("band", "key").alias("bucket"), "node", "weight", "sketch"
     )
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    return rows.join(spool(shared, "buckets"), "bucket")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("node", "weight", "sketch")).alias("p"))
+    shared = shared.filter("n > 1").select(
+        "bucket", F.col("p.node").alias("pivot"), F.col("p.weight").alias("p_weight"), F.col("p.sketch").alias("p_sketch")
+    )
+    return spool(rows.join(spool(shared, "buckets"), "bucket"), "members")
+
+
+def _may_match(threshold: float) -> Column:
+    """Whether weights and sketches let a member and a pivot be similar."""
+    different = F.lit(0)
+    for k in range(SKETCH_LONGS):
+        x = F.get("sketch", F.lit(k)).bitwiseXOR(F.get("p_sketch", F.lit(k)))
+        x = x.bitwiseOR(F.shiftright(x, 1))
+        x = x.bitwiseOR(F.shiftright(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        different = different + F.bit_count(x)
+    alike = F.least("weight", "p_weight") >= (threshold - 1e-9) * F.greatest("weight", "p_weight")
+    return alike & (different <= MAX_DIFFERENT)
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Adds `sim` to (node, pivot)."""
+    """(node, pivot, sim) of the distinct (node, pivot)."""
 
     @F.pandas_udf("double")
     def sim(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -224,76 +254,79 @@ def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
         for a, b in batches:
             yield pd.Series([similarity(shingles.of(x), shingles.recent(y)) for x, y in zip(a, b)], dtype="float64")
 
-    return (
-        pairs.join(texts, "node")
-        .join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
-        .select("node", "pivot", sim("text", "pivot_text").alias("sim"))
-    )
+    pairs = spool(pairs.select("node", "pivot").distinct(), "pairs")
+    of_pivot = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+    met = pairs.join(texts, "node").join(of_pivot, "pivot")
+    return spool(met.select("node", "pivot", sim("text", "pivot_text").alias("sim")), "similar")
+
+
+def _edges(found: DataFrame, threshold: float) -> DataFrame:
+    return found.filter(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+
 
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """The members of buckets in which there is more than one class."""
+    mixed = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    mixed = spool(mixed.filter(F.col("low") != F.col("high")).select("bucket"), "unsettled")
+    return spool(rows.join(mixed, "bucket"), "members")
 
-def links(nodes: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float = SIMILARITY) -> DataFrame:
+
+def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float = SIMILARITY) -> DataFrame:
     """(node, label): the class of every text that has a near duplicate, by exact comparison in the buckets.
 
     In rounds, each bucket sends some members as pivots, which are compared
-    with its other members and then leave. A pair is passed over only if it
-    can't matter: both are in one class already, their weights differ too much,
-    or the bucket's first pivot proves them apart (1 - similarity is a metric).
-    So a bucket of copies ends after one pivot, and no link between members of
-    a bucket is lost.
+    with its other members and then leave: one at first, then up to `PIVOTS`.
+    A pair is passed over only if it can't matter: both are in one class
+    already, their weights or sketches differ too much, or the bucket's first
+    pivot proves them apart (1 - similarity is a metric). So a bucket of copies
+    ends after one pivot, and links between other members are still found.
     """
-    spark = nodes.sparkSession
-    apart, ratio = 1 - threshold + 1e-9, threshold - 1e-9
-    rows = _members(nodes).select(
-        "bucket", "node", "weight", F.col("node").alias("class"), F.lit(None).cast("double").alias("d")
-    )
-    edges, labels, per_round = None, spark.createDataFrame([], "node string, label string"), 1
+    apart = 1 - threshold + 1e-9
+    alike = _may_match(threshold)
+    others = members.filter(F.col("node") != F.col("pivot"))
+    found = _similar(others.filter(alike), texts, idf)
+    edges = _edges(found, threshold)
+    labels = classes(edges)
+    rows = members.select("bucket", "node", "weight", "sketch", "pivot").join(found, ["node", "pivot"], "left")
+    rows = rows.join(labels, "node", "left").select(
+        "bucket", "node", "weight", "sketch", F.coalesce("label", "node").alias("class"), (1 - F.col("sim")).alias("d"),
+        (F.col("node") == F.col("pivot")).alias("done"),
+    )
+    rows = _unsettled(spool(rows, "members"))
+    # The first pivots have met all; from here on they only count for what their bucket's classes are.
+    rows = rows.filter(~F.col("done")).drop("done")
     while True:
-        rows = spool(rows, "members")
-        unsettled = (
-            rows.groupBy("bucket")
-            .agg(F.min("class").alias("low"), F.max("class").alias("high"))
-            .filter(F.col("low") != F.col("high"))
-            .select("bucket")
-        )
-        rows = spool(rows.join(spool(unsettled, "unsettled"), "bucket"), "members")
+        rows = _unsettled(rows)
         if rows.isEmpty():
             return labels
         # Members far from the first pivot go first; each slot of a bucket has one pivot.
-        far = F.coalesce(F.col("d") > apart, F.lit(True))
-        pivot = F.min(F.struct((~far).alias("near"), "node", "weight", "class", "d")).alias("p")
+        near = F.coalesce(F.col("d") <= apart, F.lit(False))
+        pivot = F.min(F.struct(near.alias("near"), "node", "weight", "sketch", "class", "d")).alias("p")
         pivots = spool(
-            rows.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(per_round)).alias("slot"))
+            rows.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot"))
             .agg(pivot)
-            .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "weight", "class", "d")]),
+            .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "weight", "sketch", "class", "d")]),
             "pivots",
         )
         met = rows.join(pivots, "bucket").filter(
             (F.col("class") != F.col("p_class"))
-            & (F.least("weight", "p_weight") >= ratio * F.greatest("weight", "p_weight"))
+            & alike
             & F.coalesce(F.abs(F.col("d") - F.col("p_d")) <= apart, F.lit(True))
         )
-        pairs = spool(met.select("node", F.col("p_node").alias("pivot")).distinct(), "pairs")
-        found = spool(_similar(pairs, texts, idf), "similar")
-        new = found.filter(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        edges = spool(new if edges is None else edges.union(new), "links")
-        labels = classes(edges)
-        gone = pivots.select("bucket", F.col("p_node").alias("node"))
-        rows = rows.join(gone, ["bucket", "node"], "left_anti")
-        if per_round == 1:
-            pair = pivots.select("bucket", F.col("p_node").alias("pivot"))
-            known = rows.select("bucket", "node").join(pair, "bucket").join(found, ["node", "pivot"])
-            known = spool(known.select("bucket", "node", (1 - F.col("sim")).alias("d")), "distances")
-            rows = rows.drop("d").join(known, ["bucket", "node"], "left")
-        rows = rows.join(labels, "node", "left").select(
-            "bucket", "node", "weight", F.coalesce("label", "class").alias("class"), "d"
-        )
-        per_round = min(2 * per_round, 64)
+        pairs = met.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot"))
+        new = _edges(_similar(pairs, texts, idf), threshold)
+        rows = rows.join(pivots.select("bucket", F.col("p_node").alias("node")), ["bucket", "node"], "left_anti")
+        if not new.isEmpty():
+            edges = edges.union(new)
+            labels = classes(edges)
+            rows = rows.join(labels, "node", "left").withColumn("class", F.coalesce("label", "class")).drop("label")
+        rows = spool(rows, "members")
 
 
 def near_duplicates(
     docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per input row: doc_id, node (digest of the text) and class_id.
+    """One row per input row: doc_id, digest of the text and class_id.
 
     `class_id` is the least doc_id of the class. Texts are in one class if they
     are equal, if their similarity is at least `threshold`, or if a chain of
@@ -304,44 +337,41 @@ def near_duplicates(
     """
     idf = fit_idf(docs, text_col)
     rows = spool(signatures(docs, idf, id_col, text_col), "signatures")
-    nodes = spool(
-        rows.groupBy("node").agg(
-            F.min("doc_id").alias("first_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
-        ),
-        "nodes",
+    distinct = rows.groupBy("digest").agg(
+        F.min("doc_id").alias("first_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
-    wanted = spool(_members(nodes).select("node").distinct(), "wanted")
+    # Numbered once and written, so the numbers stay.
+    nodes = spool(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    members = _members(nodes)
+    wanted = nodes.select("node", "digest", "first_id").join(members.select("node").distinct(), "node", "left_semi")
+    wanted = spool(wanted, "wanted")
     text = text_of(text_col)
-    source = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("node"), text.alias("text"))
-    first = nodes.join(wanted, "node").select("node", F.col("first_id").alias("doc_id"))
-    first = spool(first, "first")
-    same = source["doc_id"].eqNullSafe(first["doc_id"]) & (source["node"] == first["node"])
-    texts = spool(source.join(first, same).select(source["node"], "text").dropDuplicates(["node"]), "texts")
-    labels = links(nodes, texts, idf, threshold)
-    of_node = nodes.select("node", "first_id").join(labels, "node", "left")
-    of_node = spool(of_node.select("node", "first_id", F.coalesce("label", "node").alias("label")), "node-classes")
+    source = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
+    same = source["doc_id"].eqNullSafe(wanted["first_id"]) & (source["digest"] == wanted["digest"])
+    texts = spool(source.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "texts")
+    labels = links(members, texts, idf, threshold)
+    of_node = nodes.select("digest", "node", "first_id").join(labels, "node", "left")
+    of_node = spool(of_node.select("digest", "first_id", F.coalesce("label", "node").alias("label")), "node-classes")
     ids = spool(of_node.groupBy("label").agg(F.min("first_id").alias("class_id")), "class-ids")
-    of_node = spool(of_node.join(ids, "label").select("node", "class_id"), "node-classes")
-    return rows.select("doc_id", "node").join(of_node, "node").select("doc_id", "node", "class_id")
+    of_digest = spool(of_node.join(ids, "label").select("digest", "class_id"), "digest-classes")
+    return rows.select("doc_id", "digest").join(of_digest, "digest").select("doc_id", "digest", "class_id")
 
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class, columns as they were: that of the least id, then of the least digest.
 
-    Of repeated rows with one id and text, any one stays.
+    Of repeated rows with one id and text, any one stays. Classes without any
+    id are told apart by their text, so each of their texts stays once.
     """
     found = near_duplicates(docs, threshold, id_col, text_col)
-    id_name, node = free_name(docs, "kept_id"), free_name(docs, "node")
-    same_id = F.coalesce(F.col("class_id") == F.col("doc_id"), F.col("class_id").isNull())
-    kept = found.filter(same_id).groupBy("class_id").agg(F.min("node").alias(node))
-    # Classes without any id are told apart by their text.
-    no_id = found.filter(F.col("class_id").isNull()).select("class_id", F.col("node").alias(node)).distinct()
-    kept = spool(
-        kept.filter(F.col("class_id").isNotNull()).union(no_id).withColumnRenamed("class_id", id_name), "kept"
-    )
-    rows = docs.withColumn(node, F.md5(text_of(text_col)))
-    same = rows[id_col].eqNullSafe(kept[id_name]) & (rows[node] == kept[node])
-    return rows.join(kept, same).select(rows["*"]).dropDuplicates([id_col, node]).select(*docs.columns)
+    id_name, digest = free_name(docs, "kept_id"), free_name(docs, "digest")
+    first = F.col("class_id").isNull() | (F.col("class_id") == F.col("doc_id"))
+    group = F.when(F.col("class_id").isNull(), F.col("digest"))
+    kept = found.filter(first).groupBy("class_id", group.alias("group")).agg(F.min("digest").alias(digest))
+    kept = spool(kept.select(F.col("class_id").alias(id_name), digest), "kept")
+    rows = docs.withColumn(digest, F.md5(text_of(text_col)))
+    same = rows[id_col].eqNullSafe(kept[id_name]) & (rows[digest] == kept[digest])
+    return rows.join(kept, same).select(rows["*"]).dropDuplicates([id_col, digest]).select(*docs.columns)
 
 
 def op5_minhash_near_dedup(spark, sf_dir):

@@ -58,7 +58,7 @@ def train_dictionary(size: int, samples: list[bytes]) -> bytes:
     if not samples:
         return b""
     try:
-        return zstandard.train_dictionary(size, samples, k=24, d=6, level=19).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=16, d=6, level=19).as_bytes()
     except zstandard.ZstdError:
         return b"".join(dict.fromkeys(samples))[-size:]
 
