@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spool(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def spool(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), compression: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and go on from the written table.
 
     This cuts lineage and survives lost executors; unlike a checkpoint the
@@ -57,5 +57,7 @@ def spool(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if compression:
+        writer = writer.option("compression", compression)
     writer.parquet(out)
     return spark.read.schema(df.schema).parquet(out)
