@@ -1,3 +1,5 @@
+"""Fixtures the tests of this folder import."""
+
 import pytest
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, label STRING, node STRING, lines STRING, toxicity STRING"

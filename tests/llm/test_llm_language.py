@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from llm_rows import empty, odd  # noqa: F401
 from tracemill.llm import language as L
 
 WORDS = {"aa": "bana cana dana fana gana", "bb": "xiru yiru ziru wiru viru"}

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from llm_rows import docs, empty, odd  # noqa: F401
 from tracemill.llm import graph, minhash as M
 
 

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from sentencepiece import SentencePieceProcessor
 
+from llm_rows import empty, odd  # noqa: F401
 from tracemill.llm import pieces as P
 
 MODEL = public_tokenizers.path(P.MODEL)

@@ -1,5 +1,6 @@
 import duckdb
 
+from llm_rows import empty, odd  # noqa: F401
 import corpus_pipeline as C
 from tracemill.llm import minhash, tiling
 

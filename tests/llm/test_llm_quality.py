@@ -2,6 +2,7 @@ import check_oracle
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from llm_rows import empty, odd  # noqa: F401
 from tracemill.llm import quality as Q
 
 

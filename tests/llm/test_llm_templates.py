@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+from llm_rows import docs, empty, odd  # noqa: F401
 from tracemill.llm import templates as T
 
 

@@ -2,6 +2,7 @@ import duckdb
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
+from llm_rows import docs, empty, odd  # noqa: F401
 from tracemill.llm import tiling as T
 
 

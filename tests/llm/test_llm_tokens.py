@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from llm_rows import docs, empty, odd  # noqa: F401
 from tracemill.llm import tokens as T
 
 PATH = public_tokenizers.path(T.TOKENIZER)

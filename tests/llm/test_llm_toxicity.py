@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from llm_rows import docs, empty, odd  # noqa: F401
 from tracemill.llm import toxicity as T
 
 SF_DIR = "/root/testdata/sf0.1"

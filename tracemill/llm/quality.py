@@ -31,15 +31,15 @@ def _measures(text: Column) -> dict[str, Column]:
 
 
 # Each rule by its bit, lowest first; true where a text fails. The order is part of the ledger: add at the end only.
-RULES: dict[str, Column] = {
-    "few_words": F.col("n_words") < 50,
-    "repeated_windows": 100 * F.col("n_repeat_words") > 50 * F.col("n_words"),
-    "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
-    "shouting": 10 * F.col("n_upper") > 4 * F.col("n_letters"),
-    "few_letters": 2 * F.col("n_letters") < F.col("word_chars"),
-    "short_words": F.col("word_chars") < 2 * F.col("n_words"),
-    "long_words": F.col("word_chars") > 20 * F.col("n_words"),
-    "repeated_lines": 10 * F.col("n_dup_lines") > 6 * F.col("n_lines"),
+RULES = {
+    "few_words": "n_words < 50",
+    "repeated_windows": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "shouting": "10 * n_upper > 4 * n_letters",
+    "few_letters": "2 * n_letters < word_chars",
+    "short_words": "word_chars < 2 * n_words",
+    "long_words": "word_chars > 20 * n_words",
+    "repeated_lines": "10 * n_dup_lines > 6 * n_lines",
 }
 
 # A policy keeps the texts that fail none of its rules.
@@ -127,7 +127,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
     bits = F.lit(0).cast("long")
     for rule, fails in RULES.items():
-        bits = bits + F.when(fails, bit(rule)).otherwise(0)
+        bits = bits + F.when(F.expr(fails), bit(rule)).otherwise(0)
     return measured.withColumn("fail_bits", bits)
 
 
