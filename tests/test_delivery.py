@@ -9,7 +9,7 @@ from tracemill.plans import formatters, sinks
 from tracemill.plans.pipeline import extract as run_extract
 from tracemill.plans.uploads import ingest
 from tracemill.plans.settings import Settings, enabled_parsers
-from tracemill.sources import files as src
+from tracemill.sources import files as src, lines as line_source
 from tracemill.streaming.landing import arriving_files, extract_arrivals
 
 FILES = {
@@ -148,26 +148,23 @@ def test_dry_run_reports(spark, tmp_path):
     assert not list(tmp_path.glob("json"))
 
 
-def test_long_files_are_read_by_line(spark, tmp_path):
+def test_long_files_are_read_by_line(spark, tmp_path, monkeypatch):
     source = tmp_path / "in"
     fill(source)
     lines = [f"line {n}" if n % 7 else "" for n in range(4000)]
     (source / "long.log").write_text("\n".join(lines))
     (source / "long.html").write_text("<!DOCTYPE html>\n" + "x\n" * 4000)
     (source / ".long.hid").write_text("h" * 4000)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
-    try:
-        run = run_extract(spark, str(source), partitions=2, output=str(tmp_path / "store"), max_bytes=3000)
-        rows = run.results.where(F.col("path").contains("long.")).collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    monkeypatch.setattr(line_source, "SPLIT_BYTES", 5000)
+    run = run_extract(spark, str(source), partitions=2, output=str(tmp_path / "store"), max_bytes=3000)
+    rows = run.results.where(F.col("path").contains("long.")).collect()
     text = {r["seq"]: r["attributes"]["bytes"] for r in rows if r["parser"] == "text" and r["path"].endswith("log")}
     assert text == {n: str(len(line)) for n, line in enumerate(lines) if line}
     stats = {r["path"].rsplit("/", 1)[-1] for r in rows if r["parser"] == "filestat"}
     assert stats == {"long.log", "long.html", ".long.hid"}
     assert {(r["parser"], r["container"]) for r in rows if r["path"].endswith("hid") and r["parser"] != "filestat"} == {
-        ("text", "extraction_warning")
+        ("text", "event_data"),
+        ("text", "extraction_warning"),
     }
     unread = {(r["parser"], r["container"]) for r in rows if r["path"].endswith("long.html") and r["parser"] != "filestat"}
     assert unread == {("html", "extraction_warning"), ("markup", "extraction_warning")}

@@ -5,7 +5,7 @@ from conftest import STAMP
 from pyspark.sql import functions as F
 
 from tracemill.operators import classify, counts, distribute, extract
-from tracemill.operators.registry import DEFAULT, Emit, Extractor, FILESTAT, Signature, select_extractors
+from tracemill.operators.registry import DEFAULT, Emit, Extractor, FILESTAT, TEXT, Signature, select_extractors
 from tracemill.operators.timeline import timeline
 from tracemill.plans.settings import Settings
 
@@ -212,3 +212,25 @@ def test_bucket_places_rows(spark):
     assert spread.where("bucket <> at").count() == 0
     stats = distribute.partition_stats(spread.select("bucket")).first()
     assert stats["partitions"] == 8 and stats["min_rows"] > 30
+
+
+def test_text_is_cut_and_counted_in_bytes(make_files):
+    files = make_files({"/latin": b"\xe9\xe9\nx", "/cr": b"ab\r\ncd"})
+    got = {(r["path"], r["seq"]): r["val"] for r in extract.flat(extract.extract_results(files, [TEXT])).collect()}
+    assert got == {("/latin", 0): "2", ("/latin", 1): "1", ("/cr", 0): "3", ("/cr", 1): "2"}
+
+
+def test_content_moves_once_for_all_its_extractors(make_files):
+    plan = extract.extract_results(make_files({"/a": b"<!DOCTYPE html>"}), DEFAULT, 4)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and text.index("Generate") < text.index("Exchange")
+
+
+def test_bad_values_of_a_python_extractor_are_its_error(make_files):
+    def late(file):
+        yield file.event({"n": 1})
+        yield file.event({"n": 2}, times={"Seen": "not a time"})
+
+    files = make_files({"/a": b"1", "/b": b"2"})
+    rows = extract.extract_results(files, [Extractor("late", python=late)]).collect()
+    assert sorted((r["path"], r["container"]) for r in rows) == [(p, c) for p in ("/a", "/b") for c in ("event_data", "extraction_error")]

@@ -77,11 +77,11 @@ def test_posix_nanoseconds(spark):
 
 
 def test_zone_and_year(spark):
-    ts = column(spark, [datetime(2024, 2, 29, 12)], "timestamp_ntz")
+    ts = column(spark, [datetime(2024, 2, 29, 12, 3, 4, 500000)], "timestamp_ntz")
     row = ts.select(
         times.to_utc(F.col("v"), "Europe/Prague"), times.in_year(F.col("v"), 2020), times.in_year(F.col("v"), 2023)
     ).first()
-    assert tuple(row) == (datetime(2024, 2, 29, 11), datetime(2020, 2, 29), None)
+    assert tuple(row) == (datetime(2024, 2, 29, 11, 3, 4, 500000), datetime(2020, 2, 29, 12, 3, 4, 500000), None)
 
 
 TEXTS = {

@@ -1,10 +1,12 @@
+import io
 import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tracemill.sources import files as src
+from tracemill.session import spool
+from tracemill.sources import files as src, lines, listing
 
 
 @pytest.fixture
@@ -96,3 +98,41 @@ def test_scan_sees_empty_and_hidden_files_and_folders(spark, tmp_path):
 def test_listing_of_an_empty_folder(spark, tmp_path):
     assert src.list_entries(spark, str(tmp_path)).count() == 0
     assert src.scan_files(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("spelling", ["{}", "{}/", "/{}//", "{}/./"])
+def test_root_is_read_once_however_it_is_spelt(spark, tmp_path, spelling):
+    folder = tmp_path / "odd [a]{b}*"
+    folder.mkdir()
+    (folder / "x").write_bytes(b"x")
+    (folder / ".y").write_bytes(b"")
+    got = src.scan_files(spark, spelling.format(folder)).collect()
+    assert sorted(r["path"] for r in got) == [f"{folder}/.y", f"{folder}/x"]
+
+
+def test_many_empty_files_are_many_tasks(spark, tmp_path, monkeypatch):
+    for k in range(40):
+        (tmp_path / f"e{k}").write_bytes(b"")
+    monkeypatch.setattr(listing, "TASK_BYTES", 10 * listing.OPEN_BYTES)
+    read = listing.read_contents(src.list_files(spark, str(tmp_path)))
+    assert read.count() == 40 and read.rdd.getNumPartitions() == 4
+
+
+def test_unreadable_files_are_skipped_and_shown(spark, tmp_path):
+    (tmp_path / "gone").write_bytes(b"1")
+    (tmp_path / "here").write_bytes(b"2")
+    listed = spool(src.list_files(spark, str(tmp_path)), "listed")
+    (tmp_path / "gone").unlink()
+    got = {r["name"]: r["content"] for r in listing.read_contents(listed, skip_unreadable=True).collect()}
+    assert got == {"gone": None, "here": b"2"}
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 64])
+def test_lines_of_splits_are_those_of_the_file(chunk, monkeypatch):
+    monkeypatch.setattr(lines, "CHUNK_BYTES", chunk)
+    for data in (b"", b"a", b"a\n", b"\n\n", b"ab\r\ncd\re\n\xef\xbb\xbff", b"long" * 20 + b"\nx"):
+        want = data.split(b"\n")
+        want = want if want[-1] else want[:-1]
+        for size in (1, 2, 5, 100):
+            got = [x for a in range(0, len(data), size) for x in lines.split_lines(io.BytesIO(data), a, min(len(data), a + size))]
+            assert got == want

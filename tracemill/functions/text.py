@@ -1,5 +1,6 @@
 """Character set detection and decoding."""
 
+import codecs
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,37 +24,49 @@ def charset(content: Column, fallback: str | None = None) -> Column:
     )
 
 
-def _decode_wide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """UTF-16 with a mark; input that is not well formed gives null, not a failed job."""
+# What the JVM decodes whatever the bytes are; every other set is decoded by Python's codecs.
+_TOTAL = "ISO-8859-1"
+
+
+def _decoder(charset_name: str):
+    """Bytes in one character set as text; input that is not well formed gives null, not a failed job."""
+    codecs.lookup(charset_name)
 
     def one(raw):
         if raw is None:
             return None
         try:
-            return bytes(raw).decode("utf-16")
+            return bytes(raw).decode(charset_name)
         except UnicodeDecodeError:
             return None
 
-    for batch in batches:
-        yield batch.map(one).astype(object)
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.map(one).astype(object)
+
+    return F.pandas_udf(decode, "string")
 
 
 def decode_text(files: DataFrame, fallback: str | None = None) -> DataFrame:
     """Add `charset`, `text` and `warning`; the bytes stay beside the text.
 
-    UTF-8 and single-byte text is decoded in the JVM. Only files with a UTF-16
-    mark hand their bytes to Python, since the JVM decoder ends the job on bad
-    input; every other row passes a null.
+    UTF-8 and ISO-8859-1 text is decoded in the JVM. Only files in another set
+    hand their bytes to Python, since the JVM decoder knows few sets and ends
+    the job on bad input; every other row passes a null. An unknown name of a
+    set is an error when the plan is made.
     """
-    decode_wide = F.pandas_udf(_decode_wide, "string")
     content = F.col("content")
     marked = F.startswith(content, F.lit(UTF8_MARK))
     body = F.when(marked, F.substr(content, F.lit(len(UTF8_MARK) + 1))).otherwise(content)
     found = files.withColumn("charset", charset(content, fallback))
-    wide = decode_wide(F.when(F.col("charset") == WIDE_CHARSET, content))
+    wide = _decoder(WIDE_CHARSET)(F.when(F.col("charset") == WIDE_CHARSET, content))
     text = F.when(F.col("charset") == WIDE_CHARSET, wide).when(F.col("charset") == "UTF-8", body.cast("string"))
     if fallback:
-        text = text.when(F.col("charset") == fallback, F.decode(content, fallback))
+        mine = F.col("charset") == fallback
+        if codecs.lookup(fallback) == codecs.lookup(_TOTAL):
+            text = text.when(mine, F.decode(content, _TOTAL))
+        else:
+            text = text.when(mine, _decoder(fallback)(F.when(mine, content)))
     return found.withColumn("text", text).withColumn(
         "warning", F.when(F.col("text").isNull() & content.isNotNull(), F.lit("unable to decode text"))
     )

@@ -15,7 +15,6 @@ def to_utc(local: Column, time_zone: str) -> Column:
 
 
 def in_year(ts: Column, year: int) -> Column:
-    """The day of a year-less time placed in the preferred year; null if that year lacks the day."""
-    return F.try_make_timestamp_ntz(
-        F.lit(year), F.month(ts), F.dayofmonth(ts), F.lit(0), F.lit(0), F.lit(0)
-    )
+    """A year-less time placed in the preferred year, its time of day kept; null if that year lacks the day."""
+    seconds = F.date_part(F.lit("SECOND"), ts)
+    return F.try_make_timestamp_ntz(F.lit(year), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), seconds)

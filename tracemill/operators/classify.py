@@ -11,10 +11,6 @@ from tracemill.sources.files import read_range
 # Signatures compared one by one in a projection.
 MAX_INLINE = 200
 
-# A longer signature table is looked up by (offset, length); more shapes than this
-# would multiply every file too often.
-MAX_SIGNATURE_SHAPES = 256
-
 
 def _names(names: Iterable[str]) -> Column:
     return F.array(*[F.lit(n) for n in names]).cast("array<string>")
@@ -41,6 +37,22 @@ def signature_parsers(registry: Iterable[Extractor], content: Column | None = No
     return F.concat(*hits) if hits else _names([])
 
 
+def signature_ranges(registry: Iterable[Extractor]) -> list[tuple[int, int]]:
+    """Where signatures stand, as `(offset, size)`."""
+    return sorted({(s.offset, len(s.magic)) for e in with_signature(registry) for s in e.signatures})
+
+
+def parsers_by_parts(registry: Iterable[Extractor], parts: Column) -> Column:
+    """As `signature_parsers`, from the bytes at `signature_ranges` alone."""
+    place = {r: k for k, r in enumerate(signature_ranges(registry))}
+    hits = []
+    for extractor in with_signature(registry):
+        found = [F.get(parts, F.lit(place[s.offset, len(s.magic)])) == F.lit(s.magic) for s in extractor.signatures]
+        hit = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in found]), F.lit(False))
+        hits.append(F.when(hit, _names([extractor.name])).otherwise(_names([])))
+    return F.concat(*hits) if hits else _names([])
+
+
 def classify(files: DataFrame, registry: Iterable[Extractor]) -> DataFrame:
     """Add `sig_parsers`, the candidate extractors by signature."""
     return files.withColumn("sig_parsers", signature_parsers(registry))
@@ -66,17 +78,17 @@ def signature_match_table(files: DataFrame, signatures: DataFrame, max_inline: i
         return signature_match(files, [Extractor(name, tuple(marks)) for name, marks in by_parser.items()])
 
     sized = signatures.withColumn("size", F.octet_length("magic"))
-    shapes = sized.select("offset", "size").distinct().limit(MAX_SIGNATURE_SHAPES + 1).collect()
-    if len(shapes) > MAX_SIGNATURE_SHAPES:
-        raise ValueError(f"more than {MAX_SIGNATURE_SHAPES} distinct signature positions")
-    keys = F.array(*[
-        F.struct(
-            F.lit(s["offset"]).alias("offset"),
-            read_range(F.col("content"), s["offset"], s["size"]).alias("magic"),
-        )
-        for s in shapes
-    ])
-    probes = files.select("path", F.inline(keys))
+    # Positions, not signatures: however long the table, they are few, and one array holds them.
+    shapes = sized.select("offset", "size").distinct().orderBy("offset", "size").collect()
+    places = F.array(*[F.struct(F.lit(s["offset"]).alias("offset"), F.lit(s["size"]).alias("size")) for s in shapes])
+    content = F.col("content")
+
+    def key(place: Column) -> Column:
+        offset, size = place["offset"].cast("int"), place["size"].cast("int")
+        start = F.when(offset >= 0, offset + 1).otherwise(offset)
+        return F.struct(place["offset"].alias("offset"), F.substr(content, start, size).alias("magic"))
+
+    probes = files.select("path", F.inline(F.transform(places, key)))
     return probes.join(signatures, ["offset", "magic"]).select("path", "parser").distinct()
 
 

@@ -64,6 +64,33 @@ def _read(stream, packed_bytes: int | None, limits: Limits) -> bytes | Long:
     return b"".join(parts)
 
 
+class Metered:
+    """A stream that refuses to give more than the ratio allows for its packed size."""
+
+    def __init__(self, stream, packed_bytes: int, limits: Limits):
+        self.stream, self.left = stream, None
+        if limits.ratio is not None:
+            self.bound = self.left = int(limits.ratio * max(packed_bytes, 1))
+
+    def read(self, size: int = -1) -> bytes:
+        chunk = self.stream.read(size)
+        if self.left is not None:
+            self.left -= len(chunk)
+            if self.left < 0:
+                raise Refused(f"output exceeds {self.bound} bytes")
+        return chunk
+
+
+def free_name(name: str, taken: set[str]) -> str:
+    """The name, or the first of name#1, name#2, ... that isn't taken yet; it is taken then."""
+    free, n = name, 0
+    while free in taken:
+        n += 1
+        free = f"{name}#{n}"
+    taken.add(free)
+    return free
+
+
 def _exactly(size: int, chunks: Iterable[bytes]) -> Iterator[bytes]:
     for chunk in chunks:
         size -= len(chunk)
@@ -134,7 +161,7 @@ def open_stream(kind: str, raw: BinaryIO, packed_bytes: int, limits: Limits) ->
     raw.seek(0)
     with _stream(kind, raw) as stream:
         if is_tar(head):
-            yield from open_tar(stream, limits)
+            yield from open_tar(Metered(stream, packed_bytes, limits), limits)
         else:
             yield "", _read(stream, packed_bytes, limits), None
 

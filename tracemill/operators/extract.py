@@ -21,6 +21,11 @@ def _quote(value: str | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def lenient(sql: str | None) -> str | None:
+    """Casts as `TRY_CAST`: a value that can't be converted is null and doesn't end the job."""
+    return sql and re.sub(r"(?i)(?<![\w.])CAST\s*\(", "TRY_CAST(", sql)
+
+
 def bind_settings(extractors: Iterable[Extractor], values: Mapping[str, object]) -> tuple[Extractor, ...]:
     """Extractors with each `:name` in their expressions replaced by that setting as a literal."""
 
@@ -37,6 +42,7 @@ def bind_settings(extractors: Iterable[Extractor], values: Mapping[str, object])
             when=bound(emit.when),
             attributes={k: bound(v) for k, v in emit.attributes.items()},
             times={k: bound(v) for k, v in emit.times.items()},
+            attribute_map=bound(emit.attribute_map),
         )
 
     return tuple(replace(e, records=bound(e.records), emits=tuple(map(bound_emit, e.emits))) for e in extractors)
@@ -55,13 +61,15 @@ def _by_rule(rules: list[tuple[int, Extractor, Emit]], value, kind: str) -> Colu
 
 
 def _attributes(_: Extractor, emit: Emit) -> str:
-    pairs = ", ".join(f"{_quote(k)}, {v}" for k, v in emit.attributes.items())
+    if emit.attribute_map:
+        return f"coalesce(CAST({lenient(emit.attribute_map)} AS {ATTRIBUTES}), CAST(map() AS {ATTRIBUTES}))"
+    pairs = ", ".join(f"{_quote(k)}, {lenient(v)}" for k, v in emit.attributes.items())
     return f"CAST(map({pairs}) AS {ATTRIBUTES})"
 
 
 def _times(_: Extractor, emit: Emit) -> str:
     pairs = ", ".join(
-        f"named_struct('timestamp_desc', {_quote(k)}, 'timestamp', {v})" for k, v in emit.times.items()
+        f"named_struct('timestamp_desc', {_quote(k)}, 'timestamp', {lenient(v)})" for k, v in emit.times.items()
     )
     return f"CAST(array({pairs}) AS {TIMES})"
 
@@ -72,7 +80,7 @@ def _records(extractors: list[Extractor]) -> Column:
     cut = None
     for e in extractors:
         if e.records:
-            case = (F.col("parser") == e.name, F.coalesce(F.expr(e.records), F.array().cast("array<string>")))
+            case = (F.col("parser") == e.name, F.coalesce(F.expr(lenient(e.records)), F.array().cast("array<string>")))
             cut = F.when(*case) if cut is None else cut.when(*case)
     return whole if cut is None else cut.otherwise(whole)
 
@@ -86,7 +94,7 @@ def _fired(extractors: list[Extractor]) -> Column:
     fired = None
     for e in extractors:
         mine = [
-            f"array({n})" if emit.when is None else f"CASE WHEN {emit.when} THEN array({n}) ELSE CAST(array() AS ARRAY<INT>) END"
+            f"array({n})" if emit.when is None else f"CASE WHEN {lenient(emit.when)} THEN array({n}) ELSE CAST(array() AS ARRAY<INT>) END"
             for n, owner, emit in rules
             if owner is e
         ]
@@ -155,7 +163,8 @@ def run_extractors(items: DataFrame, registry: Iterable[Extractor], seq: str | N
         results = rows.withColumn("rule", F.explode(_fired(declared))).select(*_result_columns(declared))
     functions = {e.name: e.python for e in registry if e.python is not None}
     if functions:
-        mine = items.where(F.col("parser").isin(list(functions))).select(*PYTHON_COLUMNS)
+        mine = items.where(F.col("parser").isin(list(functions)))
+        mine = mine.select(*PYTHON_COLUMNS, *[c for c in ("uri",) if c in items.columns])
         ran = mine.mapInArrow(run_python(functions), RESULTS)
         results = ran if results is None else results.unionByName(ran)
     return results
@@ -164,10 +173,10 @@ def run_extractors(items: DataFrame, registry: Iterable[Extractor], seq: str | N
 def extract_results(files: DataFrame, registry: Iterable[Extractor], partitions: int | None = None) -> DataFrame:
     """Files to events and warnings, optionally spread over `partitions` first."""
     registry = tuple(registry)
-    items = items_with_content(files, registry)
     if partitions:
-        items = spread(items, partitions)
-    return run_extractors(items, registry)
+        # Files are dealt out, not their items: content moves once however many extractors open it.
+        files = spread(files, partitions, "path").drop("bucket")
+    return run_extractors(items_with_content(files, registry), registry)
 
 
 def flat(results: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracemill.functions import paths
-from tracemill.operators.codecs import Limits, Long, Refused, open_packed
+from tracemill.operators.codecs import Limits, Long, Refused, free_name, open_packed
 from tracemill.schemas import UNPACKED
 from tracemill.session import spool
 from tracemill.sources.files import read_range
@@ -91,28 +91,29 @@ def _unpack(limits: Limits):
             columns = [batch.column(c) for c in INPUT]
             for i in range(batch.num_rows):
                 path, name, source, folder, stem, depth, mtime, kind, content = (c[i].as_py() for c in columns)
-                unpacked, warnings, seen = 0, [], {}
+                unpacked, warnings, taken = 0, [], set()
                 for member, data, warning in open_packed(kind, content, limits):
                     if warning is not None:
                         warnings.append(warning)
                         continue
-                    target = f"{folder}/{member or stem}"
-                    again = seen[target] = seen.get(target, -1) + 1
-                    if again:
-                        target = f"{target}#{again}"
+                    target = free_name(f"{folder}/{member or stem}", taken)
                     try:
                         data, length = store_member(target, data, limits)
                     except Exception as exc:
                         warnings.append(f"unreadable member {member or stem!r}: {exc or type(exc).__name__}")
                         continue
                     unpacked += 1
-                    rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, length, False, None))
-                    size += len(data or b"")
-                    if size >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
+                    # A batch is sent before a row that would make it too long.
+                    if rows and (size + len(data or b"") > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
                         yield unpacked_batch(rows)
                         rows, size = [], 0
+                    rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, length, False, None))
+                    size += len(data or b"")
                 if warnings or not unpacked:
                     # Something is still only in the packed file, so it stays.
+                    if rows and size + len(content) > FLUSH_BYTES:
+                        yield unpacked_batch(rows)
+                        rows, size = [], 0
                     rows.append((path, name, source, depth, mtime, content, len(content), True, "; ".join(warnings) or None))
                     size += len(content)
         if rows:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tracemill.functions import paths
-from tracemill.operators.codecs import CHUNK, Limits, Long, _safe, bounded, open_stream
+from tracemill.operators.codecs import CHUNK, Limits, Long, _safe, bounded, free_name, open_stream
 from tracemill.operators.ingest import (
     FLUSH_BYTES, FLUSH_ROWS, PACKED_SIGNATURES, PLAIN, STREAMS, member_folder, store_member, unpacked_batch,
 )
@@ -156,7 +156,7 @@ def _read_members(limits: Limits):
         rows, size, opened, raw = [], 0, None, None
         for batch in batches:
             for row in batch.to_pylist():
-                kept, seen = [row["warning"]] if row["warning"] else [], {}
+                kept, taken = [row["warning"]] if row["warning"] else [], set()
                 if not kept:
                     try:
                         if opened != row["uri"]:
@@ -167,9 +167,7 @@ def _read_members(limits: Limits):
                                 kept.append(warning)
                                 continue
                             target = f"{row['folder']}/{member or row['stem']}{row['again']}"
-                            again = seen[target] = seen.get(target, -1) + 1
-                            if again:
-                                target = f"{target}#{again}"
+                            target = free_name(target, taken)
                             try:
                                 data, length = store_member(target, data, limits)
                             except Exception as exc:
@@ -177,11 +175,11 @@ def _read_members(limits: Limits):
                                 continue
                             name = target.rsplit("/", 1)[-1]
                             origin = (row["path"], row["depth"] + 1, row["mtime"])
-                            rows.append((target, name, *origin, data, length, False, None))
-                            size += len(data or b"")
-                            if size >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
+                            if rows and (size + len(data or b"") > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
                                 yield unpacked_batch(rows)
                                 rows, size = [], 0
+                            rows.append((target, name, *origin, data, length, False, None))
+                            size += len(data or b"")
                     except Exception as exc:
                         opened = None
                         kept.append(f"unreadable member {row['member'] or row['name']!r}: {exc or type(exc).__name__}")

@@ -6,14 +6,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracemill.functions.paths import remap_root
-from tracemill.operators.classify import signature_parsers
+from tracemill.operators.classify import parsers_by_parts, signature_ranges
 from tracemill.operators.extract import run_extractors
 from tracemill.operators.registry import Extractor, without_signature
 from tracemill.schemas import ATTRIBUTES, EXTRACTION_WARNING, TIMES
 from tracemill.sources.files import MAX_CONTENT_BYTES, list_files
 from tracemill.session import spool
-from tracemill.sources.lines import scan_lines
-from tracemill.sources.listing import paths_from_uri, read_ends
+from tracemill.sources.lines import read_lines
+from tracemill.sources.listing import read_parts
 
 
 def root_path(root: str) -> str:
@@ -32,53 +32,50 @@ def oversize_results(
     """Results of the files under `root` longer than `max_bytes`.
 
     Metadata extractors see them like any other file. Extractors that cut
-    content into lines get the lines, read in splits. An extractor that needs
-    the content whole is reported by a warning for each file it was due to read.
+    content into lines get the lines, read in splits; Python extractors that
+    stream open the file. One that needs the content whole is reported by a
+    warning for each file it was due to read.
 
     With `only`, just the files of those paths, which are relative to `root`.
     """
     registry = tuple(registry)
     stat_only = [e for e in registry if not e.needs_content]
     nonsig = [e for e in without_signature(registry) if e.needs_content]
-    by_line = [e for e in nonsig if e.records]
     listing = (list_files(spark, root) if listing is None else listing).where(F.col("length") > max_bytes)
-    lines = scan_lines(spark, root, max_bytes)
     if only is not None:
         path = remap_root(F.col("path"), root_path(root), "")
         listing = listing.withColumn("path", path).join(only, "path", "left_semi")
-        lines = lines.withColumn("path", path).join(only, "path", "left_semi")
 
     # A few rows: there is one per long file, and those are at most the bytes
-    # of the folder divided by `max_bytes`.
-    due = spool(
-        read_ends(listing).select(
-            "uri", "path", "name", "length", "mtime", signature_parsers(registry).alias("sig")
-        ),
-        "long-files",
-    )
-    # Spark's file sources pass over names they deem hidden.
-    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    visible = source.where(F.col("length") > max_bytes).select(paths_from_uri(F.col("path")).alias("at"), F.lit(False).alias("hidden"))
-    due = due.join(visible, paths_from_uri(F.col("uri")) == F.col("at"), "left").withColumn(
-        "passed_over", F.coalesce("hidden", F.lit(True))
-    )
-    readable = (F.size("sig") == 0) & ~F.col("passed_over")
-    unread = F.when(F.size("sig") > 0, F.col("sig")).when(F.col("passed_over"), _names(nonsig)).otherwise(
-        _names(e for e in nonsig if not e.records)
-    )
+    # of the folder divided by `max_bytes`. Signatures are read at their places.
+    ranges = signature_ranges(registry)
+    parts = read_parts(listing, ranges) if ranges else listing.withColumn("content", F.array().cast("array<binary>"))
+    sig = parsers_by_parts(registry, F.col("content"))
+    due = spool(parts.select("uri", "path", "name", "length", "mtime", sig.alias("sig")), "long-files")
+    readers = F.when(F.size("sig") > 0, F.col("sig")).otherwise(_names(nonsig))
+    by_line = [e for e in nonsig if e.records and e.python is None]
+    streamed = [e for e in registry if e.python is not None and e.needs_content and e.streams]
+    # A file without a signature goes by line to those that cut lines.
+    unread = F.array_except(readers, _names(streamed))
+    unread = F.when(F.size("sig") > 0, unread).otherwise(F.array_except(unread, _names(by_line)))
     results = due.select("path", F.explode(unread).alias("parser")).select(
         F.lit(EXTRACTION_WARNING).alias("container"), "path", "parser", F.lit(0).cast("bigint").alias("seq"),
         F.lit(f"content exceeds {max_bytes} bytes and was not read whole").alias("message"),
         F.expr(f"CAST(map() AS {ATTRIBUTES})").alias("attributes"), F.expr(f"CAST(array() AS {TIMES})").alias("times"),
     )
+    without = due.withColumn("content", F.lit(None).cast("binary"))
     if stat_only:
-        items = due.select("path", "name", "length", "mtime", F.lit(None).cast("binary").alias("content"))
-        results = results.unionByName(
-            run_extractors(items.withColumn("parser", F.explode(_names(stat_only))), stat_only)
+        items = without.select("path", "name", "length", "mtime", "content", F.explode(_names(stat_only)).alias("parser"))
+        results = results.unionByName(run_extractors(items, stat_only))
+    if streamed:
+        items = without.select(
+            "path", "name", "length", "mtime", "content", "uri", F.explode(F.array_intersect(readers, _names(streamed))).alias("parser")
         )
+        results = results.unionByName(run_extractors(items, streamed))
     if by_line:
-        items = lines.join(due.where(readable).select("path", "name", "mtime"), "path").select(
-            "path", "name", "length", "mtime", F.col("line").cast("binary").alias("content"), F.col("seq").alias("line_no"),
+        plain = due.where(F.size("sig") == 0)
+        items = read_lines(plain).select(
+            "path", "name", "length", "mtime", F.col("line").alias("content"), F.col("seq").alias("line_no"),
             F.explode(_names(by_line)).alias("parser"),
         )
         results = results.unionByName(run_extractors(items, by_line, seq="line_no"))

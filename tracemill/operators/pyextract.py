@@ -1,8 +1,9 @@
 """Extractors written in Python, run over Arrow batches with failures isolated."""
 
+import io
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from typing import Any
+from typing import Any, BinaryIO
 
 import pyarrow as pa
 
@@ -29,6 +30,15 @@ class FileRow:
     length: int
     mtime: Any
     content: bytes | None
+    uri: str | None = None
+
+    def open(self) -> BinaryIO:
+        """The content as a file to seek in, wherever it is held."""
+        if self.content is None and self.uri is not None:
+            from tracemill.sources.listing import open_uri
+
+            return open_uri(self.uri)
+        return io.BytesIO(self.content or b"")
 
 
 class Emitter:
@@ -82,19 +92,28 @@ def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(RESULT_TYPES))
 
 
+def checked(row: tuple) -> tuple:
+    """The row, if each of its values has its column's type; else an error, raised where the row was made."""
+    for value, kind in zip(row, RESULT_TYPES.values(), strict=True):
+        pa.array([value], kind)
+    return row
+
+
 def run_python(functions: dict[str, Callable]) -> Callable:
     """A batch function that runs the extractor each work item names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[tuple] = []
         for batch in batches:
-            columns = [batch.column(c) for c in ("parser", "path", "name", "length", "mtime", "content")]
+            columns = [batch.column(c) for c in batch.schema.names]
+            names = batch.schema.names
             for i in range(batch.num_rows):
-                parser, *values = (column[i].as_py() for column in columns)
-                emitter = Emitter(FileRow(*values), parser)
+                values = {name: column[i].as_py() for name, column in zip(names, columns)}
+                parser = values.pop("parser")
+                emitter = Emitter(FileRow(**values), parser)
                 try:
                     for row in functions[parser](emitter):
-                        pending.append(row)
+                        pending.append(checked(row))
                         if len(pending) >= FLUSH_ROWS:
                             yield _to_batch(pending)
                             pending = []

@@ -31,6 +31,8 @@ class Emit:
     message: str | None = None
     attributes: Mapping[str, str] = field(default_factory=dict)
     times: Mapping[str, str] = field(default_factory=dict)
+    # A map expression in place of `attributes`, for keys that only the content knows.
+    attribute_map: str | None = None
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,8 @@ class Extractor:
     plugin: str | None = None
     needs_content: bool = True
     python: Callable | None = None
+    # A Python extractor that reads by `file.open()` and so takes files of any length.
+    streams: bool = False
 
     @property
     def chain(self) -> str:
@@ -89,7 +93,7 @@ JSON = Extractor(
     signatures=(Signature(b"{"),),
     emits=(
         Emit(
-            attributes={"k": "get_json_object(CAST(content AS STRING), '$.k')"},
+            attribute_map="from_json(CAST(content AS STRING), 'MAP<STRING, STRING>')",
             times={"Modification Time": "mtime"},
         ),
     ),
@@ -99,12 +103,13 @@ LONG_LINE_BYTES = 2000
 
 TEXT = Extractor(
     "text",
-    records="split(CAST(content AS STRING), '\\n')",
+    # One character a byte, so any content is cut at its line feeds and counted as it is.
+    records="split(decode(content, 'ISO-8859-1'), '\\n')",
     emits=(
-        Emit(when="record <> ''", attributes={"bytes": "CAST(octet_length(record) AS STRING)"}),
+        Emit(when="record <> ''", attributes={"bytes": "CAST(char_length(record) AS STRING)"}),
         Emit(
             EXTRACTION_WARNING,
-            when=f"octet_length(record) > {LONG_LINE_BYTES}",
+            when=f"char_length(record) > {LONG_LINE_BYTES}",
             message=f"line exceeds {LONG_LINE_BYTES} bytes",
         ),
     ),

@@ -41,6 +41,13 @@ results AS (
   UNION ALL SELECT 'extraction_warning', path, 'text', seq, 'line exceeds 2000 bytes', NULL, NULL, NULL FROM lines WHERE strlen(line) > 2000
 )"""
 
+ODD_FILES = """
+f AS (
+  SELECT '/d ' || doc_id || '%41[' || CASE doc_id % 4 WHEN 0 THEN '.gz' ELSE '.txt' END AS path,
+         CASE doc_id % 3 WHEN 1 THEN replace(text, chr(10), chr(13) || chr(10)) ELSE text END AS body
+  FROM documents
+)"""
+
 LOGS = """
 ev AS (SELECT event_id, event_type, ts, '/logs/user_' || user_id || '.log' AS path FROM events),
 streams AS (SELECT o_orderkey AS stream_id, '/logs/user_' || o_custkey || '.log' AS path FROM orders)"""
@@ -190,7 +197,8 @@ _OVER_TABLES = {
         UNION ALL SELECT o_orderkey, 'Not a time', NULL FROM d WHERE c IS NULL AND m IS NULL""",
     "normalize_time": """
         SELECT event_id, ts - INTERVAL 2 HOUR AS ts_utc,
-               make_timestamp(2023, month(ts)::BIGINT, day(ts)::BIGINT, 0, 0, 0.0) AS day_2023
+               make_timestamp(2023, month(ts)::BIGINT, day(ts)::BIGINT, hour(ts)::BIGINT, minute(ts)::BIGINT,
+                              (microsecond(ts) / 1000000.0)::DOUBLE) AS in_2023
         FROM events""",
     "detect_kind": """
         SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'gzip' WHEN 1 THEN 'bzip2' WHEN 2 THEN 'xz' ELSE 'plain' END AS kind
@@ -201,8 +209,29 @@ _OVER_TABLES = {
                strlen(text) AS length, md5(text) AS digest
         FROM documents""",
     "unpack_recursive": "SELECT doc_id::VARCHAR AS member, 2 AS depth, md5(text) AS digest FROM documents",
+    "scan_tree": f"""
+        WITH {ODD_FILES} SELECT path, strlen(body) AS length, md5(body) AS digest FROM f""",
+    "long_files": f"""
+        WITH {ODD_FILES},
+        lines AS (
+          SELECT path, generate_subscripts(l, 1) - 1 AS seq, unnest(l) AS line
+          FROM (SELECT path, string_split(body, chr(10)) AS l FROM f)
+        )
+        SELECT 'event_data' AS container, path, 'text' AS parser, seq, NULL::VARCHAR AS message, 'bytes' AS attr, strlen(line)::VARCHAR AS val
+        FROM lines WHERE line <> ''
+        UNION ALL SELECT 'extraction_warning', path, 'text', seq, 'line exceeds 2000 bytes', NULL, NULL FROM lines WHERE strlen(line) > 2000
+        UNION ALL SELECT 'event_data', path, 'filestat', 0, NULL, 'size', strlen(body)::VARCHAR FROM f""",
+    "isolated_failures": """
+        SELECT path, parser, CASE WHEN parser = 'late' AND n % 2 = 1 THEN 2 ELSE 1 END::BIGINT AS rows_kept,
+               CASE WHEN parser = 'late' AND n % 2 = 0 THEN 1 ELSE 0 END::BIGINT AS errors
+        FROM (SELECT '/documents/' || lang || '/' || source || '/' || doc_id || '.txt' AS path, strlen(text) AS n FROM documents),
+             (VALUES ('number'), ('late')) p(parser)""",
     "decode_text": """
-        SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN 'UTF-16' ELSE 'UTF-8' END AS charset, text FROM documents""",
+        SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'UTF-16' WHEN 0 THEN 'UTF-8' ELSE 'cp1252' END AS charset,
+               CASE doc_id % 4 WHEN 2 THEN 'é' || regexp_replace(text, '[^\x00-\x7F]', 'é', 'g')
+                    WHEN 3 THEN NULL ELSE text END AS text,
+               CASE doc_id % 4 WHEN 3 THEN 'unable to decode text' END AS warning
+        FROM documents""",
 }
 
 

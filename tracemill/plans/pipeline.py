@@ -77,7 +77,8 @@ def extract(
     if dry_run:
         response["skew_before"] = partition_stats(items.select("parser")).first().asDict()
     if partitions:
-        items = spread(items, partitions)
+        # Files are dealt out, not items, so content moves once.
+        items = items_with_content(spread(readable, partitions, "path").drop("bucket"), chosen)
         if dry_run:
             response["skew_after"] = partition_stats(items.select("parser")).first().asDict()
     results = run_extractors(items, chosen)

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tracemill.functions import chains, paths, times
 from tracemill.functions.text import decode_text
 from tracemill.operators import associate, classify, counts, distribute, extract, ingest
-from tracemill.operators.registry import DEFAULT, LONG_LINE_BYTES, TEXT, Extractor, select_extractors
+from tracemill.operators.registry import DEFAULT, LONG_LINE_BYTES, TEXT, Emit, Extractor, select_extractors
 from tracemill.operators.timeline import timeline, times as times_of
-from tracemill.plans import settings as S
+from tracemill.plans import pipeline, settings as S
 from tracemill.plans import sinks
 from tracemill.plans.formatters import json_document
 from tracemill.schemas import EVENT_DATA, EXTRACTION_ERROR, EXTRACTION_WARNING, RECOVERY_WARNING, RESULTS
@@ -44,6 +44,52 @@ def scan_files(spark, sf_dir):
     return src.scan_files(spark, sf_dir).select("name", "entry_type", "length")
 
 
+def _odd_files(spark, sf_dir, label):
+    """Documents as real files with awkward names, some with carriage returns; the folder they are in."""
+    suffix = F.when(F.col("doc_id") % 4 == 0, ".gz").otherwise(".txt")
+    body = F.when(F.col("doc_id") % 3 == 1, F.replace("text", F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))
+    path = F.concat(F.lit("/d "), F.col("doc_id").cast("string"), F.lit("%41["), suffix)
+    root = shared_dir(spark, label)
+    sinks.write_files(table(spark, sf_dir, "documents").select(path.alias("path"), F.encode(body, "UTF-8").alias("content")), root)
+    return root
+
+
+def _below(root: str):
+    return F.substring("path", len(src.paths_of(root)) + 1, 1 << 20).alias("path")
+
+
+def scan_tree(spark, sf_dir):
+    """The files read back from a folder that is spelt with needless steps."""
+    root = _odd_files(spark, sf_dir, "scan-tree")
+    found = src.scan_files(spark, f"{root}/./", skip_unreadable=True)
+    return found.select(_below(root), "length", F.md5("content").alias("digest"))
+
+
+def long_files(spark, sf_dir):
+    """Extraction where nearly every file is longer than a row may be."""
+    root = _odd_files(spark, sf_dir, "long-files")
+    run = pipeline.extract(spark, root, formatter="json", max_bytes=200)
+    return extract.flat(run.results).select("container", _below(root), "parser", "seq", "message", "attr", "val")
+
+
+def _late_failure(file):
+    """Emits a time that is none for files of even length."""
+    yield file.event({"bytes": file.file.length})
+    yield file.event({"n": 1}, times={"Seen": "not a time" if file.file.length % 2 == 0 else None})
+
+
+def isolated_failures(spark, sf_dir):
+    """A declared and a Python extractor that fail on part of the files."""
+    number = Extractor("number", emits=(Emit(attributes={"value": "CAST(CAST(content AS STRING) AS INT)"}),))
+    late = Extractor("late", python=_late_failure)
+    files = corpus(spark, sf_dir).where(F.col("path").startswith("/documents/"))
+    found = extract.extract_results(files, (number, late))
+    return found.groupBy("path", "parser").agg(
+        F.count_if(F.col("container") == EVENT_DATA).alias("rows_kept"),
+        F.count_if(F.col("container") == EXTRACTION_ERROR).alias("errors"),
+    )
+
+
 def only_files(spark, sf_dir):
     return src.only_files(src.entries(corpus(spark, sf_dir))).select("path", "length")
 
@@ -285,7 +331,7 @@ def timeline_events(spark, sf_dir):
 def normalize_time(spark, sf_dir):
     ts = F.col("ts")
     return table(spark, sf_dir, "events").select(
-        "event_id", times.to_utc(ts, "+02:00").alias("ts_utc"), times.in_year(ts, 2023).alias("day_2023")
+        "event_id", times.to_utc(ts, "+02:00").alias("ts_utc"), times.in_year(ts, 2023).alias("in_2023")
     )
 
 
@@ -418,11 +464,16 @@ def unpack_recursive(spark, sf_dir):
 
 
 def decode_documents(spark, sf_dir):
-    """Documents with odd ids as UTF-16 with a byte order mark, the others as UTF-8."""
-    odd = F.col("doc_id") % 2 == 1
-    content = F.when(odd, F.encode("text", "UTF-16")).otherwise(F.encode("text", "UTF-8"))
+    """Documents by the rest of their id: UTF-16 with a mark, Latin-1, Latin-1 with a byte the code page lacks, UTF-8.
+
+    What is not UTF-8 is read in the default code page.
+    """
+    rest, latin = F.col("doc_id") % 4, F.concat(F.lit("é"), F.regexp_replace("text", "[^\\x00-\\x7F]", "é"))
+    broken = F.concat(F.lit(b"\x81"), F.encode(latin, "ISO-8859-1"))
+    content = F.when(rest == 1, F.encode("text", "UTF-16")).when(rest == 2, F.encode(latin, "ISO-8859-1"))
+    content = content.when(rest == 3, broken).otherwise(F.encode("text", "UTF-8"))
     docs = table(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
-    return decode_text(docs).select("doc_id", "charset", "text")
+    return decode_text(docs, S.Settings().preferred_codepage).select("doc_id", "charset", "text", "warning")
 
 
 # Distribution
@@ -476,6 +527,9 @@ def write_containers(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "scan_files": scan_files,
+    "scan_tree": scan_tree,
+    "long_files": long_files,
+    "isolated_failures": isolated_failures,
     "only_files": only_files,
     "path_source": path_source,
     "read_range": read_range,

@@ -1,8 +1,9 @@
 """Sinks: the landing area, the timeline store and JSON text."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,7 @@ from tracemill.schemas import DIRECTORY, EVENT_DATA, EXTRACTION_WARNING, FILE, F
 from tracemill.functions import paths
 from tracemill.plans.formatters import format_results, json_document
 from tracemill.plans.settings import SESSION
+from tracemill.sources.listing import locate
 
 # The tables of a store; each run adds its rows under its own session.
 CONTAINERS = {
@@ -50,6 +52,29 @@ def landed(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(FILES).parquet(out)
 
 
+def write_files(files: DataFrame, root: str) -> int:
+    """Files written as files below `root`, at their paths; their number is returned.
+
+    Each is written under a name of its own attempt and then moved, so a task
+    that is run again leaves whole files only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                filesystem, target = locate(root.rstrip("/") + path)
+                filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with filesystem.open_output_stream(f"{target}.{attempt}", compression=None) as out:
+                    out.write(content or b"")
+                filesystem.move(f"{target}.{attempt}", target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return files.select("path", "content").mapInArrow(run, "n BIGINT").agg(F.sum("n")).first()[0] or 0
+
+
 def text_files(df: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """Text rows as files: UTF-8 bytes with their path."""
     location = F.col(path)
@@ -81,12 +106,21 @@ def write_json(results: DataFrame, out: str, formatter: str = "json") -> None:
 
 
 def _put(df: DataFrame, store: str, container: str, session_id: str, *extra: str) -> None:
-    """Add a run's rows. Written again under the same session, they replace themselves."""
+    """Add a run's rows. A task that is run again replaces its own."""
     tagged = df.withColumn("session_id", F.lit(session_id))
     writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("session_id", *extra).parquet(f"{store}/{container}")
 
 
+def clear_session(spark: SparkSession, store: str, session_id: str, containers: Iterable[str] = tuple(CONTAINERS)) -> None:
+    """Drop what a session has in the store, so that writing it again leaves nothing of before."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("session_id", session_id)
+    for container in containers:
+        path = jvm.org.apache.hadoop.fs.Path(f"{store}/{container}/{folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_container(spark: SparkSession, store: str, container: str, session_id: str | None = None) -> DataFrame:
     """A table of the store over all runs, or of one."""
     if container in (EVENT_DATA, EXTRACTION_WARNING, RECOVERY_WARNING):
@@ -107,7 +141,7 @@ def read_parser_counts(spark: SparkSession, store: str) -> DataFrame:
 def write_containers(
     files: DataFrame, results: DataFrame, store: str, session_id: str, storage_kind: str = "FILE"
 ) -> None:
-    """Write all tables of one run.
+    """Write all tables of one run but its session rows; what the store has of them is replaced.
 
     Results are computed and written once, partitioned by container; streams,
     timeline and counts are derived from the written table, so extraction never
@@ -115,6 +149,7 @@ def write_containers(
     nothing written before is rewritten.
     """
     spark = files.sparkSession
+    clear_session(spark, store, session_id, (c for c in CONTAINERS if c != "session"))
     _together(
         spark,
         lambda: _put(results, store, "results", session_id, "container"),

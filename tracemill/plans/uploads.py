@@ -1,5 +1,6 @@
 """Uploaded files made ready for extraction."""
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -8,7 +9,7 @@ from tracemill.functions import paths
 from tracemill.operators.codecs import Limits
 from tracemill.operators.ingest import unpack_recursive
 from tracemill.operators.long_archives import unpack_long
-from tracemill.session import spool
+from tracemill.session import shared_dir, spool
 from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, scan_files
 
 
@@ -27,8 +28,11 @@ def ingest(
     folder longer than `max_bytes` are opened in place; a file that stays too
     long for a row comes without content but with its length and a warning, and
     is left where it is for `extract(..., long_root=source)` to read. Long
-    members lie below `limits.spill`, under the path they would have had.
+    members lie below `limits.spill`, by default a folder beside the intermediate
+    tables, under the path they would have had.
     """
+    if limits.spill is None:
+        limits = replace(limits, spill=shared_dir(spark, "spill"))
     if not isinstance(source, str):
         return _moved(unpack_recursive(source, limits), upload_root, processed_root)
 

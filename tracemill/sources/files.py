@@ -1,11 +1,13 @@
 """File sources: scans, manifests, lookups and folder trees."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracemill.functions import paths
 from tracemill.schemas import DIRECTORY, FILE
 from tracemill.session import spool
-from tracemill.sources.listing import list_entries, paths_from_uri, read_contents
+from tracemill.sources.listing import list_entries, paths_from_uri, plain_root, read_contents
 
 # A row can hold at most 2 GiB, so longer files go through the line source.
 MAX_CONTENT_BYTES = 2**31 - 1
@@ -53,7 +55,8 @@ def scan_files(
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    visible = from_binary_files(reader.load(root))
+    # Hadoop reads a location as a pattern, so its special characters are escaped.
+    visible = from_binary_files(reader.load(re.sub(r"([\[\]{}*?\\])", r"\\\1", plain_root(root))))
     listing = list_files(spark, root) if listing is None else listing
     passed_over = spool(
         listing.join(visible.select("path"), "path", "left_anti").where(F.col("length") <= max_bytes),
@@ -65,6 +68,11 @@ def scan_files(
     return found.unionByName(read_contents(passed_over, skip_unreadable).drop("uri"))
 
 
+def paths_of(root: str) -> str:
+    """The path inside the storage under which a folder's files are listed."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", plain_root(root))
+
+
 def list_files(spark: SparkSession, root: str, min_bytes: int = -1) -> DataFrame:
     """Files under `root` longer than `min_bytes`, without content, with the `uri` to open each by."""
     return only_files(list_entries(spark, root)).where(F.col("length") > min_bytes)

@@ -1,55 +1,141 @@
 """Lines of files too long to be one row, numbered from the start of each file."""
 
 from collections.abc import Iterator
+from typing import BinaryIO
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tracemill.sources.listing import paths_from_uri
+from tracemill.session import spool
+from tracemill.sources.files import list_files
+from tracemill.sources.listing import open_uri
 
+# Bytes of a file one task reads, of one read, and of one batch of lines.
+SPLIT_BYTES = 64 << 20
+CHUNK_BYTES = 1 << 20
+FLUSH_BYTES = 16 << 20
+FLUSH_ROWS = 20_000
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the lines of each block; a task reads its blocks one after the other."""
-    current, reached = None, 0
+END = b"\n"
+
+FILE_COLUMNS = ("path", "name", "length", "mtime")
+FILE_SCHEMA = "path STRING, name STRING, length BIGINT, mtime TIMESTAMP_NTZ"
+
+
+def _chunks(raw: BinaryIO, start: int) -> Iterator[bytes]:
+    raw.seek(start)
+    while chunk := raw.read(CHUNK_BYTES):
+        yield chunk
+
+
+def split_lines(raw: BinaryIO, start: int, stop: int) -> Iterator[bytes]:
+    """The lines that begin at `start` or later and before `stop`, without their ends.
+
+    A line begins at 0 and behind each line end. Nothing but a line feed ends
+    a line, and what follows the last one is a line if it isn't empty.
+    """
+    # The byte before decides whether a line begins at `start`.
+    at = max(0, start - 1)
+    rest, begun = b"", start == 0
+    begin = start
+    for chunk in _chunks(raw, at):
+        rest += chunk
+        if not begun:
+            first = rest.find(END)
+            if first < 0:
+                at += len(rest)
+                rest = b""
+                continue
+            rest, begin, begun = rest[first + 1 :], at + first + 1, True
+        *whole, rest = rest.split(END)
+        for line in whole:
+            if begin >= stop:
+                return
+            yield line
+            begin += len(line) + 1
+        if begin >= stop:
+            return
+    if begun and rest and begin < stop:
+        yield rest
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Line ends in each split: one raw read without cutting."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        blocks = batch.column("block").to_numpy(zero_copy_only=False)
-        files = batch.column("path").dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(files) != 0)) + 1
-        edges = np.concatenate([[0], starts, [len(blocks)]])
-        local = np.arange(len(blocks)) - np.repeat(edges[:-1], np.diff(edges))
-        first = (batch.column("path")[0].as_py(), int(blocks[0]))
-        if first == current:
-            local[: edges[1]] += reached
-        current = (batch.column("path")[len(blocks) - 1].as_py(), int(blocks[-1]))
-        reached = int(local[-1]) + 1
-        yield batch.append_column("local", pa.array(local, pa.int64()))
+        ends = []
+        for uri, start, stop in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "stop"))):
+            n, left = 0, stop - start
+            with open_uri(uri) as raw:
+                for chunk in _chunks(raw, start):
+                    n += chunk[:left].count(END)
+                    left -= len(chunk)
+                    if left <= 0:
+                        break
+            ends.append(n)
+        yield batch.append_column("ends", pa.array(ends, pa.int64()))
 
 
-def scan_lines(spark: SparkSession, root: str, min_bytes: int) -> DataFrame:
-    """Lines `(path, length, seq, line)` of the files under `root` longer than `min_bytes`.
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(file, first, lines):
+        own = [pa.repeat(file.column(c)[0], len(lines)) for c in FILE_COLUMNS]
+        columns = [*own, pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, [*FILE_COLUMNS, "seq", "line"])
+
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "stop", "first")))
+        for k, (uri, start, stop, first) in enumerate(rows):
+            file, lines, size = batch.slice(k, 1), [], 0
+            with open_uri(uri) as raw:
+                for line in split_lines(raw, start, stop):
+                    if lines and (size + len(line) > FLUSH_BYTES or len(lines) >= FLUSH_ROWS):
+                        yield packed(file, first, lines)
+                        first, lines, size = first + len(lines), [], 0
+                    lines.append(line)
+                    size += len(line)
+            if lines:
+                yield packed(file, first, lines)
 
-    One file is read by many tasks. Lines are numbered within their block as
-    they are read; the number of the block's first line comes from a table of
-    one row per block, summed per file.
+
+def read_lines(listed: DataFrame) -> DataFrame:
+    """Lines `(path, name, length, mtime, seq, line)` of listed files, `line` being bytes.
+
+    One file is read by many tasks. Line ends are counted per split first, one
+    row each, so a split knows the number of its first line before it is cut
+    and no line is ever joined or moved. Names and content are taken as they
+    are: no suffix means a codec, no byte a character.
     """
-    meta = F.col("_metadata")
-    text = spark.read.option("recursiveFileLookup", "true").text(root).where(meta["file_size"] > min_bytes)
-    blocks = text.select(
-        paths_from_uri(meta["file_path"]).alias("path"),
-        meta["file_size"].alias("length"),
-        meta["file_block_start"].alias("block"),
-        F.col("value").alias("line"),
-    )
-    numbered = blocks.mapInArrow(_number, "path STRING, length BIGINT, block BIGINT, line STRING, local BIGINT")
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocks.groupBy("path", "block")
-        .agg(F.count("*").alias("lines"))
-        .select("path", "block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("skipped"))
-    )
-    return numbered.join(offsets, ["path", "block"]).select(
-        "path", "length", (F.col("skipped") + F.col("local")).alias("seq"), "line"
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(SPLIT_BYTES).cast("bigint")))
+    splits = listed.where("length > 0").select("uri", *FILE_COLUMNS, start.alias("start"))
+    splits = splits.withColumn("stop", F.least(F.col("length"), F.col("start") + SPLIT_BYTES))
+    splits = spool(splits, "splits")
+    tasks = max(1, splits.count())
+    counted = splits.repartition(tasks).mapInArrow(_count, f"uri STRING, {FILE_SCHEMA}, start BIGINT, stop BIGINT, ends BIGINT")
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # A split whose start isn't the start of a line begins with the next one.
+    numbered = counted.select(
+        "uri", *FILE_COLUMNS, "start", "stop", F.coalesce(F.sum("ends").over(before), F.lit(0)).alias("line_ends")
     )
+    numbered = spool(numbered, "numbered-splits")
+    return numbered.repartition(tasks).mapInArrow(_cut_from_ends, f"{FILE_SCHEMA}, seq BIGINT, line BINARY")
+
+
+def _cut_from_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that begins in a split has as many ends before it as the file has up to its begin."""
+
+    def first_numbers(batch: pa.RecordBatch) -> pa.RecordBatch:
+        numbers = []
+        for uri, start, ends in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "line_ends"))):
+            if start:
+                with open_uri(uri) as raw:
+                    raw.seek(start - 1)
+                    # Mid-line, the line that was begun before is ended by the split's first end.
+                    ends += raw.read(1) != END
+            numbers.append(ends)
+        return batch.append_column("first", pa.array(numbers, pa.int64()))
+
+    yield from _cut(map(first_numbers, batches))
+
+
+def scan_lines(spark: SparkSession, root: str, min_bytes: int) -> DataFrame:
+    """Lines of the files under `root` longer than `min_bytes`."""
+    return read_lines(list_files(spark, root, min_bytes))

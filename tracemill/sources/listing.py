@@ -1,5 +1,6 @@
 """Listing of a folder tree by the executors, and reading of files by location."""
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 from typing import BinaryIO
@@ -19,7 +20,8 @@ TASK_FOLDERS = 64
 FLUSH_ROWS = 5000
 FLUSH_BYTES = 32 << 20
 TASK_BYTES = 256 << 20
-END_BYTES = 4096
+# What opening a file costs, in bytes that could be read meanwhile.
+OPEN_BYTES = 1 << 20
 
 
 def paths_from_uri(uri: Column) -> Column:
@@ -66,6 +68,14 @@ def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.RecordBatch.from_arrays(arrays, list(types))
 
 
+def plain_root(root: str) -> str:
+    """A folder's location with each name once: no doubled or closing slash, no `.` steps."""
+    scheme = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", root)
+    head = scheme[0] if scheme else ""
+    steps = [s for s in root[len(head) :].split("/") if s not in ("", ".")]
+    return f"{head}/{'/'.join(steps)}" if root[len(head) :].startswith("/") else head + "/".join(steps)
+
+
 def list_entries(spark: SparkSession, root: str) -> DataFrame:
     """Every file and folder below `root`, empty and hidden ones included.
 
@@ -73,7 +83,7 @@ def list_entries(spark: SparkSession, root: str) -> DataFrame:
     files passes the driver.
     """
     levels = []
-    folders = spark.createDataFrame([(root,)], "uri STRING")
+    folders = spark.createDataFrame([(plain_root(root),)], "uri STRING")
     count = 1
     while count:
         tasks = -(-count // TASK_FOLDERS)
@@ -92,52 +102,70 @@ def _whole(raw: BinaryIO) -> bytes:
     return raw.read()
 
 
-def _ends(raw: BinaryIO) -> bytes:
-    """First and last bytes, put together; the whole of a file no longer than both."""
-    size = raw.seek(0, 2)
-    raw.seek(0)
-    if size <= 2 * END_BYTES:
-        return raw.read()
-    head = raw.read(END_BYTES)
-    raw.seek(size - END_BYTES)
-    return head + raw.read(END_BYTES)
+def _parts(ranges: list[tuple[int, int]]):
+    """The bytes at each `(offset, size)`, a negative offset counted from the end; none where the file is too short."""
+
+    def read(raw: BinaryIO) -> list[bytes | None]:
+        size, out = raw.seek(0, 2), []
+        for offset, n in ranges:
+            at = offset if offset >= 0 else size + offset
+            if at < 0 or at + n > size:
+                out.append(None)
+                continue
+            raw.seek(at)
+            out.append(raw.read(n))
+        return out
 
+    return read
 
-def _read(part, skip_unreadable: bool):
+
+def _read(part, kind: pa.DataType, skip_unreadable: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(batch, picked, contents):
+            return batch.take(pa.array(picked, pa.int64())).append_column("content", pa.array(contents, kind))
+
         for batch in batches:
             picked, contents, size = [], [], 0
             for i, uri in enumerate(batch.column("uri").to_pylist()):
                 try:
                     with open_uri(uri) as raw:
-                        contents.append(part(raw))
+                        content = part(raw)
                 except OSError:
                     if not skip_unreadable:
                         raise
-                    continue
-                picked.append(i)
-                size += len(contents[-1])
-                if size >= FLUSH_BYTES:
-                    yield batch.take(pa.array(picked)).append_column("content", pa.array(contents, pa.binary()))
+                    content = None
+                # A batch is sent before a row that would make it too long.
+                if picked and size + len(content or b"") > FLUSH_BYTES:
+                    yield packed(batch, picked, contents)
                     picked, contents, size = [], [], 0
+                picked.append(i)
+                contents.append(content)
+                size += len(content or b"")
             if picked:
-                yield batch.take(pa.array(picked)).append_column("content", pa.array(contents, pa.binary()))
+                yield packed(batch, picked, contents)
 
     return run
 
 
-def read_contents(listed: DataFrame, skip_unreadable: bool = False) -> DataFrame:
-    """Files of a listing with their content, read by as many tasks as their bytes call for."""
-    return _reading(listed, _whole, skip_unreadable, "length")
+def read_contents(listed: DataFrame, skip_unreadable: bool = False, tasks: int | None = None) -> DataFrame:
+    """Files of a listing with their content, read by as many tasks as their bytes and their number call for.
+
+    Only the listing is dealt out, so no content moves between executors. With
+    `skip_unreadable`, a file that can't be read has a null content.
+    """
+    return _reading(listed, _whole, pa.binary(), "BINARY", skip_unreadable, "length", tasks)
 
 
-def read_ends(listed: DataFrame) -> DataFrame:
-    """Files of a listing with their first and last bytes as content: enough for any signature."""
-    return _reading(listed, _ends, False, "2 * %d" % END_BYTES)
+def read_parts(listed: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Files of a listing with the bytes at each range as an array, `content`."""
+    size = str(sum(n for _, n in ranges))
+    return _reading(listed, _parts(ranges), pa.list_(pa.binary()), "ARRAY<BINARY>", False, size, None)
 
 
-def _reading(listed: DataFrame, part, skip_unreadable: bool, size: str) -> DataFrame:
-    total = listed.agg(F.expr(f"sum({size})").alias("bytes"), F.count("*").alias("n")).first()
-    tasks = max(1, min(total["n"], -(-(total["bytes"] or 0) // TASK_BYTES)))
+def _reading(listed: DataFrame, part, kind: pa.DataType, sql: str, skip_unreadable: bool, size: str, tasks: int | None) -> DataFrame:
+    if tasks is None:
+        total = listed.agg(F.expr(f"sum({size})").alias("bytes"), F.count("*").alias("n")).first()
+        cost = (total["bytes"] or 0) + OPEN_BYTES * total["n"]
+        tasks = max(1, min(total["n"], -(-cost // TASK_BYTES)))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema)
-    return listed.repartition(tasks, "uri").mapInArrow(_read(part, skip_unreadable), f"{schema}, content BINARY")
+    return listed.repartition(tasks, "uri").mapInArrow(_read(part, kind, skip_unreadable), f"{schema}, content {sql}")

@@ -5,13 +5,17 @@ its own but the source and a sink that can be replayed.
 """
 
 from collections.abc import Iterable
+from dataclasses import asdict, replace
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tracemill.operators.extract import extract_results
-from tracemill.operators.registry import DEFAULT, Extractor
-from tracemill.plans.sinks import write_containers
+from tracemill.operators.counts import run_summary
+from tracemill.operators.extract import bind_settings, extract_results
+from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
+from tracemill.plans.settings import COMPLETION, START, SYSTEM, Settings, enabled_names, session_row, system_values
+from tracemill.plans.sinks import clear_session, read_container, write_containers, write_session
 from tracemill.sources.files import BINARY_FILE, from_binary_files
 
 
@@ -24,17 +28,36 @@ def arriving_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def extract_arrivals(
-    files: DataFrame, store: str, checkpoint: str, registry: Iterable[Extractor] = DEFAULT, name: str = "arrivals"
+    files: DataFrame,
+    store: str,
+    checkpoint: str,
+    registry: Iterable[Extractor] = DEFAULT,
+    name: str = "arrivals",
+    extractors: str | None = None,
+    settings: Settings = Settings(),
 ) -> StreamingQuery:
     """Extract all files that arrived since the last call into `store`, then stop.
 
-    A batch is one session of the store, named after its number, so a batch
-    that is run again after a failure replaces its own rows.
+    Settings and the filter expression act as in a batch run. A batch is one
+    session of the store, named after its number, with its own session rows, so
+    a batch that is run again after a failure replaces its own rows.
     """
-    registry = tuple(registry)
+    chosen = bind_settings(select_extractors(registry, extractors), asdict(settings))
+    recorded = replace(settings, enabled_parser_names=enabled_names(chosen), parser_filter_expression=extractors)
 
     def write(batch: DataFrame, number: int) -> None:
-        write_containers(batch, extract_results(batch, registry), store, f"{name}-{number}")
+        spark, session_id, began = batch.sparkSession, f"{name}-{number}", _now()
+        clear_session(spark, store, session_id)
+        write_containers(batch, extract_results(batch, chosen), store, session_id, settings.storage_kind)
+        totals = run_summary(read_container(spark, store, "results", session_id)).first().asDict()
+        rows = session_row(spark, session_id, START, began, recorded.as_map())
+        rows = rows.unionByName(session_row(spark, session_id, SYSTEM, began, system_values(spark, settings)))
+        done = {k: str(v) for k, v in totals.items()}
+        write_session(rows.unionByName(session_row(spark, session_id, COMPLETION, _now(), done)), store)
 
     stream = files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
+
+
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
