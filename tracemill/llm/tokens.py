@@ -8,6 +8,8 @@ the data bytes of many documents stand together in column chunks and a reader
 may skip either. Decoding looks lengths and masks up in numpy tables.
 """
 
+import gc
+import itertools
 import os
 import re
 import zlib
@@ -24,13 +26,14 @@ from tracemill.session import shared_dir, spool
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 # Chunks of text whose ids one task keeps at a time.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 700_000
 # Tokens of one file, about.
 FILE_TOKENS = 16_000_000
 
 # A word of Latin letters and the marks after it. The tokenizer parts them, and
 # for these letters its lower case is Python's, so both parts are encoded alone.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+WORD = re.compile("[a-zß-öø-ÿ]+")
 
 # Control byte to the lengths of its four values, and length to the bits that count.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.int64)
@@ -87,44 +90,104 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> n
     return values & MASKS[length]
 
 
-class Chunks(dict):
-    """Numbers chunks in the order they are first seen."""
+def lower_latin(text: str) -> str:
+    """The text in lower case if it is all Latin-1, where Python's and the tokenizer's agree; else as it is.
+
+    A text that may hold the name of a special token, whose case counts, stays.
+    """
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
+class Numbers(dict):
+    """Numbers strings in the order they are first seen."""
 
     def __init__(self):
         self.new: list[str] = []
 
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        self.new.append(chunk)
+    def __missing__(self, string: str) -> int:
+        number = self[string] = len(self)
+        self.new.append(string)
         return number
 
 
+class Runs:
+    """Numbered runs of ids, one after the other in a pool."""
+
+    def __init__(self):
+        self.ids, self.starts, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.ids) + offsets_of(counts)[:-1]])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these runs, and how many each has."""
+        counts = self.counts[numbers]
+        ends = offsets_of(counts)
+        return self.ids[np.arange(ends[-1]) + np.repeat(self.starts[numbers] - ends[:-1], counts)], counts
+
+
 class Encoder:
     """Encodes texts chunk by chunk, each distinct chunk once.
 
     The tokenizer treats white space as a border that it drops, so the ids of
-    a text are those of its chunks between blanks and line ends.
+    a text are those of its chunks between blanks and line ends. A chunk that
+    is a word of Latin letters with marks behind it is two parts, of which the
+    word is encoded in lower case, once for all its forms.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        by_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: by_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) >= 1 << 16:
+            raise ValueError("ids of this tokenizer need more than 16 bits")
         self.clear()
 
     def clear(self) -> None:
-        self.chunks = Chunks()
-        self.parts: dict[str, list[int]] = {"": []}
-        self.pool, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
-
-    def ids_of(self, chunks: list[str]) -> list[list[int]]:
-        matches = [PLAIN.fullmatch(c) for c in chunks]
-        split = [(m[1].lower(), m[2]) if m else (c, "") for c, m in zip(chunks, matches)]
-        unknown = list({part for both in split for part in both} - self.parts.keys())
-        encoded = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        self.parts.update((part, e.ids) for part, e in zip(unknown, encoded))
-        return [self.parts[a] + self.parts[b] for a, b in split]
+        self.chunks, self.chunk_runs = Numbers(), Runs()
+        self.parts, self.part_runs = Numbers(), Runs()
+
+    def learn(self) -> None:
+        """Encode the chunks first seen since the last call."""
+        number, both = self.parts.__getitem__, []
+        for chunk in self.chunks.new:
+            match = PLAIN.fullmatch(chunk)
+            both += (number(match[1].lower()), number(match[2])) if match else (number(chunk), number(""))
+        self.chunks.new.clear()
+        # Parts are numbered anew by how they are encoded, then looked up by their first number.
+        new = self.parts.new
+        plain = [bool(WORD.fullmatch(p)) for p in new]
+        self.part_runs.add(*self.encode_words([p for p, w in zip(new, plain) if w]))
+        self.part_runs.add(*self.encode_others([p for p, w in zip(new, plain) if not w]))
+        first = len(self.part_runs.counts) - len(new)
+        order = np.argsort(~np.array(plain, bool), kind="stable")
+        for column in (self.part_runs.starts, self.part_runs.counts):
+            column[first + order] = column[first:].copy()
+        self.parts.new.clear()
+        ids, counts = self.part_runs.take(np.array(both, np.int64))
+        self.chunk_runs.add(ids, counts.reshape(-1, 2).sum(axis=1))
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words as the merging model takes them: each of their bytes a letter."""
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        encoded = [[t.id for t in merge(w if w.isascii() else w.translate(letters))] for w in words]
+        return np.fromiter(itertools.chain.from_iterable(encoded), np.uint32), np.fromiter(map(len, encoded), np.int64)
+
+    def encode_others(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.fromiter(itertools.chain.from_iterable(encoded), np.uint32), np.fromiter(map(len, encoded), np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end id after each, and their counts."""
@@ -133,19 +196,13 @@ class Encoder:
         number = self.chunks.__getitem__
         numbers, n_chunks = [], []
         for text in texts:
-            chunks = text.replace("\n", " ").split(" ")
-            numbers.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
+            chunks = lower_latin(text).replace("\n", " ").split(" ")
+            numbers += map(number, chunks)
             n_chunks.append(len(chunks))
         if self.chunks.new:
-            new = self.ids_of(self.chunks.new)
-            self.chunks.new.clear()
-            self.counts = np.concatenate([self.counts, np.fromiter(map(len, new), np.int64, len(new))])
-            self.pool = np.concatenate([self.pool, np.fromiter((i for ids in new for i in ids), np.uint32)])
-        starts = offsets_of(self.counts)[:-1]
-        picked = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-        length = self.counts[picked]
+            self.learn()
+        ids, length = self.chunk_runs.take(np.array(numbers, np.int64))
         ends = offsets_of(length)
-        ids = self.pool[np.arange(ends[-1]) + np.repeat(starts[picked] - ends[:-1], length)]
         counts = np.diff(ends[offsets_of(np.array(n_chunks, np.int64))])
         with_end = np.full(len(ids) + len(texts), END_ID, np.uint32)
         with_end[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), counts)] = ids
@@ -153,14 +210,15 @@ class Encoder:
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Ids of each text as little-endian 32-bit integers, the end id last; null texts as empty."""
+    """Ids of each text as little-endian 16-bit integers, the end id last; null texts as empty."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
+        gc.disable()  # many strings and numbers are made and none of them in cycles
         for batch in pieces(batches):
             ids, counts = encoder.encode(batch.column(1).to_pylist())
-            packed = binary_array(ids.astype("<u4").view(np.uint8), 4 * counts)
+            packed = binary_array(ids.astype("<u2").view(np.uint8), 2 * counts)
             yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
@@ -173,7 +231,7 @@ def frequencies(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in pieces(batches):
-            ids = flat_bytes(batch.column(0))[0].view("<u4")
+            ids = flat_bytes(batch.column(0))[0].view("<u2")
             more = np.bincount(ids, minlength=len(counts))
             more[: len(counts)] += counts
             counts = more
@@ -184,7 +242,9 @@ def frequencies(tokens: DataFrame) -> DataFrame:
 
 
 def write_tokens(tokens: DataFrame, folder: str) -> None:
-    """Write `tokens` (doc_id, ids) below `folder` in ascending order of doc_id.
+    """Write `tokens` (doc_id, ids of 16 bits) below `folder` in ascending order of doc_id.
+
+    They are read twice, so they are computed once, into a table.
 
     `codebook` has the ids by rank, `ids` the documents: file number, ids
     before the document within its file, count, control bytes, data bytes;
@@ -192,6 +252,7 @@ def write_tokens(tokens: DataFrame, folder: str) -> None:
     equal ids the order is that of a hash of the ids, so runs agree.
     """
     spark = tokens.sparkSession
+    tokens = spool(tokens, "token-ids", compression="zstd")
     # One row per id of the vocabulary: its size is the bound.
     known = frequencies(tokens).orderBy(F.desc("n"), "id").toPandas()
     codebook = known["id"].to_numpy(np.int64)
@@ -206,8 +267,8 @@ def write_tokens(tokens: DataFrame, folder: str) -> None:
         part, before = TaskContext.get().partitionId(), 0
         for batch in pieces(batches):
             ids, n_bytes = flat_bytes(batch.column("ids"))
-            counts = n_bytes // 4
-            control, data, n_control, n_data = encode_ranks(rank_of[ids.view("<u4")], counts)
+            counts = n_bytes // 2
+            control, data, n_control, n_data = encode_ranks(rank_of[ids.view("<u2")], counts)
             starts = before + offsets_of(counts)
             before = int(starts[-1])
             columns = [
@@ -268,6 +329,5 @@ def op8_token_output(spark, sf_dir):
     import public_tokenizers
 
     folder = shared_dir(spark, "token-files")
-    tokens = spool(tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)), "token-ids")
-    write_tokens(tokens, folder)
+    write_tokens(tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)), folder)
     return read_tokens(spark, folder, summary=True)
