@@ -32,7 +32,7 @@ def test_base_equals_the_patterns(text):
         ('a = "abcDEF12"\nb = "34ghiJKL"\ndb_pwd = a + b\n', ["abcDEF12", "34ghiJKL"]),
         ("pwd: hunter2x9\n", ["hunter2x9"]),
         ("cfg[\"privateKey\"] := 'k9Js8sLq2w'", ["k9Js8sLq2w"]),
-        ('base = "q8W7e6R5"\nsigning_key = "pre-" + base', ["pre-", "q8W7e6R5"]),
+        ('base = "q8W7e6R5"\nsigning_key = "pre-" + base', ["q8W7e6R5", "pre-"]),
         ('connectionPwd => "s3cr3tV@lue!"', ["s3cr3tV@lue!"]),
         ('userPwd = "changeme"', []),
         ('title = "k9Js8sLq2w"', []),
