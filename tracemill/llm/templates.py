@@ -24,13 +24,13 @@ AGREEMENT = 0.85
 MIN_DOCS, MIN_TOKENS = 2, 5
 
 FIELD = "<*>"
-_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
 
 
 def tokens_of(line: Column) -> Column:
     """Blank-separated tokens, those with a digit as a variable field."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\s0-9]*+[0-9]\S*+", FIELD)).otherwise(line)
-    return F.array_remove(F.split(masked, r"\s+"), "")
+    blanks = F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(blanks, "[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(blanks)
+    return F.array_remove(F.split(masked, " "), "")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -40,15 +40,15 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.select("doc_id", "body", F.posexplode("lines").alias("line_no", "line"))
     rows = rows.select("doc_id", "body", "line_no", tokens_of(F.col("line")).alias("tokens"))
     rows = rows.filter(F.size("tokens") >= MIN_TOKENS)
-    char = lambda t: F.substring(F.lit(_ALPHABET), F.pmod(F.hash(t), F.lit(64)) + 1, F.lit(1))
-    joined = F.array_join("tokens", " ")
-    leaf = lambda d: F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, d), " "))
+    # A printable character of the token's hash.
+    char = lambda t: F.char(F.pmod(F.hash(t), F.lit(90)) + 33)
+    leaf = lambda d: F.xxhash64(F.size("tokens"), F.slice("tokens", 1, d))
     return rows.select(
         "doc_id",
         "body",
         "line_no",
-        F.xxhash64(joined).alias("h1"),
-        F.xxhash64(F.lit(1), joined).alias("h2"),
+        F.xxhash64("tokens").alias("h1"),
+        F.xxhash64(F.lit(1), "tokens").alias("h2"),
         *[leaf(d).alias(f"leaf{i}") for i, d in enumerate(DEPTHS)],
         F.array_join(F.transform("tokens", char), "").alias("shape"),
     )
@@ -62,12 +62,12 @@ def agreement(a: Column, b: Column) -> Column:
 
 def _leaders(lines: DataFrame, agreed: float) -> DataFrame:
     """(h1, h2, t1, t2): the lines that belong to another line's template, and that line."""
-    rest = spool(
-        lines.groupBy("h1", "h2").agg(
-            F.count("*").alias("n"), F.first("shape").alias("shape"), *[F.first(f"leaf{i}").alias(f"leaf{i}") for i in range(len(DEPTHS))]
-        ),
-        "distinct-lines",
-    )
+    # A line alone in its leaf is alone in the deeper ones too.
+    shared = lines.groupBy("leaf0").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    shared = spool(shared.filter("low < high").select("leaf0"), "shared-leaves")
+    more = [F.first(c).alias(c) for c in ("shape", *[f"leaf{i}" for i in range(len(DEPTHS))])]
+    rest = lines.join(shared, "leaf0").groupBy("h1", "h2").agg(F.count("*").alias("n"), *more)
+    rest = spool(rest, "distinct-lines")
     found = None
     for i in range(len(DEPTHS)):
         leader = F.min(F.struct((-F.col("n")).alias("order"), "h1", "h2", "shape")).alias("lead")
