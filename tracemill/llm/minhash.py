@@ -30,10 +30,10 @@ BANDS, ROWS = 10, 4
 SKETCH_LONGS, MAX_DIFFERENT = 3, 18
 # Words are counted by hash in so many buckets, so what every task receives has a fixed size.
 IDF_BUCKETS = 1 << 18
-# Members of a bucket that are compared with its others at a time, once the first has been.
+# Pivots a bucket may have at a time of either sort; they begin with one and double.
 PIVOTS = 512
 # Words whose hash, and texts whose shingles, one task keeps at a time.
-CACHE_WORDS, CACHE_TEXTS = 300_000, 64
+CACHE_WORDS, CACHE_TEXTS = 300_000, 256
 # Shingles sampled at a time, which bounds the memory for a long text.
 BLOCK = 1 << 14
 
@@ -252,11 +252,13 @@ def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     def sim(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         shingles = Shingles(idf)
         for a, b in batches:
-            yield pd.Series([similarity(shingles.of(x), shingles.recent(y)) for x, y in zip(a, b)], dtype="float64")
+            yield pd.Series([similarity(shingles.recent(x), shingles.recent(y)) for x, y in zip(a, b)], dtype="float64")
 
     pairs = spool(pairs.select("node", "pivot").distinct(), "pairs")
     of_pivot = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
-    met = pairs.join(texts, "node").join(of_pivot, "pivot")
+    # By node last: the rows of a node then stand together, and its shingles are made once.
+    # Texts are met by merging at every size, as they are where pairs are too many to broadcast.
+    met = pairs.join(of_pivot.hint("merge"), "pivot").join(texts.hint("merge"), "node")
     return spool(met.select("node", "pivot", sim("text", "pivot_text").alias("sim")), "similar")
 
 
@@ -275,7 +277,9 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     """(node, label): the class of every text that has a near duplicate, by exact comparison in the buckets.
 
     In rounds, each bucket sends some members as pivots, which are compared
-    with its other members and then leave: one at first, then up to `PIVOTS`.
+    with its other members and then leave. Half of them are close to the first
+    pivot and meet only what isn't in their class yet, half are not; there are
+    more in each round, so a dense group settles before many are compared.
     A pair is passed over only if it can't matter: both are in one class
     already, their weights or sketches differ too much, or the bucket's first
     pivot proves them apart (1 - similarity is a metric). So a bucket of copies
@@ -292,18 +296,17 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
         "bucket", "node", "weight", "sketch", F.coalesce("label", "node").alias("class"), (1 - F.col("sim")).alias("d"),
         (F.col("node") == F.col("pivot")).alias("done"),
     )
-    rows = _unsettled(spool(rows, "members"))
-    # The first pivots have met all; from here on they only count for what their bucket's classes are.
-    rows = rows.filter(~F.col("done")).drop("done")
+    # The first pivots have met all of their buckets.
+    rows, slots = spool(rows.filter(~F.col("done")).drop("done"), "members"), 1
     while True:
         rows = _unsettled(rows)
         if rows.isEmpty():
             return labels
-        # Members far from the first pivot go first; each slot of a bucket has one pivot.
-        near = F.coalesce(F.col("d") <= apart, F.lit(False))
-        pivot = F.min(F.struct(near.alias("near"), "node", "weight", "sketch", "class", "d")).alias("p")
+        close = F.coalesce(F.col("d") <= apart, F.lit(False)).alias("close")
+        slot = F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")
+        pivot = F.min(F.struct("node", "weight", "sketch", "class", "d")).alias("p")
         pivots = spool(
-            rows.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot"))
+            rows.groupBy("bucket", close, slot)
             .agg(pivot)
             .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "weight", "sketch", "class", "d")]),
             "pivots",
@@ -320,7 +323,7 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
             edges = edges.union(new)
             labels = classes(edges)
             rows = rows.join(labels, "node", "left").withColumn("class", F.coalesce("label", "class")).drop("label")
-        rows = spool(rows, "members")
+        rows, slots = spool(rows, "members"), min(2 * slots, PIVOTS)
 
 
 def near_duplicates(
@@ -348,7 +351,7 @@ def near_duplicates(
     text = text_of(text_col)
     source = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
     same = source["doc_id"].eqNullSafe(wanted["first_id"]) & (source["digest"] == wanted["digest"])
-    texts = spool(source.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = spool(source.join(wanted.hint("merge"), same).select("node", "text").dropDuplicates(["node"]), "texts")
     labels = links(members, texts, idf, threshold)
     of_node = nodes.select("digest", "node", "first_id").join(labels, "node", "left")
     of_node = spool(of_node.select("digest", "first_id", F.coalesce("label", "node").alias("label")), "node-classes")
