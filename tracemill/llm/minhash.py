@@ -30,7 +30,7 @@ BANDS, ROWS = 10, 4
 SKETCH_LONGS, MAX_DIFFERENT = 3, 18
 # Words are counted by hash in so many buckets, so what every task receives has a fixed size.
 IDF_BUCKETS = 1 << 18
-# Pivots a bucket may have at a time of either sort; they begin with one and double.
+# Pivots a bucket may have at a time of either sort; they begin with one and become four times as many by round.
 PIVOTS = 512
 # Words whose hash, and texts whose shingles, one task keeps at a time.
 CACHE_WORDS, CACHE_TEXTS = 300_000, 256
@@ -323,7 +323,7 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
             edges = edges.union(new)
             labels = classes(edges)
             rows = rows.join(labels, "node", "left").withColumn("class", F.coalesce("label", "class")).drop("label")
-        rows, slots = spool(rows, "members"), min(2 * slots, PIVOTS)
+        rows, slots = spool(rows, "members"), min(4 * slots, PIVOTS)
 
 
 def near_duplicates(
