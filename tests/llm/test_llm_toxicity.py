@@ -61,3 +61,24 @@ def test_held_out_accuracy(spark):
     false = [r.predicted for r, y in held if not y]
     assert sum(recall) / len(recall) > 0.9
     assert sum(false) / len(false) < 0.05
+
+
+def test_words_that_ordinary_text_has_too_are_learnt():
+    """A toxic word in a few ordinary documents, and made of parts that ordinary words have."""
+    plain = [f"rivergate hillside {i} stonewall riverside stonegate".split() for i in range(200)]
+    toxic = [[*d, "riverwall"] for d in plain[:60]]
+    model = T.fit_words(toxic, [[*d, "riverwall"] if i % 50 == 0 else d for i, d in enumerate(plain)])
+    distance = T.Distance(model.ordinary, model.toxic)
+    assert model.probability(distance.text(["hillside", "riverwall"])) >= 0.5
+    assert model.probability(distance.text(["hillside", "rivergate", "stonewall"])) < 0.5
+
+
+def test_held_out_recall_in_every_language(spark):
+    got = {r.doc_id: r for r in T.op10_toxicity(spark, SF_DIR).collect()}
+    sql = f"SELECT l.doc_id, l.toxic, lang FROM '{SF_DIR}/labels.parquet' l JOIN '{SF_DIR}/documents.parquet' d USING (doc_id)"
+    held = [(got[i].predicted, y, lang) for i, y, lang in duckdb.sql(sql).fetchall() if got[i].held_out]
+    for lang in ("en", "fr", "de", "es"):
+        recall, false = ([p for p, y, of in held if y == toxic and of == lang] for toxic in (1, 0))
+        print(lang, sum(recall), len(recall), sum(false), len(false))
+        assert sum(recall) / len(recall) > 0.8
+        assert sum(false) / len(false) < 0.1

@@ -1,14 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text: one on ordinary text,
-one on the segments of toxic text that ordinary text lacks. A window of a text
-is compressed once under the ordinary dictionary and once under both; the bytes
-the toxic dictionary saves, relative to the window, are its distance. A text
-scores by its two largest distances against a threshold calibrated on labelled
+Two zstandard dictionaries are made of labelled text. The toxic one holds the
+windows (words) over-represented in toxic text, by a lower bound of their log
+odds against ordinary text. The ordinary one is trained on ordinary text and
+ends with the ordinary words the toxic dictionary would save most on. A window
+is compressed under each; the bytes saved by the toxic one, relative to what a
+window of the dictionary itself saves, are its distance. A text scores by the
+powers of its distances, summed, against a threshold calibrated on labelled
 documents that neither dictionary has seen.
 """
 
-import itertools
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -21,11 +22,15 @@ from tracemill.llm.common import free_name, table, text_of, words_of
 
 # At most so many labelled documents of each class are used for fitting.
 MAX_TOXIC, MAX_ORDINARY = 1500, 6000
-# A segment of toxic text counts from this many toxic documents, or this share of them.
-MIN_DOCS, MIN_SHARE = 3, 0.005
-# Characters that must be new to ordinary text for a segment to be kept.
-GRAM = 5
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
+# A window is toxic from this many toxic documents and this log odds ratio on, less so many standard errors.
+MIN_DOCS, MIN_LOG_ODDS, ERRORS = 3, 1.2, 2.0
+ORDINARY_BYTES, TOXIC_BYTES = 8192, 16384
+# Bytes of ordinary words confused with toxic ones, and the rounds in which they are found.
+CONFUSED_BYTES, CONFUSED_ROUNDS = 8192, 2
+# Savings of a window count as of so many bytes at least; distances count to this power in a text.
+LEAST_SAVING, POWER = 4, 8
+# Words a text is taken to have besides its own, so that one window in a short text isn't everything.
+MORE_WORDS = 20
 # Bytes both dictionaries end with and every window ends with, so that zstandard
 # compresses even a window of a few bytes and doesn't store it.
 FRAME = bytes(range(128, 168))
@@ -37,20 +42,36 @@ def window_bytes(word: str) -> bytes:
     return f" {word} ".encode("utf-8", "surrogatepass")
 
 
-def grams(word: str) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + GRAM] for i in range(max(1, len(padded) - GRAM + 1))]
-
-
-def novel_segments(word: str, known: set[str]) -> list[str]:
-    """The parts of a word covered by grams that `known` lacks."""
-    padded = f" {word} "
-    new = [False] * len(padded)
-    for i, gram in enumerate(grams(word)):
-        if gram not in known:
-            new[i : i + len(gram)] = [True] * len(gram)
-    runs = itertools.groupby(zip(new, padded, strict=True), key=lambda pair: pair[0])
-    return ["".join(c for _, c in run) for keep, run in runs if keep]
+def over_represented(toxic: list[list[str]], ordinary: list[list[str]]) -> dict[str, float]:
+    """Words of toxic documents with the lower bound of their log odds ratio, where it is large enough."""
+    in_toxic, in_ordinary = (Counter(w for doc in docs for w in doc) for docs in (toxic, ordinary))
+    least, found = min(MIN_DOCS, len(toxic)), {}
+    for word, n in in_toxic.items():
+        if n < least:
+            continue
+        t, o = n + 0.5, in_ordinary[word] + 0.5
+        odds = math.log(t / (len(toxic) - n + 0.5)) - math.log(o / (len(ordinary) - in_ordinary[word] + 0.5))
+        weight = odds - ERRORS * math.sqrt(1 / t + 1 / o)
+        if weight > MIN_LOG_ODDS:
+            found[word] = weight
+    return found
+
+
+def with_confused(ordinary: bytes, toxic: bytes, words: Counter) -> bytes:
+    """The ordinary dictionary and the words (by frequency) on which the toxic one saves most, the worst last."""
+    taken: set[str] = set()
+    more = b""
+    for _ in range(CONFUSED_ROUNDS):
+        distance = Distance(ordinary + more, toxic)
+        saved = ((n * distance.saved(w)[0], w) for w, n in words.items() if w not in taken)
+        found = []
+        for total, word in sorted((x for x in saved if x[0] > words[x[1]]), reverse=True):
+            if len(b"".join(found)) + len(window_bytes(word)) > CONFUSED_BYTES // CONFUSED_ROUNDS:
+                break
+            found.append(window_bytes(word))
+            taken.add(word)
+        more = b"".join(reversed(found)) + more
+    return ordinary + more
 
 
 def train_dictionary(size: int, samples: list[bytes]) -> bytes:
@@ -67,7 +88,9 @@ class Distance:
     """Compression lengths of windows under the two dictionaries; made once in a task."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.compressors = [self._compressor(ordinary), self._compressor(ordinary + toxic)]
+        self.compressors = [self._compressor(ordinary), self._compressor(toxic)]
+        # What a window of the toxic dictionary itself takes.
+        self.floor = len(self.compressors[1].compress(toxic[:12] + FRAME))
         self.cache: dict[str, float] = {}
 
     @staticmethod
@@ -85,27 +108,26 @@ class Distance:
         )
         return zstandard.ZstdCompressor(dict_data=data, compression_params=params)
 
+    def saved(self, word: str) -> tuple[int, int]:
+        """Bytes the toxic dictionary saves on a word, and the most it could."""
+        window = window_bytes(word) + FRAME
+        plain, toxic = (len(c.compress(window)) for c in self.compressors)
+        return plain - toxic, plain - self.floor
+
     def of(self, word: str) -> float:
         known = self.cache.get(word)
         if known is None:
-            window = window_bytes(word)
-            plain, toxic = (len(c.compress(window + FRAME)) for c in self.compressors)
-            known = max(0, plain - toxic) / len(window)
+            saved, most = self.saved(word)
+            known = min(1.0, max(0, saved) / max(LEAST_SAVING, most))
             if len(self.cache) >= CACHE_WINDOWS:
                 self.cache.clear()
             self.cache[word] = known
         return known
 
     def text(self, words: Iterable[str]) -> float:
-        """The largest distance, and a tenth of the next."""
-        first = second = 0.0
-        for word in set(words):
-            distance = self.of(word)
-            if distance > first:
-                first, second = distance, first
-            elif distance > second:
-                second = distance
-        return first + second / 10
+        """The distances of the distinct words to a high power, against the root of their number."""
+        distinct = set(words)
+        return math.fsum(self.of(w) ** POWER for w in distinct) / math.sqrt(MORE_WORDS + len(distinct))
 
 
 class Model:
@@ -128,21 +150,15 @@ def fit_words(toxic: list[list[str]], ordinary: list[list[str]]) -> Model:
     """
     toxic, ordinary = ([list(d) for d in dict.fromkeys(map(tuple, docs)) if d] for docs in (toxic, ordinary))
     cut_toxic, cut_ordinary = -(-len(toxic) * 7 // 10), -(-len(ordinary) * 7 // 10)
-    plain_words = set(itertools.chain.from_iterable(ordinary[:cut_ordinary]))
-    known = {gram for word in plain_words for gram in grams(word)}
-    by_doc = [
-        [s for word in doc if word not in plain_words for s in novel_segments(word, known)] for doc in toxic[:cut_toxic]
-    ]
-    docs_with = Counter(s for doc in by_doc for s in set(doc))
-    least = max(min(MIN_DOCS, cut_toxic), MIN_SHARE * cut_toxic)
-    samples = ["".join(s for s in doc if docs_with[s] >= least).encode("utf-8", "surrogatepass") for doc in by_doc]
-    samples = [s for s in samples if s]
-    if not samples:
+    weights = over_represented(toxic[:cut_toxic], ordinary[:cut_ordinary])
+    if not weights:
         return Model()
+    # The heaviest last, where a match costs least.
+    windows = b"".join(map(window_bytes, sorted(weights, key=lambda w: (weights[w], w))))[-TOXIC_BYTES:]
     plain = [b"".join(map(window_bytes, doc)) for doc in ordinary[:cut_ordinary]]
-    model = Model(
-        train_dictionary(ORDINARY_BYTES, plain)[-ORDINARY_BYTES:], train_dictionary(TOXIC_BYTES, samples)[-TOXIC_BYTES:]
-    )
+    learnt = train_dictionary(ORDINARY_BYTES, plain)[-ORDINARY_BYTES:]
+    others = Counter(w for doc in ordinary[:cut_ordinary] for w in doc if w not in weights)
+    model = Model(with_confused(learnt, windows, others), windows)
     distance = Distance(model.ordinary, model.toxic)
     scored = sorted(
         [(distance.text(d), 1) for d in toxic[cut_toxic:] or toxic]
