@@ -139,3 +139,20 @@ def test_connected_classes(spark, edges):
         for n in parent:
             parent[n] = set().union(*(parent[m] for m in parent[n]))
     assert got == {n: min(s) for n, s in parent.items()}
+
+
+def test_a_pair_at_the_threshold_shares_a_band():
+    assert (1 - M.SIMILARITY**M.ROWS) ** M.BANDS < 1e-4
+    assert len(set(M.Sampler().bands(np.arange(1, 200, dtype=np.uint64), np.ones(199)).tolist())) == M.BANDS
+
+
+def test_only_exact_bounds_keep_members_apart(spark):
+    """Similar texts are linked whatever their samples say."""
+    texts = {0: edited(words(100, 2), 1, 7), 1: edited(words(100, 2), 1, 8)}
+    members = spark.createDataFrame(
+        [(9, n, 90.0, [-n] * 3, 0, 90.0, [0] * 3) for n in texts],
+        "bucket long, node long, weight double, sketch array<long>, pivot long, p_weight double, p_sketch array<long>",
+    )
+    stored = spark.createDataFrame(list(texts.items()), "node long, text string")
+    got = {r.node: r.label for r in M.links(members, stored, np.ones(M.IDF_BUCKETS, np.float32)).collect()}
+    assert got == {0: 0, 1: 0}

@@ -23,11 +23,10 @@ from tracemill.session import spool
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# A pair of similarity s shares a band with probability 1 - (1 - s^ROWS)^BANDS: 0.995 at 0.8, 0.9994 at 0.85.
-BANDS, ROWS = 10, 4
-# Four bits of each sample make a sketch. Members of a bucket are compared if at most so many samples
-# differ in it; at similarity 0.8 a pair has 7.5 on average and more than 18 once in 20,000 cases.
-SKETCH_LONGS, MAX_DIFFERENT = 3, 18
+# A pair of similarity s shares a band with probability 1 - (1 - s^ROWS)^BANDS: 0.9999 at 0.8.
+BANDS, ROWS = 18, 4
+# Nothing but exact bounds keeps members of a bucket from being compared, so signatures carry no sketch.
+SKETCH_LONGS = 0
 # Words are counted by hash in so many buckets, so what every task receives has a fixed size.
 IDF_BUCKETS = 1 << 18
 # Pivots a bucket may have at a time of either sort; they begin with one and become four times as many by round.
@@ -154,10 +153,10 @@ class Sampler:
             drawn.append(mix(hashes[least] + t[rows, least].astype(np.int64).astype(np.uint64) * _STEP))
         return np.concatenate(best), np.concatenate(drawn)
 
-    def bands(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One key a band, and the sketch; no key without shingles."""
+    def bands(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """One key a band; none without shingles."""
         if not len(hashes):
-            return np.empty(0, np.int64), np.zeros(SKETCH_LONGS, np.int64)
+            return np.empty(0, np.int64)
         best, drawn = self.block(hashes[:BLOCK], weights[:BLOCK])
         for at in range(BLOCK, len(hashes), BLOCK):
             a, sample = self.block(hashes[at : at + BLOCK], weights[at : at + BLOCK])
@@ -165,10 +164,7 @@ class Sampler:
         keys = np.arange(BANDS, dtype=np.uint64)
         for row in drawn.reshape(ROWS, BANDS):
             keys = mix(keys * _STEP + row)
-        nibbles = np.zeros(16 * SKETCH_LONGS, np.uint64)
-        nibbles[: len(drawn)] = drawn & np.uint64(15)
-        sketch = np.bitwise_or.reduce(nibbles.reshape(-1, 16) << (4 * np.arange(16, dtype=np.uint64)), axis=1)
-        return keys.view(np.int64), sketch.view(np.int64)
+        return keys.view(np.int64)
 
 
 def fit_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -197,52 +193,40 @@ def fit_idf(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, digest of the text, weight, band keys and sketch."""
+    """Per row: doc_id, digest of the text, weight and band keys."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sampler = Shingles(idf), Sampler()
         for batch in pieces(batches):
-            weights, bands, sketches = [], [], []
+            weights, bands = [], []
             for text in batch.column(2).to_pylist():
                 hashes, weight = shingles.of(text)
-                keys, sketch = sampler.bands(hashes, weight)
                 weights.append(float(weight.sum()))
-                bands.append(keys)
-                sketches.append(sketch)
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bands, sketches)]
+                bands.append(sampler.bands(hashes, weight))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(weights, pa.float64()), *lists],
-                names=["doc_id", "digest", "weight", "bands", "sketch"],
+                [batch.column(0), batch.column(1), pa.array(weights, pa.float64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "digest", "weight", "bands"],
             )
 
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, digest string, weight double, bands array<long>, sketch array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest string, weight double, bands array<long>")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
     """A row per text and bucket, of the buckets with two texts or more, with the bucket's pivot: its least node."""
-    rows = nodes.select("node", "weight", "sketch", F.posexplode("bands").alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("bucket"), "node", "weight", "sketch"
-    )
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("node", "weight", "sketch")).alias("p"))
-    shared = shared.filter("n > 1").select(
-        "bucket", F.col("p.node").alias("pivot"), F.col("p.weight").alias("p_weight"), F.col("p.sketch").alias("p_sketch")
+    rows = nodes.select("node", "weight", F.posexplode("bands").alias("band", "key")).select(
+        F.xxhash64("band", "key").alias("bucket"), "node", "weight"
     )
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("node", "weight")).alias("p"))
+    shared = shared.filter("n > 1").select("bucket", F.col("p.node").alias("pivot"), F.col("p.weight").alias("p_weight"))
     return spool(rows.join(spool(shared, "buckets"), "bucket"), "members")
 
 
 def _may_match(threshold: float) -> Column:
-    """Whether weights and sketches let a member and a pivot be similar."""
-    different = F.lit(0)
-    for k in range(SKETCH_LONGS):
-        x = F.get("sketch", F.lit(k)).bitwiseXOR(F.get("p_sketch", F.lit(k)))
-        x = x.bitwiseOR(F.shiftright(x, 1))
-        x = x.bitwiseOR(F.shiftright(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        different = different + F.bit_count(x)
-    alike = F.least("weight", "p_weight") >= (threshold - 1e-9) * F.greatest("weight", "p_weight")
-    return alike & (different <= MAX_DIFFERENT)
+    """Whether their weights let a member and a pivot be similar: the lesser over the greater bounds the similarity."""
+    return F.least("weight", "p_weight") >= (threshold - 1e-9) * F.greatest("weight", "p_weight")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -281,7 +265,7 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     pivot and meet only what isn't in their class yet, half are not; there are
     more in each round, so a dense group settles before many are compared.
     A pair is passed over only if it can't matter: both are in one class
-    already, their weights or sketches differ too much, or the bucket's first
+    already, their weights differ too much, or the bucket's first
     pivot proves them apart (1 - similarity is a metric). So a bucket of copies
     ends after one pivot, and links between other members are still found.
     """
@@ -291,9 +275,9 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     found = _similar(others.filter(alike), texts, idf)
     edges = _edges(found, threshold)
     labels = classes(edges)
-    rows = members.select("bucket", "node", "weight", "sketch", "pivot").join(found, ["node", "pivot"], "left")
+    rows = members.select("bucket", "node", "weight", "pivot").join(found, ["node", "pivot"], "left")
     rows = rows.join(labels, "node", "left").select(
-        "bucket", "node", "weight", "sketch", F.coalesce("label", "node").alias("class"), (1 - F.col("sim")).alias("d"),
+        "bucket", "node", "weight", F.coalesce("label", "node").alias("class"), (1 - F.col("sim")).alias("d"),
         (F.col("node") == F.col("pivot")).alias("done"),
     )
     # The first pivots have met all of their buckets.
@@ -304,11 +288,11 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
             return labels
         close = F.coalesce(F.col("d") <= apart, F.lit(False)).alias("close")
         slot = F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")
-        pivot = F.min(F.struct("node", "weight", "sketch", "class", "d")).alias("p")
+        pivot = F.min(F.struct("node", "weight", "class", "d")).alias("p")
         pivots = spool(
             rows.groupBy("bucket", close, slot)
             .agg(pivot)
-            .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "weight", "sketch", "class", "d")]),
+            .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "weight", "class", "d")]),
             "pivots",
         )
         met = rows.join(pivots, "bucket").filter(
@@ -341,7 +325,7 @@ def near_duplicates(
     idf = fit_idf(docs, text_col)
     rows = spool(signatures(docs, idf, id_col, text_col), "signatures")
     distinct = rows.groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
     )
     # Numbered once and written, so the numbers stay.
     nodes = spool(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
