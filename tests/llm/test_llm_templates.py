@@ -108,3 +108,13 @@ def test_query_drops_exactly_the_repeats(spark):
             elif len(where[line]) > 1 and min(where[line]) != i:
                 assert line not in kept
     assert got.keys() == {i for i, _ in rows}
+
+
+def test_a_leaf_has_as_many_templates_as_it_needs(docs):
+    """Lines of one length that share twelve tokens: twenty templates, each in two documents with one word changed."""
+    head = "all of these lines begin in the very same way and then"
+    names = "abcdefghijklmnopqrst"
+    body = lambda c: " ".join(f"{c}{k}" for k in ("one", "two", "three", "four", "five", "six", "seven"))
+    rows = [(2 * i + k, f"{head} {body(c)} {w}{c}") for i, c in enumerate(names) for k, w in enumerate(("red", "blue"))]
+    got = {r.doc_id: r.text for r in T.drop_repeated(docs(rows)).collect()}
+    assert got == {i: t if i % 2 == 0 else "" for i, t in rows}

@@ -4,9 +4,9 @@ Lines go down a tree of fixed depth: by token count, then by leading tokens.
 Tokens with a digit are variable fields from the start. In a leaf the most
 frequent line leads a template, and lines that agree with it on enough
 positions are the same template, their other positions being variable too.
-Lines that lead nowhere go on to leaves of more leading tokens. A template that
-recurs in several documents stays in the first of them and is dropped from the
-others.
+More leaders are elected, ever more a round, until every line of the leaf leads
+or is led. A template that recurs in several documents stays in the first of
+them and is dropped from the others.
 
 Only hashes travel: of a line its digest, its leaves and one character a token.
 """
@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tracemill.llm.common import free_name, table, text_of
 from tracemill.session import spool
 
-# Leading tokens of the leaves, level by level.
-DEPTHS = (3, 6, 12)
+# Leading tokens of the leaves.
+DEPTHS = (3,)
+# A leaf has one leader in the first round and so many times as many in each further one.
+MORE_LEADERS = 16
 # Share of positions a line has in common with the template's leader.
 AGREEMENT = 0.85
 # A template is dropped from this many documents on; shorter lines are left alone.
@@ -60,30 +62,71 @@ def agreement(a: Column, b: Column) -> Column:
     return F.aggregate(equal, F.lit(0), lambda n, x: n + x) / F.length(a)
 
 
+def _slices(shape: str, agreed: float) -> Column:
+    """Keys of a line of which two agreeing lines of a leaf share one at least.
+
+    The positions behind the leaf's own are cut into one slice more than lines
+    may differ in positions, so one slice is equal.
+    """
+    first, length = max(DEPTHS), F.length(shape)
+    cuts = F.floor((1 - agreed) * length + 1e-6).cast("int") + 1
+    start = lambda i: F.floor(i * (length - first) / cuts).cast("int")
+    piece = lambda i: F.substring(F.col(shape), start(i) + first + 1, start(i + 1) - start(i))
+    return F.transform(F.sequence(F.lit(0), cuts - 1), lambda i: F.xxhash64("leaf0", i, piece(i)))
+
+
+def _crowded(rest: DataFrame) -> DataFrame:
+    """The lines of leaves that have two or more."""
+    leaves = rest.groupBy("leaf0").agg(F.count("*").alias("n_lines")).filter("n_lines > 1").select("leaf0")
+    return spool(rest.join(spool(leaves, "leaves"), "leaf0"), "unled")
+
+
 def _leaders(lines: DataFrame, agreed: float) -> DataFrame:
-    """(h1, h2, t1, t2): the lines that belong to another line's template, and that line."""
-    # A line alone in its leaf is alone in the deeper ones too.
+    """(h1, h2, t1, t2): the lines that belong to another line's template, and that line.
+
+    In rounds, until no leaf has two lines left. A leaf's lines are dealt over
+    slots by hash, and the most frequent line of each slot stands as a leader;
+    every line of the leaf that may agree with it is compared with it. Leaders no
+    earlier leader agrees with leave with the lines they take. The first of a leaf is
+    one of them, so each round settles some.
+    """
+    # A line alone in its leaf leads itself.
     shared = lines.groupBy("leaf0").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     shared = spool(shared.filter("low < high").select("leaf0"), "shared-leaves")
-    more = [F.first(c).alias(c) for c in ("shape", *[f"leaf{i}" for i in range(len(DEPTHS))])]
-    rest = lines.join(shared, "leaf0").groupBy("h1", "h2").agg(F.count("*").alias("n"), *more)
+    more = [F.first(c).alias(c) for c in ("shape", "leaf0")]
+    rest = lines.join(shared, "leaf0").groupBy("h1", "h2").agg((-F.count("*")).alias("rank"), *more)
     rest = spool(rest, "distinct-lines")
-    found = None
-    for i in range(len(DEPTHS)):
-        leader = F.min(F.struct((-F.col("n")).alias("order"), "h1", "h2", "shape")).alias("lead")
-        leaves = rest.groupBy(f"leaf{i}").agg(leader, F.count("*").alias("n_lines")).filter("n_lines > 1")
-        leaves = spool(
-            leaves.select(f"leaf{i}", F.col("lead.h1").alias("t1"), F.col("lead.h2").alias("t2"), F.col("lead.shape").alias("lead")),
-            "leaves",
-        )
-        led = rest.join(leaves, f"leaf{i}").filter(
-            (F.length("shape") == F.length("lead")) & (agreement(F.col("shape"), F.col("lead")) >= agreed)
-        )
-        led = spool(led.select("h1", "h2", "t1", "t2"), "led")
+    found, slots = None, 1
+    while True:
+        slot = F.pmod("h2", F.lit(slots)).alias("slot")
+        lead = F.min(F.struct("rank", "h1", "h2", "shape")).alias("lead")
+        fields = [F.col(f"lead.{c}").alias(n) for c, n in (("rank", "t_rank"), ("h1", "t1"), ("h2", "t2"), ("shape", "lead"))]
+        leaders = spool(rest.groupBy("leaf0", slot).agg(lead).select("leaf0", *fields), "standing")
+        other = (F.col("h1") != F.col("t1")) | (F.col("h2") != F.col("t2"))
+        if slots == 1:
+            pairs = rest.join(leaders, "leaf0").filter(other)
+        else:
+            of_line = rest.select("h1", "h2", F.explode(_slices("shape", agreed)).alias("key"))
+            of_leader = leaders.select("t1", "t2", F.explode(_slices("lead", agreed)).alias("key"))
+            pairs = of_line.join(of_leader, "key").filter(other).select("h1", "h2", "t1", "t2").distinct()
+            pairs = spool(pairs, "pairs").join(rest.select("h1", "h2", "shape", "rank"), ["h1", "h2"])
+            pairs = pairs.join(leaders.select("t1", "t2", "t_rank", "lead"), ["t1", "t2"])
+        alike = (F.length("shape") == F.length("lead")) & (agreement(F.col("shape"), F.col("lead")) >= agreed)
+        standing = leaders.select(F.col("t1").alias("h1"), F.col("t2").alias("h2"), F.lit(True).alias("leads"))
+        # Of two leaders that agree only the first may take the other.
+        later = F.struct("t_rank", "t1", "t2") < F.struct("rank", "h1", "h2")
+        met = pairs.filter(alike).join(standing, ["h1", "h2"], "left").filter(F.isnull("leads") | later)
+        met = spool(met.select("h1", "h2", "t1", "t2", "t_rank", "leads"), "met")
+        taken = met.filter("leads").select(F.col("h1").alias("t1"), F.col("h2").alias("t2")).distinct()
+        first = F.min(F.struct("t_rank", "t1", "t2")).alias("t")
+        led = met.join(taken, ["t1", "t2"], "left_anti").groupBy("h1", "h2").agg(first)
+        led = spool(led.select("h1", "h2", "t.t1", "t.t2"), "led")
         found = led if found is None else found.union(led)
-        if i + 1 < len(DEPTHS):
-            rest = spool(rest.join(led, ["h1", "h2"], "left_anti"), "unled")
-    return spool(found.filter((F.col("h1") != F.col("t1")) | (F.col("h2") != F.col("t2"))), "leaders")
+        done = leaders.join(taken, ["t1", "t2"], "left_anti").select(F.col("t1").alias("h1"), F.col("t2").alias("h2"))
+        rest = _crowded(rest.join(led.select("h1", "h2").union(done), ["h1", "h2"], "left_anti"))
+        if rest.isEmpty():
+            return spool(found, "leaders")
+        slots = min(MORE_LEADERS * slots, 1 << 60)
 
 
 def repeated_lines(
