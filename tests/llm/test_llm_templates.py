@@ -118,3 +118,9 @@ def test_a_leaf_has_as_many_templates_as_it_needs(docs):
     rows = [(2 * i + k, f"{head} {body(c)} {w}{c}") for i, c in enumerate(names) for k, w in enumerate(("red", "blue"))]
     got = {r.doc_id: r.text for r in T.drop_repeated(docs(rows)).collect()}
     assert got == {i: t if i % 2 == 0 else "" for i, t in rows}
+
+
+def test_short_lines_go_where_they_are_equal(docs):
+    rows = [(1, "All rights reserved.\npage 17"), (2, "page 18\nAll rights reserved."), (3, "All rights kept.\npage\t17\n\n 7"), (4, "8")]
+    got = {r.doc_id: r.text for r in T.drop_repeated(docs(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "page 18", 3: "All rights kept.\n\n 7", 4: "8"}

@@ -22,21 +22,24 @@ DEPTHS = (3,)
 MORE_LEADERS = 16
 # Share of positions a line has in common with the template's leader.
 AGREEMENT = 0.85
-# A template is dropped from this many documents on; shorter lines are left alone.
-MIN_DOCS, MIN_TOKENS = 2, 5
+# A template is dropped from this many documents on; lines without a token are left alone.
+MIN_DOCS, MIN_TOKENS = 2, 1
+# Shorter lines have no variable fields: they are a template with equal lines only.
+MIN_FIELDS = 5
 
 FIELD = "<*>"
 
 
 def tokens_of(line: Column) -> Column:
-    """Blank-separated tokens, those with a digit as a variable field."""
+    """Blank-separated tokens, in lines of `MIN_FIELDS` or more those with a digit as a variable field."""
     blanks = F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(blanks, "[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(blanks)
-    return F.array_remove(F.split(masked, " "), "")
+    plain, fields = (F.array_remove(F.split(c, " "), "") for c in (blanks, masked))
+    return F.when(F.size(fields) >= MIN_FIELDS, fields).otherwise(plain)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line long enough: where it stands, its digest, its leaves and its shape."""
+    """One row per line with a token: where it stands, its digest, its leaves and its shape."""
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("body"), F.split(text, "\n").alias("lines"))
     rows = rows.select("doc_id", "body", F.posexplode("lines").alias("line_no", "line"))
@@ -44,7 +47,9 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.filter(F.size("tokens") >= MIN_TOKENS)
     # A printable character of the token's hash.
     char = lambda t: F.char(F.pmod(F.hash(t), F.lit(90)) + 33)
-    leaf = lambda d: F.xxhash64(F.size("tokens"), F.slice("tokens", 1, d))
+    # A short line has a leaf of its own, where only equal lines are.
+    leading = lambda d: F.when(F.size("tokens") >= MIN_FIELDS, F.slice("tokens", 1, d)).otherwise(F.col("tokens"))
+    leaf = lambda d: F.xxhash64(F.size("tokens"), leading(d))
     return rows.select(
         "doc_id",
         "body",
