@@ -67,3 +67,27 @@ def test_query_keeps_the_base(spark):
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in plain(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("BASE=k9Js8sLq2w\ndb_pwd=${BASE}\n", ["k9Js8sLq2w"]),
+        ("BASE: k9Js8sLq2w\ndb_pwd: \"pre-\" + $BASE\n", ["k9Js8sLq2w", "pre-"]),
+        ("title: k9Js8sLq2w\n", []),
+        ("db_pwd:\n  k9Js8sLq2w\n", ["k9Js8sLq2w"]),
+        ("db_pwd: |\n  k9Js8sLq2w\nother: 5\n", ["k9Js8sLq2w"]),
+        ("db_pwd:\n  user: abc12345\n", []),
+        ('db_pwd = """k9Js8sLq2w"""', ["k9Js8sLq2w"]),
+        ('db_pwd = """\nk9Js8sLq2w\n"""\nx = 1', ["\nk9Js8sLq2w\n"]),
+        ('doc = """\ndb_pwd = "k9Js8sLq2w"\n"""\n', ["k9Js8sLq2w"]),
+        ('db_pwd = \\\n  "k9Js8sLq2w"\n', ["k9Js8sLq2w"]),
+        ('db_pwd = (\n "k9Js8s"\n "Lq2w77"\n)\n', ["k9Js8s", "Lq2w77"]),
+        ('user_pwd = "MyTestDb#2024"', ["MyTestDb#2024"]),
+        ('user_pwd = "correct Horse7 battery"', ["correct Horse7 battery"]),
+        ('user_pwd = "your_password"', []),
+        ('user_pwd = "mypassword"', ["mypassword"]),
+    ],
+)
+def test_bare_constants_continued_lines_and_whole_placeholders(text, found):
+    assert [text[a:b] for k, a, b in S.all_spans(text)[1] if k == "literal"] == found

@@ -39,10 +39,16 @@ SENSITIVE = {
 }
 # A pair is reported from this score on: sensitivity of the name, at least 2, and randomness of the literal.
 MIN_SENSITIVITY, MIN_SCORE, MIN_LITERAL = 2, 4.0, 6
-PLACEHOLDER = re.compile(r"(?i)(x{3,}|\*{2,}|\.{3}|<.*>|change_?me|your|example|dummy|placeholder|none|null|true|false|test|todo)")
+# Whole literals that stand for a value to be filled in.
+PLACEHOLDER = re.compile(
+    r"(?is)(x{3,}|\*{2,}|\.{3,}|<.*>|\$?\{.*\}"
+    r"|(?=.*(?:change_?me|your|example|dummy|placeholder|none|null|true|false|test|todo))(?:(?:my|your|the|an?|some|insert|enter|change_?me|change|example|dummy|sample|placeholder|none|null|true|false|test|todo|here|value"
+    r"|pass|password|passwd|pwd|secret|token|key|api|private|access|auth|user|name|client|id)[\W_]*)+)"
+)
 
 LEX = re.compile(
-    r"(?P<string>\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*')"
+    r"(?P<long>\"\"\"(?s:.*?)\"\"\"|\'\'\'(?s:.*?)\'\'\')"
+    r"|(?P<string>\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*')"
     r"|(?P<ref>\$\{[A-Za-z_]\w*\}|\$[A-Za-z_]\w*|%\([A-Za-z_]\w*\)s)"
     r"|(?P<op>:=|=>|[=!<>]=|=|:)"
     r"|(?P<name>[A-Za-z_][\w.-]*)"
@@ -95,31 +101,95 @@ def pairs(text: str) -> Iterator[tuple[str, Value]]:
     """Names with the literals assigned to them, in order of the text.
 
     A right side is a run of literals and known names joined by an operator or
-    standing side by side; a bare word counts as a literal if the name before
-    it is a key of a configuration line. Names keep their last value.
+    standing side by side, or a bare word. It may begin on a line after its
+    name and go on over line ends: in three quotes, behind a backslash or an
+    operator, in open brackets, or indented below the name as a block. Names
+    keep their last value.
     """
     known: dict[str, Value] = {}
     at = 0
     while at < len(text):
-        stop = text.find("\n", at)
-        stop = len(text) if stop < 0 else stop
+        stop = _line_end(text, at)
         if text.find("=", at, stop) >= 0 or text.find(":", at, stop) >= 0:
-            yield from _line_pairs(text, at, stop, known)
-        at = stop + 1
+            at = yield from _line_pairs(text, at, stop, known)
+        else:
+            at = stop + 1
+
+
+def _line_end(text: str, at: int) -> int:
+    stop = text.find("\n", at)
+    return len(text) if stop < 0 else stop
+
+
+def _lexed(text: str, at: int, stop: int) -> tuple[list, int]:
+    """The tokens of a line and where it ends; one in three quotes takes the line to its own end."""
+    tokens = []
+    while True:
+        for m in LEX.finditer(text, at, stop):
+            if m.lastgroup == "string" and m[0] in ('""', "''") and text.startswith(m[0][0], m.end()):
+                whole = LEX.match(text, m.start())
+                if whole.lastgroup == "long":
+                    tokens.append(("string", whole[0][2:-2], whole.start() + 2, whole.end() - 2))
+                    at = whole.end()
+                    stop = max(stop, _line_end(text, at))
+                    break
+            if m.lastgroup == "long":
+                tokens.append(("string", m[0][2:-2], m.start() + 2, m.end() - 2))
+            else:
+                tokens.append((m.lastgroup, m[0], m.start(), m.end()))
+        else:
+            return tokens, stop
+
+
+def _indent(text: str, at: int) -> int:
+    return len(re.compile(r"[ \t]*").match(text, at)[0])
+
+
+def _goes_on(text: str, at: int, tokens: list, stop: int) -> bool:
+    """Whether the assignment a line ends in takes its value, or more of it, from the next line."""
+    if not tokens or stop >= len(text):
+        return False
+    ops = [i for i, t in enumerate(tokens) if t[0] == "op" and t[1] in ASSIGNMENTS]
+    if not ops:
+        return False
+    kind, word = tokens[-1][:2]
+    right = tokens[ops[-1] + 1 :]
+    if kind == "join" or kind == "other" and word == "\\" or kind == "open" and word == "(":
+        return True
+    if any(t[1] == "(" for t in right) and sum((t[1] == "(") - (t[1] == ")") for t in right) > 0:
+        return True
+    # Nothing, or the sign of a block, behind the operator: an indented line below is the value.
+    if not right and tokens[-1][1] != ":" or [t[1] for t in right] in ([], ["|"], [">"], ["|", "-"], [">", "-"]):
+        return _indent(text, stop + 1) > _indent(text, at) or tokens[-1][1] in ("=", ":=", "=>")
+    return False
 
 
 def _line_pairs(text: str, at: int, stop: int, known: dict[str, Value]) -> Iterator[tuple[str, Value]]:
-    tokens = [(m.lastgroup, m[0], m.start(), m.end()) for m in LEX.finditer(text, at, stop)]
+    """The pairs of the line at `at` and of those it goes on over; returns where the next line begins."""
+    start, first_stop, (tokens, stop) = at, stop, _lexed(text, at, stop)
+    # What stands in three quotes may hold pairs itself.
+    again = first_stop if stop > first_stop else None
+    while _goes_on(text, start, tokens, stop):
+        more, after = _lexed(text, stop + 1, _line_end(text, stop + 1))
+        if any(t[0] == "op" and t[1] in ASSIGNMENTS for t in more):
+            # The next line has a name of its own.
+            break
+        while tokens[-1][0] == "other" and tokens[-1][1] in "\\|>" or tokens[-1][1] == "-" and tokens[-2][1] in "|>":
+            tokens.pop()
+        tokens, stop = tokens + more, after
+        if not more:
+            break
     for i, (kind, op, _, _) in enumerate(tokens):
         if kind != "op" or op not in ASSIGNMENTS or not i:
             continue
         name = _target(tokens, i)
         if not name:
             continue
-        value = _right_side(tokens, i + 1, known, bare=sensitivity(name) >= MIN_SENSITIVITY)
+        value = _right_side(tokens, i + 1, known)
         if value is not None:
             known[name] = value
             yield name, value
+    return (stop if again is None else again) + 1
 
 
 def _target(tokens: list, i: int) -> str | None:
@@ -132,7 +202,7 @@ def _target(tokens: list, i: int) -> str | None:
     return word if kind == "name" else None
 
 
-def _right_side(tokens: list, i: int, known: dict[str, Value], bare: bool) -> Value | None:
+def _right_side(tokens: list, i: int, known: dict[str, Value]) -> Value | None:
     value, expect = None, True
     while i < len(tokens):
         kind, word, start, end = tokens[i]
@@ -146,7 +216,7 @@ def _right_side(tokens: list, i: int, known: dict[str, Value], bare: bool) -> Va
             if found is None or not expect:
                 break
             value, expect = (value or Value()) + found, False
-        elif kind in ("name", "value") and bare and value is None:
+        elif kind in ("name", "value") and value is None:
             # A bare word goes on to the next blank or closing sign.
             while i + 1 < len(tokens) and tokens[i + 1][2] == end and tokens[i + 1][1] not in ",;)]}":
                 i, end = i + 1, tokens[i + 1][3]
@@ -167,12 +237,12 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
         weight = sensitivity(name)
         if weight < MIN_SENSITIVITY:
             continue
-        whole = value.text or "".join(text[a:b] for a, b in value.spans)
+        whole = "".join(text[a:b] for a, b in value.spans)
         bare = not value.text
-        if len(whole) < MIN_LITERAL or PLACEHOLDER.search(whole) or " " in whole:
+        if len(whole) < MIN_LITERAL or PLACEHOLDER.fullmatch(whole.strip()):
             continue
         # A bare word must hold more than letters, else prose after a colon would count.
-        if bare and not re.search("[0-9]", whole):
+        if bare and (" " in whole or not re.search("[0-9]", whole)):
             continue
         if weight + randomness(whole) >= MIN_SCORE:
             out.update(("literal", a, b) for a, b in value.spans if b > a)
