@@ -26,8 +26,5 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op3_sampled_pieces": op3_sampled_pieces,
-    "op4_semi_markov_pii": op4_semi_markov_pii,
-    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": quality.ORACLE,
 }
