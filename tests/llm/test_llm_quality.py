@@ -67,3 +67,12 @@ def test_policies_and_ablations(spark, odd, empty):
 def test_main_path_has_no_python(spark):
     plan = Q.op6_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_windows_are_told_apart_by_their_whole_hashes(spark):
+    """Hashes that differ in their upper bits only are no repeats."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([([7, 7 + (1 << 62), -3, 7, 9, 7 - (1 << 63)],)], "w array<long>")
+    df = df.withColumn("s", Q._sorted_windows(F.col("w")))
+    assert df.select(Q._repeated_starts(F.col("s"), F.size("s")).alias("r")).first().r == [0, 3]

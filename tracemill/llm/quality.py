@@ -65,42 +65,37 @@ def _pairs(items: Column, size: Column, join) -> Column:
     return F.zip_with(F.slice(items, F.lit(1), n), F.slice(items, F.lit(2), n), join)
 
 
+def _sorted_windows(windows: Column) -> Column:
+    """Whole window hashes with their positions, equal hashes side by side."""
+    return F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))))
+
+
+def _repeated_starts(found: Column, size: Column) -> Column:
+    """The positions of windows found twice or more, in order; `found` as `_sorted_windows` gives it, of `size`."""
+    pairs = _pairs(
+        found,
+        size,
+        lambda a, b: F.when(a["w"] == b["w"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<bigint>")),
+    )
+    return F.sort_array(F.array_distinct(F.flatten(pairs)))
+
+
 def _repeat_words(df: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words in three-word windows found twice or more in the text.
 
-    A window's hash and position share one long, sorted as primitives; equal
-    neighbours are repeats. The hash takes every bit the position leaves free.
+    Windows are told apart by hashes of 64 bits, whatever the text's length.
     """
     n = F.greatest(F.size("_words") - 2, F.lit(0))
     hashes = F.col("_hashes")
-    low = F.col("_bits")
-    df = df.withColumns(
-        {
-            "_hashes": F.transform("_words", lambda w: F.xxhash64(w)),
-            "_bits": F.ceil(F.log2(F.size("_words") + F.lit(2))).cast("int"),
-        }
-    )
+    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     windows = F.zip_with(
         F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(2), n), lambda a, b: F.xxhash64(a, b)),
         F.slice(hashes, F.lit(3), n),
         lambda ab, c: F.xxhash64(ab, c),
     )
     df = df.withColumn("_windows", windows)
-    keyed = F.transform("_windows", lambda w, i: F.call_function("shiftleft", w, low).bitwiseOR(i.cast("long")))
-    df = df.withColumn("_sorted", F.sort_array(keyed))
-    one = F.lit(1).cast("long")
-    position = F.call_function("shiftleft", one, low) - one
-    window_of = lambda k: F.call_function("shiftright", k, low)
-    repeats = F.flatten(
-        _pairs(
-            F.col("_sorted"),
-            n,
-            lambda a, b: F.when(
-                window_of(a) == window_of(b), F.array(a.bitwiseAND(position), b.bitwiseAND(position))
-            ).otherwise(F.array().cast("array<bigint>")),
-        )
-    )
-    df = df.withColumn("_starts", F.sort_array(F.array_distinct(repeats)))
+    df = df.withColumn("_sorted", _sorted_windows(F.col("_windows")))
+    df = df.withColumn("_starts", _repeated_starts(F.col("_sorted"), n))
     three = F.lit(3).cast("long")
     covered = F.aggregate(
         _pairs(F.col("_starts"), F.size("_starts"), lambda a, b: F.least(three, b - a)), three, lambda sum, x: sum + x
