@@ -35,7 +35,7 @@ def test_stages_take_effect(spark):
 
 
 def test_run_and_whole_texts(spark):
-    n = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/documents.parquet'").fetchone()[0]
+    n = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/documents.parquet'").fetchall()[0][0]
     rows = C.run(spark, SF_DIR)
     assert 0 < rows.count() < n and rows.columns == ["doc_id", "n_pieces", "ids", "lossless"]
 

@@ -1,6 +1,7 @@
 """The operators bound to their tables, and the SQL of those SQL can express."""
 
-from tracemill.llm import quality
+from tracemill.llm import audit, quality
+from tracemill.llm.audit import op13_filter_audit
 from tracemill.llm.language import op9_language_fusion
 from tracemill.llm.minhash import op5_minhash_near_dedup
 from tracemill.llm.pieces import op3_sampled_pieces
@@ -23,8 +24,10 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_language_fusion": op9_language_fusion,
     "op10_toxicity": op10_toxicity,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE: dict[str, str] = {
     "op6_quality_rules": quality.ORACLE,
+    "op13_filter_audit": audit.ORACLE,
 }
