@@ -158,7 +158,7 @@ WITH RECURSIVE words AS (
 ), steps AS (
     SELECT filter_order, step, filter_order[step] AS letter,
            1 << (ord(filter_order[step]) - 65) AS this,
-           list_sum(list_transform(range(1, step), k -> 1 << (ord(filter_order[k]) - 65))) AS earlier
+           list_sum(list_transform(range(1, step), lambda k: 1 << (ord(filter_order[k]) - 65))) AS earlier
     FROM orders, range(1, 6) AS s(step) WHERE used = 31
 ), totals AS (
     SELECT part, filter_order, step::INT AS step, letter,
