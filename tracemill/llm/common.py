@@ -1,7 +1,8 @@
 """Small helpers the operators share."""
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -41,3 +42,21 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Itera
         step = max(1, batch.num_rows * limit // max(1, batch.nbytes))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def covered(spans: Iterable[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that (kind, start, end) spans cover, in order and apart."""
+    starts, ends = [], []
+    for _, a, b in sorted(spans, key=lambda s: s[1:]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(b, ends[-1])
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def overlaps(stretches: tuple[list[int], list[int]], a: int, b: int) -> bool:
+    """Whether [a, b) shares a place with any of the stretches."""
+    starts, ends = stretches
+    return bisect_right(ends, a) < bisect_left(starts, b)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tracemill.llm.common import pieces, table, text_of
+from tracemill.llm.common import covered, overlaps, pieces, table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -35,11 +35,14 @@ MAX_SAMPLE, MAX_SAMPLE_CHARS = 400, 240
 AROUND = 40
 # Atoms of the longest segment.
 MAX_ATOMS = 24
+# First atoms of the segments held at a time.
+WINDOW = 2048
 # Features are hashed to so many weights.
 WEIGHTS = 1 << 14
 EPOCHS, RATE, DECAY = 6, 0.3, 1e-3
 
 TRIGGER = re.compile(r"[0-9@]|[(\[{<]\s?(?:at|AT)\s?[)\]}>]|\bdot\b|\bDOT\b")
+BLANK = re.compile(r"\s")
 ATOM = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 
 
@@ -73,7 +76,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The plain forms: (kind, start, end), by kind and then start."""
     out = [("email", a, b) for a, b in emails(text)]
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        octets = (p.lstrip("0") or "0" for p in m[0].split("."))
+        if all(len(p) <= 3 and int(p) <= 255 for p in octets):
             out.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         digits = only_digits(m[0])
@@ -93,17 +97,21 @@ def neighbourhoods(text: str) -> list[tuple[int, int]]:
             out[-1][1] = b
         else:
             out.append([a, b])
-    for span in out:
-        while span[0] and not text[span[0] - 1].isspace() and span[0] > out[0][0] - AROUND:
-            span[0] -= 1
-        while span[1] < len(text) and not text[span[1]].isspace() and span[1] - span[0] < 1 << 20:
-            span[1] += 1
+    # Out to the blanks around, or to the neighbourhood before, which then goes on in this one.
     merged: list[list[int]] = []
     for a, b in out:
+        if not merged or a > merged[-1][1]:
+            low = merged[-1][1] if merged else 0
+            blank = max((m.end() for m in BLANK.finditer(text, low, a)), default=None)
+            a = low if blank is None else blank
         if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(b, merged[-1][1])
-        else:
-            merged.append([a, b])
+            a, b = merged[-1][0], max(b, merged[-1][1])
+            if merged.pop()[1] == b:
+                # Out to a blank already.
+                merged.append([a, b])
+                continue
+        end = BLANK.search(text, b)
+        merged.append([a, end.start() if end else len(text)])
     return [(a, b) for a, b in merged]
 
 
@@ -158,14 +166,18 @@ def plausible(text: str, a: int, b: int) -> bool:
 
 
 class Lattice:
-    """The candidate segments of a neighbourhood: atoms from i to j, with hashed features."""
+    """The candidate segments of a neighbourhood: atoms from i to j, with hashed features.
+
+    With `first` and `last`, only the segments whose first atom is one of those.
+    """
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, atoms: list[tuple[int, int]] | None = None, first: int = 0, last: int | None = None):
         self.text = text
-        self.atoms = [m.span() for m in ATOM.finditer(text)]
+        self.atoms = [m.span() for m in ATOM.finditer(text)] if atoms is None else atoms
         self.n = len(self.atoms)
         self.segments, hashed = [], []
-        for i, (a, _) in enumerate(self.atoms):
+        for i in range(first, self.n if last is None else min(last, self.n)):
+            a = self.atoms[i][0]
             for j in range(i + 1, min(self.n, i + MAX_ATOMS) + 1):
                 b = self.atoms[j - 1][1]
                 if plausible(text, a, b):
@@ -174,45 +186,21 @@ class Lattice:
         width = max(map(len, hashed), default=0)
         # Absent features point at the last weight, which stays 0.
         self.hashed = np.array([h + [WEIGHTS] * (width - len(h)) for h in hashed], np.int64).reshape(len(hashed), width)
-        self.into: list[list[int]] = [[] for _ in range(self.n + 1)]
-        for k, (_, j) in enumerate(self.segments):
-            self.into[j].append(k)
-
     def scores(self, weights: np.ndarray) -> np.ndarray:
         """Of each segment and kind."""
         return weights[self.hashed].sum(axis=1) if len(self.segments) else np.empty((0, len(KINDS)))
 
-    def best(self, weights: np.ndarray) -> list[tuple[str, int, int]]:
-        """The best segmentation; atoms in no segment score 0. Ties go to fewer segments."""
-        scores = self.scores(weights)
-        top_kind = scores.argmax(axis=1) if len(scores) else []
-        value, back = [0.0] * (self.n + 1), [None] * (self.n + 1)
-        for j in range(1, self.n + 1):
-            value[j] = value[j - 1]
-            for k in self.into[j]:
-                v = value[self.segments[k][0]] + scores[k, top_kind[k]]
-                if v > value[j]:
-                    value[j], back[j] = v, k
-        out, j = [], self.n
-        while j > 0:
-            k = back[j]
-            if k is None:
-                j -= 1
-                continue
-            i = self.segments[k][0]
-            out.append((KINDS[top_kind[k]], self.atoms[i][0], self.atoms[j - 1][1]))
-            j = i
-        return out[::-1]
-
     def marginals(self, scores: np.ndarray) -> np.ndarray:
         """The probability of each segment and kind, by sums forward and backward."""
         whole = np.logaddexp.reduce(scores, axis=1) if len(scores) else []
         forward, backward = np.zeros(self.n + 1), np.zeros(self.n + 1)
         starts: list[list[int]] = [[] for _ in range(self.n + 1)]
-        for k, (i, _) in enumerate(self.segments):
+        into: list[list[int]] = [[] for _ in range(self.n + 1)]
+        for k, (i, j) in enumerate(self.segments):
             starts[i].append(k)
+            into[j].append(k)
         for j in range(1, self.n + 1):
-            terms = [forward[j - 1]] + [forward[self.segments[k][0]] + whole[k] for k in self.into[j]]
+            terms = [forward[j - 1]] + [forward[self.segments[k][0]] + whole[k] for k in into[j]]
             forward[j] = terms[0] if len(terms) == 1 else np.logaddexp.reduce(terms)
         for i in range(self.n - 1, -1, -1):
             terms = [backward[i + 1]] + [backward[self.segments[k][1]] + whole[k] for k in starts[i]]
@@ -223,6 +211,41 @@ class Lattice:
         return np.exp(scores + (forward[i] + backward[j] - forward[-1])[:, None])
 
 
+def best_segments(text: str, weights: np.ndarray) -> list[tuple[str, int, int]]:
+    """The best segmentation of a neighbourhood; atoms in no segment score 0. Ties go to fewer segments.
+
+    Segments are built for `WINDOW` first atoms at a time, and the best values
+    carried on from window to window: memory grows with the atoms, not with the
+    segments, and the outcome is that of one lattice over everything.
+    """
+    atoms = [m.span() for m in ATOM.finditer(text)]
+    n = len(atoms)
+    value, through = np.zeros(n + 1), np.full(n + 1, -np.inf)
+    begin, kind = np.full(n + 1, -1, np.int64), np.zeros(n + 1, np.int8)
+    for start in range(0, n, WINDOW):
+        lattice = Lattice(text, atoms, start, start + WINDOW)
+        scores = lattice.scores(weights)
+        k, top_kind = 0, scores.argmax(axis=1) if len(scores) else []
+        for i in range(start, min(n, start + WINDOW)):
+            if i:
+                value[i] = max(value[i - 1], through[i])
+            while k < len(lattice.segments) and lattice.segments[k][0] == i:
+                j, v = lattice.segments[k][1], value[i] + scores[k, top_kind[k]]
+                if v > through[j]:
+                    through[j], begin[j], kind[j] = v, i, top_kind[k]
+                k += 1
+    out, j = [], n
+    if n:
+        value[n] = max(value[n - 1], through[n])
+    while j > 0:
+        if through[j] <= value[j - 1]:
+            j -= 1
+            continue
+        out.append((KINDS[kind[j]], atoms[begin[j]][0], atoms[j - 1][1]))
+        j = int(begin[j])
+    return out[::-1]
+
+
 def variants(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """The neighbourhood itself, with its spans reformatted, and with their checks broken (then unlabelled)."""
 
@@ -337,13 +360,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.n
 def all_spans(text: str, weights: np.ndarray) -> tuple[list, list]:
     """Base spans, and all spans: the model's join where they overlap no base span."""
     base = base_spans(text)
+    taken = covered(base)
     more = []
     for a, b in neighbourhoods(text):
-        lattice = Lattice(text[a:b])
-        for kind, i, j in lattice.best(weights):
-            i, j = i + a, j + a
-            if not any(i < s[2] and s[1] < j for s in base):
-                more.append((kind, i, j))
+        for kind, i, j in best_segments(text[a:b], weights):
+            if not overlaps(taken, i + a, j + a):
+                more.append((kind, i + a, j + a))
     order = lambda s: (KINDS.index(s[0]), s[1])
     return base, sorted(base + more, key=order)
 

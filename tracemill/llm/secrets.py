@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tracemill.llm.common import pieces, table, text_of
+from tracemill.llm.common import covered, overlaps, pieces, table, text_of
 
 KINDS = ("assign", "access", "hex", "literal")
 
@@ -39,6 +39,8 @@ SENSITIVE = {
 }
 # A pair is reported from this score on: sensitivity of the name, at least 2, and randomness of the literal.
 MIN_SENSITIVITY, MIN_SCORE, MIN_LITERAL = 2, 4.0, 6
+# Parts a value takes over from names: a name that doubles itself from line to line would grow without end.
+MAX_PARTS = 1000
 # Whole literals that stand for a value to be filled in.
 PLACEHOLDER = re.compile(
     r"(?is)(x{3,}|\*{2,}|\.{3,}|<.*>|\$?\{.*\}"
@@ -88,13 +90,10 @@ def randomness(literal: str) -> float:
 
 
 class Value:
-    """A resolved literal: its text and where its parts stand."""
+    """A resolved literal: whether it is a bare word, and where its parts stand."""
 
-    def __init__(self, text: str = "", spans: tuple = ()):
-        self.text, self.spans = text, spans
-
-    def __add__(self, other: "Value") -> "Value":
-        return Value(self.text + other.text, self.spans + other.spans)
+    def __init__(self, spans: list, bare: bool = False):
+        self.spans, self.bare = spans, bare
 
 
 def pairs(text: str) -> Iterator[tuple[str, Value]]:
@@ -145,23 +144,31 @@ def _indent(text: str, at: int) -> int:
     return len(re.compile(r"[ \t]*").match(text, at)[0])
 
 
-def _goes_on(text: str, at: int, tokens: list, stop: int) -> bool:
-    """Whether the assignment a line ends in takes its value, or more of it, from the next line."""
-    if not tokens or stop >= len(text):
-        return False
-    ops = [i for i, t in enumerate(tokens) if t[0] == "op" and t[1] in ASSIGNMENTS]
-    if not ops:
+class _Open:
+    """An assignment that may go on over line ends: where its operator stands and how deep its round brackets are."""
+
+    def __init__(self, tokens: list):
+        ops = [i for i, t in enumerate(tokens) if t[0] == "op" and t[1] in ASSIGNMENTS]
+        self.op = ops[-1] if ops else None
+        self.depth = 0
+        if ops:
+            self.add(tokens[self.op + 1 :])
+
+    def add(self, tokens: list) -> None:
+        self.depth += sum((t[1] == "(") - (t[1] == ")") for t in tokens)
+
+    def goes_on(self, text: str, at: int, tokens: list, stop: int) -> bool:
+        """Whether the assignment takes its value, or more of it, from the next line."""
+        if not tokens or stop >= len(text) or self.op is None:
+            return False
+        kind, word = tokens[-1][:2]
+        if kind == "join" or kind == "other" and word == "\\" or kind == "open" and word == "(" or self.depth > 0:
+            return True
+        # Nothing, or the sign of a block, behind the operator: an indented line below is the value.
+        right = [t[1] for t in tokens[self.op + 1 : self.op + 4]]
+        if not right and word != ":" or right in ([], ["|"], [">"], ["|", "-"], [">", "-"]):
+            return _indent(text, stop + 1) > _indent(text, at) or word in ("=", ":=", "=>")
         return False
-    kind, word = tokens[-1][:2]
-    right = tokens[ops[-1] + 1 :]
-    if kind == "join" or kind == "other" and word == "\\" or kind == "open" and word == "(":
-        return True
-    if any(t[1] == "(" for t in right) and sum((t[1] == "(") - (t[1] == ")") for t in right) > 0:
-        return True
-    # Nothing, or the sign of a block, behind the operator: an indented line below is the value.
-    if not right and tokens[-1][1] != ":" or [t[1] for t in right] in ([], ["|"], [">"], ["|", "-"], [">", "-"]):
-        return _indent(text, stop + 1) > _indent(text, at) or tokens[-1][1] in ("=", ":=", "=>")
-    return False
 
 
 def _line_pairs(text: str, at: int, stop: int, known: dict[str, Value]) -> Iterator[tuple[str, Value]]:
@@ -169,14 +176,17 @@ def _line_pairs(text: str, at: int, stop: int, known: dict[str, Value]) -> Itera
     start, first_stop, (tokens, stop) = at, stop, _lexed(text, at, stop)
     # What stands in three quotes may hold pairs itself.
     again = first_stop if stop > first_stop else None
-    while _goes_on(text, start, tokens, stop):
+    open_ = _Open(tokens)
+    while open_.goes_on(text, start, tokens, stop):
         more, after = _lexed(text, stop + 1, _line_end(text, stop + 1))
         if any(t[0] == "op" and t[1] in ASSIGNMENTS for t in more):
             # The next line has a name of its own.
             break
         while tokens[-1][0] == "other" and tokens[-1][1] in "\\|>" or tokens[-1][1] == "-" and tokens[-2][1] in "|>":
             tokens.pop()
-        tokens, stop = tokens + more, after
+        tokens += more
+        open_.add(more)
+        stop = after
         if not more:
             break
     for i, (kind, op, _, _) in enumerate(tokens):
@@ -203,31 +213,34 @@ def _target(tokens: list, i: int) -> str | None:
 
 
 def _right_side(tokens: list, i: int, known: dict[str, Value]) -> Value | None:
-    value, expect = None, True
+    """The value behind an operator; names add up to `MAX_PARTS` parts of what they stand for."""
+    parts, bare, expect, passed_on = None, True, True, 0
     while i < len(tokens):
         kind, word, start, end = tokens[i]
         if kind == "join":
             expect = True
         elif kind == "string":
-            value = (value or Value()) + Value(word[1:-1], ((start + 1, end - 1),))
-            expect = False
+            parts = parts or []
+            parts.append((start + 1, end - 1))
+            bare, expect = bare and end - start == 2, False
         elif kind == "ref" or kind == "name" and word in known:
             found = known.get(re.sub(r"\W", "", word[:-1] if kind == "ref" and word.endswith(")s") else word) if kind == "ref" else word)
-            if found is None or not expect:
+            if found is None or not expect or passed_on + len(found.spans) > MAX_PARTS:
                 break
-            value, expect = (value or Value()) + found, False
-        elif kind in ("name", "value") and value is None:
+            passed_on += len(found.spans)
+            parts = (parts or []) + found.spans
+            bare, expect = bare and found.bare, False
+        elif kind in ("name", "value") and parts is None:
             # A bare word goes on to the next blank or closing sign.
             while i + 1 < len(tokens) and tokens[i + 1][2] == end and tokens[i + 1][1] not in ",;)]}":
                 i, end = i + 1, tokens[i + 1][3]
-            value, expect = Value("", ((start, end),)), False
-            break
-        elif kind == "open" and word == "(" and value is None:
+            return Value([(start, end)], True)
+        elif kind == "open" and word == "(" and parts is None:
             pass
         else:
             break
         i += 1
-    return value
+    return None if parts is None else Value(parts, bare)
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
@@ -238,11 +251,10 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
         if weight < MIN_SENSITIVITY:
             continue
         whole = "".join(text[a:b] for a, b in value.spans)
-        bare = not value.text
         if len(whole) < MIN_LITERAL or PLACEHOLDER.fullmatch(whole.strip()):
             continue
         # A bare word must hold more than letters, else prose after a colon would count.
-        if bare and (" " in whole or not re.search("[0-9]", whole)):
+        if value.bare and (" " in whole or not re.search("[0-9]", whole)):
             continue
         if weight + randomness(whole) >= MIN_SCORE:
             out.update(("literal", a, b) for a, b in value.spans if b > a)
@@ -254,7 +266,8 @@ def all_spans(text: str) -> tuple[list, list]:
     base = base_spans(text)
     more = []
     if "=" in text or ":" in text:
-        more = [s for s in literal_spans(text) if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
+        taken = covered(base)
+        more = [s for s in literal_spans(text) if not overlaps(taken, s[1], s[2])]
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

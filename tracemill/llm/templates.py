@@ -8,7 +8,8 @@ More leaders are elected, ever more a round, until every line of the leaf leads
 or is led. A template that recurs in several documents stays in the first of
 them and is dropped from the others.
 
-Only hashes travel: of a line its digest, its leaves and one character a token.
+Only hashes travel: of a line its digest, its leaves and a 64-bit hash of each
+token, which is what agreement is judged by.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -45,8 +46,6 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.select("doc_id", "body", F.posexplode("lines").alias("line_no", "line"))
     rows = rows.select("doc_id", "body", "line_no", tokens_of(F.col("line")).alias("tokens"))
     rows = rows.filter(F.size("tokens") >= MIN_TOKENS)
-    # A printable character of the token's hash.
-    char = lambda t: F.char(F.pmod(F.hash(t), F.lit(90)) + 33)
     # A short line has a leaf of its own, where only equal lines are.
     leading = lambda d: F.when(F.size("tokens") >= MIN_FIELDS, F.slice("tokens", 1, d)).otherwise(F.col("tokens"))
     leaf = lambda d: F.xxhash64(F.size("tokens"), leading(d))
@@ -57,14 +56,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.xxhash64("tokens").alias("h1"),
         F.xxhash64(F.lit(1), "tokens").alias("h2"),
         *[leaf(d).alias(f"leaf{i}") for i, d in enumerate(DEPTHS)],
-        F.array_join(F.transform("tokens", char), "").alias("shape"),
+        F.transform("tokens", lambda t: F.xxhash64(t)).alias("shape"),
     )
 
 
 def agreement(a: Column, b: Column) -> Column:
     """Share of equal positions of two shapes of one length."""
-    equal = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 1).otherwise(0))
-    return F.aggregate(equal, F.lit(0), lambda n, x: n + x) / F.length(a)
+    equal = F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0))
+    return F.aggregate(equal, F.lit(0), lambda n, x: n + x) / F.size(a)
 
 
 def _slices(shape: str, agreed: float) -> Column:
@@ -73,10 +72,10 @@ def _slices(shape: str, agreed: float) -> Column:
     The positions behind the leaf's own are cut into one slice more than lines
     may differ in positions, so one slice is equal.
     """
-    first, length = max(DEPTHS), F.length(shape)
+    first, length = max(DEPTHS), F.size(shape)
     cuts = F.floor((1 - agreed) * length + 1e-6).cast("int") + 1
     start = lambda i: F.floor(i * (length - first) / cuts).cast("int")
-    piece = lambda i: F.substring(F.col(shape), start(i) + first + 1, start(i + 1) - start(i))
+    piece = lambda i: F.slice(shape, start(i) + first + 1, start(i + 1) - start(i))
     return F.transform(F.sequence(F.lit(0), cuts - 1), lambda i: F.xxhash64("leaf0", i, piece(i)))
 
 
@@ -93,7 +92,9 @@ def _leaders(lines: DataFrame, agreed: float) -> DataFrame:
     slots by hash, and the most frequent line of each slot stands as a leader;
     every line of the leaf that may agree with it is compared with it. Leaders no
     earlier leader agrees with leave with the lines they take. The first of a leaf is
-    one of them, so each round settles some.
+    one of them, so each round settles some. Of equally frequent lines the one
+    of the lesser digest leads, and a line that agrees with several leaders
+    follows the most frequent of them, ties going to the lesser digest again.
     """
     # A line alone in its leaf leads itself.
     shared = lines.groupBy("leaf0").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
@@ -116,7 +117,7 @@ def _leaders(lines: DataFrame, agreed: float) -> DataFrame:
             pairs = of_line.join(of_leader, "key").filter(other).select("h1", "h2", "t1", "t2").distinct()
             pairs = spool(pairs, "pairs").join(rest.select("h1", "h2", "shape", "rank"), ["h1", "h2"])
             pairs = pairs.join(leaders.select("t1", "t2", "t_rank", "lead"), ["t1", "t2"])
-        alike = (F.length("shape") == F.length("lead")) & (agreement(F.col("shape"), F.col("lead")) >= agreed)
+        alike = (F.size("shape") == F.size("lead")) & (agreement(F.col("shape"), F.col("lead")) >= agreed)
         standing = leaders.select(F.col("t1").alias("h1"), F.col("t2").alias("h2"), F.lit(True).alias("leads"))
         # Of two leaders that agree only the first may take the other.
         later = F.struct("t_rank", "t1", "t2") < F.struct("rank", "h1", "h2")
