@@ -159,4 +159,4 @@ def test_long_unbroken_texts():
     finally:
         P.WINDOW = old
     assert P.neighbourhoods(("x" * 90 + "7") * 2000) == [(0, 91 * 2000)]
-    assert P.neighbourhoods("aa bb7cc " + "d " * 90 + "e@f") == [(0, 48), (146, 192)]
+    assert P.neighbourhoods("aa bb7cc " + "d " * 90 + "e@f") == [(0, 46), (149, 192)]
