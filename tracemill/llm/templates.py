@@ -8,8 +8,9 @@ More leaders are elected, ever more a round, until every line of the leaf leads
 or is led. A template that recurs in several documents stays in the first of
 them and is dropped from the others.
 
-Only hashes travel: of a line its digest, its leaves and a 64-bit hash of each
-token, which is what agreement is judged by.
+Only hashes travel: of a line its digest, its leaves and a 32-bit hash of each
+token, which is what agreement is judged by: two different tokens pass as equal
+once in four billion.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,6 +22,8 @@ from tracemill.session import spool
 DEPTHS = (3,)
 # A leaf has one leader in the first round and so many times as many in each further one.
 MORE_LEADERS = 16
+# So many leaf hashes, 8 bytes each, are sent to every executor; more are joined.
+FEW_LEAVES = 500_000
 # Share of positions a line has in common with the template's leader.
 AGREEMENT = 0.85
 # A template is dropped from this many documents on; lines without a token are left alone.
@@ -56,7 +59,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.xxhash64("tokens").alias("h1"),
         F.xxhash64(F.lit(1), "tokens").alias("h2"),
         *[leaf(d).alias(f"leaf{i}") for i, d in enumerate(DEPTHS)],
-        F.transform("tokens", lambda t: F.xxhash64(t)).alias("shape"),
+        F.when(F.size("tokens") >= MIN_FIELDS, F.transform("tokens", lambda t: F.hash(t))).alias("shape"),
     )
 
 
@@ -100,7 +103,9 @@ def _leaders(lines: DataFrame, agreed: float) -> DataFrame:
     shared = lines.groupBy("leaf0").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     shared = spool(shared.filter("low < high").select("leaf0"), "shared-leaves")
     more = [F.first(c).alias(c) for c in ("shape", "leaf0")]
-    rest = lines.join(shared, "leaf0").groupBy("h1", "h2").agg((-F.count("*")).alias("rank"), *more)
+    # Few of all lines go on, so where their leaves are few too the others aren't moved to find that out.
+    few = shared.limit(FEW_LEAVES + 1).count() <= FEW_LEAVES
+    rest = lines.join(F.broadcast(shared) if few else shared, "leaf0").groupBy("h1", "h2").agg((-F.count("*")).alias("rank"), *more)
     rest = spool(rest, "distinct-lines")
     found, slots = None, 1
     while True:
@@ -143,7 +148,7 @@ def repeated_lines(
     Documents are told apart by id, a null id being one of its own and the
     last. The first document of a template keeps its lines.
     """
-    lines = spool(_lines(docs, id_col, text_col), "lines")
+    lines = spool(_lines(docs, id_col, text_col), "lines", compression="zstd")
     leaders = _leaders(lines, agreed)
     rows = lines.select("doc_id", "body", "line_no", "h1", "h2").join(leaders, ["h1", "h2"], "left")
     rows = spool(
