@@ -234,3 +234,45 @@ def test_bad_values_of_a_python_extractor_are_its_error(make_files):
     files = make_files({"/a": b"1", "/b": b"2"})
     rows = extract.extract_results(files, [Extractor("late", python=late)]).collect()
     assert sorted((r["path"], r["container"]) for r in rows) == [(p, c) for p in ("/a", "/b") for c in ("event_data", "extraction_error")]
+
+
+def test_raising_expressions_are_the_rows_error(make_files):
+    """In values, conditions and cuts, also where two expressions share the part that raises."""
+    bad = "1 div (length - 3)"
+    registry = (
+        Extractor("twice", emits=(Emit(attributes={"a": f"CAST({bad} AS STRING)", "b": f"CAST({bad} AS STRING)"}),
+                                  Emit("recovery_warning", when=f"{bad} > -100", message=f"CAST({bad})"))),
+        Extractor("lines", records="IF(length = 4, raise_error('no'), split(CAST(content AS STRING), ','))",
+                  emits=(Emit(when="element_at(split(record, ':'), 2) <> ''", attributes={"v": "element_at(split(record, ':'), 2)"}),)),
+        *DEFAULT,
+    )
+    files = make_files({"/three": b"a:b", "/four": b"c:d,", "/five": b"x,y:z"})
+    rows = extract.extract_results(files, registry).where("parser IN ('twice', 'lines')").collect()
+    got = {}
+    for r in rows:
+        got.setdefault((r["parser"], r["path"]), []).append((r["seq"], r["container"], r["message"], dict(r["attributes"])))
+    error = "extraction_error"
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {
+        ("twice", "/three"): [(0, error, "condition could not be computed", {}), (0, error, "values could not be computed", {})],
+        ("twice", "/four"): [(0, "event_data", None, {"a": "1", "b": "1"}), (0, "recovery_warning", f"CAST({bad})", {})],
+        ("twice", "/five"): [(0, "event_data", None, {"a": "0", "b": "0"}), (0, "recovery_warning", f"CAST({bad})", {})],
+        ("lines", "/three"): [(0, "event_data", None, {"v": "b"})],
+        ("lines", "/four"): [(0, error, "content could not be cut", {})],
+        ("lines", "/five"): [(0, error, "condition could not be computed", {}), (1, "event_data", None, {"v": "z"})],
+    }
+
+
+def test_casts_in_quotes_are_text():
+    assert extract.lenient("concat('CAST(x', CAST(a AS INT), \"cast(\")") == "concat('CAST(x', TRY_CAST(a AS INT), \"cast(\")"
+
+
+def test_spread_by_bytes_is_even(spark):
+    sizes = [1, 0, 7, 10_000, 3, 3, 3, 250, 250, 99] * 30 + [400_000]
+    files = spark.createDataFrame([(f"/f{i}", n) for i, n in enumerate(sizes)], "path STRING, length BIGINT")
+    dealt = distribute.spread_by_bytes(files, 7)
+    stats = distribute.byte_stats(dealt).first()
+    assert stats["partitions"] == 7 and dealt.count() == len(sizes)
+    assert stats["max_bytes"] <= stats["avg_bytes"] + stats["largest_row"] == sum(sizes) / 7 + 400_000
+    for rows in ([], [("/a", 0), ("/b", None)]):
+        few = distribute.spread_by_bytes(spark.createDataFrame(rows, "path STRING, length BIGINT"), 3)
+        assert few.count() == len(rows) and distribute.byte_stats(few).first()["partitions"] == 3

@@ -3,7 +3,9 @@
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tracemill.session import spool
 
 
 def bucket(partitions: int, *keys: str) -> Column:
@@ -23,6 +25,61 @@ def spread(items: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return placed.repartitionById(partitions, "bucket")
 
 
+def place_of(*keys: str) -> Column:
+    """A number below 2^60 by which rows are put in a mixed order that is the same in every run."""
+    digest = F.md5(F.concat_ws("|", *keys).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def running_bytes(sized: DataFrame, size: str = "length") -> DataFrame:
+    """Rows `(place, size)` with `before`, the bytes of all rows of lesser place, and `total`.
+
+    Sums are made where the rows are, after one shuffle into ranges of place; a
+    table of one row per range then joins them up, so no task sees all rows.
+    """
+    by_place = sized.groupBy("place").agg(F.sum(size).cast("bigint").alias("bytes"))
+    ranges = spool(by_place.repartitionByRange("place").withColumn("part", F.spark_partition_id()), "ranges")
+    parts = ranges.groupBy("part").agg(F.sum("bytes").alias("held"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = parts.select(
+        "part", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("ahead"), F.sum("held").over(everything).alias("total")
+    )
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("ahead") + F.coalesce(F.sum("bytes").over(inside), F.lit(0))
+    return ranges.join(F.broadcast(parts), "part").select("place", "bytes", before.alias("before"), "total")
+
+
+def byte_cuts(files: DataFrame, partitions: int, size: str = "length", key: str = "path") -> list[tuple[int, int]]:
+    """`(least place, bucket)` of each bucket that holds files, `partitions` at most.
+
+    A bucket holds the files that begin in its share of all bytes, laid end to
+    end, so its bytes are at most the mean and the largest file's.
+    """
+    sized = files.select(place_of(key).alias("place"), F.coalesce(F.col(size), F.lit(0)).alias(size))
+    share = F.floor(F.col("before") / F.greatest(F.col("total"), F.lit(1)) * partitions)
+    buckets = running_bytes(sized, size).withColumn("bucket", F.least(share, F.lit(partitions - 1)).cast("int"))
+    rows = buckets.groupBy("bucket").agg(F.min("place").alias("place")).orderBy("bucket").collect()
+    return [(r["place"], r["bucket"]) for r in rows]
+
+
+def spread_by_bytes(files: DataFrame, partitions: int, size: str = "length", key: str = "path") -> DataFrame:
+    """Files moved to exactly `partitions` partitions of even bytes, with their `bucket`.
+
+    Where the borders lie is found from names and sizes alone, in a mixed order;
+    content moves once, and a task that is run again puts every file where it
+    was before.
+    """
+    cuts = byte_cuts(files, partitions, size, key)
+    place, bucket = place_of(key), F.lit(0)
+    if cuts:
+        borders = F.array(*[F.lit(p).cast("bigint") for p, _ in cuts])
+        numbers = F.array(*[F.lit(b) for _, b in cuts])
+        passed = F.size(F.filter(borders, lambda border: border <= place))
+        bucket = F.element_at(numbers, F.greatest(passed, F.lit(1)))
+    return files.withColumn("bucket", bucket.cast("int")).repartitionById(partitions, "bucket")
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -50,3 +107,19 @@ def partition_stats(df: DataFrame) -> DataFrame:
         F.avg("rows").alias("avg_rows"),
         F.count("*").alias("partitions"),
     )
+
+
+def byte_stats(df: DataFrame, size: str = "length") -> DataFrame:
+    """Bytes of the smallest, largest and mean partition, of the largest row, and the number of partitions."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = largest = 0
+        for batch in batches:
+            sizes = [n or 0 for n in batch.column(0).to_pylist()]
+            total, largest = total + sum(sizes), max([largest, *sizes])
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([largest], pa.int64())], ["bytes", "largest"])
+
+    return df.select(size).mapInArrow(measure, "bytes BIGINT, largest BIGINT").agg(
+        F.min("bytes").alias("min_bytes"), F.max("bytes").alias("max_bytes"), F.avg("bytes").alias("avg_bytes"),
+        F.max("largest").alias("largest_row"), F.count("*").alias("partitions"),
+    )

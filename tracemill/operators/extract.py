@@ -4,13 +4,13 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracemill.operators.classify import work_items
 from tracemill.operators.distribute import spread
 from tracemill.operators.pyextract import run_python
 from tracemill.operators.registry import Emit, Extractor
-from tracemill.schemas import ATTRIBUTES, RESULTS, TIMES
+from tracemill.schemas import ATTRIBUTES, EXTRACTION_ERROR, RESULTS, TIMES
 
 PYTHON_COLUMNS = ("parser", "path", "name", "length", "mtime", "content")
 
@@ -21,9 +21,24 @@ def _quote(value: str | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_CAST = re.compile(r"""(?i)'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?<![\w.])CAST\s*\(""", re.S)
+
+
 def lenient(sql: str | None) -> str | None:
     """Casts as `TRY_CAST`: a value that can't be converted is null and doesn't end the job."""
-    return sql and re.sub(r"(?i)(?<![\w.])CAST\s*\(", "TRY_CAST(", sql)
+    return sql and _CAST.sub(lambda m: m[0] if m[0][0] in "'\"`" else "TRY_CAST(", sql)
+
+
+def guarded(value: Column) -> Column:
+    """A struct with `value`, or null where computing it raises, whatever the expression.
+
+    To be used in a branch of a conditional only: what stands there isn't
+    computed ahead of it when two expressions have a part in common.
+    """
+    jvm = SparkSession.active()._jvm
+    as_column = jvm.org.apache.spark.sql.classic.ExpressionUtils
+    inner = as_column.expression(F.struct(value.alias("value"))._jc)
+    return Column(as_column.column(jvm.org.apache.spark.sql.catalyst.expressions.TryEval(inner)))
 
 
 def bind_settings(extractors: Iterable[Extractor], values: Mapping[str, object]) -> tuple[Extractor, ...]:
@@ -75,44 +90,92 @@ def _times(_: Extractor, emit: Emit) -> str:
 
 
 def _records(extractors: list[Extractor]) -> Column:
-    """The records each item's extractor cuts its content into; one empty record otherwise."""
-    whole = F.array(F.lit(None).cast("string"))
+    """The records each item's extractor cuts its content into, as a struct's `value`; one empty record otherwise.
+
+    Null where a guarded extractor's cut raises.
+    """
+    whole = F.struct(F.array(F.lit(None).cast("string")).alias("value"))
     cut = None
     for e in extractors:
         if e.records:
-            case = (F.col("parser") == e.name, F.coalesce(F.expr(lenient(e.records)), F.array().cast("array<string>")))
+            value = F.coalesce(F.expr(lenient(e.records)), F.array().cast("array<string>"))
+            case = (F.col("parser") == e.name, guarded(value) if e.guarded else F.struct(value.alias("value")))
             cut = F.when(*case) if cut is None else cut.when(*case)
     return whole if cut is None else cut.otherwise(whole)
 
 
-def _fired(extractors: list[Extractor]) -> Column:
+def _fired(extractors: list[Extractor], cut_failed: Column) -> Column:
     """Numbers of the rules that give a row for this record, by the item's extractor.
 
+    Rules are numbered through; behind them comes, for each, the row that says
+    its condition raised, and for each extractor the row that says its cut did.
     A name nobody has gives null and so no rows.
     """
     rules = _rules(extractors)
     fired = None
-    for e in extractors:
-        mine = [
-            f"array({n})" if emit.when is None else f"CASE WHEN {lenient(emit.when)} THEN array({n}) ELSE CAST(array() AS ARRAY<INT>) END"
-            for n, owner, emit in rules
-            if owner is e
-        ]
-        case = (F.col("parser") == e.name, F.expr(f"concat({', '.join(mine)})"))
+    for k, e in enumerate(extractors):
+        mine = []
+        for n, owner, emit in rules:
+            if owner is not e:
+                continue
+            if emit.when is None:
+                mine.append(F.array(F.lit(n)))
+                continue
+            holds = F.expr(f"CASE WHEN {lenient(emit.when)} THEN array({n}) ELSE CAST(array() AS ARRAY<INT>) END")
+            mine.append(F.coalesce(guarded(holds)["value"], F.array(F.lit(len(rules) + n))) if e.guarded else holds)
+        value = F.concat(*mine)
+        if e.guarded and e.records:
+            value = F.when(cut_failed, F.array(F.lit(2 * len(rules) + k))).otherwise(value)
+        case = (F.col("parser") == e.name, value)
         fired = F.when(*case) if fired is None else fired.when(*case)
     return fired
 
 
+def _guarded_values(extractors: list[Extractor]) -> Column | None:
+    """Attributes and times of the rules of guarded extractors, null where one of them raises."""
+    values = None
+    for n, e, emit in _rules(extractors):
+        if e.guarded:
+            both = F.struct(F.expr(_attributes(e, emit)).alias("attributes"), F.expr(_times(e, emit)).alias("times"))
+            case = (F.col("rule") == n, guarded(both))
+            values = F.when(*case) if values is None else values.when(*case)
+    return values
+
+
 def _result_columns(extractors: list[Extractor]) -> list[Column]:
+    """The columns of a result row; those of guarded rules come from `_values`."""
     rules = _rules(extractors)
+    plain = [r for r in rules if not r[1].guarded]
+    own = {
+        "container": _by_rule(rules, lambda e, emit: _quote(emit.container), "STRING"),
+        "message": _by_rule(rules, lambda e, emit: emit.message and _quote(emit.message), "STRING"),
+        "attributes": _by_rule(plain, _attributes, ATTRIBUTES),
+        "times": _by_rule(plain, _times, TIMES),
+    }
+    chain = _by_rule(rules, lambda e, emit: _quote(e.chain), "STRING")
+    guards = [n for n, e, _ in rules if e.guarded]
+    if guards:
+        size = len(rules)
+        of_rule = F.col("rule").isin(guards)
+        raised = (F.col("rule") >= size) | (of_rule & F.col("_values").isNull())
+        reason = (
+            F.when(F.col("rule") >= 2 * size, F.lit("content could not be cut"))
+            .when(F.col("rule") >= size, F.lit("condition could not be computed"))
+            .otherwise(F.lit("values could not be computed"))
+        )
+        own["container"] = F.when(raised, F.lit(EXTRACTION_ERROR)).otherwise(own["container"])
+        own["message"] = F.when(raised, reason).otherwise(own["message"])
+        for name, kind in (("attributes", ATTRIBUTES), ("times", TIMES)):
+            none = F.expr(f"CAST({'map' if name == 'attributes' else 'array'}() AS {kind})")
+            own[name] = F.when(raised, none).when(of_rule, F.col(f"_values.value.{name}")).otherwise(own[name])
+        names = F.create_map(*[x for e in extractors for x in (F.lit(e.name), F.lit(e.chain))])
+        chain = F.coalesce(chain, F.element_at(names, F.col("parser")))
     return [
-        _by_rule(rules, lambda e, emit: _quote(emit.container), "STRING").alias("container"),
+        own["container"].alias("container"),
         F.col("path"),
-        _by_rule(rules, lambda e, emit: _quote(e.chain), "STRING").alias("parser"),
+        chain.alias("parser"),
         F.col("seq").cast("bigint").alias("seq"),
-        _by_rule(rules, lambda e, emit: emit.message and _quote(emit.message), "STRING").alias("message"),
-        _by_rule(rules, _attributes, ATTRIBUTES).alias("attributes"),
-        _by_rule(rules, _times, TIMES).alias("times"),
+        *[own[c].alias(c) for c in ("message", "attributes", "times")],
     ]
 
 
@@ -144,23 +207,34 @@ def run_extractors(items: DataFrame, registry: Iterable[Extractor], seq: str | N
     declared = [e for e in registry if e.python is None and e.emits]
     results = None
     if declared:
+        cut_failed = F.lit(False)
         if any(e.records for e in declared):
             # Content already cut into records is not carried along beside each of them.
             cut = items.withColumns({
-                "records": _records(declared),
+                "cut": _records(declared),
                 "content": _content_for(e.name for e in declared if e.needs_content and not e.records),
             })
             kept = ["path", "parser", "name", "length", "mtime", "content", *([seq] if seq else [])]
+            records = F.col("cut.value")
+            if any(e.guarded and e.records for e in declared):
+                cut_failed = F.col("cut_failed")
+                cut = cut.withColumn("cut_failed", F.col("cut").isNull())
+                records = F.coalesce(records, F.array(F.lit(None).cast("string")))
+                kept.append("cut_failed")
             # An outer generator: for a plain one the optimizer adds a filter on the
             # number of records and so cuts the content a second time.
-            rows = cut.select(*kept, F.posexplode_outer("records").alias("seq", "record")).where("seq IS NOT NULL")
+            rows = cut.select(*kept, F.posexplode_outer(records).alias("seq", "record")).where("seq IS NOT NULL")
         else:
             rows = items.withColumns({"seq": F.lit(0), "record": F.lit(None).cast("string")})
         if seq:
             rows = rows.withColumn("seq", F.col(seq))
         # Only rule numbers are exploded; what a rule yields is computed after
         # that, for the columns and containers the plan goes on with.
-        results = rows.withColumn("rule", F.explode(_fired(declared))).select(*_result_columns(declared))
+        fired = rows.withColumn("rule", F.explode(_fired(declared, cut_failed)))
+        values = _guarded_values(declared)
+        if values is not None:
+            fired = fired.withColumn("_values", values)
+        results = fired.select(*_result_columns(declared))
     functions = {e.name: e.python for e in registry if e.python is not None}
     if functions:
         mine = items.where(F.col("parser").isin(list(functions)))

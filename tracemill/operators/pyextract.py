@@ -99,11 +99,55 @@ def checked(row: tuple) -> tuple:
     return row
 
 
+class _Pending:
+    """Rows waiting to be sent, by the work item that made them.
+
+    Values are checked for a whole batch at once; only where that fails are
+    they looked at row by row, to keep what came before the bad one.
+    """
+
+    def __init__(self):
+        self.items: list[tuple[Emitter, list[tuple]]] = []
+        self.rows = 0
+
+    def begin(self, emitter: Emitter) -> None:
+        self.items.append((emitter, []))
+
+    def add(self, row: tuple) -> None:
+        self.items[-1][1].append(row)
+        self.rows += 1
+
+    def _good(self, emitter: Emitter, rows: list[tuple]) -> tuple[list[tuple], bool]:
+        """The rows up to the first bad one, with its error in its place, and whether there was one."""
+        try:
+            _to_batch(rows)
+            return rows, False
+        except Exception:
+            for k, row in enumerate(rows):
+                try:
+                    checked(row)
+                except Exception as exc:
+                    # The error's number follows the bad row's, as if raised there.
+                    emitter._seq = row[3] + 1
+                    return [*rows[:k], emitter.error(exc)], True
+            raise
+
+    def flush(self) -> tuple[pa.RecordBatch, bool]:
+        """All rows as a batch, and whether the last item had a bad one and so is done with."""
+        items, self.items, self.rows = self.items, self.items[-1:], 0
+        self.items = [(emitter, []) for emitter, _ in self.items]
+        try:
+            return _to_batch([row for _, rows in items for row in rows]), False
+        except Exception:
+            good = [self._good(emitter, rows) for emitter, rows in items]
+            return _to_batch([row for rows, _ in good for row in rows]), good[-1][1]
+
+
 def run_python(functions: dict[str, Callable]) -> Callable:
     """A batch function that runs the extractor each work item names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple] = []
+        pending = _Pending()
         for batch in batches:
             columns = [batch.column(c) for c in batch.schema.names]
             names = batch.schema.names
@@ -111,15 +155,20 @@ def run_python(functions: dict[str, Callable]) -> Callable:
                 values = {name: column[i].as_py() for name, column in zip(names, columns)}
                 parser = values.pop("parser")
                 emitter = Emitter(FileRow(**values), parser)
+                pending.begin(emitter)
                 try:
                     for row in functions[parser](emitter):
-                        pending.append(checked(row))
-                        if len(pending) >= FLUSH_ROWS:
-                            yield _to_batch(pending)
-                            pending = []
+                        pending.add(row)
+                        if pending.rows >= FLUSH_ROWS:
+                            sent, failed = pending.flush()
+                            yield sent
+                            if failed:
+                                break
+                except GeneratorExit:
+                    raise
                 except Exception as exc:
-                    pending.append(emitter.error(exc))
-        if pending:
-            yield _to_batch(pending)
+                    pending.add(emitter.error(exc))
+        if pending.rows:
+            yield pending.flush()[0]
 
     return run

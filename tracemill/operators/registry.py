@@ -46,6 +46,10 @@ class Extractor:
     python: Callable | None = None
     # A Python extractor that reads by `file.open()` and so takes files of any length.
     streams: bool = False
+    # Whether expressions that raise give error rows in place of ending the job. To be
+    # left on unless none of them can raise: a guarded rule computes its values even
+    # where only rows are counted.
+    guarded: bool = True
 
     @property
     def chain(self) -> str:
@@ -58,11 +62,13 @@ ALWAYS = "filestat"
 FILESTAT = Extractor(
     ALWAYS,
     needs_content=False,
+    guarded=False,
     emits=(Emit(attributes={"size": "CAST(length AS STRING)"}, times={"Modification Time": "mtime"}),),
 )
 
 HTML = Extractor(
     "html",
+    guarded=False,
     signatures=(Signature(b"<!DOCTYPE html"),),
     emits=(
         Emit(attributes={"title": "regexp_extract(CAST(content AS STRING), '<title>(.*?)</title>', 1)"}),
@@ -76,6 +82,7 @@ HTML = Extractor(
 
 MARKUP = Extractor(
     "markup",
+    guarded=False,
     signatures=(Signature(b"<"),),
     emits=(
         Emit(
@@ -90,6 +97,7 @@ MARKUP = Extractor(
 JSON = Extractor(
     "json",
     plugin="kv",
+    guarded=False,
     signatures=(Signature(b"{"),),
     emits=(
         Emit(
@@ -103,6 +111,7 @@ LONG_LINE_BYTES = 2000
 
 TEXT = Extractor(
     "text",
+    guarded=False,
     # One character a byte, so any content is cut at its line feeds and counted as it is.
     records="split(decode(content, 'ISO-8859-1'), '\\n')",
     emits=(
