@@ -127,6 +127,40 @@ def test_writing_a_session_again_replaces_it(spark, make_files, results, tmp_pat
     assert sinks.read_container(spark, store, "event_data", "same").count() == EVENTS
 
 
+def test_a_rewrite_shows_when_it_is_complete(spark, make_files, results, tmp_path):
+    """Readers see the old rows until the commit, and a run that died leaves nothing but what vacuum takes away."""
+    store = str(tmp_path / "store")
+    assert sinks.snapshot(spark, store).count() == 0
+    sinks.write_containers(make_files(FILES), results, store, "same")
+    before = sinks.read_container(spark, store, "results")
+    rows = lambda df: sorted(str(r) for r in df.collect())
+    old = rows(before)
+    few = results.where("parser = 'filestat'")
+    version = sinks.stage_containers(make_files(FILES), few, store, "same")
+    assert rows(sinks.read_container(spark, store, "results")) == old
+    assert rows(sinks.read_container(spark, store, "results", "same")) == old
+    sinks.stage_containers(make_files(FILES), few, store, "never")
+    assert sinks.read_container(spark, store, "event_source", "never").count() == 0
+    sinks.commit_session(spark, store, "same", version)
+    shown = sinks.read_container(spark, store, "results", "same")
+    assert shown.count() == few.count() and shown.columns == before.columns
+    for container in ("event_data_stream", "timeline", "event_source"):
+        assert sinks.read_container(spark, store, container).count() == 3
+    assert dict(map(tuple, sinks.read_parser_counts(spark, store).collect())) == {"filestat": 3}
+    assert sinks.vacuum(spark, store) == 0
+    assert sinks.vacuum(spark, store, older_than=0) == 2
+    assert sinks.read_container(spark, store, "results").count() == few.count()
+    assert sinks.vacuum(spark, store, older_than=0) == 0
+
+
+def test_files_left_out_need_a_place_to_be_read_from(spark, make_files, tmp_path):
+    gone = make_files(FILES).withColumns({"content": F.lit(None).cast("binary"), "length": F.lit(5000).cast("bigint")})
+    for roots in (None, str(tmp_path / "mistyped")):
+        with pytest.raises(ValueError, match="no content"):
+            run_extract(spark, gone, formatter="json", long_root=roots, max_bytes=4000)
+    run_extract(spark, gone, formatter="json", extractors="filestat", max_bytes=4000)
+
+
 def test_json_run(spark, tmp_path):
     source, out = fill(tmp_path / "in"), str(tmp_path / "json")
     run = run_extract(spark, source, formatter="json", output=out, partitions=3)

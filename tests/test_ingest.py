@@ -119,13 +119,27 @@ def test_hostile_archives(make_files):
     assert bytes(got["evil.zip"]["content"]) == evil
 
 
-def test_rounds_end_with_a_report(make_files):
+def test_nesting_of_any_depth(make_files):
     data = b"core"
-    for _ in range(3):
+    for _ in range(70):
         data = gzip.compress(data)
-    (row,) = ingest.unpack_recursive(make_files({"/n.gz": data}), max_rounds=2).collect()
-    assert gzip.decompress(bytes(row["content"])) == b"core"
-    assert row["warning"] == "still packed after 2 rounds"
+    (row,) = ingest.unpack_recursive(make_files({"/n.gz": data})).collect()
+    assert (bytes(row["content"]), row["depth"], row["warning"]) == (b"core", 70, None)
+
+
+def test_an_archive_that_holds_itself_ends_the_rounds(make_files, monkeypatch):
+    """Two archives, each with the other as its member, beside a plain note."""
+    first, second = b"PK\x03\x04first", b"PK\x03\x04second"
+
+    def members(kind, content, limits):
+        yield "other.zip", second if content == first else first, None
+        yield "note", b"n" + content[-5:], None
+
+    monkeypatch.setattr(ingest, "open_packed", members)
+    got = ingest.unpack_recursive(make_files({"/q.zip": first})).collect()
+    assert sorted((r["name"], r["depth"], r["warning"]) for r in got) == [
+        ("note", 1, None), ("note", 2, None), ("other.zip", 2, "holds itself"),
+    ]
 
 
 @pytest.mark.filterwarnings("ignore:Duplicate name")

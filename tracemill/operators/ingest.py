@@ -1,7 +1,7 @@
 """Ingest: classify files by packing and unpack until nothing packed is left."""
 
+import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tracemill.functions import paths
 from tracemill.operators.codecs import Limits, Long, Refused, free_name, open_packed
 from tracemill.schemas import UNPACKED
-from tracemill.session import spool
+from tracemill.session import shared_dir
 from tracemill.sources.files import read_range
 from tracemill.sources.listing import locate
 
@@ -26,10 +26,7 @@ PLAIN = "plain"
 STREAMS = ("gzip", "bzip2", "xz")
 ARCHIVES = ("zip", "tar")
 
-# Nested packing deeper than this is left packed and reported.
-MAX_ROUNDS = 64
-
-INPUT = ("path", "name", "source_path", "folder", "stem", "depth", "mtime", "kind", "content")
+INPUT = ("path", "name", "source_path", "folder", "stem", "depth", "mtime", "kind", "content", "ancestors")
 FLUSH_BYTES = 32 << 20
 FLUSH_ROWS = 2000
 
@@ -50,6 +47,7 @@ def detect_kind(content: Column) -> Column:
 _FIELDS = [
     ("path", pa.string()), ("name", pa.string()), ("source_path", pa.string()), ("depth", pa.int32()),
     ("mtime", pa.timestamp("us")), ("content", pa.binary()), ("length", pa.int64()), ("kept", pa.bool_()), ("warning", pa.string()),
+    ("ancestors", pa.list_(pa.binary())),
 ]
 
 
@@ -90,9 +88,13 @@ def _unpack(limits: Limits):
         for batch in batches:
             columns = [batch.column(c) for c in INPUT]
             for i in range(batch.num_rows):
-                path, name, source, folder, stem, depth, mtime, kind, content = (c[i].as_py() for c in columns)
+                path, name, source, folder, stem, depth, mtime, kind, content, above = (c[i].as_py() for c in columns)
                 unpacked, warnings, taken = 0, [], set()
-                for member, data, warning in open_packed(kind, content, limits):
+                digest = hashlib.sha256(content).digest()
+                chain = [*(above or []), digest]
+                # A file that is packed in itself would be opened for ever.
+                again = [(None, None, "holds itself")] if digest in chain[:-1] else None
+                for member, data, warning in again or open_packed(kind, content, limits):
                     if warning is not None:
                         warnings.append(warning)
                         continue
@@ -107,14 +109,14 @@ def _unpack(limits: Limits):
                     if rows and (size + len(data or b"") > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
                         yield unpacked_batch(rows)
                         rows, size = [], 0
-                    rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, length, False, None))
+                    rows.append((target, target.rsplit("/", 1)[-1], path, depth + 1, mtime, data, length, False, None, chain))
                     size += len(data or b"")
                 if warnings or not unpacked:
                     # Something is still only in the packed file, so it stays.
                     if rows and size + len(content) > FLUSH_BYTES:
                         yield unpacked_batch(rows)
                         rows, size = [], 0
-                    rows.append((path, name, source, depth, mtime, content, len(content), True, "; ".join(warnings) or None))
+                    rows.append((path, name, source, depth, mtime, content, len(content), True, "; ".join(warnings) or None, None))
                     size += len(content)
         if rows:
             yield unpacked_batch(rows)
@@ -146,6 +148,7 @@ def unpack(packed: DataFrame, limits: Limits = Limits()) -> DataFrame:
         "path", "name", _or_else(packed, "source_path", F.lit(None).cast("string")),
         folder.alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
         F.col("depth").cast("int").alias("depth"), "mtime", "kind", "content",
+        _or_else(packed, "ancestors", F.lit(None).cast("array<binary>")),
     )
     return ready.mapInArrow(_unpack(limits), UNPACKED)
 
@@ -155,7 +158,7 @@ def _one_round(files: DataFrame, kinds: tuple[str, ...], limits: Limits) -> Data
     rest = files.where(~mine).select(
         "path", "name", F.lit(None).cast("string").alias("source_path"), F.col("depth").cast("int").alias("depth"),
         "mtime", "content", F.octet_length("content").cast("bigint").alias("length"),
-        F.lit(True).alias("kept"), F.lit(None).cast("string").alias("warning"),
+        F.lit(True).alias("kept"), F.lit(None).cast("string").alias("warning"), F.lit(None).cast("array<binary>").alias("ancestors"),
     )
     return unpack(files.where(mine), limits).unionByName(rest)
 
@@ -174,35 +177,40 @@ def _settled(df: DataFrame) -> DataFrame:
     return df.select("path", "name", "source_path", "depth", "mtime", "content", "length", "kind", "warning")
 
 
-def unpack_recursive(files: DataFrame, limits: Limits = Limits(), max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Unpack until nothing packed is left.
+def unpack_recursive(files: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Unpack until nothing packed is left, however deep it lies.
 
     Each round opens what is still packed, once, and writes the outcome split
     into settled and still packed files; the next round reads only the latter.
     Reading back re-splits the table, so the members of one large archive are
-    spread over the cluster without a shuffle.
+    spread over the cluster without a shuffle. Every member carries the digests
+    of the packed files around it: one that equals any of them holds itself and
+    stays packed, with a warning, so the rounds end.
     """
+    spark = files.sparkSession
     start = files.select(
         "path", "name", _or_else(files, "source_path", F.lit(None).cast("string")),
         _or_else(files, "depth", F.lit(0)), "mtime", "content",
         _or_else(files, "length", F.octet_length("content").cast("bigint")),
+        _or_else(files, "ancestors", F.lit(None).cast("array<binary>")),
         detect_kind(F.col("content")).alias("kind"), F.lit(None).cast("string").alias("warning"),
     )
-    settled = [start.where(F.col("kind") == PLAIN)]
-    packed = start.where(F.col("kind") != PLAIN)
-    for _ in range(max_rounds):
+    settled, packed = _settled(start.where(F.col("kind") == PLAIN)), start.where(F.col("kind") != PLAIN)
+    # All rounds lie below one folder, so that reading them is one scan at any depth.
+    base, rounds = shared_dir(spark, "unpack"), 0
+    schema = f"{UNPACKED}, kind STRING, packed BOOLEAN"
+    while True:
         kind = detect_kind(F.col("content"))
         outcome = unpack(packed, limits).withColumn("kind", kind).withColumn(
             "packed", (F.col("kind") != PLAIN) & ~F.col("kept")
         )
-        table = spool(outcome, "unpack", ("packed",))
-        settled.append(_settled(table.where(~F.col("packed"))))
-        packed = table.where(F.col("packed"))
+        outcome.write.partitionBy("packed").parquet(f"{base}/round={rounds}")
+        packed = spark.read.schema(schema).parquet(f"{base}/round={rounds}").where(F.col("packed"))
+        rounds += 1
         if packed.isEmpty():
             break
-    else:
-        settled.append(_settled(packed.withColumn("warning", F.lit(f"still packed after {max_rounds} rounds"))))
-    return reduce(DataFrame.unionByName, settled)
+    opened = spark.read.schema(f"{schema}, round INT").parquet(base)
+    return settled.unionByName(_settled(opened.where(~F.col("packed"))))
 
 
 def source_disposition(files: DataFrame, unpacked: Column, upload_root: str, processed_root: str) -> DataFrame:

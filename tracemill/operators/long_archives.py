@@ -178,13 +178,13 @@ def _read_members(limits: Limits):
                             if rows and (size + len(data or b"") > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
                                 yield unpacked_batch(rows)
                                 rows, size = [], 0
-                            rows.append((target, name, *origin, data, length, False, None))
+                            rows.append((target, name, *origin, data, length, False, None, None))
                             size += len(data or b"")
                     except Exception as exc:
                         opened = None
                         kept.append(f"unreadable member {row['member'] or row['name']!r}: {exc or type(exc).__name__}")
                 if kept:
-                    rows.append((row["path"], row["name"], None, row["depth"], row["mtime"], None, None, True, "; ".join(kept)))
+                    rows.append((row["path"], row["name"], None, row["depth"], row["mtime"], None, None, True, "; ".join(kept), None))
         if rows:
             yield unpacked_batch(rows)
 

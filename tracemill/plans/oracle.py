@@ -52,6 +52,15 @@ LOGS = """
 ev AS (SELECT event_id, event_type, ts, '/logs/user_' || user_id || '.log' AS path FROM events),
 streams AS (SELECT o_orderkey AS stream_id, '/logs/user_' || o_custkey || '.log' AS path FROM orders)"""
 
+EVEN = """,
+placed AS (SELECT path, length, ('0x' || substr(md5(path), 1, 15))::BIGINT AS place FROM corpus),
+summed AS (
+  SELECT path, length, sum(length) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)::BIGINT AS before,
+         sum(length) OVER ()::BIGINT AS total
+  FROM placed
+),
+dealt AS (SELECT path, length, least(15, floor(coalesce(before, 0) / total * 16))::INT AS bucket FROM summed)"""
+
 BUCKET = "('0x' || substr(md5(path || '|' || parser), 1, 8))::BIGINT % 16"
 
 _OVER_CORPUS = {
@@ -95,6 +104,22 @@ _OVER_CORPUS = {
                CASE WHEN starts_with(path, '/documents/') THEN '/processed/' || substr(path, 12) ELSE path END AS out_path
         FROM corpus""",
     "land_files": "SELECT path, length, md5(body) AS digest FROM corpus",
+    "display_names": """
+        SELECT path, path AS display_name, path AS relative_path, 'file' AS entry_type FROM corpus
+        UNION ALL SELECT DISTINCT p, p, p, 'directory' FROM (
+          SELECT '/' || array_to_string(list_slice(s, 1, n), '/') AS p
+          FROM (SELECT string_split(substr(path, 2), '/') AS s FROM corpus), generate_series(0, 4) g(n)
+          WHERE n < len(s)
+        )""",
+}
+
+_OVER_EVEN = {
+    "spread_by_bytes": "SELECT path, length, bucket FROM dealt",
+    "byte_stats": """
+        SELECT min(n) AS min_bytes, max(n) AS max_bytes, avg(n) AS avg_bytes, max(largest) AS largest_row, count(*) AS partitions,
+               max(n) <= avg(n) + max(largest) AS even
+        FROM (SELECT g.b, coalesce(sum(length), 0)::BIGINT AS n, coalesce(max(length), 0) AS largest
+              FROM generate_series(0, 15) g(b) LEFT JOIN dealt ON bucket = g.b GROUP BY g.b)""",
 }
 
 _OVER_WORK = {
@@ -172,6 +197,10 @@ _OVER_RESULTS = {
         UNION ALL SELECT 'parser_count', count(DISTINCT parser) FROM results WHERE container = 'event_data'""",
 }
 
+_OVER_RESULTS["atomic_sessions"] = """
+    SELECT 'kept' AS session_id, container, path, parser, seq, message, attr, val FROM results
+    UNION ALL SELECT 'rewritten', container, path, parser, seq, message, attr, val FROM results WHERE parser = 'filestat'"""
+
 _OVER_LOGS = {
     "event_stream_join": """
         SELECT e.event_id, e.path, s.stream_id, s.path AS stream_path
@@ -221,6 +250,23 @@ _OVER_TABLES = {
         FROM lines WHERE line <> ''
         UNION ALL SELECT 'extraction_warning', path, 'text', seq, 'line exceeds 2000 bytes', NULL, NULL FROM lines WHERE strlen(line) > 2000
         UNION ALL SELECT 'event_data', path, 'filestat', 0, NULL, 'size', strlen(body)::VARCHAR FROM f""",
+    "raising_extractors": """
+        WITH f AS (
+          SELECT '/documents/' || lang || '/' || source || '/' || doc_id || '.txt' AS path, strlen(text) AS n, text FROM documents
+        ),
+        lines AS (SELECT path, string_split(unnest(string_split(text, chr(10))), ' ') AS w FROM f),
+        found AS (
+          SELECT path, 'ratio' AS parser, n % 3 = 0 AS failed, 'values could not be computed' AS message FROM f
+          UNION ALL SELECT path, 'strict', n % 5 = 0, 'content could not be cut' FROM f
+          UNION ALL SELECT path, 'words', len(w) < 3, 'condition could not be computed' FROM lines WHERE len(w) < 3 OR w[3] <> ''
+        )
+        SELECT path, parser, CASE WHEN failed THEN 'extraction_error' ELSE 'event_data' END AS container,
+               CASE WHEN failed THEN message END AS message, count(*) AS rows
+        FROM found GROUP BY ALL""",
+    "posix_times": "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS ts FROM events",
+    "text_files": """
+        SELECT '/notes/' || doc_id || '.txt' AS path, strlen(body) AS length, md5(body) AS digest
+        FROM (SELECT doc_id, text || ' – ž 梦' AS body FROM documents)""",
     "isolated_failures": """
         SELECT path, parser, CASE WHEN parser = 'late' AND n % 2 = 1 THEN 2 ELSE 1 END::BIGINT AS rows_kept,
                CASE WHEN parser = 'late' AND n % 2 = 0 THEN 1 ELSE 0 END::BIGINT AS errors
@@ -241,6 +287,7 @@ def _with(prelude: str, queries: dict[str, str]) -> dict[str, str]:
 
 ORACLE: dict[str, str] = {
     **_with(CORPUS, _OVER_CORPUS),
+    **_with(CORPUS + EVEN, _OVER_EVEN),
     **_with(WORK, _OVER_WORK),
     **_with(RESULTS, _OVER_RESULTS),
     **_with(LOGS, _OVER_LOGS),

@@ -9,13 +9,13 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracemill.operators import counts
-from tracemill.operators.distribute import partition_stats, spread
+from tracemill.operators.distribute import partition_stats, spread_by_bytes
 from tracemill.operators.extract import bind_settings, items_with_content, run_extractors
 from tracemill.operators.oversize import oversize_results
 from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
 from tracemill.plans import settings as S
 from tracemill.plans.formatters import format_results, get_formatter
-from tracemill.plans.sinks import read_container, write_containers, write_json, write_session
+from tracemill.plans.sinks import write_containers, write_json
 from tracemill.sources.listing import exists
 from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, only_files, scan_files
 
@@ -69,16 +69,22 @@ def extract(
         files = readable = only_files(source)
         left = files.where("content IS NULL").select("path")
         readers = [e for e in chosen if e.needs_content]
-        for root in filter(exists, [long_root] if isinstance(long_root, str) else long_root or ()):
+        roots = [long_root] if isinstance(long_root, str) else list(long_root or ())
+        present = [root for root in roots if exists(root)]
+        for root in present:
             found = oversize_results(spark, root, readers, max_bytes, left)
             oversize = found if oversize is None else oversize.unionByName(found)
+        # Sizes tell which files can't have come with their content, so few rows are looked at.
+        if readers and not present and not files.where((F.col("length") > max_bytes) & F.isnull("content")).isEmpty():
+            lacking = f"none of {', '.join(roots)} exists" if roots else "no long_root is given"
+            raise ValueError(f"some files have no content and {lacking} to read them from")
     items = items_with_content(readable, chosen)
     response: dict = {}
     if dry_run:
         response["skew_before"] = partition_stats(items.select("parser")).first().asDict()
     if partitions:
         # Files are dealt out, not items, so content moves once.
-        items = items_with_content(spread(readable, partitions, "path").drop("bucket"), chosen)
+        items = items_with_content(spread_by_bytes(readable, partitions).drop("bucket"), chosen)
         if dry_run:
             response["skew_after"] = partition_stats(items.select("parser")).first().asDict()
     results = run_extractors(items, chosen)
@@ -108,16 +114,16 @@ def extract(
     recorded = replace(
         settings, enabled_parser_names=S.enabled_names(chosen), parser_filter_expression=extractors
     )
-    began = _now()
-    opening = S.session_row(spark, session_id, S.START, began, recorded.as_map()).unionByName(
-        S.session_row(spark, session_id, S.SYSTEM, began, S.system_values(spark, settings))
-    )
-    write_session(opening, output)
-    write_containers(files, results, output, session_id, settings.storage_kind)
-    written = read_container(spark, output, "results", session_id)
-    totals = counts.run_summary(written).first()
-    totals_map = {k: str(v) for k, v in totals.asDict().items()}
-    write_session(S.session_row(spark, session_id, S.COMPLETION, _now(), totals_map), output)
+    began, totals = _now(), {}
+
+    def session_rows(written: DataFrame) -> DataFrame:
+        totals.update(counts.run_summary(written).first().asDict())
+        rows = S.session_row(spark, session_id, S.START, began, recorded.as_map())
+        rows = rows.unionByName(S.session_row(spark, session_id, S.SYSTEM, began, S.system_values(spark, settings)))
+        done = {k: str(v) for k, v in totals.items()}
+        return rows.unionByName(S.session_row(spark, session_id, S.COMPLETION, _now(), done))
+
+    write_containers(files, results, output, session_id, settings.storage_kind, session_rows)
     run.store = output
     response |= {
         "number of events": totals["events"],

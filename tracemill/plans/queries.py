@@ -90,6 +90,20 @@ def isolated_failures(spark, sf_dir):
     )
 
 
+def raising_extractors(spark, sf_dir):
+    """Declared extractors whose values, condition or cut raise on part of the files: rows by container."""
+    ratio = Extractor("ratio", emits=(Emit(attributes={"value": "CAST(1000 div (length % 3) AS STRING)"}),))
+    third = "element_at(split(record, ' '), 3)"
+    words = Extractor(
+        "words", records="split(decode(content, 'ISO-8859-1'), '\\n')",
+        emits=(Emit(when=f"{third} <> ''", attributes={"third": third}),),
+    )
+    strict = Extractor("strict", records="IF(length % 5 = 0, raise_error('refused'), array('x'))", emits=(Emit(),))
+    files = corpus(spark, sf_dir).where(F.col("path").startswith("/documents/"))
+    found = extract.extract_results(files, (ratio, words, strict))
+    return found.groupBy("path", "parser", "container", "message").agg(F.count("*").alias("rows"))
+
+
 def only_files(spark, sf_dir):
     return src.only_files(src.entries(corpus(spark, sf_dir))).select("path", "length")
 
@@ -328,6 +342,27 @@ def timeline_events(spark, sf_dir):
     return timeline(events, keys=("o_orderkey",))
 
 
+def posix_times(spark, sf_dir):
+    """Times as POSIX nanoseconds, every fifth unknown, read back to microseconds."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    ns = F.when(F.col("event_id") % 5 == 0, F.lit(0)).otherwise(micros * 1000 + F.col("event_id") % 1000)
+    return table(spark, sf_dir, "events").select("event_id", times.from_posix_ns(ns).alias("ts"))
+
+
+def text_files(spark, sf_dir):
+    """Texts written as UTF-8 files below a folder and read back from there."""
+    path = F.concat(F.lit("/notes/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    docs = table(spark, sf_dir, "documents").select(path.alias("path"), F.concat("text", F.lit(" – ž 梦")).alias("text"))
+    root = shared_dir(spark, "notes")
+    sinks.write_files(sinks.text_files(docs), root)
+    found = src.scan_files(spark, root)
+    return found.select(_below(root), "length", F.md5("content").alias("digest"))
+
+
+def display_names(spark, sf_dir):
+    return src.file_stat(src.entries(corpus(spark, sf_dir))).select("path", "display_name", "relative_path", "entry_type")
+
+
 def normalize_time(spark, sf_dir):
     ts = F.col("ts")
     return table(spark, sf_dir, "events").select(
@@ -489,6 +524,18 @@ def partition_stats(spark, sf_dir):
     return distribute.partition_stats(distribute.spread(items, BUCKETS).select("bucket"))
 
 
+def spread_by_bytes(spark, sf_dir):
+    """Files dealt to partitions of even bytes, laid end to end in a mixed order."""
+    return distribute.spread_by_bytes(corpus(spark, sf_dir).select("path", "length"), BUCKETS)
+
+
+def byte_stats(spark, sf_dir):
+    """Bytes by partition after that: none has more than the mean and the largest file."""
+    dealt = distribute.spread_by_bytes(corpus(spark, sf_dir).select("path", "length"), BUCKETS)
+    even = (F.col("max_bytes") <= F.col("avg_bytes") + F.col("largest_row")).alias("even")
+    return distribute.byte_stats(dealt).select("min_bytes", "max_bytes", "avg_bytes", "largest_row", "partitions", even)
+
+
 def partition_sizes(spark, sf_dir):
     items = classify.work_items(corpus(spark, sf_dir), DEFAULT)
     return distribute.partition_sizes(distribute.spread(items, BUCKETS).select("bucket"))
@@ -525,11 +572,28 @@ def write_containers(spark, sf_dir):
     return found
 
 
+def atomic_sessions(spark, sf_dir):
+    """What the store shows of a session whose rewrite is half done, and of one rewritten to the end."""
+    store, files = shared_dir(spark, "store"), corpus(spark, sf_dir)
+    everything = extract.extract_results(files, DEFAULT)
+    few = extract.extract_results(files, select_extractors(DEFAULT, "filestat"))
+    sinks.write_containers(files, everything, store, "kept")
+    sinks.write_containers(files, few, store, "rewritten")
+    # Written in whole, but its commit never comes.
+    sinks.stage_containers(files, few, store, "kept")
+    sinks.write_containers(files, everything, store, "rewritten")
+    sinks.write_containers(files, few, store, "rewritten")
+    shown = sinks.read_container(spark, store, "results")
+    attr, val = (F.get(f("attributes"), F.lit(0)).alias(n) for f, n in ((F.map_keys, "attr"), (F.map_values, "val")))
+    return shown.select("session_id", "container", "path", "parser", "seq", "message", attr, val)
+
+
 QUERIES: dict[str, Query] = {
     "scan_files": scan_files,
     "scan_tree": scan_tree,
     "long_files": long_files,
     "isolated_failures": isolated_failures,
+    "raising_extractors": raising_extractors,
     "only_files": only_files,
     "path_source": path_source,
     "read_range": read_range,
@@ -567,6 +631,9 @@ QUERIES: dict[str, Query] = {
     "stream_runs_global": stream_runs_global,
     "timeline": timeline_events,
     "normalize_time": normalize_time,
+    "posix_times": posix_times,
+    "text_files": text_files,
+    "display_names": display_names,
     "path_functions": path_functions,
     "unpack_names": unpack_names,
     "source_disposition": source_disposition,
@@ -578,7 +645,10 @@ QUERIES: dict[str, Query] = {
     "repartition_buckets": repartition_buckets,
     "partition_stats": partition_stats,
     "partition_sizes": partition_sizes,
+    "spread_by_bytes": spread_by_bytes,
+    "byte_stats": byte_stats,
     "json_events": json_events,
     "land_files": land_files,
     "write_containers": write_containers,
+    "atomic_sessions": atomic_sessions,
 }

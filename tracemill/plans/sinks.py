@@ -1,6 +1,15 @@
-"""Sinks: the landing area, the timeline store and JSON text."""
-
-from collections.abc import Callable, Iterable, Iterator
+"""Sinks: the landing area, the timeline store and JSON text.
+
+A store holds one table per container, in folders by session and version. What
+a run writes lies under a version nobody knows yet; one row added to the commit
+log at the end makes all its tables visible together, in place of the session's
+version before. A run that dies leaves the store as it was, and readers see the
+old rows until the new ones are complete.
+"""
+
+import time
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
@@ -105,32 +114,92 @@ def write_json(results: DataFrame, out: str, formatter: str = "json") -> None:
     documents.write.mode("errorifexists").text(out)
 
 
-def _put(df: DataFrame, store: str, container: str, session_id: str, *extra: str) -> None:
-    """Add a run's rows. A task that is run again replaces its own."""
-    tagged = df.withColumn("session_id", F.lit(session_id))
-    writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("session_id", *extra).parquet(f"{store}/{container}")
+COMMITS = "commits"
+COMMIT = "session_id STRING, version STRING, number BIGINT"
+
+
+def _put(df: DataFrame, store: str, container: str, session_id: str, version: str, *extra: str) -> None:
+    """Add rows of a version; no other attempt writes there."""
+    tagged = df.withColumns({"session_id": F.lit(session_id), "version": F.lit(version)})
+    tagged.write.mode("append").partitionBy("session_id", "version", *extra).parquet(f"{store}/{container}")
+
+
+def _has(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def snapshot(spark: SparkSession, store: str) -> DataFrame:
+    """(session_id, version): what the store shows of each session, its last commit."""
+    if not _has(spark, f"{store}/{COMMITS}"):
+        return spark.createDataFrame([], "session_id STRING, version STRING")
+    log = spark.read.schema(COMMIT).json(f"{store}/{COMMITS}")
+    last = F.max(F.struct("number", "version")).alias("last")
+    return log.groupBy("session_id").agg(last).select("session_id", "last.version")
 
 
-def clear_session(spark: SparkSession, store: str, session_id: str, containers: Iterable[str] = tuple(CONTAINERS)) -> None:
-    """Drop what a session has in the store, so that writing it again leaves nothing of before."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("session_id", session_id)
-    for container in containers:
-        path = jvm.org.apache.hadoop.fs.Path(f"{store}/{container}/{folder}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def commit_session(spark: SparkSession, store: str, session_id: str, version: str) -> None:
+    """Show a version in place of the session's one before: one row, one file, moved into the log when complete."""
+    number = 1
+    if _has(spark, f"{store}/{COMMITS}"):
+        log = spark.read.schema(COMMIT).json(f"{store}/{COMMITS}").where(F.col("session_id") == session_id)
+        number += log.agg(F.max("number")).first()[0] or 0
+    row = spark.createDataFrame([(session_id, version, number)], COMMIT)
+    row.coalesce(1).write.mode("append").json(f"{store}/{COMMITS}")
+
+
+def vacuum(spark: SparkSession, store: str, older_than: float = 7 * 24 * 3600.0) -> int:
+    """Delete the versions no session shows, left by runs that died or were replaced; returns their number.
+
+    Those changed less than `older_than` seconds ago stay: they may belong to a
+    run that is still writing.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    catalog = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    shown = {
+        tuple(catalog.getPartitionPathString(c, r[c]) for c in ("session_id", "version"))
+        for r in snapshot(spark, store).toLocalIterator()
+    }
+    dropped = set()
+    for container in CONTAINERS:
+        root = jvm.org.apache.hadoop.fs.Path(f"{store}/{container}")
+        fs = root.getFileSystem(conf)
+        for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "session_id=*/version=*")) or []:
+            path = found.getPath()
+            place = (path.getParent().getName(), path.getName())
+            if place not in shown and found.getModificationTime() <= (time.time() - older_than) * 1000:
+                fs.delete(path, True)
+                dropped.add(place)
+    return len(dropped)
+
+
+def _rows(spark: SparkSession, store: str, container: str) -> DataFrame:
+    return spark.read.schema(f"{CONTAINERS[container]}, session_id STRING, version STRING").parquet(f"{store}/{container}")
+
+
+def _routed(rows: DataFrame, container: str) -> DataFrame:
+    """Rows of `results` as the table of one container."""
+    rows = rows.where(F.col("container") == container)
+    if container == EVENT_DATA:
+        return rows.select("session_id", "path", "parser", "seq", "attributes", "times")
+    return rows.select("session_id", "path", F.col("parser").alias("parser_chain"), "seq", "message")
 
 
 def read_container(spark: SparkSession, store: str, container: str, session_id: str | None = None) -> DataFrame:
-    """A table of the store over all runs, or of one."""
+    """A table of the store over all sessions, or of one, as last committed.
+
+    The versions to read are fixed by the log when the plan is made or, over all
+    sessions, when it runs; other versions' folders are pruned.
+    """
     if container in (EVENT_DATA, EXTRACTION_WARNING, RECOVERY_WARNING):
-        rows = read_container(spark, store, "results", session_id).where(F.col("container") == container)
-        if container == EVENT_DATA:
-            return rows.select("session_id", "path", "parser", "seq", "attributes", "times")
-        return rows.select("session_id", "path", F.col("parser").alias("parser_chain"), "seq", "message")
-    schema = f"{CONTAINERS[container]}, session_id STRING"
-    table = spark.read.schema(schema).parquet(f"{store}/{container}")
-    return table if session_id is None else table.where(F.col("session_id") == session_id)
+        return _routed(read_container(spark, store, "results", session_id), container)
+    rows, shown = _rows(spark, store, container), snapshot(spark, store)
+    if session_id is None:
+        shown = rows.join(shown, ["session_id", "version"], "left_semi")
+        return shown.select(*[c for c in rows.columns if c != "version"])
+    last = shown.where(F.col("session_id") == session_id).first()
+    version = F.lit(last["version"] if last else None)
+    return rows.where((F.col("session_id") == session_id) & (F.col("version") == version)).drop("version")
 
 
 def read_parser_counts(spark: SparkSession, store: str) -> DataFrame:
@@ -138,33 +207,48 @@ def read_parser_counts(spark: SparkSession, store: str) -> DataFrame:
     return merge_parser_counts(read_container(spark, store, "parser_count").select("name", "number_of_events"))
 
 
-def write_containers(
-    files: DataFrame, results: DataFrame, store: str, session_id: str, storage_kind: str = "FILE"
-) -> None:
-    """Write all tables of one run but its session rows; what the store has of them is replaced.
+def stage_containers(
+    files: DataFrame, results: DataFrame, store: str, session_id: str, storage_kind: str = "FILE",
+    session: Callable[[DataFrame], DataFrame] | None = None,
+) -> str:
+    """Write all tables of one run as a version still to be committed, and return it.
 
     Results are computed and written once, partitioned by container; streams,
     timeline and counts are derived from the written table, so extraction never
     runs twice. Counts are one small set of rows per run, added up when read:
-    nothing written before is rewritten.
+    nothing written before is rewritten. `session` gives the run's session rows
+    from the results as written.
     """
-    spark = files.sparkSession
-    clear_session(spark, store, session_id, (c for c in CONTAINERS if c != "session"))
+    spark, version = files.sparkSession, uuid.uuid4().hex
+    put = lambda df, container, *extra: _put(df, store, container, session_id, version, *extra)
     _together(
         spark,
-        lambda: _put(results, store, "results", session_id, "container"),
-        lambda: _put(event_sources(files, storage_kind), store, "event_source", session_id),
+        lambda: put(results, "results", "container"),
+        lambda: put(event_sources(files, storage_kind), "event_source"),
     )
-    event_data = read_container(spark, store, EVENT_DATA, session_id)
-    written = read_container(spark, store, "results", session_id)
-    _together(
-        spark,
+    mine = (F.col("session_id") == session_id) & (F.col("version") == version)
+    written = _rows(spark, store, "results").where(mine).drop("version")
+    event_data = _routed(written, EVENT_DATA)
+    writes = [
         # Every event comes from a file of this run, so the streams that own
         # events are the distinct locations of the events.
-        lambda: _put(event_data.select("path").distinct(), store, "event_data_stream", session_id),
-        lambda: _put(timeline(event_data), store, "timeline", session_id),
-        lambda: _put(parser_counts(written).coalesce(1), store, "parser_count", session_id),
-    )
+        lambda: put(event_data.select("path").distinct(), "event_data_stream"),
+        lambda: put(timeline(event_data), "timeline"),
+        lambda: put(parser_counts(written).coalesce(1), "parser_count"),
+    ]
+    if session is not None:
+        writes.append(lambda: put(session(written).drop("session_id"), "session"))
+    _together(spark, *writes)
+    return version
+
+
+def write_containers(
+    files: DataFrame, results: DataFrame, store: str, session_id: str, storage_kind: str = "FILE",
+    session: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Write all tables of one run; they replace, at once, what the store shows of the session."""
+    version = stage_containers(files, results, store, session_id, storage_kind, session)
+    commit_session(files.sparkSession, store, session_id, version)
 
 
 def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
@@ -172,7 +256,3 @@ def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     with ThreadPoolExecutor(len(writes)) as pool:
         for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
             done.result()
-
-
-def write_session(rows: DataFrame, store: str) -> None:
-    rows.write.mode("append").partitionBy("session_id").parquet(f"{store}/session")

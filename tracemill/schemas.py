@@ -15,7 +15,7 @@ RESULTS = (
 
 UNPACKED = (
     "path STRING, name STRING, source_path STRING, depth INT, mtime TIMESTAMP_NTZ, "
-    "content BINARY, length BIGINT, kept BOOLEAN, warning STRING"
+    "content BINARY, length BIGINT, kept BOOLEAN, warning STRING, ancestors ARRAY<BINARY>"
 )
 
 EVENT_DATA = "event_data"

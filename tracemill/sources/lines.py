@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tracemill.session import spool
 from tracemill.sources.files import list_files
-from tracemill.sources.listing import open_uri
+from tracemill.sources.listing import OPEN_BYTES, TASK_BYTES, open_uri
 
 # Bytes of a file one task reads, of one read, and of one batch of lines.
 SPLIT_BYTES = 64 << 20
@@ -35,28 +35,31 @@ def split_lines(raw: BinaryIO, start: int, stop: int) -> Iterator[bytes]:
     a line, and what follows the last one is a line if it isn't empty.
     """
     # The byte before decides whether a line begins at `start`.
+    begin, line = start, [] if start == 0 else None
     at = max(0, start - 1)
-    rest, begun = b"", start == 0
-    begin = start
     for chunk in _chunks(raw, at):
-        rest += chunk
-        if not begun:
-            first = rest.find(END)
-            if first < 0:
-                at += len(rest)
-                rest = b""
+        pieces = chunk.split(END)
+        if line is None:
+            # The line begun before `start` ends with the first line end from there on.
+            if len(pieces) == 1:
+                at += len(chunk)
                 continue
-            rest, begin, begun = rest[first + 1 :], at + first + 1, True
-        *whole, rest = rest.split(END)
-        for line in whole:
+            begin, line = at + len(pieces.pop(0)) + 1, []
+        # A long line is kept in its pieces and joined once.
+        *ended, rest = pieces
+        for piece in ended:
             if begin >= stop:
                 return
-            yield line
-            begin += len(line) + 1
+            line.append(piece)
+            whole = b"".join(line)
+            yield whole
+            begin, line = begin + len(whole) + 1, []
         if begin >= stop:
             return
-    if begun and rest and begin < stop:
-        yield rest
+        if rest:
+            line.append(rest)
+    if line and begin < stop:
+        yield b"".join(line)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,24 +102,32 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_lines(listed: DataFrame) -> DataFrame:
     """Lines `(path, name, length, mtime, seq, line)` of listed files, `line` being bytes.
 
-    One file is read by many tasks. Line ends are counted per split first, one
-    row each, so a split knows the number of its first line before it is cut
-    and no line is ever joined or moved. Names and content are taken as they
-    are: no suffix means a codec, no byte a character.
+    One file is read by many tasks, and many short ones by one. Line ends of a
+    file of several splits are counted per split first, one row each, so a split
+    knows the number of its first line before it is cut and no line is ever
+    joined or moved. Names and content are taken as they are: no suffix means a
+    codec, no byte a character.
     """
+    columns = ["uri", *FILE_COLUMNS, "start", "stop"]
     start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(SPLIT_BYTES).cast("bigint")))
     splits = listed.where("length > 0").select("uri", *FILE_COLUMNS, start.alias("start"))
     splits = splits.withColumn("stop", F.least(F.col("length"), F.col("start") + SPLIT_BYTES))
-    splits = spool(splits, "splits")
-    tasks = max(1, splits.count())
-    counted = splits.repartition(tasks).mapInArrow(_count, f"uri STRING, {FILE_SCHEMA}, start BIGINT, stop BIGINT, ends BIGINT")
-    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    # A split whose start isn't the start of a line begins with the next one.
-    numbered = counted.select(
-        "uri", *FILE_COLUMNS, "start", "stop", F.coalesce(F.sum("ends").over(before), F.lit(0)).alias("line_ends")
-    )
-    numbered = spool(numbered, "numbered-splits")
-    return numbered.repartition(tasks).mapInArrow(_cut_from_ends, f"{FILE_SCHEMA}, seq BIGINT, line BINARY")
+    splits = spool(splits.withColumn("several", F.col("length") > SPLIT_BYTES), "splits", ("several",))
+    numbered = splits.where("NOT several").select(*columns, F.lit(0).cast("bigint").alias("line_ends"))
+    long = splits.where("several").select(*columns)
+    if not long.isEmpty():
+        counted = long.repartition(tasks_for(long)).mapInArrow(_count, f"uri STRING, {FILE_SCHEMA}, start BIGINT, stop BIGINT, ends BIGINT")
+        before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        # A split whose start isn't the start of a line begins with the next one.
+        ends = F.coalesce(F.sum("ends").over(before), F.lit(0)).alias("line_ends")
+        numbered = numbered.unionByName(spool(counted.select(*columns, ends), "numbered-splits"))
+    return numbered.repartition(tasks_for(splits)).mapInArrow(_cut_from_ends, f"{FILE_SCHEMA}, seq BIGINT, line BINARY")
+
+
+def tasks_for(splits: DataFrame) -> int:
+    """As many tasks as the splits' bytes and their number call for."""
+    total = splits.agg(F.expr("sum(stop - start)").alias("bytes"), F.count("*").alias("n")).first()
+    return max(1, min(total["n"], -(-((total["bytes"] or 0) + OPEN_BYTES * total["n"]) // TASK_BYTES)))
 
 
 def _cut_from_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from tracemill.operators.counts import run_summary
 from tracemill.operators.extract import bind_settings, extract_results
 from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
 from tracemill.plans.settings import COMPLETION, START, SYSTEM, Settings, enabled_names, session_row, system_values
-from tracemill.plans.sinks import clear_session, read_container, write_containers, write_session
+from tracemill.plans.sinks import write_containers
 from tracemill.sources.files import BINARY_FILE, from_binary_files
 
 
@@ -47,13 +47,15 @@ def extract_arrivals(
 
     def write(batch: DataFrame, number: int) -> None:
         spark, session_id, began = batch.sparkSession, f"{name}-{number}", _now()
-        clear_session(spark, store, session_id)
-        write_containers(batch, extract_results(batch, chosen), store, session_id, settings.storage_kind)
-        totals = run_summary(read_container(spark, store, "results", session_id)).first().asDict()
-        rows = session_row(spark, session_id, START, began, recorded.as_map())
-        rows = rows.unionByName(session_row(spark, session_id, SYSTEM, began, system_values(spark, settings)))
-        done = {k: str(v) for k, v in totals.items()}
-        write_session(rows.unionByName(session_row(spark, session_id, COMPLETION, _now(), done)), store)
+
+        def session_rows(written: DataFrame) -> DataFrame:
+            totals = run_summary(written).first().asDict()
+            rows = session_row(spark, session_id, START, began, recorded.as_map())
+            rows = rows.unionByName(session_row(spark, session_id, SYSTEM, began, system_values(spark, settings)))
+            done = {k: str(v) for k, v in totals.items()}
+            return rows.unionByName(session_row(spark, session_id, COMPLETION, _now(), done))
+
+        write_containers(batch, extract_results(batch, chosen), store, session_id, settings.storage_kind, session_rows)
 
     stream = files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
