@@ -35,6 +35,41 @@ class Emit:
     attribute_map: str | None = None
 
 
+@dataclass(frozen=True)
+class Count:
+    """How often a literal occurs, as a long."""
+
+    literal: bytes
+
+
+@dataclass(frozen=True)
+class Has:
+    """Whether a literal occurs."""
+
+    literal: bytes
+
+
+@dataclass(frozen=True)
+class Between:
+    """What first stands between two literals on one line, as text; empty if nothing does."""
+
+    open: bytes
+    close: bytes
+
+
+@dataclass(frozen=True)
+class LongForm:
+    """How an extractor reads files too long for a row: facts found in splits, and emits over them.
+
+    Emits refer to the facts by name, or to `members`, the file's JSON object as
+    text, in several rows where it is very long.
+    """
+
+    emits: tuple[Emit, ...]
+    facts: Mapping[str, Count | Has | Between] = field(default_factory=dict)
+    members: str | None = None
+
+
 @dataclass(frozen=True)
 class Extractor:
     name: str
@@ -50,6 +85,8 @@ class Extractor:
     # left on unless none of them can raise: a guarded rule computes its values even
     # where only rows are counted.
     guarded: bool = True
+    # For extractors that need the whole content: the same on files too long for a row.
+    long: LongForm | None = None
 
     @property
     def chain(self) -> str:
@@ -78,6 +115,10 @@ HTML = Extractor(
             message="unterminated document",
         ),
     ),
+    long=LongForm(
+        facts={"title": Between(b"<title>", b"</title>"), "closed": Has(b"</html>")},
+        emits=(Emit(attributes={"title": "title"}), Emit(RECOVERY_WARNING, when="NOT closed", message="unterminated document")),
+    ),
 )
 
 MARKUP = Extractor(
@@ -92,6 +133,7 @@ MARKUP = Extractor(
             }
         ),
     ),
+    long=LongForm(facts={"tags": Count(b"<")}, emits=(Emit(attributes={"tags": "CAST(tags AS STRING)"}),)),
 )
 
 JSON = Extractor(
@@ -105,6 +147,10 @@ JSON = Extractor(
             times={"Modification Time": "mtime"},
         ),
     ),
+    long=LongForm(
+        members="members",
+        emits=(Emit(attribute_map="from_json(members, 'MAP<STRING, STRING>')", times={"Modification Time": "mtime"}),),
+    ),
 )
 
 LONG_LINE_BYTES = 2000

@@ -201,6 +201,16 @@ _OVER_RESULTS["atomic_sessions"] = """
     SELECT 'kept' AS session_id, container, path, parser, seq, message, attr, val FROM results
     UNION ALL SELECT 'rewritten', container, path, parser, seq, message, attr, val FROM results WHERE parser = 'filestat'"""
 
+_OVER_RESULTS["long_signed_files"] = """,
+objects AS (
+  SELECT '/objects/' || (doc_id // 64) || '.json' AS path, count(*)::INT AS n,
+         md5(string_agg(doc_id || '=' || text, ';' ORDER BY doc_id || '=' || text)) AS digest
+  FROM documents GROUP BY 1
+)
+    SELECT container, path, parser, seq, message, (attr IS NOT NULL)::INT AS n, md5(coalesce(attr || '=' || val, '')) AS digest
+    FROM results WHERE path LIKE '/pages/%' AND parser <> 'filestat'
+    UNION ALL SELECT 'event_data', path, 'json/kv', 0, NULL, n, digest FROM objects"""
+
 _OVER_LOGS = {
     "event_stream_join": """
         SELECT e.event_id, e.path, s.stream_id, s.path AS stream_path

@@ -18,6 +18,7 @@ from tracemill.plans.formatters import format_results, get_formatter
 from tracemill.plans.sinks import write_containers, write_json
 from tracemill.sources.listing import exists
 from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, only_files, scan_files
+from tracemill.sources.lines import SPLIT_BYTES
 
 
 @dataclass
@@ -46,11 +47,12 @@ def extract(
     settings: S.Settings = S.Settings(),
     max_bytes: int = MAX_CONTENT_BYTES,
     long_root: str | Sequence[str] | None = None,
+    split_bytes: int = SPLIT_BYTES,
 ) -> ExtractResult:
     """Extract events from `source`, a folder or a files DataFrame.
 
-    Files of a folder longer than `max_bytes` are read by line in splits. Files
-    of a DataFrame that have no content were left below one of `long_root` and
+    Files of a folder longer than `max_bytes` are read in splits of
+    `split_bytes`. Files of a DataFrame that have no content were left below one of `long_root` and
     are read there in the same way.
 
     Without a formatter the run is written to the store `output`; with one the
@@ -64,7 +66,7 @@ def extract(
         files = list_files(spark, source)
         readable = scan_files(spark, source, max_bytes, listing=files)
         if not files.where(F.col("length") > max_bytes).isEmpty():
-            oversize = oversize_results(spark, source, chosen, max_bytes, listing=files)
+            oversize = oversize_results(spark, source, chosen, max_bytes, listing=files, split_bytes=split_bytes)
     else:
         files = readable = only_files(source)
         left = files.where("content IS NULL").select("path")
@@ -72,7 +74,7 @@ def extract(
         roots = [long_root] if isinstance(long_root, str) else list(long_root or ())
         present = [root for root in roots if exists(root)]
         for root in present:
-            found = oversize_results(spark, root, readers, max_bytes, left)
+            found = oversize_results(spark, root, readers, max_bytes, left, split_bytes=split_bytes)
             oversize = found if oversize is None else oversize.unionByName(found)
         # Sizes tell which files can't have come with their content, so few rows are looked at.
         if readers and not present and not files.where((F.col("length") > max_bytes) & F.isnull("content")).isEmpty():

@@ -72,6 +72,22 @@ def long_files(spark, sf_dir):
     return extract.flat(run.results).select("container", _below(root), "parser", "seq", "message", "attr", "val")
 
 
+def long_signed_files(spark, sf_dir):
+    """Pages, and documents as members of JSON objects, read in small splits as too long for a row."""
+    pages = corpus(spark, sf_dir).where(F.col("path").startswith("/pages/")).select("path", "content")
+    member = F.regexp_replace(F.to_json(F.create_map(F.col("doc_id").cast("string"), "text")), r"^\{|\}$", "")
+    docs = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / 64).alias("volume"))
+    docs = docs.agg(F.concat(F.lit("{"), F.array_join(F.collect_list(member), ",\n "), F.lit("}")).alias("text"))
+    objects = docs.select(F.concat(F.lit("/objects/"), F.col("volume"), F.lit(".json")).alias("path"), F.encode("text", "UTF-8").alias("content"))
+    root = shared_dir(spark, "long-signed")
+    sinks.write_files(pages.unionByName(objects), root)
+    run = pipeline.extract(spark, root, formatter="json", max_bytes=300, split_bytes=1 << 14)
+    pairs = F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    digest = F.md5(F.array_join(pairs, ";")).alias("digest")
+    found = run.results.where("parser <> 'filestat'")
+    return found.select("container", _below(root), "parser", "seq", "message", F.size("attributes").alias("n"), digest)
+
+
 def _late_failure(file):
     """Emits a time that is none for files of even length."""
     yield file.event({"bytes": file.file.length})
@@ -592,6 +608,7 @@ QUERIES: dict[str, Query] = {
     "scan_files": scan_files,
     "scan_tree": scan_tree,
     "long_files": long_files,
+    "long_signed_files": long_signed_files,
     "isolated_failures": isolated_failures,
     "raising_extractors": raising_extractors,
     "only_files": only_files,

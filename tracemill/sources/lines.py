@@ -99,7 +99,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield packed(file, first, lines)
 
 
-def read_lines(listed: DataFrame) -> DataFrame:
+def read_lines(listed: DataFrame, split_bytes: int | None = None) -> DataFrame:
     """Lines `(path, name, length, mtime, seq, line)` of listed files, `line` being bytes.
 
     One file is read by many tasks, and many short ones by one. Line ends of a
@@ -108,11 +108,12 @@ def read_lines(listed: DataFrame) -> DataFrame:
     joined or moved. Names and content are taken as they are: no suffix means a
     codec, no byte a character.
     """
+    split_bytes = split_bytes or SPLIT_BYTES
     columns = ["uri", *FILE_COLUMNS, "start", "stop"]
-    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(SPLIT_BYTES).cast("bigint")))
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint")))
     splits = listed.where("length > 0").select("uri", *FILE_COLUMNS, start.alias("start"))
-    splits = splits.withColumn("stop", F.least(F.col("length"), F.col("start") + SPLIT_BYTES))
-    splits = spool(splits.withColumn("several", F.col("length") > SPLIT_BYTES), "splits", ("several",))
+    splits = splits.withColumn("stop", F.least(F.col("length"), F.col("start") + split_bytes))
+    splits = spool(splits.withColumn("several", F.col("length") > split_bytes), "splits", ("several",))
     numbered = splits.where("NOT several").select(*columns, F.lit(0).cast("bigint").alias("line_ends"))
     long = splits.where("several").select(*columns)
     if not long.isEmpty():
