@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -153,6 +154,38 @@ def test_a_rewrite_shows_when_it_is_complete(spark, make_files, results, tmp_pat
     assert sinks.vacuum(spark, store, older_than=0) == 0
 
 
+def test_uploads_with_vanished_files_and_empty_folders(spark, tmp_path):
+    """One file that can't be read is reported and ends neither the upload nor a run over the folder."""
+    from tracemill.plans.uploads import UNREAD, upload
+    from tracemill.session import spool
+
+    up = tmp_path / "up"
+    (up / "bare" / "deep").mkdir(parents=True)
+    for name, body in {"a.txt": b"a", "gone.txt": b"gone", "z.gz": gzip.compress(b"zed"), "none": b""}.items():
+        (up / name).write_bytes(body)
+    entries = spool(src.list_entries(spark, str(up)), "entries")
+    (up / "gone.txt").unlink()
+    report = {r["path"]: (r["outcome"], r["warning"]) for r in upload(spark, str(up), str(tmp_path / "area"), entries=entries).collect()}
+    assert report == {"/a.txt": ("landed", None), "/gone.txt": ("unreadable", UNREAD), "/z.gz": ("unpacked", None), "/none": ("landed", None)}
+    area = sinks.landed(spark, str(tmp_path / "area"))
+    held = {r["path"].split("_extracted")[0]: r["content"] for r in area.where("entry_type = 'file'").collect()}
+    assert {k: bytes(v) for k, v in held.items()} == {"/a.txt": b"a", "/z_gz": b"zed", "/none": b""}
+    assert {r["path"] for r in area.where("entry_type = 'directory'").collect()} == {"/bare", "/bare/deep"}
+
+
+def test_a_run_goes_on_without_the_files_it_cannot_read(spark, tmp_path, monkeypatch):
+    from tracemill.plans import pipeline
+
+    source = fill(tmp_path / "in")
+    listed = pipeline.list_files(spark, source)
+    gone = F.when(F.col("name") == "obj.json", F.concat("uri", F.lit(".gone"))).otherwise(F.col("uri"))
+    monkeypatch.setattr(pipeline, "list_files", lambda *_: listed.withColumn("uri", gone))
+    run = run_extract(spark, source, output=str(tmp_path / "store"))
+    rows = [(r["parser"], r["container"], r["message"]) for r in run.results.where("path LIKE '%obj.json'").collect()]
+    assert sorted(rows, key=str) == [("filestat", "event_data", None), ("unreadable", "extraction_warning", "file could not be read")]
+    assert run.response["number of warnings"] == WARNINGS + 1
+
+
 def test_files_left_out_need_a_place_to_be_read_from(spark, make_files, tmp_path):
     gone = make_files(FILES).withColumns({"content": F.lit(None).cast("binary"), "length": F.lit(5000).cast("bigint")})
     for roots in (None, str(tmp_path / "mistyped")):

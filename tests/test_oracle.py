@@ -14,7 +14,7 @@ def con():
 def test_query_equals_sql(spark, con, name):
     rows, verdict = check_oracle.compare(spark, con, SF_DIR, name)
     assert rows > 0
-    assert verdict == "ok" or (verdict == "no SQL" and name == "scan_files")
+    assert verdict == "ok"
 
 
 def test_every_sql_has_a_query():

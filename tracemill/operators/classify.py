@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tracemill.operators.registry import ALWAYS, Extractor, Signature, with_signature, without_signature
+from tracemill.operators.registry import ALWAYS, UNREADABLE, Extractor, Signature, with_signature, without_signature
 from tracemill.sources.files import read_range
 
 # Signatures compared one by one in a projection.
@@ -114,4 +114,7 @@ def work_items(files: DataFrame, registry: Iterable[Extractor], *keep: str) -> D
     """One row per file and assigned extractor, with the columns named in `keep`."""
     registry = tuple(registry)
     parsers = assigned_parsers(registry, F.col("sig_parsers"))
+    if UNREADABLE in registry:
+        unread = F.isnull("content") & (F.col("length") > 0)
+        parsers = F.when(unread, _names([UNREADABLE.name, ALWAYS])).otherwise(parsers)
     return classify(files, registry).select("path", *keep, F.explode(parsers).alias("parser"))

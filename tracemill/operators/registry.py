@@ -103,6 +103,14 @@ FILESTAT = Extractor(
     emits=(Emit(attributes={"size": "CAST(length AS STRING)"}, times={"Modification Time": "mtime"}),),
 )
 
+# What a file that was listed but couldn't be read gets besides.
+UNREADABLE = Extractor(
+    "unreadable",
+    needs_content=False,
+    guarded=False,
+    emits=(Emit(EXTRACTION_WARNING, message="file could not be read"),),
+)
+
 HTML = Extractor(
     "html",
     guarded=False,
@@ -197,4 +205,4 @@ def with_signature(registry: Iterable[Extractor]) -> list[Extractor]:
 
 
 def without_signature(registry: Iterable[Extractor]) -> list[Extractor]:
-    return [e for e in registry if not e.signatures]
+    return [e for e in registry if not e.signatures and e.name != UNREADABLE.name]

@@ -248,6 +248,23 @@ _OVER_TABLES = {
                strlen(text) AS length, md5(text) AS digest
         FROM documents""",
     "unpack_recursive": "SELECT doc_id::VARCHAR AS member, 2 AS depth, md5(text) AS digest FROM documents",
+    "scan_files": """
+        SELECT '/turns/' || conv_id || '/' || turn || '.txt' AS path, turn || '.txt' AS name, 'file' AS entry_type,
+               strlen(text) AS length, md5(text) AS digest
+        FROM conversations""",
+    "upload_report": """
+        WITH d AS (
+          SELECT doc_id, text, doc_id % 10 = 7 AS gone, '/d/uploads/' || doc_id || '.txt.packed' AS path,
+                 '/d/uploads/' || doc_id || '_txt_packed_extracted' AS folder
+          FROM documents
+        )
+        SELECT path, CASE WHEN gone THEN 'unreadable' WHEN doc_id % 4 = 3 THEN 'landed' ELSE 'unpacked' END AS outcome,
+               CASE WHEN gone THEN 'could not be read' END AS warning
+        FROM d WHERE doc_id % 5 <> 0
+        UNION ALL SELECT '/empty/' || doc_id || '/.keep', 'landed', NULL FROM d WHERE doc_id % 5 = 0
+        UNION ALL SELECT '/empty/' || doc_id, 'held', 'folder' FROM d WHERE doc_id % 5 = 0
+        UNION ALL SELECT DISTINCT unnest(['/d', '/d/uploads', '/empty']), 'held', 'folder' FROM d
+        UNION ALL SELECT CASE WHEN doc_id % 4 = 3 THEN path ELSE folder END, 'held', md5(text) FROM d WHERE doc_id % 5 <> 0 AND NOT gone""",
     "scan_tree": f"""
         WITH {ODD_FILES} SELECT path, strlen(body) AS length, md5(body) AS digest FROM f""",
     "long_files": f"""

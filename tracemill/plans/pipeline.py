@@ -12,12 +12,12 @@ from tracemill.operators import counts
 from tracemill.operators.distribute import partition_stats, spread_by_bytes
 from tracemill.operators.extract import bind_settings, items_with_content, run_extractors
 from tracemill.operators.oversize import oversize_results
-from tracemill.operators.registry import DEFAULT, Extractor, select_extractors
+from tracemill.operators.registry import DEFAULT, UNREADABLE, Extractor, select_extractors
 from tracemill.plans import settings as S
 from tracemill.plans.formatters import format_results, get_formatter
 from tracemill.plans.sinks import write_containers, write_json
 from tracemill.sources.listing import exists
-from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, only_files, scan_files
+from tracemill.sources.files import MAX_CONTENT_BYTES, list_files, only_files, read_files
 from tracemill.sources.lines import SPLIT_BYTES
 
 
@@ -55,16 +55,23 @@ def extract(
     `split_bytes`. Files of a DataFrame that have no content were left below one of `long_root` and
     are read there in the same way.
 
+    A file of a folder that can't be read gives a warning and its metadata, and
+    the run goes on.
+
     Without a formatter the run is written to the store `output`; with one the
     documents are written there, or only planned if no output is given. A dry
     run counts results and delivers nothing. No result row passes the driver.
     """
     get_formatter(formatter)
     chosen = bind_settings(select_extractors(registry, extractors), asdict(settings))
-    oversize = None
+    oversize, runs = None, chosen
     if isinstance(source, str):
         files = list_files(spark, source)
-        readable = scan_files(spark, source, max_bytes, listing=files)
+        if any(e.needs_content for e in chosen):
+            readable = read_files(spark, source, max_bytes, skip_unreadable=True, listing=files)
+            runs = (*chosen, UNREADABLE)
+        else:
+            readable = files.where(F.col("length") <= max_bytes).withColumn("content", F.lit(None).cast("binary"))
         if not files.where(F.col("length") > max_bytes).isEmpty():
             oversize = oversize_results(spark, source, chosen, max_bytes, listing=files, split_bytes=split_bytes)
     else:
@@ -80,16 +87,16 @@ def extract(
         if readers and not present and not files.where((F.col("length") > max_bytes) & F.isnull("content")).isEmpty():
             lacking = f"none of {', '.join(roots)} exists" if roots else "no long_root is given"
             raise ValueError(f"some files have no content and {lacking} to read them from")
-    items = items_with_content(readable, chosen)
+    items = items_with_content(readable, runs)
     response: dict = {}
     if dry_run:
         response["skew_before"] = partition_stats(items.select("parser")).first().asDict()
     if partitions:
         # Files are dealt out, not items, so content moves once.
-        items = items_with_content(spread_by_bytes(readable, partitions).drop("bucket"), chosen)
+        items = items_with_content(spread_by_bytes(readable, partitions).drop("bucket"), runs)
         if dry_run:
             response["skew_after"] = partition_stats(items.select("parser")).first().asDict()
-    results = run_extractors(items, chosen)
+    results = run_extractors(items, runs)
     if oversize is not None:
         results = results.unionByName(oversize)
     run = ExtractResult(files, items, results, response=response)

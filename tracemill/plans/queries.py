@@ -18,7 +18,7 @@ from tracemill.functions.text import decode_text
 from tracemill.operators import associate, classify, counts, distribute, extract, ingest
 from tracemill.operators.registry import DEFAULT, LONG_LINE_BYTES, TEXT, Emit, Extractor, select_extractors
 from tracemill.operators.timeline import timeline, times as times_of
-from tracemill.plans import pipeline, settings as S
+from tracemill.plans import pipeline, settings as S, uploads
 from tracemill.plans import sinks
 from tracemill.plans.formatters import json_document
 from tracemill.schemas import EVENT_DATA, EXTRACTION_ERROR, EXTRACTION_WARNING, RECOVERY_WARNING, RESULTS
@@ -41,7 +41,13 @@ def results(spark: SparkSession, sf_dir: str, registry=DEFAULT) -> DataFrame:
 
 
 def scan_files(spark, sf_dir):
-    return src.scan_files(spark, sf_dir).select("name", "entry_type", "length")
+    """Turns of conversations as files in a folder each, listed by the executors and read in tasks of even bytes."""
+    path = F.concat_ws("/", F.lit("/turns"), F.col("conv_id").cast("string"), F.concat(F.col("turn").cast("string"), F.lit(".txt")))
+    turns = table(spark, sf_dir, "conversations").select(path.alias("path"), F.encode("text", "UTF-8").alias("content"))
+    root = shared_dir(spark, "scan-files")
+    sinks.write_files(turns.repartition("path"), root)
+    found = src.read_files(spark, root)
+    return found.select(_below(root), "name", "entry_type", "length", F.md5("content").alias("digest"))
 
 
 def _odd_files(spark, sf_dir, label):
@@ -120,6 +126,25 @@ def raising_extractors(spark, sf_dir):
     return found.groupBy("path", "parser", "container", "message").agg(F.count("*").alias("rows"))
 
 
+def upload_report(spark, sf_dir):
+    """What became of each uploaded file, and what the landing area holds: packed, plain and vanished files, empty folders."""
+    packed = _compressed_documents(spark, sf_dir).select(F.concat(F.lit("/d"), "path").alias("path"), "content", "doc_id")
+    root = shared_dir(spark, "uploads")
+    sinks.write_files(packed.where("doc_id % 5 <> 0"), root)
+    empty = packed.where("doc_id % 5 = 0").select(F.concat(F.lit("/empty/"), F.col("doc_id").cast("string"), F.lit("/.keep")).alias("path"))
+    sinks.write_files(empty.withColumn("content", F.lit(b"")), root)
+    found = src.list_entries(spark, root)
+    # Listed, but gone when they are read.
+    uri = F.when(F.col("name").endswith("7.txt.packed"), F.concat("uri", F.lit(".gone"))).otherwise(F.col("uri"))
+    area = shared_dir(spark, "landing")
+    report = uploads.upload(spark, root, area, entries=found.withColumn("uri", uri))
+    held = sinks.landed(spark, area).where("name <> '.keep'")
+    what = F.when(F.col("entry_type") == "file", F.md5("content")).otherwise("folder")
+    # Folders of members are named after the whole path of their archive, which no table knows.
+    place = F.regexp_replace("path", "_extracted.{8}/[^/]*$", "_extracted").alias("path")
+    return report.select("path", "outcome", "warning").unionByName(held.select(place, F.lit("held").alias("outcome"), what.alias("warning")))
+
+
 def only_files(spark, sf_dir):
     return src.only_files(src.entries(corpus(spark, sf_dir))).select("path", "length")
 
@@ -611,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "long_signed_files": long_signed_files,
     "isolated_failures": isolated_failures,
     "raising_extractors": raising_extractors,
+    "upload_report": upload_report,
     "only_files": only_files,
     "path_source": path_source,
     "read_range": read_range,

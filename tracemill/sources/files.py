@@ -68,6 +68,24 @@ def scan_files(
     return found.unionByName(read_contents(passed_over, skip_unreadable).drop("uri"))
 
 
+def read_files(
+    spark: SparkSession,
+    root: str,
+    max_bytes: int = MAX_CONTENT_BYTES,
+    skip_unreadable: bool = False,
+    listing: DataFrame | None = None,
+) -> DataFrame:
+    """As `scan_files`, all from one listing made by the executors.
+
+    No list of files comes to the driver, and files are packed into tasks by
+    their bytes. Whatever a plan uses of them, their content is read, so a plan
+    over names and sizes alone takes `list_files`. With `skip_unreadable` a file
+    that can't be read has null content.
+    """
+    listing = list_files(spark, root) if listing is None else listing
+    return read_contents(listing.where(F.col("length") <= max_bytes), skip_unreadable).drop("uri")
+
+
 def paths_of(root: str) -> str:
     """The path inside the storage under which a folder's files are listed."""
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", plain_root(root))

@@ -10,6 +10,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracemill.functions import paths
+from tracemill.operators.distribute import spread_by_bytes
 from tracemill.schemas import DIRECTORY, FILE
 from tracemill.session import spool
 
@@ -168,4 +169,7 @@ def _reading(listed: DataFrame, part, kind: pa.DataType, sql: str, skip_unreadab
         cost = (total["bytes"] or 0) + OPEN_BYTES * total["n"]
         tasks = max(1, min(total["n"], -(-cost // TASK_BYTES)))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema)
-    return listed.repartition(tasks, "uri").mapInArrow(_read(part, kind, skip_unreadable), f"{schema}, content {sql}")
+    # Files are packed into tasks of even bytes, an opening counted as some of them.
+    weighed = listed.withColumn("_cost", F.expr(f"coalesce({size}, 0)") + OPEN_BYTES)
+    dealt = spread_by_bytes(weighed, tasks, "_cost", "uri").drop("bucket") if tasks > 1 else weighed.repartition(1)
+    return dealt.drop("_cost").mapInArrow(_read(part, kind, skip_unreadable), f"{schema}, content {sql}")
