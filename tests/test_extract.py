@@ -276,3 +276,35 @@ def test_spread_by_bytes_is_even(spark):
     for rows in ([], [("/a", 0), ("/b", None)]):
         few = distribute.spread_by_bytes(spark.createDataFrame(rows, "path STRING, length BIGINT"), 3)
         assert few.count() == len(rows) and distribute.byte_stats(few).first()["partitions"] == 3
+
+
+def test_long_signature_tables_send_few_rows_to_the_join(spark, make_files):
+    """10,000 signatures over 300 shapes: every hit is found, and hardly anything else enters the join."""
+    import random
+
+    rng = random.Random(6)
+    shapes = [(o, n) for o in (*range(0, 90), -8, -7, -40, *range(200, 207)) for n in (3, 4, 6)]
+    marks = {(o, bytes(rng.randrange(256) for _ in range(n))) for o, n in rng.choices(shapes, k=10_000)}
+    table = [(f"p{i % 700}", bytearray(m), o) for i, (o, m) in enumerate(sorted(marks))]
+    signatures = spark.createDataFrame(table, "parser STRING, magic BINARY, offset INT")
+    files, want = {}, set()
+    for i in range(60):
+        data = bytearray(rng.randrange(256) for _ in range(300))
+        for parser, magic, offset in rng.choices(table, k=2):
+            at = offset if offset >= 0 else len(data) + offset
+            data[at : at + len(magic)] = magic
+        files[f"/f{i}"] = bytes(data)
+    for path, data in files.items():
+        for parser, magic, offset in table:
+            at = offset if offset >= 0 else len(data) + offset
+            if data[at : at + len(magic)] == magic:
+                want.add((path, parser))
+    rows = make_files({**files, "/short": b"ab", "/empty": b""})
+    assert {tuple(r) for r in classify.signature_match_table(rows, signatures).collect()} == want and len(want) > 100
+    probes = classify.signature_probes(rows, signatures).count()
+    assert probes < len(want) + 0.02 * len(shapes) * len(files)
+    # A path that comes twice gives its rows twice, by comparison and by join.
+    twice = rows.union(rows.where("path = '/f0'"))
+    few = signatures.where("parser = 'p1'").limit(100)
+    by = [sorted(map(tuple, classify.signature_match_table(twice, s, n).collect())) for s, n in ((signatures, 200), (few, 200), (few, 0))]
+    assert len(by[0]) == len(want) + sum(p == "/f0" for p, _ in want) and by[1] == by[2]

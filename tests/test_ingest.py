@@ -271,3 +271,42 @@ def test_ratio_holds_for_a_tar_inside_a_stream():
     outcomes = list(codecs.open_packed("gzip", packed, codecs.Limits(ratio=10)))
     assert outcomes[-1][0] is None and "exceeds" in outcomes[-1][2]
     assert [m for m, _, _ in codecs.open_packed("gzip", packed, codecs.Limits(ratio=10_000))] == ["zeros"]
+
+
+@pytest.mark.parametrize("row_bytes", [1000, 10**9])
+def test_long_streams_are_read_in_runs_of_blocks(spark, tmp_path, monkeypatch, row_bytes):
+    """bzip2 and xz streams by many tasks, a damaged one and a tar archive besides; the file that comes out lies in parts."""
+    import hashlib
+
+    from tracemill.sources.listing import open_uri
+
+    up = tmp_path / "up"
+    up.mkdir()
+    rng = __import__("random").Random(3)
+    lines = [" ".join(rng.choice(["alpha", "beta", "gamma", str(rng.random())]) for _ in range(9)) for _ in range(9000)]
+    body = "\n".join(lines).encode()
+    (up / "log.bz2").write_bytes(bz2.compress(body, 1))
+    (up / "log2.xz").write_bytes(b"".join(lzma.compress(body[k : k + 90_000], preset=0) for k in range(0, len(body), 90_000)))
+    hurt = bytearray(bz2.compress(body, 1))
+    hurt[len(hurt) // 2] ^= 255
+    (up / "hurt.bz2").write_bytes(hurt)
+    (up / "box.tar.bz2").write_bytes(make_tar([("m", body)], "w:bz2"))
+    monkeypatch.setattr(long_archives, "SPLIT_STREAM_BYTES", 20_000)
+    monkeypatch.setattr(long_archives, "RUN_BYTES", 60_000)
+    limits = codecs.Limits(row_bytes=row_bytes, spill=str(tmp_path / "spill"))
+    got = by_name(upload(spark, str(up), str(up), limits=limits, max_bytes=10_000))
+    assert got.keys() == {"log", "log2", "hurt.bz2", "m"}
+    assert got["hurt.bz2"]["warning"].startswith("damaged bzip2")
+    for name in ("log", "log2"):
+        assert got[name]["length"] == len(body)
+        assert (got[name]["content"] is None) == (row_bytes == 1000) == (got[name]["warning"] is not None)
+        with open_uri(f"{tmp_path}/spill{up}{got[name]['path']}") as raw:
+            assert hashlib.md5(raw.read()).digest() == hashlib.md5(body).digest()
+            assert raw.seek(-5, 2) == len(body) - 5 and raw.read() == body[-5:] and raw.seek(7) == 7 and raw.read(9) == body[7:16]
+    parts = list((tmp_path / "spill").rglob("*%joined%/*"))
+    assert len([p for p in parts if "log%joined" in str(p)]) > 3 and all(p.name.isdigit() for p in parts)
+    if row_bytes == 1000:
+        area = as_files(upload(spark, str(up), str(up), limits=limits, max_bytes=10_000))
+        run = extract(spark, area, formatter="json", long_root=[str(up), str(tmp_path / "spill") + str(up)], max_bytes=1000)
+        found = run.results.where("parser = 'text' AND path LIKE '%/log' AND container = 'event_data'").count()
+        assert found == len(lines)

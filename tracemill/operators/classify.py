@@ -10,6 +10,8 @@ from tracemill.sources.files import read_range
 
 # Signatures compared one by one in a projection.
 MAX_INLINE = 200
+# Bits that test keys before the join against a longer table.
+FILTER_MAPS, FILTER_BITS = 64, 32_768
 
 
 def _names(names: Iterable[str]) -> Column:
@@ -63,12 +65,36 @@ def signature_match(files: DataFrame, registry: Iterable[Extractor]) -> DataFram
     return files.select("path", F.explode(signature_parsers(registry)).alias("parser"))
 
 
+def _may_match(signatures: DataFrame):
+    """A test of a key `(offset, magic)` that passes every signature and few others: one bit a key's hash.
+
+    The bits are as many however long the table, `FILTER_MAPS` maps of 32,768,
+    and are part of the plan.
+    """
+    hashed = F.xxhash64(F.col("offset").cast("int"), "magic")
+    place = lambda h: (F.pmod(h, F.lit(FILTER_MAPS)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(FILTER_BITS)))
+    number, position = place(hashed)
+    maps = signatures.groupBy(number.cast("int").alias("number")).agg(F.bitmap_construct_agg(position).alias("bits"))
+    held = {r["number"]: bytes(r["bits"]) for r in maps.collect()}
+    bits = F.array(*[F.lit(held.get(n, bytes(FILTER_BITS // 8))) for n in range(FILTER_MAPS)])
+
+    def test(key: Column) -> Column:
+        number, position = place(F.xxhash64(key["offset"].cast("int"), key["magic"]))
+        start = (F.shiftright(position, 3) + 1).cast("int")
+        byte = F.conv(F.hex(F.substr(F.get(bits, number.cast("int")), start, F.lit(1))), 16, 10).cast("int")
+        return F.call_function("getbit", byte, (position % 8).cast("int")) == 1
+
+    return test
+
+
 def signature_match_table(files: DataFrame, signatures: DataFrame, max_inline: int = MAX_INLINE) -> DataFrame:
     """Signature matching against a table `(parser, magic, offset)` instead of a registry.
 
-    A table of at most `max_inline` rows becomes comparisons in a projection. A
+    One row per file row and matching extractor, at every length of the table. A
+    table of at most `max_inline` rows becomes comparisons in a projection. A
     longer one is met in an equi-join: each file gives one key per distinct
-    (offset, length), so neither side is compared pairwise.
+    (offset, length) that passes a bit test made from the table, so about as
+    many rows enter the join as come out of it.
     """
     rows = signatures.select("parser", "magic", "offset").limit(max_inline + 1).collect()
     if len(rows) <= max_inline:
@@ -77,19 +103,27 @@ def signature_match_table(files: DataFrame, signatures: DataFrame, max_inline: i
             by_parser.setdefault(row["parser"], []).append(Signature(bytes(row["magic"]), row["offset"]))
         return signature_match(files, [Extractor(name, tuple(marks)) for name, marks in by_parser.items()])
 
+    probes = signature_probes(files, signatures)
+    return probes.join(signatures, ["offset", "magic"]).select("file", "path", "parser").distinct().drop("file")
+
+
+def signature_probes(files: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(file, path, offset, magic): of each file the bytes that may be a signature; `file` numbers the rows."""
     sized = signatures.withColumn("size", F.octet_length("magic"))
     # Positions, not signatures: however long the table, they are few, and one array holds them.
     shapes = sized.select("offset", "size").distinct().orderBy("offset", "size").collect()
     places = F.array(*[F.struct(F.lit(s["offset"]).alias("offset"), F.lit(s["size"]).alias("size")) for s in shapes])
-    content = F.col("content")
+    content, may = F.col("content"), _may_match(signatures)
 
     def key(place: Column) -> Column:
         offset, size = place["offset"].cast("int"), place["size"].cast("int")
         start = F.when(offset >= 0, offset + 1).otherwise(offset)
         return F.struct(place["offset"].alias("offset"), F.substr(content, start, size).alias("magic"))
 
-    probes = files.select("path", F.inline(F.transform(places, key)))
-    return probes.join(signatures, ["offset", "magic"]).select("path", "parser").distinct()
+    keys = F.filter(F.transform(places, key), may)
+    # Numbered before a row becomes several.
+    numbered = files.select("path", "content", F.monotonically_increasing_id().alias("file"))
+    return numbered.select("file", "path", F.inline(keys))
 
 
 def has_signature(registry: Iterable[Extractor]) -> Column:

@@ -2,8 +2,10 @@
 
 An index of each archive is made first: where its members lie. Members are
 then spread over the cluster and read by range, so one archive of any size is
-read by many tasks and no packed bytes are shuffled. Only a compressed stream,
-which can be read from its start alone, stays with one task.
+read by many tasks and no packed bytes are shuffled. So are bzip2 and xz streams,
+by runs of their blocks, each written as a part of the one file that comes out.
+What can be read from its start alone stays with one task: gzip streams, xz
+streams of one block, and tar archives inside of streams.
 """
 
 import bz2
@@ -17,16 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tracemill.functions import paths
-from tracemill.operators.codecs import CHUNK, Limits, Long, _safe, bounded, free_name, open_stream
+from tracemill.operators.blocks import bzip2_run, find_marks, xz_block, xz_blocks
+from tracemill.operators.codecs import CHUNK, TAR_BLOCK, Limits, Long, _safe, _stream, bounded, free_name, is_tar, open_stream
 from tracemill.operators.ingest import (
     FLUSH_BYTES, FLUSH_ROWS, PACKED_SIGNATURES, PLAIN, STREAMS, member_folder, store_member, unpacked_batch,
 )
 from tracemill.schemas import UNPACKED
 from tracemill.session import spool
-from tracemill.sources.listing import open_uri
+from tracemill.sources.listing import JOINED, locate, open_uri
 
 # Bytes of packed members one task reads.
 TASK_BYTES = 256 << 20
+# Streams longer than the first are read in runs of blocks of the second, in packed bytes.
+SPLIT_STREAM_BYTES, RUN_BYTES = 256 << 20, 32 << 20
 
 # What is known of the packed file, then where a member of it lies.
 _ABOUT = {
@@ -191,9 +196,157 @@ def _read_members(limits: Limits):
     return run
 
 
-def unpack_long(listing: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def _splittable(min_bytes: int):
+    """Which streams of an index are read in runs: long ones of blocks that don't hold a tar archive."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flags = []
+            for row in batch.select(["uri", "kind", "packed", "warning"]).to_pylist():
+                flag = row["kind"] in ("bzip2", "xz") and (row["packed"] or 0) > min_bytes and row["warning"] is None
+                try:
+                    with open_uri(row["uri"]) as raw:
+                        flag = flag and not is_tar(_stream(row["kind"], raw).read(TAR_BLOCK))
+                        flag = flag and (row["kind"] == "bzip2" or len(xz_blocks(raw, row["packed"])) > 1)
+                except Exception:
+                    # Damage is reported where the stream is read from its start.
+                    flag = False
+                flags.append(flag)
+            yield batch.append_column("split", pa.array(flags, pa.bool_()))
+
+    return run
+
+
+_FILE = [c for c in _ABOUT]
+_FILE_SQL = INDEX.split(", kind STRING")[0]
+
+
+def _bzip2_blocks(streams: DataFrame, run_bytes: int) -> DataFrame:
+    """Blocks of bzip2 files, `(begin, ends)` in bits: every mark is found by the task whose bytes it begins in."""
+    size = F.lit(run_bytes).cast("bigint")
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("packed") - 1, size)).alias("start")
+    splits = spool(streams.select(*_FILE, "packed", start), "stream-splits")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (uri, start, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "packed")))):
+                with open_uri(uri) as raw:
+                    found = find_marks(raw, start, min(packed, start + run_bytes))
+                own = batch.select(_FILE).take(pa.array([k] * len(found), pa.int64()))
+                own = own.append_column("begin", pa.array([p for p, _ in found], pa.int64()))
+                yield own.append_column("block", pa.array([b for _, b in found], pa.bool_()))
+
+    tasks = max(1, min(splits.count(), 10_000))
+    found = splits.repartition(tasks).mapInArrow(find, f"{_FILE_SQL}, begin BIGINT, block BOOLEAN")
+    order = Window.partitionBy("path").orderBy("begin")
+    # Behind a block's own end come later ones, for marks that are there by chance.
+    ends = F.array_compact(F.array(*[F.lead("begin", k).over(order) for k in range(1, 5)])).alias("ends")
+    return found.select(*_FILE, "begin", ends, "block").where("block").drop("block")
+
+
+def _xz_blocks(streams: DataFrame, run_bytes: int) -> DataFrame:
+    """Blocks of xz files in the same columns: `begin` in bits, and in `ends` the stream's start, and the block's sizes."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (uri, packed) in enumerate(zip(batch.column("uri").to_pylist(), batch.column("packed").to_pylist())):
+                with open_uri(uri) as raw:
+                    blocks = xz_blocks(raw, packed)
+                own = batch.select(_FILE).take(pa.array([k] * len(blocks), pa.int64()))
+                own = own.append_column("begin", pa.array([at * 8 for _, at, _, _ in blocks], pa.int64()))
+                yield own.append_column("ends", pa.array([[s, u, c] for s, _, u, c in blocks], pa.list_(pa.int64())))
+
+    return streams.select(*_FILE, "packed").mapInArrow(find, f"{_FILE_SQL}, begin BIGINT, ends ARRAY<BIGINT>")
+
+
+def _read_runs(limits: Limits):
+    """Each run of blocks written as a part of its file, named by its number; one row says how long it is."""
+
+    def contents(raw: BinaryIO, row: dict) -> Iterator[bytes]:
+        if row["kind"] == "bzip2":
+            begins = [b["begin"] for b in row["blocks"]]
+            # The end of each block, and behind them those a chance mark at the run's end would need.
+            ends = [b["ends"][0] if b["ends"] else row["length"] * 8 for b in row["blocks"]] + row["blocks"][-1]["ends"][1:]
+            yield from bzip2_run(raw, begins, ends)
+        else:
+            for b in row["blocks"]:
+                yield xz_block(raw, b["ends"][0], b["begin"] // 8, *b["ends"][1:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            rows = batch.to_pylist()
+            lengths, warnings = [], []
+            for row in rows:
+                length, warning = 0, None
+                filesystem, folder = locate(f"{limits.spill.rstrip('/')}{row['folder']}/{row['stem']}{JOINED}")
+                part = f"{folder}/{row['run']:020d}"
+                try:
+                    filesystem.create_dir(folder, recursive=True)
+                    with open_uri(row["uri"]) as raw, filesystem.open_output_stream(f"{part}.{attempt}", compression=None) as out:
+                        for chunk in bounded(contents(raw, row), row["packed"], limits):
+                            out.write(chunk)
+                            length += len(chunk)
+                    filesystem.move(f"{part}.{attempt}", part)
+                except Exception as exc:
+                    if filesystem.get_file_info(f"{part}.{attempt}").is_file:
+                        filesystem.delete_file(f"{part}.{attempt}")
+                    warning = f"damaged {row['kind']} file: {exc or type(exc).__name__}"
+                lengths.append(length)
+                warnings.append(warning)
+            batch = batch.select([*_FILE, "run"]).append_column("bytes", pa.array(lengths, pa.int64()))
+            yield batch.append_column("warning", pa.array(warnings, pa.string()))
+
+    return run
+
+
+def _whole(limits: Limits):
+    """The rows of files put together from runs; one that fits a row is read into it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                target, data = f"{row['folder']}/{row['stem']}", None
+                if row["warning"] is not None:
+                    yield unpacked_batch([(row["path"], row["name"], None, row["depth"], row["mtime"], None, None, True, row["warning"], None)])
+                    continue
+                if row["bytes"] <= limits.row_bytes:
+                    with open_uri(limits.spill.rstrip("/") + target) as raw:
+                        data = raw.read()
+                origin = (row["path"], row["depth"] + 1, row["mtime"])
+                yield unpacked_batch([(target, row["stem"], *origin, data, row["bytes"], False, None, None)])
+
+    return run
+
+
+def unpack_streams(streams: DataFrame, limits: Limits, run_bytes: int) -> DataFrame:
+    """Long streams of blocks, each read by many tasks, into one file each below the spill folder."""
+    streams = spool(streams, "streams")
+    blocks = None
+    for kind, find in (("bzip2", _bzip2_blocks), ("xz", _xz_blocks)):
+        found = find(streams.where(F.col("kind") == kind), run_bytes).withColumn("kind", F.lit(kind))
+        blocks = found if blocks is None else blocks.unionByName(found)
+    blocks = blocks.withColumn("run", F.floor(F.col("begin") / (8 * run_bytes)).cast("bigint"))
+    in_order = F.array_sort(F.collect_list(F.struct("begin", "ends"))).alias("blocks")
+    runs = blocks.groupBy(*_FILE, "kind", "run").agg(in_order)
+    # A run without the begin of a block has none; what a run packs is near its share of the file.
+    length = streams.select("path", F.col("packed").alias("length"))
+    runs = spool(runs.join(length, "path").withColumn("packed", F.lit(2 * run_bytes).cast("bigint")), "runs")
+    tasks = max(1, min(runs.count(), 100_000))
+    done = spool(runs.repartition(tasks).mapInArrow(_read_runs(limits), f"{_FILE_SQL}, run BIGINT, bytes BIGINT, warning STRING"), "runs-done")
+    files = done.groupBy(*_FILE).agg(F.sum("bytes").alias("bytes"), F.min("warning").alias("warning"))
+    return files.mapInArrow(_whole(limits), UNPACKED)
+
+
+def unpack_long(
+    listing: DataFrame, limits: Limits = Limits(), min_bytes: int | None = None, run_bytes: int | None = None
+) -> DataFrame:
     """One unpack round over files in place: `uri, path, name, depth, mtime, length`.
 
+    Streams of more than `min_bytes` are read in runs of `run_bytes`.
+
     Gives one row per member, and for each file or member that could not be
     opened, or is not packed, one row without content, marked `kept`, with the
     reason.
@@ -202,7 +355,19 @@ def unpack_long(listing: DataFrame, limits: Limits = Limits()) -> DataFrame:
         "uri", "path", "name", member_folder().alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
         F.col("depth").cast("int").alias("depth"), "mtime", "length",
     )
-    index = spool(files.mapInArrow(_index, INDEX), "index")
+    found = files.mapInArrow(_index, INDEX)
+    streams = None
+    if limits.spill is not None:
+        split = _splittable(SPLIT_STREAM_BYTES if min_bytes is None else min_bytes)
+        found = spool(found.mapInArrow(split, f"{INDEX}, split BOOLEAN"), "index", ("split",))
+        streams, found = found.where("split").drop("split"), found.where("NOT split").drop("split")
+    index = spool(found, "index")
+    if streams is not None and not streams.isEmpty():
+        streams = unpack_streams(streams, limits, run_bytes or RUN_BYTES)
+    else:
+        streams = None
+    if streams is not None and index.isEmpty():
+        return streams
     # The index is small but the reading it stands for is not, so the number of
     # tasks follows the bytes to read.
     total = index.agg(F.sum("packed").alias("bytes"), F.count("*").alias("n")).first()
@@ -210,4 +375,5 @@ def unpack_long(listing: DataFrame, limits: Limits = Limits()) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("path", "member").orderBy("start")) - 1
     again = F.when(nth > 0, F.concat(F.lit("#"), nth.cast("string"))).otherwise("")
     work = index.withColumn("again", again).repartition(tasks, "path", "member", "again")
-    return work.sortWithinPartitions("path", "start").mapInArrow(_read_members(limits), UNPACKED)
+    members = work.sortWithinPartitions("path", "start").mapInArrow(_read_members(limits), UNPACKED)
+    return members if streams is None else members.unionByName(streams)

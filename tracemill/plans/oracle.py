@@ -247,6 +247,10 @@ _OVER_TABLES = {
         SELECT lang || '_' || source || '_' || (doc_id // 256) || '.zip' AS archive, doc_id || '.txt' AS member,
                strlen(text) AS length, md5(text) AS digest
         FROM documents""",
+    "split_streams": """
+        SELECT 'v' || (doc_id // 256) AS volume, strlen(string_agg(text || chr(10), '' ORDER BY doc_id)) AS length,
+               md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS digest
+        FROM documents GROUP BY doc_id // 256""",
     "unpack_recursive": "SELECT doc_id::VARCHAR AS member, 2 AS depth, md5(text) AS digest FROM documents",
     "scan_files": """
         SELECT '/turns/' || conv_id || '/' || turn || '.txt' AS path, turn || '.txt' AS name, 'file' AS entry_type,

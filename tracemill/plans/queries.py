@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracemill.functions import chains, paths, times
 from tracemill.functions.text import decode_text
-from tracemill.operators import associate, classify, counts, distribute, extract, ingest
+from tracemill.operators import associate, classify, counts, distribute, extract, ingest, long_archives
+from tracemill.operators.codecs import Limits
 from tracemill.operators.registry import DEFAULT, LONG_LINE_BYTES, TEXT, Emit, Extractor, select_extractors
 from tracemill.operators.timeline import timeline, times as times_of
 from tracemill.plans import pipeline, settings as S, uploads
@@ -25,6 +26,7 @@ from tracemill.schemas import EVENT_DATA, EXTRACTION_ERROR, EXTRACTION_WARNING,
 from tracemill.session import shared_dir, spool
 from tracemill.sources import files as src
 from tracemill.sources.corpus import corpus, table, user_logs
+from tracemill.sources.listing import read_contents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -539,6 +541,30 @@ def unpack_recursive(spark, sf_dir):
     )
 
 
+def _pack_volume(group: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a volume as one stream: bzip2 in small blocks, or xz in a stream for every 16 documents."""
+    lines = [text.encode() + b"\n" for text in group.sort_values("doc_id")["text"]]
+    volume = int(group["volume"].iloc[0])
+    if volume % 2:
+        data = b"".join(lzma.compress(b"".join(lines[k : k + 16]), preset=0) for k in range(0, len(lines), 16))
+    else:
+        data = bz2.compress(b"".join(lines), 1)
+    return pd.DataFrame({"path": [f"/v{volume}.txt.{'xz' if volume % 2 else 'bz2'}"], "content": [data]})
+
+
+def split_streams(spark, sf_dir):
+    """Long bzip2 and xz streams opened in runs of blocks by many tasks: what comes out, read back from its parts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.floor(F.col("doc_id") / ARCHIVE_IDS).alias("volume"))
+    root, spill = shared_dir(spark, "streams"), shared_dir(spark, "spill")
+    sinks.write_files(docs.groupBy("volume").applyInPandas(_pack_volume, "path STRING, content BINARY"), root)
+    limits = Limits(row_bytes=1 << 14, spill=spill)
+    listed = src.list_files(spark, root).withColumn("depth", F.lit(0))
+    opened = long_archives.unpack_long(listed, limits, min_bytes=1 << 14, run_bytes=1 << 16)
+    whole = F.concat(F.lit(spill), "path")
+    found = read_contents(spool(opened.where("NOT kept").withColumn("uri", whole).drop("content"), "opened"))
+    return found.select(F.regexp_extract("source_path", "v[0-9]+", 0).alias("volume"), "length", F.md5("content").alias("digest"))
+
+
 def decode_documents(spark, sf_dir):
     """Documents by the rest of their id: UTF-16 with a mark, Latin-1, Latin-1 with a byte the code page lacks, UTF-8.
 
@@ -684,6 +710,7 @@ QUERIES: dict[str, Query] = {
     "decompress": decompress,
     "expand_archive": expand_archive,
     "unpack_recursive": unpack_recursive,
+    "split_streams": split_streams,
     "decode_text": decode_documents,
     "repartition_buckets": repartition_buckets,
     "partition_stats": partition_stats,

@@ -1,8 +1,12 @@
 """Listing of a folder tree by the executors, and reading of files by location."""
 
+import io
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -38,14 +42,81 @@ def locate(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+# Behind a file's name, the folder that holds it in parts, written by many tasks.
+JOINED = "%joined%"
+
+
+def parts_of(filesystem: fs.FileSystem, folder: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the parts of a file, whose names are numbers, in order."""
+    found = filesystem.get_file_info(fs.FileSelector(folder))
+    return [(i.path, i.size) for i in sorted(found, key=lambda i: i.base_name) if i.base_name.isdigit()]
+
+
+class JoinedFile(io.RawIOBase):
+    """A file that lies in parts, read as one."""
+
+    def __init__(self, filesystem: fs.FileSystem, parts: list[tuple[str, int]]):
+        self._filesystem, self._parts = filesystem, parts
+        self._starts = list(accumulate((size for _, size in parts), initial=0))
+        self._at, self._open = 0, (None, None)
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._at
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        self._at = max(0, offset + {io.SEEK_SET: 0, io.SEEK_CUR: self._at, io.SEEK_END: self._starts[-1]}[whence])
+        return self._at
+
+    def readinto(self, into) -> int:
+        if self._at >= self._starts[-1]:
+            return 0
+        k = bisect_right(self._starts, self._at) - 1
+        if self._open[0] != k:
+            self._open = k, self._filesystem.open_input_file(self._parts[k][0])
+        raw = self._open[1]
+        raw.seek(self._at - self._starts[k])
+        data = raw.read(min(len(into), self._starts[k + 1] - self._at))
+        into[: len(data)] = data
+        self._at += len(data)
+        return len(data)
+
+
 def open_uri(uri: str) -> BinaryIO:
     filesystem, path = locate(uri)
-    return filesystem.open_input_file(path)
+    try:
+        return filesystem.open_input_file(path)
+    except FileNotFoundError:
+        if filesystem.get_file_info(path + JOINED).type != fs.FileType.Directory:
+            raise
+        return io.BufferedReader(JoinedFile(filesystem, parts_of(filesystem, path + JOINED)), 1 << 20)
 
 
 def exists(uri: str) -> bool:
     filesystem, path = locate(uri)
-    return filesystem.get_file_info(path).type != fs.FileType.NotFound
+    return any(i.type != fs.FileType.NotFound for i in filesystem.get_file_info([path, path + JOINED]))
+
+
+@dataclass
+class _Joined:
+    """What a listing tells of a file that lies in parts."""
+
+    base_name: str
+    size: int
+    mtime_ns: int | None
+    type: fs.FileType = fs.FileType.File
+
+
+def _as_one(filesystem: fs.FileSystem, info: fs.FileInfo):
+    if info.type != fs.FileType.Directory or not info.base_name.endswith(JOINED):
+        return info
+    size = sum(n for _, n in parts_of(filesystem, info.path))
+    return _Joined(info.base_name.removesuffix(JOINED), size, info.mtime_ns)
 
 
 def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,7 +125,7 @@ def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri in batch.column("uri").to_pylist():
             filesystem, path = locate(uri)
-            found = filesystem.get_file_info(fs.FileSelector(path))
+            found = [_as_one(filesystem, info) for info in filesystem.get_file_info(fs.FileSelector(path))]
             for start in range(0, len(found), FLUSH_ROWS):
                 rows = [
                     (
