@@ -67,6 +67,27 @@ def test_seeds_decide(vocabulary):
     assert sampled(vocabulary, ["x", "7"], ["some other text", text])[1] == one
 
 
+def test_borders_do_not_depend_on_other_units(vocabulary):
+    """A unit's borders alone and behind 60,000 other units, bit by bit, and so its pieces."""
+    text = "internationalisation of unforeseeable counterrevolutionaries é梦😀 aaaaaaaaaaaaaaaaaaaa"
+
+    def borders(sampler, numbers):
+        out = []
+        for n in numbers:
+            first = sampler.end_node[n - 1] + 1 if n else 0
+            edges = slice(sampler.first_edge[first], sampler.first_edge[sampler.end_node[n] + 1])
+            out.append(((sampler.bound[edges] - (int(first) << 32)).tolist(), sampler.emits[edges].tolist()))
+        return out
+
+    alone, crowd = P.Sampler(vocabulary), P.Sampler(vocabulary)
+    own = alone.sample(["k"], [text])[0].tolist()
+    other = " ".join(f"other{i * 7919 % 60_000}x{i}" for i in range(60_000))
+    crowd.sample(["o"], [other])
+    assert crowd.sample(["k"], [text])[0].tolist() == own
+    mine = [borders(s, [s.spaced[t] for t in text.split(" ")]) for s in (alone, crowd)]
+    assert mine[0] == mine[1] and sum(len(b) for b, _ in mine[0]) > 150
+
+
 def test_long_unit_without_blanks(vocabulary):
     text = "x" * 30_000
     assert vocabulary.decode(sampled(vocabulary, ["1"], [text])[0]) == text

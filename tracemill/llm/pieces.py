@@ -26,6 +26,8 @@ SHARPNESS = 1.0
 UNUSED_SCORE = -1e8
 # Units whose lattice one task keeps at a time.
 CACHE_UNITS = 200_000
+# Random numbers of a step are below this.
+DRAWS = 1 << 32
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -172,10 +174,11 @@ class Sampler:
         self.new: list[str] = []
         self.spaced, self.bare = _Numbers(self.new, " "), _Numbers(self.new, "")
         self.spaced.shared = self.bare.shared = [0]
-        # Of units: the node at their end. Of nodes: the first of their edges. Of edges: bound, origin, what they emit.
+        # Of units: the node at their end. Of nodes: the first of their edges. Of edges: bound (the node, then the border
+        # among its draws), origin, what they emit.
         self.end_node = np.empty(0, np.int64)
         self.first_edge = np.zeros(1, np.int64)
-        self.bound = np.empty(0)
+        self.bound = np.empty(0, np.int64)
         self.origin = np.empty(0, np.int64)
         self.emits = np.empty(0, np.int32)
 
@@ -209,14 +212,17 @@ class Sampler:
         chance = filter_forward(place[begin] + size, end, origin, log_p, n_nodes)
         order = np.argsort(end, kind="stable")
         n_edges = np.bincount(end, minlength=n_nodes)
-        upto = np.cumsum(chance[order])
+        # Each node's borders are summed from 0, its own edges only, so they don't depend on other units.
         last = np.cumsum(n_edges) - 1
         has = n_edges > 0
-        before = np.zeros(n_nodes)
-        before[has] = np.concatenate([[0.0], upto[last[has]][:-1]])
+        upto, nth = chance[order], np.arange(len(order)) - (last - n_edges + 1)[end[order]]
+        later = np.flatnonzero(nth)
+        for k in range(1, int(n_edges.max(initial=0))):
+            here = later[nth[later] == k]
+            upto[here] += upto[here - 1]
         node = len(self.first_edge) - 1
-        bound = node + end[order] + (upto - before[end[order]])
-        bound[last[has]] = node + np.flatnonzero(has) + 1.0
+        bound = (node + end[order] << 32) + np.minimum(upto * DRAWS, DRAWS - 1).astype(np.int64)
+        bound[last[has]] = node + np.flatnonzero(has) + 1 << 32
         self.end_node = np.concatenate([self.end_node, node + np.cumsum(length + 1) - 1])
         self.first_edge = np.concatenate([self.first_edge, self.first_edge[-1] + np.cumsum(n_edges)])
         self.bound = np.concatenate([self.bound, bound])
@@ -241,9 +247,13 @@ class Sampler:
             live, node = live[going], node[going]
             if not len(live):
                 break
-            random = (mix(stream[live] + np.array([step + 1], np.uint64) * _STEP) >> np.uint64(11)).astype(np.float64) / 2**53
-            edge = np.searchsorted(self.bound, node + random, side="right")
-            edge = np.minimum(np.maximum(edge, self.first_edge[node]), self.first_edge[node + 1] - 1)
+            draw = (mix(stream[live] + np.array([step + 1], np.uint64) * _STEP) >> np.uint64(32)).astype(np.int64)
+            # From the node's first edge on to the one whose border is beyond the draw: a few steps at most.
+            edge, draw = self.first_edge[node], (node << 32) + draw
+            short = np.flatnonzero(self.bound[edge] <= draw)
+            while len(short):
+                edge[short] += 1
+                short = short[self.bound[edge[short]] <= draw[short]]
             who.append(live)
             taken.append(edge)
             node, step = self.origin[edge], step + 1
