@@ -201,6 +201,22 @@ _OVER_RESULTS["atomic_sessions"] = """
     SELECT 'kept' AS session_id, container, path, parser, seq, message, attr, val FROM results
     UNION ALL SELECT 'rewritten', container, path, parser, seq, message, attr, val FROM results WHERE parser = 'filestat'"""
 
+_OVER_RESULTS["stored_run"] = """,
+n AS (
+  SELECT count(*) FILTER (container = 'event_data') AS events, count(*) FILTER (container = 'extraction_warning') AS warnings,
+         count(*) FILTER (container = 'recovery_warning') AS recovery, count(*) AS everything FROM results
+)
+    SELECT 'response' AS part, 'number of events' AS name, events::VARCHAR AS value FROM n
+    UNION ALL SELECT 'response', 'number of warnings', warnings::VARCHAR FROM n
+    UNION ALL SELECT 'response', 'number of recovery', recovery::VARCHAR FROM n
+    UNION ALL SELECT 'completion', 'events', events::VARCHAR FROM n
+    UNION ALL SELECT 'completion', 'warnings', warnings::VARCHAR FROM n
+    UNION ALL SELECT 'completion', 'recovery', recovery::VARCHAR FROM n
+    UNION ALL SELECT 'dry run', 'events', everything::VARCHAR FROM n
+    UNION ALL SELECT 'dry run', 'partitions', '16'
+    UNION ALL SELECT 'session', unnest(['start', 'system', 'completion']), '1'
+    UNION ALL SELECT 'kept', parser, count(*)::VARCHAR FROM results WHERE container = 'event_data' GROUP BY parser"""
+
 _OVER_RESULTS["long_signed_files"] = """,
 objects AS (
   SELECT '/objects/' || (doc_id // 64) || '.json' AS path, count(*)::INT AS n,

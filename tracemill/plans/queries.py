@@ -655,6 +655,23 @@ def atomic_sessions(spark, sf_dir):
     return shown.select("session_id", "container", "path", "parser", "seq", "message", attr, val)
 
 
+def stored_run(spark, sf_dir):
+    """A whole run into a store and a dry run: the completion row, the counts kept, and both responses."""
+    store, files = shared_dir(spark, "store"), corpus(spark, sf_dir)
+    run = pipeline.extract(spark, files, output=store)
+    dry = pipeline.extract(spark, files, formatter="json", partitions=BUCKETS, dry_run=True).response
+    session = run.response["session_id"]
+    done = sinks.read_container(spark, store, "session", session).where(F.col("kind") == S.COMPLETION)
+    kinds = sinks.read_container(spark, store, "session", session).groupBy("kind").agg(F.count("*").alias("n"))
+    said = [("response", k, str(v)) for k, v in run.response.items() if k.startswith("number of")]
+    said += [("dry run", "events", str(dry["events"])), ("dry run", "partitions", str(dry["skew_after"]["partitions"]))]
+    rows = spark.createDataFrame(said, "part STRING, name STRING, value STRING")
+    rows = rows.unionByName(done.select(F.lit("completion").alias("part"), F.explode("settings").alias("name", "value")))
+    rows = rows.unionByName(kinds.select(F.lit("session").alias("part"), F.col("kind").alias("name"), F.col("n").cast("string").alias("value")))
+    kept = sinks.read_parser_counts(spark, store)
+    return rows.unionByName(kept.select(F.lit("kept").alias("part"), "name", F.col("number_of_events").cast("string").alias("value")))
+
+
 QUERIES: dict[str, Query] = {
     "scan_files": scan_files,
     "scan_tree": scan_tree,
@@ -721,4 +738,5 @@ QUERIES: dict[str, Query] = {
     "land_files": land_files,
     "write_containers": write_containers,
     "atomic_sessions": atomic_sessions,
+    "stored_run": stored_run,
 }
