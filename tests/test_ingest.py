@@ -310,3 +310,36 @@ def test_long_streams_are_read_in_runs_of_blocks(spark, tmp_path, monkeypatch, r
         run = extract(spark, area, formatter="json", long_root=[str(up), str(tmp_path / "spill") + str(up)], max_bytes=1000)
         found = run.results.where("parser = 'text' AND path LIKE '%/log' AND container = 'event_data'").count()
         assert found == len(lines)
+
+
+def test_long_directories_are_read_as_they_go(tmp_path, monkeypatch):
+    """60,000 members against the standard reader, within little memory; comments, large sizes and what stands before."""
+    import tracemalloc
+
+    path = tmp_path / "many.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for i in range(60_000):
+            archive.writestr(f"d{i % 7}/ž{i}.txt", b"x" * (i % 3))
+        archive.comment = b"c" * 500
+    for data in (path.read_bytes(), b"#!/bin/sh\n" + path.read_bytes()):
+        raw = io.BytesIO(data)
+        with zipfile.ZipFile(raw) as archive:
+            want = [(i.filename, i.flag_bits, i.compress_type, i.CRC, i.compress_size, i.file_size, i.header_offset) for i in archive.infolist()]
+        assert list(long_archives.zip_directory(raw, 1000)) == want
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 100)
+    big = io.BytesIO()
+    with zipfile.ZipFile(big, "w") as archive:
+        for i in range(50):
+            archive.writestr(f"m{i}", b"y" * 90 * (i % 3))
+    with zipfile.ZipFile(big) as archive:
+        want = [(i.filename, i.compress_size, i.file_size, i.header_offset) for i in archive.infolist()]
+    assert [(n, p, s, o) for n, _, _, _, p, s, o in long_archives.zip_directory(big, 64)] == want
+    with pytest.raises(zipfile.BadZipFile):
+        list(long_archives.zip_directory(io.BytesIO(path.read_bytes()[:-2000])))
+    tar = io.BytesIO(make_tar([(f"t{i}", b"z") for i in range(20_000)]))
+    tracemalloc.start()
+    with open(path, "rb") as raw:
+        assert sum(1 for _ in long_archives.zip_directory(raw)) == 60_000
+    assert sum(1 for _ in long_archives._index_tar(tar)) == 20_000
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()

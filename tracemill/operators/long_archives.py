@@ -9,6 +9,7 @@ streams of one block, and tar archives inside of streams.
 """
 
 import bz2
+import struct
 import tarfile
 import zipfile
 import zlib
@@ -51,6 +52,9 @@ INDEX = (
 STORED, DEFLATED, BZIP2 = 0, 8, 12
 LOCAL_HEADER_BYTES = 30
 NAME_LENGTH_AT, EXTRA_LENGTH_AT = 26, 28
+# The records at the end of a zip file and their lengths.
+END_RECORD, END_RECORD_64, LOCATOR_64, ENTRY = b"PK\5\6", b"PK\6\6", b"PK\6\7", b"PK\1\2"
+END_BYTES, END_64_BYTES, LOCATOR_BYTES, ENTRY_BYTES, MAX_COMMENT = 22, 56, 20, 46, 0xFFFF
 
 
 def _kind(raw: BinaryIO) -> str:
@@ -62,23 +66,80 @@ def _kind(raw: BinaryIO) -> str:
     return PLAIN
 
 
+def zip_directory(raw: BinaryIO, chunk: int = CHUNK) -> Iterator[tuple[str, int, int, int, int, int, int]]:
+    """(name, flags, method, crc, packed, size, header offset) of each member, read from the directory as it goes.
+
+    However many members there are, only a chunk of the directory is held.
+    """
+    length = raw.seek(0, 2)
+    tail_at = max(0, length - END_BYTES - MAX_COMMENT)
+    raw.seek(tail_at)
+    tail = raw.read()
+    at = tail.rfind(END_RECORD)
+    if at < 0:
+        raise zipfile.BadZipFile("no end of the directory")
+    size, offset = struct.unpack_from("<LL", tail, at + 12)
+    end = tail_at + at
+    if at >= LOCATOR_BYTES and tail[at - LOCATOR_BYTES : at - LOCATOR_BYTES + 4] == LOCATOR_64:
+        raw.seek(end - LOCATOR_BYTES - END_64_BYTES)
+        record = raw.read(END_64_BYTES)
+        if record[:4] == END_RECORD_64:
+            size, offset = struct.unpack_from("<QQ", record, 40)
+            end -= LOCATOR_BYTES + END_64_BYTES
+    # What stands before the archive in its file shifts all offsets.
+    shift = end - size - offset
+    if shift < 0:
+        raise zipfile.BadZipFile("directory lies outside of the file")
+    raw.seek(end - size)
+    held, at, left = b"", 0, size
+
+    def need(n: int) -> None:
+        nonlocal held, at, left
+        while len(held) - at < n:
+            more = raw.read(min(chunk, left))
+            if not more:
+                raise zipfile.BadZipFile("directory is cut off")
+            held, at, left = held[at:] + more, 0, left - len(more)
+
+    while left or at < len(held):
+        need(ENTRY_BYTES)
+        if held[at : at + 4] != ENTRY:
+            raise zipfile.BadZipFile("no entry where one should be")
+        flags, method = struct.unpack_from("<HH", held, at + 8)
+        crc, packed, length, n_name, n_extra, n_comment = struct.unpack_from("<LLLHHH", held, at + 16)
+        (header,) = struct.unpack_from("<L", held, at + 42)
+        need(ENTRY_BYTES + n_name + n_extra + n_comment)
+        name = held[at + ENTRY_BYTES : at + ENTRY_BYTES + n_name].decode("utf-8" if flags & 0x800 else "cp437")
+        extra = held[at + ENTRY_BYTES + n_name : at + ENTRY_BYTES + n_name + n_extra]
+        at += ENTRY_BYTES + n_name + n_extra + n_comment
+        # Numbers too large for their field stand in an extra field, in this order.
+        while len(extra) >= 4:
+            kind, n = struct.unpack_from("<HH", extra)
+            if kind == 1:
+                wide = iter(struct.unpack_from(f"<{n // 8}Q", extra, 4))
+                length, packed, header = (next(wide) if x == 0xFFFFFFFF else x for x in (length, packed, header))
+            extra = extra[4 + n :]
+        yield name, flags, method, crc, packed, length, header + shift
+
+
 def _index_zip(raw: BinaryIO) -> Iterator[tuple]:
-    with zipfile.ZipFile(raw) as archive:
-        for info in archive.infolist():
-            if info.is_dir():
-                continue
-            problem = None
-            if not _safe(info.filename):
-                problem = f"unsafe member name {info.filename!r}"
-            elif info.flag_bits & 1 or info.compress_type not in (STORED, DEFLATED, BZIP2):
-                problem = f"unreadable member {info.filename!r}: encrypted or unknown compression"
-            yield info.filename, info.header_offset, info.compress_size, info.file_size, info.compress_type, info.CRC, problem
+    for name, flags, method, crc, packed, size, offset in zip_directory(raw):
+        if name.endswith("/"):
+            continue
+        problem = None
+        if not _safe(name):
+            problem = f"unsafe member name {name!r}"
+        elif flags & 1 or method not in (STORED, DEFLATED, BZIP2):
+            problem = f"unreadable member {name!r}: encrypted or unknown compression"
+        yield name, offset, packed, size, method, crc, problem
 
 
 def _index_tar(raw: BinaryIO) -> Iterator[tuple]:
     raw.seek(0)
     with tarfile.open(fileobj=raw, mode="r:") as archive:
         for info in archive:
+            # The reader keeps every header it has passed; only the current one is needed.
+            archive.members.clear()
             if info.isdir():
                 continue
             problem = None
