@@ -128,7 +128,7 @@ def test_writing_a_session_again_replaces_it(spark, make_files, results, tmp_pat
     assert sinks.read_container(spark, store, "event_data", "same").count() == EVENTS
 
 
-def test_a_rewrite_shows_when_it_is_complete(spark, make_files, results, tmp_path):
+def test_a_rewrite_shows_when_it_is_complete(spark, make_files, results, tmp_path, monkeypatch):
     """Readers see the old rows until the commit, and a run that died leaves nothing but what vacuum takes away."""
     store = str(tmp_path / "store")
     assert sinks.snapshot(spark, store).count() == 0
@@ -148,6 +148,10 @@ def test_a_rewrite_shows_when_it_is_complete(spark, make_files, results, tmp_pat
     for container in ("event_data_stream", "timeline", "event_source"):
         assert sinks.read_container(spark, store, container).count() == 3
     assert dict(map(tuple, sinks.read_parser_counts(spark, store).collect())) == {"filestat": 3}
+    plan = sinks.read_container(spark, store, "results")._jdf.queryExecution().executedPlan().toString()
+    assert "version" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    monkeypatch.setattr(sinks, "PLANNED_VERSIONS", 0)
+    assert rows(sinks.read_container(spark, store, "results")) == rows(shown)
     assert sinks.vacuum(spark, store) == 0
     assert sinks.vacuum(spark, store, older_than=0) == 2
     assert sinks.read_container(spark, store, "results").count() == few.count()

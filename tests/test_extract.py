@@ -273,6 +273,8 @@ def test_spread_by_bytes_is_even(spark):
     stats = distribute.byte_stats(dealt).first()
     assert stats["partitions"] == 7 and dealt.count() == len(sizes)
     assert stats["max_bytes"] <= stats["avg_bytes"] + stats["largest_row"] == sum(sizes) / 7 + 400_000
+    joined = distribute.spread_by_bytes(files, 7, max_cuts=2)
+    assert sorted(joined.collect()) == sorted(dealt.collect()) and distribute.byte_stats(joined).first() == stats
     for rows in ([], [("/a", 0), ("/b", None)]):
         few = distribute.spread_by_bytes(spark.createDataFrame(rows, "path STRING, length BIGINT"), 3)
         assert few.count() == len(rows) and distribute.byte_stats(few).first()["partitions"] == 3

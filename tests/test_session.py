@@ -1,6 +1,7 @@
 import pytest
 
-from tracemill.session import shared_dir, spool
+from tracemill import session
+from tracemill.session import release, shared_dir, spool
 
 
 class Session:
@@ -35,3 +36,13 @@ def test_spooled_table_keeps_rows_and_prunes(spark):
     plan = table.where("part = 1").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan and "ReadSchema: struct<id:bigint>" in plan
     assert spool(spark.range(0), "none").count() == 0
+
+
+def test_release_deletes_what_the_session_made(spark, monkeypatch):
+    import os
+
+    monkeypatch.setattr(session, "_MADE", {})
+    table = spool(spark.range(3), "short-lived")
+    folder = table.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.isdir(folder) and release(spark) == 1
+    assert not os.path.exists(folder) and release(spark) == 0

@@ -50,31 +50,35 @@ def running_bytes(sized: DataFrame, size: str = "length") -> DataFrame:
     return ranges.join(F.broadcast(parts), "part").select("place", "bytes", before.alias("before"), "total")
 
 
-def byte_cuts(files: DataFrame, partitions: int, size: str = "length", key: str = "path") -> list[tuple[int, int]]:
-    """`(least place, bucket)` of each bucket that holds files, `partitions` at most.
+# Buckets up to which their borders are part of the plan.
+MAX_CUTS = 1000
 
-    A bucket holds the files that begin in its share of all bytes, laid end to
-    end, so its bytes are at most the mean and the largest file's.
-    """
+
+def byte_buckets(files: DataFrame, partitions: int, size: str = "length", key: str = "path") -> DataFrame:
+    """`(place, bucket)` of all files: a bucket holds those that begin in its share of all bytes, laid end to end."""
     sized = files.select(place_of(key).alias("place"), F.coalesce(F.col(size), F.lit(0)).alias(size))
     share = F.floor(F.col("before") / F.greatest(F.col("total"), F.lit(1)) * partitions)
-    buckets = running_bytes(sized, size).withColumn("bucket", F.least(share, F.lit(partitions - 1)).cast("int"))
-    rows = buckets.groupBy("bucket").agg(F.min("place").alias("place")).orderBy("bucket").collect()
-    return [(r["place"], r["bucket"]) for r in rows]
+    return running_bytes(sized, size).select("place", F.least(share, F.lit(partitions - 1)).cast("int").alias("bucket"))
 
 
-def spread_by_bytes(files: DataFrame, partitions: int, size: str = "length", key: str = "path") -> DataFrame:
+def spread_by_bytes(files: DataFrame, partitions: int, size: str = "length", key: str = "path", max_cuts: int = MAX_CUTS) -> DataFrame:
     """Files moved to exactly `partitions` partitions of even bytes, with their `bucket`.
 
-    Where the borders lie is found from names and sizes alone, in a mixed order;
-    content moves once, and a task that is run again puts every file where it
-    was before.
+    A partition's bytes are at most the mean and the largest file's. Where the
+    borders lie is found from names and sizes alone, in a mixed order, so a task
+    that is run again puts every file where it was before. Up to `max_cuts`
+    partitions the borders become part of the plan and content moves once;
+    beyond, buckets are joined to the files, which suits listings.
     """
-    cuts = byte_cuts(files, partitions, size, key)
+    buckets = byte_buckets(files, partitions, size, key)
+    if partitions > max_cuts:
+        placed = files.withColumn("_place", place_of(key)).join(buckets.withColumnRenamed("place", "_place"), "_place")
+        return placed.drop("_place").repartitionById(partitions, "bucket")
+    cuts = buckets.groupBy("bucket").agg(F.min("place").alias("place")).orderBy("bucket").collect()
     place, bucket = place_of(key), F.lit(0)
     if cuts:
-        borders = F.array(*[F.lit(p).cast("bigint") for p, _ in cuts])
-        numbers = F.array(*[F.lit(b) for _, b in cuts])
+        borders = F.array(*[F.lit(r["place"]).cast("bigint") for r in cuts])
+        numbers = F.array(*[F.lit(r["bucket"]) for r in cuts])
         passed = F.size(F.filter(borders, lambda border: border <= place))
         bucket = F.element_at(numbers, F.greatest(passed, F.lit(1)))
     return files.withColumn("bucket", bucket.cast("int")).repartitionById(partitions, "bucket")

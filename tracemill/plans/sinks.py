@@ -115,6 +115,8 @@ def write_json(results: DataFrame, out: str, formatter: str = "json") -> None:
 
 
 COMMITS = "commits"
+# Sessions up to which their versions are part of a plan that reads all of them.
+PLANNED_VERSIONS = 1000
 COMMIT = "session_id STRING, version STRING, number BIGINT"
 
 
@@ -188,13 +190,17 @@ def _routed(rows: DataFrame, container: str) -> DataFrame:
 def read_container(spark: SparkSession, store: str, container: str, session_id: str | None = None) -> DataFrame:
     """A table of the store over all sessions, or of one, as last committed.
 
-    The versions to read are fixed by the log when the plan is made or, over all
-    sessions, when it runs; other versions' folders are pruned.
+    The versions to read are fixed by the log when the plan is made, and other
+    versions' folders are pruned. Beyond `PLANNED_VERSIONS` sessions they are
+    joined when it runs.
     """
     if container in (EVENT_DATA, EXTRACTION_WARNING, RECOVERY_WARNING):
         return _routed(read_container(spark, store, "results", session_id), container)
     rows, shown = _rows(spark, store, container), snapshot(spark, store)
     if session_id is None:
+        known = [r["version"] for r in shown.select("version").limit(PLANNED_VERSIONS + 1).collect()]
+        if len(known) <= PLANNED_VERSIONS:
+            return rows.where(F.col("version").isin(known)).drop("version")
         shown = rows.join(shown, ["session_id", "version"], "left_semi")
         return shown.select(*[c for c in rows.columns if c != "version"])
     last = shown.where(F.col("session_id") == session_id).first()

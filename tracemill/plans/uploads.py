@@ -38,7 +38,8 @@ def upload(
     entries = spool(list_entries(spark, source) if entries is None else entries, "entries")
     upload_root = paths_of(source) if upload_root is None else upload_root
     listed = only_files(entries)
-    plain = spool(ingest(spark, source, upload_root, processed_root, limits, max_bytes, listed), "ingested")
+    # What this reads is written already, so reading it for the report too costs no second unpacking.
+    plain = ingest(spark, source, upload_root, processed_root, limits, max_bytes, listed)
     bad = F.isnull("content") & (F.col("warning") == UNREAD)
     kept_folders = _moved(entries.where(F.col("entry_type") == DIRECTORY), upload_root, processed_root)
     land_files(as_files(plain.where(~F.coalesce(bad, F.lit(False)))), landing, kept_folders)

@@ -1,5 +1,7 @@
 """Session settings and the shared folder used for intermediate tables."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,6 +18,8 @@ RECOMMENDED = {
 }
 
 _LOCAL_SHARED: dict[str, str] = {}
+# Folders handed out by `shared_dir`, by application.
+_MADE: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "tracemill", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,8 +45,24 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_SHARED:
             _LOCAL_SHARED[app] = tempfile.mkdtemp(prefix="tracemill-")
+            atexit.register(shutil.rmtree, _LOCAL_SHARED[app], ignore_errors=True)
         base = _LOCAL_SHARED[app]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session made and return their number.
+
+    For the end of a run: DataFrames that still read them can't be used any more.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for folder in made:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(made)
 
 
 def spool(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), compression: str | None = None) -> DataFrame:

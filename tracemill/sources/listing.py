@@ -27,6 +27,8 @@ FLUSH_BYTES = 32 << 20
 TASK_BYTES = 256 << 20
 # What opening a file costs, in bytes that could be read meanwhile.
 OPEN_BYTES = 1 << 20
+# Tasks up to which the borders between them are part of the plan; for more, files are joined to their task.
+PLANNED_TASKS = 64
 
 
 def paths_from_uri(uri: Column) -> Column:
@@ -242,5 +244,5 @@ def _reading(listed: DataFrame, part, kind: pa.DataType, sql: str, skip_unreadab
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema)
     # Files are packed into tasks of even bytes, an opening counted as some of them.
     weighed = listed.withColumn("_cost", F.expr(f"coalesce({size}, 0)") + OPEN_BYTES)
-    dealt = spread_by_bytes(weighed, tasks, "_cost", "uri").drop("bucket") if tasks > 1 else weighed.repartition(1)
+    dealt = spread_by_bytes(weighed, tasks, "_cost", "uri", PLANNED_TASKS).drop("bucket") if tasks > 1 else weighed.repartition(1)
     return dealt.drop("_cost").mapInArrow(_read(part, kind, skip_unreadable), f"{schema}, content {sql}")
