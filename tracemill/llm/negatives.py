@@ -305,9 +305,9 @@ WITH part AS (
     SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
     QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
 )
-SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
 FROM positives JOIN pairs USING (anchor_id)
 WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
-QUALIFY row_number() OVER w <= 5
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 5
 """
