@@ -1,16 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made of labelled text. The toxic one holds the
-windows (words) over-represented in toxic text, by a lower bound of their log
-odds against ordinary text. The ordinary one is trained on ordinary text and
-ends with the ordinary words the toxic dictionary would save most on. A window
-is compressed under each; the bytes saved by the toxic one, relative to what a
-window of the dictionary itself saves, are its distance. A text scores by the
-powers of its distances, summed, against a threshold calibrated on labelled
-documents that neither dictionary has seen.
+Two zstandard dictionaries are trained on windows of labelled text: the toxic one
+on windows of toxic documents, namely on the words of their running text that
+begin as words over-represented in toxic documents do (by a lower bound of the
+log odds), each as often as it occurs; the ordinary one on windows of ordinary
+documents, and once more on those of them that the toxic one would shorten. The toxic compressor is given both, so that a window without anything
+toxic takes the same bytes under either. A window of a text, two words that
+follow each other, is compressed under each; the bytes by which the toxic one is
+shorter are summed over the text and taken per distinct word, against a threshold
+calibrated on labelled documents by dictionaries that haven't seen them.
 """
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -20,66 +22,70 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tracemill.llm.common import free_name, table, text_of, words_of
 
-# At most so many labelled documents of each class are used for fitting.
+# At most so many labelled documents of each class are used for fitting, of each a
+# run of so many words from a place its text decides, and so many ordinary windows.
 MAX_TOXIC, MAX_ORDINARY = 1500, 6000
-# A window is toxic from this many toxic documents and this log odds ratio on, less so many standard errors.
+FIT_WORDS = 1000
+MAX_WINDOWS = 60_000
+# Beginnings of words are looked at from this many characters on. One is toxic from this
+# many toxic documents and this log odds ratio on, less so many standard errors.
+LEAST_BEGINNING = 5
 MIN_DOCS, MIN_LOG_ODDS, ERRORS = 3, 1.2, 2.0
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 16384
-# Bytes of ordinary words confused with toxic ones, and the rounds in which they are found.
-CONFUSED_BYTES, CONFUSED_ROUNDS = 8192, 2
-# Savings of a window count as of so many bytes at least; distances count to this power in a text.
-LEAST_SAVING, POWER = 4, 8
+TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
+# Bytes of the ordinary dictionary trained on windows the toxic one shortens by more than so many bytes.
+CONFUSED_BYTES, CONFUSED_SAVING = 4000, 1
+# A window is so many words of running text; ordinary dictionaries learn from longer ones.
+WINDOW_WORDS, TRAIN_WORDS = 2, 3
 # Words a text is taken to have besides its own, so that one window in a short text isn't everything.
-MORE_WORDS = 20
-# Bytes both dictionaries end with and every window ends with, so that zstandard
+MORE_WORDS = 5
+# Folds of the learnt documents by which the threshold is calibrated.
+FOLDS = 4
+# Shorter matches with a dictionary aren't used.
+MIN_MATCH = 6
+# Bytes all dictionaries end with and every window ends with, so that zstandard
 # compresses even a window of a few bytes and doesn't store it.
 FRAME = bytes(range(128, 168))
-# Distances of this many windows are kept at a time in one task.
-CACHE_WINDOWS = 300_000
+# What is known of this many words is kept at a time in one task.
+CACHE_WORDS = 300_000
 
 
-def window_bytes(word: str) -> bytes:
-    return f" {word} ".encode("utf-8", "surrogatepass")
+def window_bytes(words: Iterable[str]) -> bytes:
+    return f" {' '.join(words)} ".encode("utf-8", "surrogatepass")
+
+
+def windows(words: list[str], size: int = WINDOW_WORDS) -> Iterator[tuple[str, ...]]:
+    """The runs of `size` words, each sharing one word with the next; a shorter text is one window."""
+    for i in range(0, max(1, len(words) - size + 1), max(1, size - 1)):
+        yield tuple(words[i : i + size])
+
+
+def beginnings(word: str) -> Iterator[str]:
+    """The beginnings of a word up to all of it; a short word is its own."""
+    return (word[:k] for k in range(min(LEAST_BEGINNING, len(word)), len(word) + 1))
 
 
 def over_represented(toxic: list[list[str]], ordinary: list[list[str]]) -> dict[str, float]:
-    """Words of toxic documents with the lower bound of their log odds ratio, where it is large enough."""
-    in_toxic, in_ordinary = (Counter(w for doc in docs for w in doc) for docs in (toxic, ordinary))
-    least, found = min(MIN_DOCS, len(toxic)), {}
-    for word, n in in_toxic.items():
-        if n < least:
-            continue
-        t, o = n + 0.5, in_ordinary[word] + 0.5
-        odds = math.log(t / (len(toxic) - n + 0.5)) - math.log(o / (len(ordinary) - in_ordinary[word] + 0.5))
+    """Beginnings of words of toxic documents with the lower bound of their log odds ratio, where it is large enough."""
+    in_toxic = Counter(b for doc in toxic for b in {b for w in set(doc) for b in beginnings(w)})
+    least = min(MIN_DOCS, len(toxic))
+    in_toxic = {b: n for b, n in in_toxic.items() if n >= least}
+    in_ordinary = Counter(b for doc in ordinary for b in {b for w in set(doc) for b in beginnings(w) if b in in_toxic})
+    found = {}
+    for beginning, n in in_toxic.items():
+        t, o = n + 0.5, in_ordinary[beginning] + 0.5
+        odds = math.log(t / (len(toxic) - n + 0.5)) - math.log(o / (len(ordinary) - in_ordinary[beginning] + 0.5))
         weight = odds - ERRORS * math.sqrt(1 / t + 1 / o)
         if weight > MIN_LOG_ODDS:
-            found[word] = weight
+            found[beginning] = weight
     return found
 
 
-def with_confused(ordinary: bytes, toxic: bytes, words: Counter) -> bytes:
-    """The ordinary dictionary and the words (by frequency) on which the toxic one saves most, the worst last."""
-    taken: set[str] = set()
-    more = b""
-    for _ in range(CONFUSED_ROUNDS):
-        distance = Distance(ordinary + more, toxic)
-        saved = ((n * distance.saved(w)[0], w) for w, n in words.items() if w not in taken)
-        found = []
-        for total, word in sorted((x for x in saved if x[0] > words[x[1]]), reverse=True):
-            if len(b"".join(found)) + len(window_bytes(word)) > CONFUSED_BYTES // CONFUSED_ROUNDS:
-                break
-            found.append(window_bytes(word))
-            taken.add(word)
-        more = b"".join(reversed(found)) + more
-    return ordinary + more
-
-
 def train_dictionary(size: int, samples: list[bytes]) -> bytes:
-    """A zstandard dictionary; the samples themselves where they are too few to train on."""
+    """A zstandard dictionary trained on the samples; the samples themselves where they are too few to train on."""
     if not samples:
         return b""
     try:
-        return zstandard.train_dictionary(size, samples, k=16, d=6, level=19).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=16, d=6, level=19).as_bytes()[-size:]
     except zstandard.ZstdError:
         return b"".join(dict.fromkeys(samples))[-size:]
 
@@ -88,10 +94,9 @@ class Distance:
     """Compression lengths of windows under the two dictionaries; made once in a task."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.compressors = [self._compressor(ordinary), self._compressor(toxic)]
-        # What a window of the toxic dictionary itself takes.
-        self.floor = len(self.compressors[1].compress(toxic[:12] + FRAME))
-        self.cache: dict[str, float] = {}
+        self.compressors = [self._compressor(ordinary), self._compressor(toxic + ordinary)]
+        self.runs = {toxic[i : i + MIN_MATCH] for i in range(len(toxic) - MIN_MATCH + 1)}
+        self.known: dict[str, bool] = {}
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -100,7 +105,7 @@ class Distance:
             19,
             dict_size=len(content) + len(FRAME),
             source_size=128,
-            min_match=5,
+            min_match=MIN_MATCH,
             write_content_size=False,
             write_checksum=False,
             write_dict_id=False,
@@ -108,26 +113,31 @@ class Distance:
         )
         return zstandard.ZstdCompressor(dict_data=data, compression_params=params)
 
-    def saved(self, word: str) -> tuple[int, int]:
-        """Bytes the toxic dictionary saves on a word, and the most it could."""
-        window = window_bytes(word) + FRAME
-        plain, toxic = (len(c.compress(window)) for c in self.compressors)
-        return plain - toxic, plain - self.floor
+    def saved(self, window: Iterable[str]) -> int:
+        """Bytes the toxic dictionary saves on a window."""
+        content = window_bytes(window) + FRAME
+        plain, toxic = (len(c.compress(content)) for c in self.compressors)
+        return plain - toxic
 
-    def of(self, word: str) -> float:
-        known = self.cache.get(word)
+    def shares(self, word: str) -> bool:
+        """Whether the toxic dictionary has a match for a part of the word; without one it saves nothing there."""
+        known = self.known.get(word)
         if known is None:
-            saved, most = self.saved(word)
-            known = min(1.0, max(0, saved) / max(LEAST_SAVING, most))
-            if len(self.cache) >= CACHE_WINDOWS:
-                self.cache.clear()
-            self.cache[word] = known
+            content = window_bytes((word,))
+            known = any(content[i : i + MIN_MATCH] in self.runs for i in range(len(content) - MIN_MATCH + 1))
+            if len(self.known) >= CACHE_WORDS:
+                self.known.clear()
+            self.known[word] = known
         return known
 
-    def text(self, words: Iterable[str]) -> float:
-        """The distances of the distinct words to a high power, against the root of their number."""
+    def text(self, words: list[str]) -> float:
+        """The bytes saved on the distinct windows by the number of distinct words."""
         distinct = set(words)
-        return math.fsum(self.of(w) ** POWER for w in distinct) / math.sqrt(MORE_WORDS + len(distinct))
+        shared = {w for w in distinct if self.shares(w)}
+        if not shared:
+            return 0.0
+        found = {w for w in windows(words) if not shared.isdisjoint(w)}
+        return sum(max(0, self.saved(w)) for w in found) / (MORE_WORDS + len(distinct))
 
 
 class Model:
@@ -143,31 +153,51 @@ class Model:
         return 1 / (1 + math.exp(-8 * (distance / self.threshold - 1)))
 
 
+def dictionaries(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary trained on documents given as their words; empty ones if no word is toxic."""
+    marks = over_represented(toxic, ordinary)
+    if not marks:
+        return b"", b""
+
+    def marked(word: str) -> bool:
+        return any(b in marks for b in beginnings(word))
+
+    learnt = train_dictionary(TOXIC_BYTES, [window_bytes((w,)) for d in toxic for w in d if marked(w)])
+    plain = dict.fromkeys(w for d in ordinary for w in windows(d, TRAIN_WORDS))
+    plain = sorted(plain, key=lambda w: zlib.crc32(window_bytes(w)))[:MAX_WINDOWS]
+    usual = train_dictionary(ORDINARY_BYTES, list(map(window_bytes, plain)))
+    distance = Distance(usual, learnt)
+    others = (w for w in plain if any(map(distance.shares, w)) and not any(map(marked, w)))
+    confused = [window_bytes(w) for w in others if distance.saved(w) > CONFUSED_SAVING]
+    return train_dictionary(CONFUSED_BYTES, confused) + usual, learnt
+
+
 def fit_words(toxic: list[list[str]], ordinary: list[list[str]]) -> Model:
-    """Dictionaries from seven tenths of the documents, the threshold from the others.
+    """Dictionaries from all documents, the threshold from distances to those made without a document's fold.
 
-    A document is its distinct words. Equal documents count once.
+    A document is its words in order. Equal documents count once.
     """
     toxic, ordinary = ([list(d) for d in dict.fromkeys(map(tuple, docs)) if d] for docs in (toxic, ordinary))
-    cut_toxic, cut_ordinary = -(-len(toxic) * 7 // 10), -(-len(ordinary) * 7 // 10)
-    weights = over_represented(toxic[:cut_toxic], ordinary[:cut_ordinary])
-    if not weights:
-        return Model()
-    # The heaviest last, where a match costs least.
-    windows = b"".join(map(window_bytes, sorted(weights, key=lambda w: (weights[w], w))))[-TOXIC_BYTES:]
-    plain = [b"".join(map(window_bytes, doc)) for doc in ordinary[:cut_ordinary]]
-    learnt = train_dictionary(ORDINARY_BYTES, plain)[-ORDINARY_BYTES:]
-    others = Counter(w for doc in ordinary[:cut_ordinary] for w in doc if w not in weights)
-    model = Model(with_confused(learnt, windows, others), windows)
-    distance = Distance(model.ordinary, model.toxic)
-    scored = sorted(
-        [(distance.text(d), 1) for d in toxic[cut_toxic:] or toxic]
-        + [(distance.text(d), 0) for d in ordinary[cut_ordinary:]]
-    )
-    model.threshold = best_threshold(scored)
+    model = Model(*dictionaries(toxic, ordinary))
+    if not model.toxic:
+        return model
+    scored = []
+    for fold in range(FOLDS):
+        rest = [[d for i, d in enumerate(docs) if i % FOLDS != fold] for docs in (toxic, ordinary)]
+        distance = Distance(*dictionaries(*rest))
+        scored += [(distance.text(d), y) for y, docs in ((1, toxic), (0, ordinary)) for d in docs[fold::FOLDS]]
+    model.threshold = best_threshold(sorted(scored))
     return model
 
 
+def fit_run(text: str) -> list[str]:
+    """At most `FIT_WORDS` words of a text that follow each other, from a place its text decides."""
+    words = words_of(text)
+    more = len(words) - FIT_WORDS
+    start = zlib.crc32(text.encode("utf-8", "surrogatepass")) % (more + 1) if more > 0 else 0
+    return words[start : start + FIT_WORDS]
+
+
 def best_threshold(scored: list[tuple[float, int]]) -> float:
     """The middle of the cut with the most right answers, classes weighted alike; never 0."""
     n = Counter(y for _, y in scored)
@@ -184,8 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on labelled documents whose crc32(id) mod 5 isn't 0.
 
     The sample is bounded by `MAX_TOXIC` and `MAX_ORDINARY`: the labelled ids
-    with the lowest hash. Null or missing labels and ids are passed over; a
-    document with several labels is toxic if one of them is.
+    with the lowest hash, and `FIT_WORDS` words of each. Null or missing labels and
+    ids are passed over; a document with several labels is toxic if one of them is.
     """
     fold = F.crc32(F.col("id").cast("string")) % 5
     known = (
@@ -204,15 +234,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = docs.sparkSession.createDataFrame(chosen, known.schema)
 
     @F.pandas_udf("array<string>")
-    def distinct_words(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(set(words_of(t))))
+    def run_of(texts: pd.Series) -> pd.Series:
+        return texts.map(fit_run)
 
     rows = (
         docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("body"))
         .join(F.broadcast(sample), "id")  # MAX_TOXIC + MAX_ORDINARY rows at most
         .groupBy("id")
         .agg(F.max("toxic").alias("toxic"), F.min("body").alias("body"))
-        .select("id", "toxic", distinct_words("body").alias("words"))
+        .select("id", "toxic", run_of("body").alias("words"))
         .orderBy(F.xxhash64("id"), "id")
         .toArrow()
     )
@@ -224,8 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(model: Model, text: Column) -> Column:
     """The toxicity of each text, 0 to 1; a null or empty text has 0 or the curve's foot.
 
-    Every word of the whole text is a window, so the order of texts, their
-    number and their length don't change a score.
+    Every two words that follow each other in the whole text are a window, so the
+    order and number of texts don't change a score.
     """
 
     @F.pandas_udf("double")
