@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_rows import docs, empty, odd  # noqa: F401
 from tracemill.llm import language as L
@@ -81,3 +82,17 @@ def test_query_accuracy(spark):
     assert docs.keys() == langs.keys()
     assert sum(docs[i] == l for i, l in langs.items()) > 0.98 * len(langs)
     assert sum(r.page_id is not None for r in rows) == spark.read.parquet(f"{sf}/pages.parquet").count()
+
+
+def test_accuracy_on_rows_not_fitted(spark):
+    """Documents of a fold the model never saw, copies of fitted texts left out."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = L.fit(docs.where(~held))
+    unseen = docs.where(held).join(docs.where(~held).select("text").distinct(), "text", "left_anti")
+    want = {r.doc_id: r.lang for r in unseen.select("doc_id", "lang").collect()}
+    got = {r.doc_id: r.language for r in L.identify(model, L.identify_documents(unseen)).collect()}
+    assert got.keys() == want.keys() and len(want) > 100
+    right = sum(got[i] == want[i] for i in want)
+    print(right, len(want))
+    assert right / len(want) > 0.95
