@@ -90,10 +90,14 @@ def randomness(literal: str) -> float:
 
 
 class Value:
-    """A resolved literal: whether it is a bare word, and where its parts stand."""
+    """A resolved literal: where its parts stand in the source, and whether it is a bare word."""
 
-    def __init__(self, spans: list, bare: bool = False):
-        self.spans, self.bare = spans, bare
+    def __init__(self, source: str, spans: list, bare: bool = False):
+        self.source, self.spans, self.bare = source, spans, bare
+
+    @property
+    def text(self) -> str:
+        return "".join(self.source[a:b] for a, b in self.spans)
 
 
 def pairs(text: str) -> Iterator[tuple[str, Value]]:
@@ -195,7 +199,7 @@ def _line_pairs(text: str, at: int, stop: int, known: dict[str, Value]) -> Itera
         name = _target(tokens, i)
         if not name:
             continue
-        value = _right_side(tokens, i + 1, known)
+        value = _right_side(text, tokens, i + 1, known)
         if value is not None:
             known[name] = value
             yield name, value
@@ -212,7 +216,7 @@ def _target(tokens: list, i: int) -> str | None:
     return word if kind == "name" else None
 
 
-def _right_side(tokens: list, i: int, known: dict[str, Value]) -> Value | None:
+def _right_side(text: str, tokens: list, i: int, known: dict[str, Value]) -> Value | None:
     """The value behind an operator; names add up to `MAX_PARTS` parts of what they stand for."""
     parts, bare, expect, passed_on = None, True, True, 0
     while i < len(tokens):
@@ -234,13 +238,13 @@ def _right_side(tokens: list, i: int, known: dict[str, Value]) -> Value | None:
             # A bare word goes on to the next blank or closing sign.
             while i + 1 < len(tokens) and tokens[i + 1][2] == end and tokens[i + 1][1] not in ",;)]}":
                 i, end = i + 1, tokens[i + 1][3]
-            return Value([(start, end)], True)
+            return Value(text, [(start, end)], True)
         elif kind == "open" and word == "(" and parts is None:
             pass
         else:
             break
         i += 1
-    return None if parts is None else Value(parts, bare)
+    return None if parts is None else Value(text, parts, bare)
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
@@ -250,7 +254,7 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
         weight = sensitivity(name)
         if weight < MIN_SENSITIVITY:
             continue
-        whole = "".join(text[a:b] for a, b in value.spans)
+        whole = value.text
         if len(whole) < MIN_LITERAL or PLACEHOLDER.fullmatch(whole.strip()):
             continue
         # A bare word must hold more than letters, else prose after a colon would count.
