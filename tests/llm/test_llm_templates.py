@@ -159,3 +159,14 @@ def test_all_rounds_against_every_pair(docs):
         assert leader not in led and line != leader and alike(tokens[line], tokens[leader])
     free = [tokens[k] for k in tokens if k not in led]
     assert not any(alike(a, b) for k, a in enumerate(free) for b in free[:k])
+
+
+def test_a_line_is_cut_once(docs):
+    """Cutting a text into lines and masking a line's fields stand once in the plan, not again in a condition."""
+    plan = T._lines(docs([(1, "a b c d e 5"), (2, "x\t1")]), "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and plan.count("\n, -1)") == 1
+
+
+def test_lines_of_blanks_have_no_token(docs):
+    df = docs([(1, " \t\n\x0b \f\r\n\n\u00a0"), (2, ""), (3, None)])
+    assert [(r.doc_id, r.line_no) for r in T._lines(df, "doc_id", "text").collect()] == [(1, 3)]

@@ -34,21 +34,35 @@ MIN_FIELDS = 5
 FIELD = "<*>"
 
 
-def tokens_of(line: Column) -> Column:
-    """Blank-separated tokens, in lines of `MIN_FIELDS` or more those with a digit as a variable field."""
-    blanks = F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(blanks, "[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(blanks)
-    plain, fields = (F.array_remove(F.split(c, " "), "") for c in (blanks, masked))
-    return F.when(F.size(fields) >= MIN_FIELDS, fields).otherwise(plain)
+def _blanks(line: Column) -> Column:
+    return F.when(line.rlike(r"[\t\x0B\f\r]"), F.translate(line, "\t\x0b\x0c\r", "    ")).otherwise(line)
+
+
+def _split(line: Column) -> Column:
+    return F.array_remove(F.split(line, " "), "")
+
+
+def fields_of(line: Column) -> Column:
+    """Blank-separated tokens, those with a digit as a variable field."""
+    blanks = _blanks(line)
+    return _split(F.when(line.rlike("[0-9]"), F.regexp_replace(blanks, "[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(blanks))
+
+
+def tokens_of(line: Column, fields: Column) -> Column:
+    """The fields in lines of `MIN_FIELDS` or more, in others the tokens as they are."""
+    return F.when(F.size(fields) >= MIN_FIELDS, fields).otherwise(_split(_blanks(line)))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with a token: where it stands, its digest, its leaves and its shape."""
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("body"), F.split(text, "\n").alias("lines"))
-    rows = rows.select("doc_id", "body", F.posexplode("lines").alias("line_no", "line"))
-    rows = rows.select("doc_id", "body", "line_no", tokens_of(F.col("line")).alias("tokens"))
-    rows = rows.filter(F.size("tokens") >= MIN_TOKENS)
+    # Conditions on what is costly to make, stated or inferred, would have it made twice: a text has a line at least,
+    # and a line a token if anything but blanks is in it.
+    rows = rows.select("doc_id", "body", F.posexplode_outer("lines").alias("line_no", "line"))
+    rows = rows.filter(F.col("line").rlike(r"[^ \t\x0B\f\r]"))
+    rows = rows.withColumn("fields", fields_of(F.col("line")))
+    rows = rows.select("doc_id", "body", "line_no", tokens_of(F.col("line"), F.col("fields")).alias("tokens"))
     # A short line has a leaf of its own, where only equal lines are.
     leading = lambda d: F.when(F.size("tokens") >= MIN_FIELDS, F.slice("tokens", 1, d)).otherwise(F.col("tokens"))
     leaf = lambda d: F.xxhash64(F.size("tokens"), leading(d))
