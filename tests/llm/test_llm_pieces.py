@@ -107,3 +107,23 @@ def test_encode_and_decode(spark, odd, empty):
 def test_query_is_lossless(spark):
     rows = P.op3_sampled_pieces(spark, "/root/testdata/sf0.001")
     assert rows.count() == rows.filter("lossless").count() > 0
+
+
+def test_all_texts_are_decoded_at_a_time():
+    vocabulary = P.Vocabulary(MODEL)
+    texts = ["", "one two\nthree", "\ud800 é 梦\t", " ", "a" * 300]
+    ids, counts = P.Sampler(vocabulary).sample([str(k) for k in range(len(texts))], texts)
+    assert vocabulary.lossless(ids, counts, texts) == [True] * len(texts)
+    ends = [0, *counts.cumsum().tolist()]
+    assert [vocabulary.decode(ids[a:b].tolist()) for a, b in zip(ends, ends[1:])] == texts
+    assert vocabulary.lossless(ids, counts, ["", "one two\nthreE", "\ud800 é 梦", "", "a" * 300]) == [True, False, False, False, True]
+
+
+def test_beginnings_leave_no_piece_out():
+    vocabulary = P.Vocabulary(MODEL)
+    chars = P.code_points(" internationalé the xyzzyq")
+    found = vocabulary.edges(chars, len(chars) - np.arange(len(chars)))
+    for table in vocabulary.begins.values():
+        table[:] = True
+    everything = vocabulary.edges(chars, len(chars) - np.arange(len(chars)))
+    assert all((a == b).all() for a, b in zip(found, everything))

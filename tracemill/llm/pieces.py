@@ -30,6 +30,9 @@ CACHE_UNITS = 200_000
 DRAWS = 1 << 32
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+# Upper bits of a hash by which beginnings of pieces are known.
+PREFIX_BITS = 18
+_PREFIX = np.uint64(64 - PREFIX_BITS)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,6 +42,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def gathered(flat: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Runs of `flat` one after the other, each `count` long from `first` on."""
+    ends = np.cumsum(count)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)]
+
+
 class Vocabulary:
     """Pieces as hashes by length, with log probabilities, and the bytes of every id.
 
@@ -66,12 +75,19 @@ class Vocabulary:
                 if score > UNUSED_SCORE:
                     by_length.setdefault(len(text), []).append((text, i, -SHARPNESS * math.log(2 - score)))
             self.bytes_of.append(raw)
+        self.raw = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.n_raw = np.array([len(raw) for raw in self.bytes_of], np.int64)
+        self.first_raw = np.cumsum(self.n_raw) - self.n_raw
         # By length: sorted hashes, then ids, log probabilities and characters in that order.
         self.tables = {}
+        # By length: whether a longer piece may begin with characters of such a hash, by its upper bits.
+        self.begins = {k: np.zeros(1 << PREFIX_BITS, bool) for k in range(1, max(by_length))}
         for length, rows in sorted(by_length.items()):
             chars = np.array([code_points(text) for text, _, _ in rows])
             hashes = np.zeros(len(rows), np.uint64)
             for k in range(length):
+                if k:
+                    self.begins[k][hashes >> _PREFIX] = True
                 hashes = hashes * _STEP + chars[:, k]
             order = np.argsort(hashes)
             ids, log_p = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
@@ -80,6 +96,7 @@ class Vocabulary:
         # What an edge emits: a piece, or the bytes of a character without one, numbered after the pieces.
         self.byte_runs: dict[int, int] = {}
         self.emits = [np.array([i], np.int32) for i in range(self.size)]
+        self.runs = np.arange(self.size, dtype=np.int32), np.arange(self.size), np.ones(self.size, np.int64)
 
     def byte_run(self, char: int) -> int:
         """The number of what a character emits as bytes."""
@@ -89,6 +106,18 @@ class Vocabulary:
             self.emits.append(np.array([self.byte_ids[x] for x in raw], np.int32))
         return self.byte_runs[char]
 
+    def emitted(self, emits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of what edges emit, one after the other, and how many each has."""
+        flat, first, count = self.runs
+        if len(first) < len(self.emits):
+            new = self.emits[len(first) :]
+            more = np.array([len(r) for r in new], np.int64)
+            first = np.concatenate([first, len(flat) + np.cumsum(more) - more])
+            flat, count = np.concatenate([flat, *new]), np.concatenate([count, more])
+            self.runs = flat, first, count
+        n_ids = count[emits]
+        return gathered(flat, first[emits], n_ids), n_ids
+
     def edges(self, chars: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All pieces in a row of characters, as (begin, length, what it emits, log probability).
 
@@ -98,6 +127,8 @@ class Vocabulary:
         found, lone = [], np.ones(len(chars), bool)
         for length in range(1, max(self.tables) + 1):
             here = room[at] >= length
+            if length > 1:
+                here &= self.begins[length - 1][hashes >> _PREFIX]
             at, hashes = at[here], hashes[here]
             hashes = hashes * _STEP + chars[at + length - 1]
             if length not in self.tables:
@@ -121,6 +152,14 @@ class Vocabulary:
         """The text of the ids, without the blank that every text is given at its start."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
+    def lossless(self, ids: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether each text's ids decode to it: all bytes of the ids of many texts are put together at a time."""
+        n_bytes = self.n_raw[ids]
+        raw = gathered(self.raw, self.first_raw[ids], n_bytes).tobytes()
+        upto = np.concatenate([[0], np.cumsum(n_bytes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        wanted = (f" {t}".encode("utf-8", "surrogatepass") if t else b"" for t in texts)
+        return [raw[a:b] == w for a, b, w in zip(upto, upto[1:], wanted)]
+
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -132,7 +171,7 @@ def filter_forward(depth: np.ndarray, end: np.ndarray, origin: np.ndarray, log_p
     Edges are filtered by the depth of that node, those of all lattices at a
     time; node numbers begin at 0 and nodes without an edge into them start.
     """
-    order = np.lexsort((end, depth))
+    order = np.argsort(depth * n_nodes + end, kind="stable")
     log_alpha, chance = np.zeros(n_nodes), np.empty(len(end))
     borders = np.flatnonzero(np.diff(depth[order], prepend=-1, append=-1))
     for a, b in zip(borders, borders[1:]):
@@ -218,7 +257,8 @@ class Sampler:
         upto, nth = chance[order], np.arange(len(order)) - (last - n_edges + 1)[end[order]]
         later = np.flatnonzero(nth)
         for k in range(1, int(n_edges.max(initial=0))):
-            here = later[nth[later] == k]
+            this = nth[later] == k
+            here, later = later[this], later[~this]
             upto[here] += upto[here - 1]
         node = len(self.first_edge) - 1
         bound = (node + end[order] << 32) + np.minimum(upto * DRAWS, DRAWS - 1).astype(np.int64)
@@ -266,13 +306,8 @@ class Sampler:
         edges = np.empty(int(n_steps.sum()), np.int64)
         for k, (w, e) in enumerate(zip(who, taken)):
             edges[first[w] + n_steps[w] - 1 - k] = e
-        emits = self.emits[edges]
-        runs = self.vocabulary.emits
-        n_run = np.array([len(r) for r in runs], np.int64)
-        n_ids = n_run[emits]
-        ends = np.cumsum(n_ids)
-        ids = np.concatenate(runs)[np.arange(ends[-1]) + np.repeat((np.cumsum(n_run) - n_run)[emits] - (ends - n_ids), n_ids)]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_steps)])]
+        ids, n_ids = self.vocabulary.emitted(self.emits[edges])
+        upto = np.concatenate([[0], np.cumsum(n_ids)])[np.concatenate([[0], np.cumsum(n_steps)])]
         return ids, np.diff(upto[np.concatenate([[0], np.cumsum(n_units)])])
 
 
@@ -292,8 +327,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             texts = batch.column("text").to_pylist()
             ids, counts = sampler.sample(batch.column("key").to_pylist(), texts)
             ends = np.concatenate([[0], np.cumsum(counts)])
-            flat = ids.tolist()
-            same = [vocabulary.decode(flat[a:b]) == t for a, b, t in zip(ends, ends[1:], texts)]
+            same = vocabulary.lossless(ids, counts, texts)
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts), lists, pa.array(same)], names=["doc_id", "n_pieces", "ids", "lossless"]
