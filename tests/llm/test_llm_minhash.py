@@ -156,3 +156,38 @@ def test_only_exact_bounds_keep_members_apart(spark):
     stored = spark.createDataFrame(list(texts.items()), "node long, text string")
     got = {r.node: r.label for r in M.links(members, stored, np.ones(M.IDF_BUCKETS, np.float32)).collect()}
     assert got == {0: 0, 1: 0}
+
+
+def _akin(n=40, words=120, edits=8):
+    """Texts that are each edited from one: all share buckets, few are similar to each other."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(words)]
+    texts = []
+    for i in range(n):
+        own = list(base)
+        for k in rng.choice(words, edits, replace=False):
+            own[k] = f"e{i}x{k}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_cells_bound_what_texts_share():
+    shingles = M.Shingles(np.full(M.IDF_BUCKETS, 0.4, np.float32))
+    sets = [shingles.of(t) for t in [*_akin(12), "a b c d e " * 500, "a b", ""]]
+    for a in sets:
+        for b in sets:
+            both = np.intersect1d(a[0], b[0])
+            shared = np.minimum(a[1][np.isin(a[0], both)], b[1][np.isin(b[0], both)]).sum()
+            least = np.minimum(M.cells(a).astype(np.float32), M.cells(b).astype(np.float32)).astype(float)
+            assert least.sum() >= shared
+            sums = [M.cells(x).reshape(-1, M.CELL_SUMS).sum(axis=1).astype(np.float32) for x in (a, b)]
+            assert np.minimum(*sums).astype(float).sum() >= shared
+
+
+def test_texts_only_akin_are_hardly_compared(docs, monkeypatch):
+    pairs, similar = [], M._similar
+    monkeypatch.setattr(M, "_similar", lambda *a: pairs.append(similar(*a)) or pairs[-1])
+    texts = _akin()
+    got = {r.doc_id: r.class_id for r in M.near_duplicates(docs(list(enumerate(texts)))).collect()}
+    compared = sum(p.count() for p in pairs[1:])
+    assert len(set(got.values())) == len(texts) and pairs[0].count() >= 10 and compared <= 20

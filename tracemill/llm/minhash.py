@@ -27,14 +27,17 @@ SIMILARITY = 0.8
 BANDS, ROWS = 18, 4
 # Nothing but exact bounds keeps members of a bucket from being compared, so signatures carry no sketch.
 SKETCH_LONGS = 0
+# Cells that shingles are dealt to by hash, and so many of them added up for a first look. What two texts share weighs
+# no more than the lesser of their weights in each cell, added up.
+CELLS, CELL_SUMS = 512, 4
 # Words are counted by hash in so many buckets, so what every task receives has a fixed size.
 IDF_BUCKETS = 1 << 18
 # Pivots a bucket may have at a time of either sort; they begin with one and become four times as many by round.
 PIVOTS = 512
 # Words whose hash, and texts whose shingles, one task keeps at a time.
 CACHE_WORDS, CACHE_TEXTS = 300_000, 256
-# Shingles sampled at a time, which bounds the memory for a long text.
-BLOCK = 1 << 14
+# Shingles sampled at a time, which bounds the memory for a long text and keeps it near the processor.
+BLOCK = 1 << 11
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -229,6 +232,39 @@ def _may_match(threshold: float) -> Column:
     return F.least("weight", "p_weight") >= (threshold - 1e-9) * F.greatest("weight", "p_weight")
 
 
+def cells(shingles: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """What a weighted set weighs in each cell, no less when rounded to 32 bits."""
+    cell = (shingles[0] >> np.uint64(64 - (CELLS - 1).bit_length())).astype(np.int64)
+    return np.bincount(cell, shingles[1], CELLS) * (1 + 1e-6)
+
+
+def _with_cells(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """`rows` with the cells of each node's text, and their sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(idf)
+        for batch in pieces(batches):
+            fine = [cells(shingles.of(text)) for text in batch.column(1).to_pylist()]
+            sums = [c.reshape(-1, CELL_SUMS).sum(axis=1) for c in fine]
+            lists = [pa.array([c.astype(np.float32) for c in x], pa.list_(pa.float32())) for x in (fine, sums)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["node", "cells", "sums"])
+
+    wanted = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
+    found = spool(wanted.mapInArrow(run, "node long, cells array<float>, sums array<float>"), "cells")
+    return rows.join(found, "node")
+
+
+def _may_share(threshold: float) -> Column:
+    """Whether their cells let a member and a pivot be similar."""
+    needed = (threshold - 1e-9) / (1 + threshold) * (F.col("weight") + F.col("p_weight"))
+
+    def enough(column: str) -> Column:
+        least = F.zip_with(column, f"p_{column}", lambda a, b: F.least(a, b))
+        return F.aggregate(least, F.lit(0.0), lambda n, x: n + x) >= needed
+
+    return enough("sums") & enough("cells")
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """(node, pivot, sim) of the distinct (node, pivot)."""
 
@@ -265,9 +301,10 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     pivot and meet only what isn't in their class yet, half are not; there are
     more in each round, so a dense group settles before many are compared.
     A pair is passed over only if it can't matter: both are in one class
-    already, their weights differ too much, or the bucket's first
-    pivot proves them apart (1 - similarity is a metric). So a bucket of copies
-    ends after one pivot, and links between other members are still found.
+    already, their weights differ too much, the bucket's first pivot proves them
+    apart (1 - similarity is a metric), or what they weigh in cells of shingles
+    does. So a bucket of copies ends after one pivot, links between other members
+    are still found, and of texts that are only akin few pairs are compared.
     """
     apart = 1 - threshold + 1e-9
     alike = _may_match(threshold)
@@ -281,24 +318,26 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
         (F.col("node") == F.col("pivot")).alias("done"),
     )
     # The first pivots have met all of their buckets.
-    rows, slots = spool(rows.filter(~F.col("done")).drop("done"), "members"), 1
+    rows, slots = _unsettled(spool(rows.filter(~F.col("done")).drop("done"), "members")), 1
+    if rows.isEmpty():
+        return labels
+    rows = spool(_with_cells(rows, texts, idf), "members")
+    columns = ("node", "weight", "class", "d", "sums", "cells")
     while True:
-        rows = _unsettled(rows)
-        if rows.isEmpty():
-            return labels
         close = F.coalesce(F.col("d") <= apart, F.lit(False)).alias("close")
         slot = F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")
-        pivot = F.min(F.struct("node", "weight", "class", "d")).alias("p")
+        pivot = F.min(F.struct(*columns)).alias("p")
         pivots = spool(
             rows.groupBy("bucket", close, slot)
             .agg(pivot)
-            .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "weight", "class", "d")]),
+            .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in columns]),
             "pivots",
         )
         met = rows.join(pivots, "bucket").filter(
             (F.col("class") != F.col("p_class"))
             & alike
             & F.coalesce(F.abs(F.col("d") - F.col("p_d")) <= apart, F.lit(True))
+            & _may_share(threshold)
         )
         pairs = met.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot"))
         new = _edges(_similar(pairs, texts, idf), threshold)
@@ -307,7 +346,9 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
             edges = edges.union(new)
             labels = classes(edges)
             rows = rows.join(labels, "node", "left").withColumn("class", F.coalesce("label", "class")).drop("label")
-        rows, slots = spool(rows, "members"), min(4 * slots, PIVOTS)
+        rows, slots = _unsettled(spool(rows, "members")), min(4 * slots, PIVOTS)
+        if rows.isEmpty():
+            return labels
 
 
 def near_duplicates(
