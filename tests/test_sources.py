@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tracemill.plans import queries
 from tracemill.session import spool
 from tracemill.sources import files as src, lines, listing
 
@@ -136,3 +137,13 @@ def test_lines_of_splits_are_those_of_the_file(chunk, monkeypatch):
         for size in (1, 2, 5, 100):
             got = [x for a in range(0, len(data), size) for x in lines.split_lines(io.BytesIO(data), a, min(len(data), a + size))]
             assert got == want
+
+
+def _sources(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("query", [queries.scan_tree, queries.text_files])
+def test_written_files_are_read_without_a_file_index(spark, query):
+    """They are listed and dealt out by the executors; the binary file source would list them on the driver."""
+    assert "binaryFile" not in _sources(query(spark, "/root/testdata/sf0.001"))

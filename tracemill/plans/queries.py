@@ -69,7 +69,7 @@ def _below(root: str):
 def scan_tree(spark, sf_dir):
     """The files read back from a folder that is spelt with needless steps."""
     root = _odd_files(spark, sf_dir, "scan-tree")
-    found = src.scan_files(spark, f"{root}/./", skip_unreadable=True)
+    found = src.read_files(spark, f"{root}/./", skip_unreadable=True)
     return found.select(_below(root), "length", F.md5("content").alias("digest"))
 
 

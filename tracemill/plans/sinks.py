@@ -61,6 +61,10 @@ def landed(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(FILES).parquet(out)
 
 
+# Folders a writing task remembers to be there.
+KNOWN_FOLDERS = 10_000
+
+
 def write_files(files: DataFrame, root: str) -> int:
     """Files written as files below `root`, at their paths; their number is returned.
 
@@ -71,11 +75,16 @@ def write_files(files: DataFrame, root: str) -> int:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        attempt = TaskContext.get().taskAttemptId()
+        attempt, made = TaskContext.get().taskAttemptId(), set()
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 filesystem, target = locate(root.rstrip("/") + path)
-                filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                folder = target.rsplit("/", 1)[0]
+                if folder not in made:
+                    filesystem.create_dir(folder, recursive=True)
+                    if len(made) >= KNOWN_FOLDERS:
+                        made.clear()
+                    made.add(folder)
                 with filesystem.open_output_stream(f"{target}.{attempt}", compression=None) as out:
                     out.write(content or b"")
                 filesystem.move(f"{target}.{attempt}", target)
