@@ -343,3 +343,16 @@ def test_long_directories_are_read_as_they_go(tmp_path, monkeypatch):
     assert sum(1 for _ in long_archives._index_tar(tar)) == 20_000
     assert tracemalloc.get_traced_memory()[1] < 8 << 20
     tracemalloc.stop()
+
+
+def test_documents_are_packed_in_runs_of_bounded_bytes():
+    import pyarrow as pa
+
+    from tracemill.plans import queries
+
+    texts = ["x" * 1000] * (3 * queries.PACK_BYTES // 1000)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3, 4 * len(texts), 4)), pa.array(texts)], ["doc_id", "text"])
+    out = list(queries._compress(iter([batch])))
+    assert len(out) >= 3 and max(b.nbytes for b in out) <= 1.1 * queries.PACK_BYTES
+    assert [c for b in out for c in b.column("content").to_pylist()] == [t.encode() for t in texts]
+    assert list(queries._compress(iter([batch.slice(0, 0)])))[0:1] in ([], [batch.slice(0, 0)])

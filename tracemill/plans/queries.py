@@ -33,6 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 BUCKETS = 16
 # Fixture archives hold the documents of this many consecutive ids, so none grows with the data.
 ARCHIVE_IDS = 256
+# Bytes of texts packed at a time.
+PACK_BYTES = 4 << 20
 
 
 def results(spark: SparkSession, sf_dir: str, registry=DEFAULT) -> DataFrame:
@@ -454,9 +456,13 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain,
     ]
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        packed = [codecs[i % 4](text.as_py().encode()) for i, text in zip(ids, batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "content"])
+        # Sent on in runs of bounded bytes, so a long batch isn't held a second time.
+        step = max(1, batch.num_rows * PACK_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            run = batch.slice(at, step)
+            ids = run.column("doc_id").to_pylist()
+            packed = [codecs[i % 4](text.as_py().encode()) for i, text in zip(ids, run.column("text"))]
+            yield pa.RecordBatch.from_arrays([run.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "content"])
 
 
 def _compressed_documents(spark, sf_dir) -> DataFrame:
