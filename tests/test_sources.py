@@ -2,10 +2,12 @@ import io
 import os
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tracemill.plans import queries
+from tracemill.operators import distribute
+from tracemill.plans import queries, sinks
 from tracemill.session import spool
 from tracemill.sources import files as src, lines, listing
 
@@ -147,3 +149,33 @@ def _sources(df):
 def test_written_files_are_read_without_a_file_index(spark, query):
     """They are listed and dealt out by the executors; the binary file source would list them on the driver."""
     assert "binaryFile" not in _sources(query(spark, "/root/testdata/sf0.001"))
+
+
+def test_entries_of_many_folders_share_a_batch(tmp_path):
+    for k in range(50):
+        (tmp_path / f"d{k}").mkdir()
+        (tmp_path / f"d{k}" / "f").write_bytes(b"1")
+    folders = pa.RecordBatch.from_pydict({"uri": [f"{tmp_path}/d{k}" for k in range(50)]})
+    found = list(listing._list(iter([folders])))
+    assert len(found) == 1 and sorted(found[0]["uri"].to_pylist()) == sorted(f"{tmp_path}/d{k}/f" for k in range(50))
+
+
+def test_short_files_share_a_task(spark):
+    """A task's start costs as much as some hundred openings."""
+    assert listing.task_count(spark, 0, 0) == 1 and listing.task_count(spark, 0, 64) == 1
+    assert listing.task_count(spark, 0, 256) == spark.sparkContext.defaultParallelism
+    assert listing.task_count(spark, 0, 1_000_000) <= 1_000_000 // 4000
+    assert listing.task_count(spark, 10 * listing.TASK_BYTES, 10) == 11 - 1
+
+
+def test_places_are_computed_once_a_file(spark, make_files):
+    files = make_files({f"/f{k}": b"x" * k for k in range(100)})
+    dealt = distribute.spread_by_bytes(files, 16)
+    assert "<= cast(conv" not in dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert dealt.count() == 100 and dealt.select("bucket").distinct().count() == 16
+
+
+def test_tasks_that_fill_one_folder_leave_whole_files_only(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 4).selectExpr("concat('/a/', id) AS path", "CAST(CAST(id AS STRING) AS BINARY) AS content")
+    assert sinks.write_files(rows, str(tmp_path)) == 40
+    assert [p.name for p in tmp_path.iterdir()] == ["a"] and len(list((tmp_path / "a").iterdir())) == 40

@@ -79,7 +79,8 @@ def spread_by_bytes(files: DataFrame, partitions: int, size: str = "length", key
     if cuts:
         borders = F.array(*[F.lit(r["place"]).cast("bigint") for r in cuts])
         numbers = F.array(*[F.lit(r["bucket"]) for r in cuts])
-        passed = F.size(F.filter(borders, lambda border: border <= place))
+        # In a lambda the place is a variable; as an expression it would be computed again for every border.
+        passed = F.transform(F.array(place), lambda p: F.size(F.filter(borders, lambda border: border <= p)))[0]
         bucket = F.element_at(numbers, F.greatest(passed, F.lit(1)))
     return files.withColumn("bucket", bucket.cast("int")).repartitionById(partitions, "bucket")
 

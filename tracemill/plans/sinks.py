@@ -68,27 +68,35 @@ KNOWN_FOLDERS = 10_000
 def write_files(files: DataFrame, root: str) -> int:
     """Files written as files below `root`, at their paths; their number is returned.
 
-    Each is written under a name of its own attempt and then moved, so a task
-    that is run again leaves whole files only.
+    Each is written in a folder of its own attempt and then moved, so a task
+    that is run again leaves whole files only, and tasks that fill one folder
+    wait for each other once a file.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        attempt, made = TaskContext.get().taskAttemptId(), set()
+        made, written = set(), 0
+        filesystem, base = locate(root.rstrip("/"))
+        own = f"{base}/.attempt-{TaskContext.get().taskAttemptId()}"
         for batch in batches:
+            if not written and batch.num_rows:
+                filesystem.create_dir(own, recursive=True)
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                filesystem, target = locate(root.rstrip("/") + path)
+                target = base + path
                 folder = target.rsplit("/", 1)[0]
                 if folder not in made:
                     filesystem.create_dir(folder, recursive=True)
                     if len(made) >= KNOWN_FOLDERS:
                         made.clear()
                     made.add(folder)
-                with filesystem.open_output_stream(f"{target}.{attempt}", compression=None) as out:
+                with filesystem.open_output_stream(f"{own}/file", compression=None) as out:
                     out.write(content or b"")
-                filesystem.move(f"{target}.{attempt}", target)
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+                filesystem.move(f"{own}/file", target)
+            written += batch.num_rows
+        if written:
+            filesystem.delete_dir(own)
+            yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["n"])
 
     return files.select("path", "content").mapInArrow(run, "n BIGINT").agg(F.sum("n")).first()[0] or 0
 

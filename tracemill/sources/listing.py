@@ -21,12 +21,14 @@ from tracemill.session import spool
 LISTED = "uri STRING, entry_type STRING, length BIGINT, mtime TIMESTAMP_NTZ"
 
 # Folders one task lists, and rows or bytes one batch holds.
-TASK_FOLDERS = 64
+TASK_FOLDERS = 4096
 FLUSH_ROWS = 5000
 FLUSH_BYTES = 32 << 20
 TASK_BYTES = 256 << 20
 # What opening a file costs, in bytes that could be read meanwhile.
-OPEN_BYTES = 1 << 20
+OPEN_BYTES = 64 << 10
+# Files or folders for which a task of their own is worth its start, while cores are free.
+MIN_TASK = 64
 # Tasks up to which the borders between them are part of the plan; for more, files are joined to their task.
 PLANNED_TASKS = 64
 
@@ -124,22 +126,26 @@ def _as_one(filesystem: fs.FileSystem, info: fs.FileInfo):
 def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = {fs.FileType.File: FILE, fs.FileType.Directory: DIRECTORY}
     types = {"uri": pa.string(), "entry_type": pa.string(), "length": pa.int64(), "mtime": pa.timestamp("us")}
+
+    def to_batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], list(types))
+
+    rows = []
     for batch in batches:
         for uri in batch.column("uri").to_pylist():
             filesystem, path = locate(uri)
-            found = [_as_one(filesystem, info) for info in filesystem.get_file_info(fs.FileSelector(path))]
-            for start in range(0, len(found), FLUSH_ROWS):
-                rows = [
-                    (
-                        f"{uri.rstrip('/')}/{info.base_name}", kinds[info.type], info.size,
-                        None if info.mtime_ns is None else info.mtime_ns // 1000,
-                    )
-                    for info in found[start : start + FLUSH_ROWS]
-                    if info.type in kinds
-                ]
-                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), types.values())]
-                if arrays:
-                    yield pa.RecordBatch.from_arrays(arrays, list(types))
+            for info in filesystem.get_file_info(fs.FileSelector(path)):
+                info = _as_one(filesystem, info)
+                if info.type not in kinds:
+                    continue
+                changed = None if info.mtime_ns is None else info.mtime_ns // 1000
+                rows.append((f"{uri.rstrip('/')}/{info.base_name}", kinds[info.type], info.size, changed))
+                # Entries of many folders share a batch.
+                if len(rows) >= FLUSH_ROWS:
+                    yield to_batch(rows)
+                    rows = []
+    if rows:
+        yield to_batch(rows)
 
 
 def plain_root(root: str) -> str:
@@ -160,7 +166,7 @@ def list_entries(spark: SparkSession, root: str) -> DataFrame:
     folders = spark.createDataFrame([(plain_root(root),)], "uri STRING")
     count = 1
     while count:
-        tasks = -(-count // TASK_FOLDERS)
+        tasks = max(-(-count // TASK_FOLDERS), min(-(-count // MIN_TASK), spark.sparkContext.defaultParallelism))
         level = spool(folders.repartition(tasks).mapInArrow(_list, LISTED), "listing", ("entry_type",))
         levels.append(level)
         folders = level.where(F.col("entry_type") == DIRECTORY).select("uri")
@@ -172,6 +178,12 @@ def list_entries(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def task_count(spark: SparkSession, size: int | None, n: int, task_bytes: int | None = None) -> int:
+    """Tasks to read `size` bytes at `n` places: as many as both call for, and where there is work for them, all cores."""
+    least = min(-(-n // MIN_TASK), spark.sparkContext.defaultParallelism)
+    return max(1, min(n, max(least, -(-((size or 0) + OPEN_BYTES * n) // (task_bytes or TASK_BYTES)))))
+
+
 def _whole(raw: BinaryIO) -> bytes:
     return raw.read()
 
@@ -239,8 +251,7 @@ def read_parts(listed: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
 def _reading(listed: DataFrame, part, kind: pa.DataType, sql: str, skip_unreadable: bool, size: str, tasks: int | None) -> DataFrame:
     if tasks is None:
         total = listed.agg(F.expr(f"sum({size})").alias("bytes"), F.count("*").alias("n")).first()
-        cost = (total["bytes"] or 0) + OPEN_BYTES * total["n"]
-        tasks = max(1, min(total["n"], -(-cost // TASK_BYTES)))
+        tasks = task_count(listed.sparkSession, total["bytes"], total["n"])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema)
     # Files are packed into tasks of even bytes, an opening counted as some of them.
     weighed = listed.withColumn("_cost", F.expr(f"coalesce({size}, 0)") + OPEN_BYTES)
