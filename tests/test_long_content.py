@@ -6,8 +6,9 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tracemill.operators import long_content as L
-from tracemill.operators.registry import Between, DEFAULT, HTML, JSON, MARKUP
+from tracemill.operators.registry import Between, Count, DEFAULT, HTML, JSON, LongForm, MARKUP
 from tracemill.plans.pipeline import extract
+from tracemill.sources.files import list_files
 
 TITLE = Between(b"<t>", b"</t>")
 
@@ -72,3 +73,12 @@ def test_backslashes_before_a_split():
     raw = io.BytesIO(b"x" + b"\\" * 5 + b'"')
     assert [L._escaped(raw, k) for k in range(7)] == [False, False, True, False, True, False, True]
     assert [e.name for e in DEFAULT if e.long] == [HTML.name, MARKUP.name, JSON.name]
+
+
+def test_facts_of_many_files_are_put_together_by_many_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"p{i}").write_text(f"{'x' * 20}<t>title {i}</t>")
+    found = L.long_items(list_files(spark, str(tmp_path)), LongForm(emits=(), facts={"title": TITLE, "n": Count(b"x")}), 16)
+    assert len(found.inputFiles()) > 1
+    rows = {r["name"]: (r["title"], r["n"]) for r in found.collect()}
+    assert rows == {f"p{i}": (f"title {i}", 20) for i in range(300)}

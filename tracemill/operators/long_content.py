@@ -22,7 +22,7 @@ from tracemill.operators.registry import Between, Count, Has, LongForm
 from tracemill.session import spool
 from tracemill.sources import lines
 from tracemill.sources.files import MAX_CONTENT_BYTES
-from tracemill.sources.listing import open_uri
+from tracemill.sources.listing import FLUSH_BYTES, open_uri, task_count
 
 # Members of a JSON object that make one result row, in bytes of the file.
 ROW_BYTES = 256 << 20
@@ -145,25 +145,41 @@ def literal_facts(files: DataFrame, facts: Mapping[str, Count | Has | Between],
     sql = ", ".join(f"_{n} {_BETWEEN_SQL if isinstance(f, Between) else 'BIGINT'}" for n, f in facts.items())
     scanned = spool(splits_of(files, split_bytes).mapInArrow(scan, f"{FILE}, start BIGINT, stop BIGINT, {sql}"), "facts-by-split")
 
-    def compose(group: pa.Table) -> pa.Table:
-        order = np.argsort(group["start"].to_numpy())
-        out = {c: [group[c][0].as_py()] for c in FILE_NAMES}
-        for name, fact in facts.items():
-            column = group[f"_{name}"]
-            if isinstance(fact, Between):
-                place = first_between(column[int(k)].as_py() for k in order)
-                text = ""
-                if place and place[1] - place[0] <= MAX_CONTENT_BYTES:
-                    with open_uri(out["uri"][0]) as raw:
-                        text = _read(raw, *place).decode("utf-8", "replace")
-                out[name] = [text]
-            else:
-                total = sum(column.to_pylist())
-                out[name] = [total > 0 if isinstance(fact, Has) else total]
-        return pa.table({c: pa.array(v, pa.timestamp("us") if c == "mtime" else None) for c, v in out.items()})
+    def fact_of(uri: str, fact: Count | Has | Between, found: list):
+        if not isinstance(fact, Between):
+            return sum(found) > 0 if isinstance(fact, Has) else sum(found)
+        place = first_between(found)
+        if not place or place[1] - place[0] > MAX_CONTENT_BYTES:
+            return ""
+        with open_uri(uri) as raw:
+            return _read(raw, *place).decode("utf-8", "replace")
+
+    types = [pa.string() if isinstance(f, Between) else pa.bool_() if isinstance(f, Has) else pa.int64() for f in facts.values()]
+
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(batch, first, rows):
+            own = [batch.column(c).slice(first, len(rows)) for c in FILE_NAMES]
+            return pa.RecordBatch.from_arrays([*own, *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], [*FILE_NAMES, *names])
+
+        for batch in batches:
+            first, rows, size = 0, [], 0
+            for uri, splits in zip(batch.column("uri").to_pylist(), batch.column("splits")):
+                splits = splits.as_py()
+                row = [fact_of(uri, fact, [s[f"_{name}"] for s in splits]) for name, fact in facts.items()]
+                text = sum(len(x) for x in row if isinstance(x, str))
+                if rows and size + text > FLUSH_BYTES:
+                    yield packed(batch, first, rows)
+                    first, rows, size = first + len(rows), [], 0
+                rows.append(row)
+                size += text
+            if rows:
+                yield packed(batch, first, rows)
 
     result = ", ".join(f"{n} {'STRING' if isinstance(f, Between) else 'BOOLEAN' if isinstance(f, Has) else 'BIGINT'}" for n, f in facts.items())
-    return spool(scanned.groupBy("path").applyInArrow(compose, f"{FILE}, {result}"), "facts")
+    in_order = F.array_sort(F.collect_list(F.struct("start", *[f"_{n}" for n in names]))).alias("splits")
+    # Short rows, but each stands for a file to open: their tasks are stated, or all would be put together in one.
+    by_file = scanned.repartition(lines.tasks_for(scanned), "path").groupBy(*FILE_NAMES).agg(in_order)
+    return spool(by_file.mapInArrow(compose, f"{FILE}, {result}"), "facts")
 
 
 # JSON: a split may begin inside a string or outside of one.
@@ -288,15 +304,23 @@ def json_members(files: DataFrame, name: str, split_bytes: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("uri", "at", "to", "size")))
-            for k, (uri, at, to, size) in enumerate(rows):
+            first, texts, held = 0, [], 0
+            for uri, at, to, size in rows:
                 text = None
                 if to is not None and size <= MAX_CONTENT_BYTES:
                     with open_uri(uri) as raw:
                         text = _read(raw, at + 1, to)
-                yield batch.slice(k, 1).append_column("text", pa.array([text], pa.binary()))
+                # A batch is sent before a row that would make it too long.
+                if texts and held + len(text or b"") > FLUSH_BYTES:
+                    yield batch.slice(first, len(texts)).append_column("text", pa.array(texts, pa.binary()))
+                    first, texts, held = first + len(texts), [], 0
+                texts.append(text)
+                held += len(text or b"")
+            if texts:
+                yield batch.slice(first, len(texts)).append_column("text", pa.array(texts, pa.binary()))
 
     cost = pieces.agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).first()
-    tasks = max(1, min(cost["n"], -(-((cost["bytes"] or 0) + lines.OPEN_BYTES * cost["n"]) // lines.TASK_BYTES)))
+    tasks = task_count(pieces.sparkSession, cost["bytes"], cost["n"])
     texts = pieces.repartition(tasks).mapInArrow(read, f"{FILE}, last BIGINT, at BIGINT, to BIGINT, size BIGINT, text BINARY")
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda p: p["text"].cast("string"))
     rows = texts.groupBy(*FILE_NAMES, F.col("last").isNotNull().alias("closed"), F.floor(F.col("at") / ROW_BYTES).alias("part")).agg(
