@@ -1,11 +1,17 @@
 import bz2
+import glob
 import io
 import lzma
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tracemill.operators import blocks as B
+from tracemill.operators import blocks as B, long_archives
+from tracemill.operators.codecs import Limits
+from tracemill.session import shared_dir
+from tracemill.sources.files import list_files
 
 
 def noise(n, seed=1):
@@ -56,3 +62,17 @@ def test_xz_blocks():
     assert b"".join(B.xz_block(raw, *f) for f in found) == data
     with pytest.raises(ValueError, match="damaged"):
         B.xz_blocks(io.BytesIO(packed[:-1]), len(packed) - 1)
+
+
+def test_short_runs_share_a_task(spark, tmp_path):
+    """What comes out of 40 streams is written in some hundred runs, by far fewer tasks."""
+    data = [noise(8_000, seed=k) for k in range(40)]
+    for k, d in enumerate(data):
+        (tmp_path / f"s{k}.{'xz' if k % 2 else 'bz2'}").write_bytes(many_blocks(d, 4_000) if k % 2 else bz2.compress(d, 1))
+    spill = shared_dir(spark, "spill")
+    listed = list_files(spark, str(tmp_path)).withColumn("depth", F.lit(0))
+    limits = Limits(row_bytes=1 << 30, spill=spill)
+    found = long_archives.unpack_long(listed, limits, min_bytes=1, run_bytes=1 << 9)
+    assert {r["name"]: bytes(r["content"]) for r in found.collect()} == {f"s{k}": d for k, d in enumerate(data)}
+    done = max(glob.glob(f"{os.path.dirname(spill)}/runs-done-*"), key=os.path.getmtime)
+    assert spark.read.parquet(done).count() > 60 and len(glob.glob(f"{done}/part-*")) <= 4

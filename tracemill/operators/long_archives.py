@@ -27,7 +27,7 @@ from tracemill.operators.ingest import (
 )
 from tracemill.schemas import UNPACKED
 from tracemill.session import spool
-from tracemill.sources.listing import JOINED, locate, open_uri
+from tracemill.sources.listing import JOINED, locate, open_uri, task_count
 
 # Bytes of packed members one task reads.
 TASK_BYTES = 256 << 20
@@ -290,14 +290,23 @@ def _bzip2_blocks(streams: DataFrame, run_bytes: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            marks = []
             for k, (uri, start, packed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "packed")))):
                 with open_uri(uri) as raw:
-                    found = find_marks(raw, start, min(packed, start + run_bytes))
-                own = batch.select(_FILE).take(pa.array([k] * len(found), pa.int64()))
-                own = own.append_column("begin", pa.array([p for p, _ in found], pa.int64()))
-                yield own.append_column("block", pa.array([b for _, b in found], pa.bool_()))
-
-    tasks = max(1, min(splits.count(), 10_000))
+                    marks += [(k, p, b) for p, b in find_marks(raw, start, min(packed, start + run_bytes))]
+                if len(marks) >= FLUSH_ROWS:
+                    yield to_batch(batch, marks)
+                    marks = []
+            if marks:
+                yield to_batch(batch, marks)
+
+    def to_batch(batch: pa.RecordBatch, marks: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        rows, begins, blocks = zip(*marks)
+        own = batch.select(_FILE).take(pa.array(rows, pa.int64())).append_column("begin", pa.array(begins, pa.int64()))
+        return own.append_column("block", pa.array(blocks, pa.bool_()))
+
+    n = splits.count()
+    tasks = task_count(splits.sparkSession, n * run_bytes, n, RUN_BYTES)
     found = splits.repartition(tasks).mapInArrow(find, f"{_FILE_SQL}, begin BIGINT, block BOOLEAN")
     order = Window.partitionBy("path").orderBy("begin")
     # Behind a block's own end come later ones, for marks that are there by chance.
@@ -317,7 +326,8 @@ def _xz_blocks(streams: DataFrame, run_bytes: int) -> DataFrame:
                 own = own.append_column("begin", pa.array([at * 8 for _, at, _, _ in blocks], pa.int64()))
                 yield own.append_column("ends", pa.array([[s, u, c] for s, _, u, c in blocks], pa.list_(pa.int64())))
 
-    return streams.select(*_FILE, "packed").mapInArrow(find, f"{_FILE_SQL}, begin BIGINT, ends ARRAY<BIGINT>")
+    tasks = task_count(streams.sparkSession, 0, streams.count())
+    return streams.select(*_FILE, "packed").repartition(tasks).mapInArrow(find, f"{_FILE_SQL}, begin BIGINT, ends ARRAY<BIGINT>")
 
 
 def _read_runs(limits: Limits):
@@ -395,9 +405,11 @@ def unpack_streams(streams: DataFrame, limits: Limits, run_bytes: int) -> DataFr
     # A run without the begin of a block has none; what a run packs is near its share of the file.
     length = streams.select("path", F.col("packed").alias("length"))
     runs = spool(runs.join(length, "path").withColumn("packed", F.lit(2 * run_bytes).cast("bigint")), "runs")
-    tasks = max(1, min(runs.count(), 100_000))
+    # Short runs share a task; a task's packed bytes are near those of one long run.
+    spark, n = streams.sparkSession, runs.count()
+    tasks = task_count(spark, n * run_bytes, n, RUN_BYTES)
     done = spool(runs.repartition(tasks).mapInArrow(_read_runs(limits), f"{_FILE_SQL}, run BIGINT, bytes BIGINT, warning STRING"), "runs-done")
-    files = done.groupBy(*_FILE).agg(F.sum("bytes").alias("bytes"), F.min("warning").alias("warning"))
+    files = done.repartition(task_count(spark, 0, streams.count()), "path").groupBy(*_FILE).agg(F.sum("bytes").alias("bytes"), F.min("warning").alias("warning"))
     return files.mapInArrow(_whole(limits), UNPACKED)
 
 
@@ -416,6 +428,8 @@ def unpack_long(
         "uri", "path", "name", member_folder().alias("folder"), paths.stream_member(F.col("name")).alias("stem"),
         F.col("depth").cast("int").alias("depth"), "mtime", "length",
     )
+    # Few bytes of a listing stand for many files to open.
+    files = files.repartition(task_count(listing.sparkSession, 0, listing.count()))
     found = files.mapInArrow(_index, INDEX)
     streams = None
     if limits.spill is not None:
