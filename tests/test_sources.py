@@ -179,3 +179,14 @@ def test_tasks_that_fill_one_folder_leave_whole_files_only(spark, tmp_path):
     rows = spark.range(0, 40, 1, 4).selectExpr("concat('/a/', id) AS path", "CAST(CAST(id AS STRING) AS BINARY) AS content")
     assert sinks.write_files(rows, str(tmp_path)) == 40
     assert [p.name for p in tmp_path.iterdir()] == ["a"] and len(list((tmp_path / "a").iterdir())) == 40
+
+
+def test_lines_of_short_files_share_a_batch(tmp_path):
+    for k in range(30):
+        (tmp_path / f"f{k}").write_bytes(b"a%d\nb\n\nc" % k)
+    rows = [{"uri": f"{tmp_path}/f{k}", "path": f"/f{k}", "name": f"f{k}", "length": 9, "mtime": None, "start": 0, "stop": 9, "first": k} for k in range(30)]
+    found = list(lines._cut(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert len(found) == 1
+    assert [(r["path"], r["seq"], r["line"]) for r in found[0].to_pylist()] == [
+        (f"/f{k}", k + n, line) for k in range(30) for n, line in enumerate([b"a%d" % k, b"b", b"", b"c"])
+    ]

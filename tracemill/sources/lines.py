@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tracemill.session import spool
 from tracemill.sources.files import list_files
-from tracemill.sources.listing import OPEN_BYTES, TASK_BYTES, open_uri
+from tracemill.sources.listing import open_uri, task_count
 
 # Bytes of a file one task reads, of one read, and of one batch of lines.
 SPLIT_BYTES = 64 << 20
@@ -79,24 +79,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def packed(file, first, lines):
-        own = [pa.repeat(file.column(c)[0], len(lines)) for c in FILE_COLUMNS]
-        columns = [*own, pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, [*FILE_COLUMNS, "seq", "line"])
+    def packed(batch, owners, numbers, lines):
+        files = batch.select(FILE_COLUMNS).take(pa.array(owners, pa.int64()))
+        return files.append_column("seq", pa.array(numbers, pa.int64())).append_column("line", pa.array(lines, pa.binary()))
 
     for batch in batches:
         rows = zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "stop", "first")))
+        # Lines of many short splits share a batch.
+        owners, numbers, lines, size = [], [], [], 0
         for k, (uri, start, stop, first) in enumerate(rows):
-            file, lines, size = batch.slice(k, 1), [], 0
             with open_uri(uri) as raw:
-                for line in split_lines(raw, start, stop):
+                for number, line in enumerate(split_lines(raw, start, stop), first):
                     if lines and (size + len(line) > FLUSH_BYTES or len(lines) >= FLUSH_ROWS):
-                        yield packed(file, first, lines)
-                        first, lines, size = first + len(lines), [], 0
+                        yield packed(batch, owners, numbers, lines)
+                        owners, numbers, lines, size = [], [], [], 0
+                    owners.append(k)
+                    numbers.append(number)
                     lines.append(line)
                     size += len(line)
-            if lines:
-                yield packed(file, first, lines)
+        if lines:
+            yield packed(batch, owners, numbers, lines)
 
 
 def read_lines(listed: DataFrame, split_bytes: int | None = None) -> DataFrame:
@@ -128,7 +130,7 @@ def read_lines(listed: DataFrame, split_bytes: int | None = None) -> DataFrame:
 def tasks_for(splits: DataFrame) -> int:
     """As many tasks as the splits' bytes and their number call for."""
     total = splits.agg(F.expr("sum(stop - start)").alias("bytes"), F.count("*").alias("n")).first()
-    return max(1, min(total["n"], -(-((total["bytes"] or 0) + OPEN_BYTES * total["n"]) // TASK_BYTES)))
+    return task_count(splits.sparkSession, total["bytes"], total["n"])
 
 
 def _cut_from_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
