@@ -2,6 +2,7 @@ import bz2
 import gzip
 import io
 import lzma
+import random
 import tarfile
 import zipfile
 
@@ -10,6 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tracemill.operators import codecs, ingest, long_archives
+from tracemill.plans import queries
 from tracemill.plans.pipeline import extract
 from tracemill.plans.uploads import ingest as upload
 from tracemill.sources.files import as_files
@@ -356,3 +358,31 @@ def test_documents_are_packed_in_runs_of_bounded_bytes():
     assert len(out) >= 3 and max(b.nbytes for b in out) <= 1.1 * queries.PACK_BYTES
     assert [c for b in out for c in b.column("content").to_pylist()] == [t.encode() for t in texts]
     assert list(queries._compress(iter([batch.slice(0, 0)])))[0:1] in ([], [batch.slice(0, 0)])
+
+
+@pytest.mark.parametrize("kind, pack", [("gzip", gzip.compress), ("bzip2", bz2.compress), ("xz", lzma.compress)])
+@pytest.mark.parametrize("size", [0, 1, 512, 513, 5000])
+def test_a_stream_is_read_once(kind, pack, size):
+    class Counted(io.BytesIO):
+        count = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            self.count += len(data)
+            return data
+
+        def readinto(self, into):
+            n = super().readinto(into)
+            self.count += n
+            return n
+
+    data = random.Random(size).randbytes(size)
+    raw = Counted(pack(data))
+    assert list(codecs.open_stream(kind, raw, len(raw.getvalue()), codecs.Limits())) == [("", data, None)]
+    assert raw.count <= len(raw.getvalue()) + 8
+
+
+def test_archives_are_packed_in_batches(spark):
+    """Not in a group each: there are as many archives as documents, divided by a fixed number."""
+    archives = queries._archives(spark, "/root/testdata/sf0.001", queries._zip, ".zip")
+    assert "InPandas" not in archives._jdf.queryExecution().optimizedPlan().toString()

@@ -27,7 +27,7 @@ STREAMS = ("gzip", "bzip2", "xz")
 ARCHIVES = ("zip", "tar")
 
 INPUT = ("path", "name", "source_path", "folder", "stem", "depth", "mtime", "kind", "content", "ancestors")
-FLUSH_BYTES = 32 << 20
+FLUSH_BYTES = 8 << 20
 FLUSH_ROWS = 2000
 
 

@@ -496,19 +496,34 @@ def decompress(spark, sf_dir):
     )
 
 
+def _contents(names: list[str], contents: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+
+
 def _archives(spark, sf_dir, build: Callable[[list[tuple[str, bytes]]], bytes], suffix: str) -> DataFrame:
     """Documents packed into archives, one per language, source and id range."""
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        members = [(f"{i}.txt", text.encode()) for i, text in zip(group["doc_id"], group["text"])]
-        return pd.DataFrame({"path": [group["path"].iloc[0]], "content": [build(members)]})
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, contents, size = [], [], 0
+            for path, docs in zip(batch.column("path"), batch.column("docs")):
+                names.append(path.as_py())
+                contents.append(build([(f"{d['doc_id']}.txt", (d["text"] or "").encode()) for d in docs.as_py()]))
+                size += len(contents[-1])
+                if size >= PACK_BYTES:
+                    yield _contents(names, contents)
+                    names, contents, size = [], [], 0
+            if names:
+                yield _contents(names, contents)
 
     volume = F.floor(F.col("doc_id") / ARCHIVE_IDS).cast("string")
     stem = F.concat_ws("_", "lang", "source", volume)
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.concat(F.lit("/uploads/"), stem, F.lit(suffix)).alias("path")
     )
-    return docs.groupBy("path").applyInPandas(pack, "path STRING, content BINARY").select(
+    # Many small archives come in one batch; a group each would cost more than its packing.
+    members = docs.groupBy("path").agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
+    return members.mapInArrow(pack, "path STRING, content BINARY").select(
         "path", paths.basename(F.col("path")).alias("name"), F.lit(0).alias("depth"),
         F.lit(None).cast("timestamp_ntz").alias("mtime"), "content",
         ingest.detect_kind(F.col("content")).alias("kind"),
