@@ -191,3 +191,11 @@ def test_texts_only_akin_are_hardly_compared(docs, monkeypatch):
     got = {r.doc_id: r.class_id for r in M.near_duplicates(docs(list(enumerate(texts)))).collect()}
     compared = sum(p.count() for p in pairs[1:])
     assert len(set(got.values())) == len(texts) and pairs[0].count() >= 10 and compared <= 20
+
+
+def test_cells_are_held_once_a_text(spark):
+    """However many buckets it is in."""
+    rows = spark.createDataFrame([(b, n) for b in range(10) for n in (1, 2)], "bucket long, node long")
+    texts = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g"), (3, "x")], "node long, text string")
+    found = M._cells_of(rows, texts, np.ones(M.IDF_BUCKETS, np.float32))
+    assert sorted(r.node for r in found.collect()) == [1, 2]

@@ -238,8 +238,8 @@ def cells(shingles: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.bincount(cell, shingles[1], CELLS) * (1 + 1e-6)
 
 
-def _with_cells(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """`rows` with the cells of each node's text, and their sums."""
+def _cells_of(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """The cells of the text of each node in `rows`, and their sums: a row a node, in however many buckets it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(idf)
@@ -250,8 +250,7 @@ def _with_cells(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["node", "cells", "sums"])
 
     wanted = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
-    found = spool(wanted.mapInArrow(run, "node long, cells array<float>, sums array<float>"), "cells")
-    return rows.join(found, "node")
+    return spool(wanted.mapInArrow(run, "node long, cells array<float>, sums array<float>"), "cells")
 
 
 def _may_share(threshold: float) -> Column:
@@ -321,8 +320,10 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     rows, slots = _unsettled(spool(rows.filter(~F.col("done")).drop("done"), "members")), 1
     if rows.isEmpty():
         return labels
-    rows = spool(_with_cells(rows, texts, idf), "members")
-    columns = ("node", "weight", "class", "d", "sums", "cells")
+    # Met by the rows only where pairs are looked through: written with each of them, they are most of what a round writes.
+    fine = _cells_of(rows, texts, idf)
+    of_pivot = fine.select(*[F.col(c).alias(f"p_{c}") for c in ("node", "cells", "sums")])
+    columns = ("node", "weight", "class", "d")
     while True:
         close = F.coalesce(F.col("d") <= apart, F.lit(False)).alias("close")
         slot = F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")
@@ -333,7 +334,7 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
             .select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in columns]),
             "pivots",
         )
-        met = rows.join(pivots, "bucket").filter(
+        met = rows.join(fine, "node").join(pivots.join(of_pivot, "p_node"), "bucket").filter(
             (F.col("class") != F.col("p_class"))
             & alike
             & F.coalesce(F.abs(F.col("d") - F.col("p_d")) <= apart, F.lit(True))
