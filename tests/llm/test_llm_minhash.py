@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_rows import docs, empty, odd  # noqa: F401
@@ -199,3 +200,22 @@ def test_cells_are_held_once_a_text(spark):
     texts = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g"), (3, "x")], "node long, text string")
     found = M._cells_of(rows, texts, np.ones(M.IDF_BUCKETS, np.float32))
     assert sorted(r.node for r in found.collect()) == [1, 2]
+
+
+def test_packed_cells_bound_what_texts_share():
+    shingles = M.Shingles(np.full(M.IDF_BUCKETS, 0.4, np.float32))
+    whole = [M.cells(shingles.of(t)) for t in [*_akin(12), "a b c d e " * 500, "a b", ""]]
+    found = M.unpacked(pa.array([M.packed(c) for c in whole], pa.binary()))
+    assert all((f >= c).all() and (f <= c + c.max() / 200 + 1e-9).all() for f, c in zip(found.astype(float), whole))
+
+
+def test_rounds_end_when_few_pairs_are_similar(docs, monkeypatch):
+    """The rest of a bucket meets at once, in chunks, and links between its members are found."""
+    pivots, spool = [], M.spool
+    monkeypatch.setattr(M, "spool", lambda df, label: pivots.append(label) or spool(df, label))
+    monkeypatch.setattr(M, "CHUNK", 8)
+    texts = _akin(60)
+    texts += [" ".join([*t.split()[:-1], "other"]) for t in texts[30:50]]
+    df = docs(list(enumerate(texts)))
+    assert classes_of(df) == brute_classes(list(enumerate(texts)), M.fit_idf(df))
+    assert pivots.count("pivots") <= 3

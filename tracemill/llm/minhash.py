@@ -10,6 +10,7 @@ node from the start, so copies cost a row each and no comparison.
 import math
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -34,10 +35,14 @@ CELLS, CELL_SUMS = 512, 4
 IDF_BUCKETS = 1 << 18
 # Pivots a bucket may have at a time of either sort; they begin with one and become four times as many by round.
 PIVOTS = 512
+# Rounds of pivots go on while such a share of the pairs compared is similar; then all that is left is looked through at once.
+FRUITFUL = 0.5
+# Members of a bucket that are held against as many others at a time, and pairs of them whose cells are added up at a time.
+CHUNK, CHUNK_PAIRS = 256, 1 << 12
 # Words whose hash, and texts whose shingles, one task keeps at a time.
 CACHE_WORDS, CACHE_TEXTS = 300_000, 256
 # Shingles sampled at a time, which bounds the memory for a long text and keeps it near the processor.
-BLOCK = 1 << 11
+BLOCK = 1 << 9
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -74,7 +79,10 @@ class Words(dict):
         if len(self) > CACHE_WORDS:
             self.clear()
         tokens = text.split()
-        hashes = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        if len(tokens) < 2:
+            hashes = np.array([self[token] for token in tokens], np.uint64)
+        else:
+            hashes = np.fromiter(itemgetter(*tokens)(self), np.uint64, len(tokens))
         return hashes[hashes != 0]
 
 
@@ -143,18 +151,24 @@ class Sampler:
 
     def block(self, hashes: np.ndarray, weights: np.ndarray):
         z = mix(hashes[None, :] ^ self.seeds)
+        # Either half of 32 bits is a sample's; arrays are worked on in place, as making them takes the time.
+        halves = np.concatenate((z.astype(np.uint32), (z >> np.uint64(32)).astype(np.uint32)))
         log_weights = np.log(weights).astype(np.float32)
-        rows = np.arange(len(z))
-        best, drawn = [], []
-        for half in (z, z >> np.uint64(32)):
-            r = self.r.take((half & np.uint64(0xFFF)).view(np.int64))
-            b = ((half >> np.uint64(24)) & np.uint64(0xFF)).astype(np.float32) * np.float32(1 / 256)
-            t = np.floor(log_weights / r + b)
-            a = self.log_c.take((half >> np.uint64(12) & np.uint64(0xFFF)).view(np.int64)) - r * (t - b + 1)
-            least = a.argmin(axis=1)
-            best.append(a[rows, least])
-            drawn.append(mix(hashes[least] + t[rows, least].astype(np.int64).astype(np.uint64) * _STEP))
-        return np.concatenate(best), np.concatenate(drawn)
+        r = self.r.take(halves & np.uint32(0xFFF), mode="clip")
+        a = self.log_c.take((halves >> np.uint32(12)) & np.uint32(0xFFF), mode="clip")
+        halves >>= np.uint32(24)
+        b = halves.astype(np.float32)
+        b *= np.float32(1 / 256)
+        t = log_weights / r
+        t += b
+        np.floor(t, out=t)
+        # a = ln c - r (t - b + 1)
+        np.subtract(t, b, out=b)
+        b += np.float32(1)
+        b *= r
+        a -= b
+        least, rows = a.argmin(axis=1), np.arange(len(a))
+        return a[rows, least], mix(hashes[least] + t[rows, least].astype(np.int64).astype(np.uint64) * _STEP)
 
     def bands(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One key a band; none without shingles."""
@@ -238,6 +252,19 @@ def cells(shingles: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.bincount(cell, shingles[1], CELLS) * (1 + 1e-6)
 
 
+def packed(cells: np.ndarray) -> bytes:
+    """Cells in a byte each, behind the weight of a unit; rounded up."""
+    unit = cells.max() / 255 * (1 + 1e-9) or 1.0
+    return np.float64(unit).tobytes() + np.minimum(np.ceil(cells / unit), 255).astype(np.uint8).tobytes()
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    """A row of cells each, none less than it was."""
+    found = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, CELLS + 8)
+    unit = np.ascontiguousarray(found[:, :8]).view(np.float64)
+    return (found[:, 8:] * (unit * (1 + 1e-6))).astype(np.float32)
+
+
 def _cells_of(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """The cells of the text of each node in `rows`, and their sums: a row a node, in however many buckets it is."""
 
@@ -247,10 +274,11 @@ def _cells_of(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
             fine = [cells(shingles.of(text)) for text in batch.column(1).to_pylist()]
             sums = [c.reshape(-1, CELL_SUMS).sum(axis=1) for c in fine]
             lists = [pa.array([c.astype(np.float32) for c in x], pa.list_(pa.float32())) for x in (fine, sums)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["node", "cells", "sums"])
+            columns = [batch.column(0), *lists, pa.array([packed(c) for c in fine], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "cells", "sums", "packed"])
 
     wanted = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
-    return spool(wanted.mapInArrow(run, "node long, cells array<float>, sums array<float>"), "cells")
+    return spool(wanted.mapInArrow(run, "node long, cells array<float>, sums array<float>, packed binary"), "cells")
 
 
 def _may_share(threshold: float) -> Column:
@@ -264,6 +292,49 @@ def _may_share(threshold: float) -> Column:
     return enough("sums") & enough("cells")
 
 
+def _unproven(rows: DataFrame, fine: DataFrame, threshold: float) -> DataFrame:
+    """(node, pivot) of all members of a bucket that are in different classes and that no bound proves apart.
+
+    A bucket is cut into chunks by hash, and every two of its chunks meet in a
+    group of their own, so a task holds two chunks whatever the bucket has.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        column = {c: table.column(c).combine_chunks() for c in table.column_names}
+        node, weight, label, d = (column[c].to_numpy(zero_copy_only=False) for c in ("node", "weight", "class", "d"))
+        at, low, high = (column[c].to_numpy() for c in ("chunk", "low", "high"))
+        a, b = np.flatnonzero(at == low), np.flatnonzero(at == high)
+        w, v = weight[a][:, None], weight[b][None, :]
+        may = (label[a][:, None] != label[b][None, :]) & (np.minimum(w, v) >= (threshold - 1e-9) * np.maximum(w, v))
+        # Without a distance to the bucket's first pivot it is NaN.
+        may &= ~(np.abs(d[a][:, None] - d[b][None, :]) > 1 - threshold + 1e-9)
+        if low[0] == high[0]:
+            may = np.triu(may, 1)
+        i, j = np.nonzero(may)
+        i, j, kept = a[i], b[j], []
+        cells = unpacked(column["packed"])
+        sums = cells.reshape(len(cells), -1, CELL_SUMS).sum(axis=2)
+        # Sums of 32 bits may be less by their rounding.
+        needed = (threshold - 1e-9) / (1 + threshold) * (1 - 1e-4) * (weight[i] + weight[j])
+        for k in range(0, len(i), CHUNK_PAIRS):
+            found = np.arange(k, min(k + CHUNK_PAIRS, len(i)))
+            for of in (sums, cells):
+                found = found[np.minimum(of[i[found]], of[j[found]]).sum(axis=1) >= needed[found]]
+            kept.append(found)
+        found = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
+        x, y = node[i[found]], node[j[found]]
+        return pa.table({"node": np.maximum(x, y), "pivot": np.minimum(x, y)})
+
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")
+    met = rows.join(sizes, "bucket").select("*", chunk).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    met = met.select(
+        "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+        "chunk", "node", "weight", "class", "d",
+    ).join(fine.select("node", "packed"), "node")
+    return met.groupBy("bucket", "low", "high").applyInArrow(run, "node long, pivot long")
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """(node, pivot, sim) of the distinct (node, pivot)."""
 
@@ -298,7 +369,9 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     In rounds, each bucket sends some members as pivots, which are compared
     with its other members and then leave. Half of them are close to the first
     pivot and meet only what isn't in their class yet, half are not; there are
-    more in each round, so a dense group settles before many are compared.
+    more in each round, so a dense group settles before many are compared. Once
+    few of the pairs compared are similar, no dense group is left, and all
+    members that are still there meet in one last round.
     A pair is passed over only if it can't matter: both are in one class
     already, their weights differ too much, the bucket's first pivot proves them
     apart (1 - similarity is a metric), or what they weigh in cells of shingles
@@ -341,15 +414,20 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
             & _may_share(threshold)
         )
         pairs = met.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot"))
-        new = _edges(_similar(pairs, texts, idf), threshold)
+        compared = _similar(pairs, texts, idf)
+        new = _edges(compared, threshold)
+        tally = compared.agg(F.count("*").alias("n"), F.count_if(F.col("sim") >= threshold).alias("similar")).first()
         rows = rows.join(pivots.select("bucket", F.col("p_node").alias("node")), ["bucket", "node"], "left_anti")
-        if not new.isEmpty():
+        if tally["similar"]:
             edges = edges.union(new)
             labels = classes(edges)
             rows = rows.join(labels, "node", "left").withColumn("class", F.coalesce("label", "class")).drop("label")
         rows, slots = _unsettled(spool(rows, "members")), min(4 * slots, PIVOTS)
         if rows.isEmpty():
             return labels
+        if tally["similar"] <= FRUITFUL * tally["n"]:
+            last = _edges(_similar(_unproven(rows, fine, threshold), texts, idf), threshold)
+            return labels if last.isEmpty() else classes(edges.union(last))
 
 
 def near_duplicates(
