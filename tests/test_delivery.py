@@ -278,3 +278,13 @@ def test_uploads_to_landing_to_store(spark, tmp_path):
     assert [e for e in found["long.log"] if e[0] == "filestat"] == [("filestat", 0, {"size": str((up / "long.log").stat().st_size)})]
     counted = dict(map(tuple, sinks.read_parser_counts(spark, run.store).collect()))
     assert counted["filestat"] == 6
+
+
+def test_store_is_written_without_sorting_by_container(spark, results, make_files, tmp_path, monkeypatch):
+    key, seen, put = "spark.sql.maxConcurrentOutputFileWriters", [], sinks._put
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(sinks, "_put", lambda *a: seen.append(int(spark.conf.get(key, "0"))) or put(*a))
+    sinks.write_containers(make_files(FILES), results, str(tmp_path / "store"), "run")
+    assert len(seen) == 5 and min(seen) >= 4
+    assert spark.conf.get(key, None) == before
+    assert sinks.read_container(spark, str(tmp_path / "store"), "event_data").count() == EVENTS

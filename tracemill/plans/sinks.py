@@ -11,6 +11,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
@@ -137,6 +138,25 @@ PLANNED_VERSIONS = 1000
 COMMIT = "session_id STRING, version STRING, number BIGINT"
 
 
+# Files a task may have open when it writes to folders by column; beyond them it sorts its rows after all.
+OPEN_FILES = 8
+
+
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Tasks keep a file open for each container and don't sort all their rows by it."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(max(OPEN_FILES, int(before or 0))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _put(df: DataFrame, store: str, container: str, session_id: str, version: str, *extra: str) -> None:
     """Add rows of a version; no other attempt writes there."""
     tagged = df.withColumns({"session_id": F.lit(session_id), "version": F.lit(version)})
@@ -244,11 +264,12 @@ def stage_containers(
     """
     spark, version = files.sparkSession, uuid.uuid4().hex
     put = lambda df, container, *extra: _put(df, store, container, session_id, version, *extra)
-    _together(
-        spark,
-        lambda: put(results, "results", "container"),
-        lambda: put(event_sources(files, storage_kind), "event_source"),
-    )
+    with _unsorted(spark):
+        _together(
+            spark,
+            lambda: put(results, "results", "container"),
+            lambda: put(event_sources(files, storage_kind), "event_source"),
+        )
     mine = (F.col("session_id") == session_id) & (F.col("version") == version)
     written = _rows(spark, store, "results").where(mine).drop("version")
     event_data = _routed(written, EVENT_DATA)
@@ -261,7 +282,8 @@ def stage_containers(
     ]
     if session is not None:
         writes.append(lambda: put(session(written).drop("session_id"), "session"))
-    _together(spark, *writes)
+    with _unsorted(spark):
+        _together(spark, *writes)
     return version
 
 
