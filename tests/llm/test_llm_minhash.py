@@ -219,3 +219,20 @@ def test_rounds_end_when_few_pairs_are_similar(docs, monkeypatch):
     df = docs(list(enumerate(texts)))
     assert classes_of(df) == brute_classes(list(enumerate(texts)), M.fit_idf(df))
     assert pivots.count("pivots") <= 3
+
+
+def test_what_is_left_of_a_bucket_meets_only_where_it_may_be_similar(spark, monkeypatch):
+    """Texts that are only akin give no rows by the square of their number, and no link between the others is lost."""
+    made, spool = {}, M.spool
+    monkeypatch.setattr(M, "spool", lambda df, label: made.update({label: spool(df, label)}) or made[label])
+    texts = _akin(300)
+    texts += [" ".join([*t.split()[:-1], "other"]) for t in texts[:20]] + ["a b"]
+    idf = np.full(M.IDF_BUCKETS, 0.4, np.float32)
+    sets = [M.Shingles(idf).of(t) for t in texts]
+    rows = [(b, n, float(sets[n][1].sum()), n) for b in range(6) for n in range(len(texts))]
+    rows = spark.createDataFrame(rows, "bucket long, node long, weight double, class long")
+    stored = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    pairs = M._unproven(rows, stored, M._cells_of(rows, stored, idf), idf, M.SIMILARITY)
+    found = {(r.node, r.pivot) for r in pairs.collect()}
+    similar = {(j, i) for i, j in itertools.combinations(range(len(texts)), 2) if M.similarity(sets[i], sets[j]) >= M.SIMILARITY}
+    assert len(similar) >= 20 and similar <= found and made["met"].count() <= 2 * len(texts)

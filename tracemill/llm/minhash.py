@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tracemill.llm.common import free_name, pieces, table, text_of
 from tracemill.llm.graph import classes
@@ -35,10 +35,10 @@ CELLS, CELL_SUMS = 512, 4
 IDF_BUCKETS = 1 << 18
 # Pivots a bucket may have at a time of either sort; they begin with one and become four times as many by round.
 PIVOTS = 512
-# Rounds of pivots go on while such a share of the pairs compared is similar; then all that is left is looked through at once.
+# Rounds of pivots go on while such a share of the pairs compared is similar; then what is left meets at its rarest shingles.
 FRUITFUL = 0.5
-# Members of a bucket that are held against as many others at a time, and pairs of them whose cells are added up at a time.
-CHUNK, CHUNK_PAIRS = 256, 1 << 12
+# Pairs whose cells are added up at a time.
+CHUNK = 256
 # Words whose hash, and texts whose shingles, one task keeps at a time.
 CACHE_WORDS, CACHE_TEXTS = 300_000, 256
 # Shingles sampled at a time, which bounds the memory for a long text and keeps it near the processor.
@@ -292,47 +292,62 @@ def _may_share(threshold: float) -> Column:
     return enough("sums") & enough("cells")
 
 
-def _unproven(rows: DataFrame, fine: DataFrame, threshold: float) -> DataFrame:
-    """(node, pivot) of all members of a bucket that are in different classes and that no bound proves apart.
+def _shingles_of(rows: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """(shingle, part, node, class, weight): a row a shingle of the text of each node in `rows`, part being its weight there."""
 
-    A bucket is cut into chunks by hash, and every two of its chunks meet in a
-    group of their own, so a task holds two chunks whatever the bucket has.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(idf)
+        for batch in pieces(batches):
+            sets = [shingles.of(text) for text in batch.column(3).to_pylist()]
+            at = np.repeat(np.arange(len(sets)), [len(hashes) for hashes, _ in sets])
+            hashes, parts = (np.concatenate([np.empty(0, kind), *x]) for kind, x in zip((np.uint64, np.float64), zip(*sets)))
+            columns = [pa.array(hashes.view(np.int64)), pa.array(parts), *[batch.column(k).take(pa.array(at)) for k in range(3)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "part", "node", "class", "weight"])
+
+    wanted = rows.groupBy("node").agg(F.first("class").alias("class"), F.first("weight").alias("weight"))
+    wanted = texts.join(wanted, "node").select("node", "class", "weight", "text")
+    return spool(wanted.mapInArrow(run, "shingle long, part double, node long, class long, weight double"), "shingles")
+
+
+def _unproven(rows: DataFrame, texts: DataFrame, fine: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """(node, pivot) of the members in different classes that no bound proves apart.
+
+    A text can share with another class only those shingles that one of its
+    texts has. They are ordered, the rarest first; two similar texts share so
+    much that the first one they share has nearly all of either's behind it,
+    and nearest to all in the lighter. So texts meet at their rarest shingles
+    only, and a text with much of its own meets none.
     """
+    shingles = _shingles_of(rows, texts, idf)
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    shared = shingles.join(held.filter("low != high").select("shingle", "n"), "shingle")
+    # What a text can share from a shingle on.
+    onward = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
+    shared = shared.withColumn("rest", F.sum("part").over(onward) * (1 + 1e-9))
+    long = spool(shared.filter(F.col("rest") >= threshold * F.col("weight")).drop("n", "part"), "rarest")
+    light = long.filter(F.col("rest") >= 2 * threshold / (1 + threshold) * F.col("weight"))
+    heavy = long.select("shingle", *[F.col(c).alias(f"p_{c}") for c in ("node", "class", "weight", "rest")])
+    needed = threshold / (1 + threshold) * (F.col("weight") + F.col("p_weight"))
+    met = light.join(heavy, "shingle").filter(
+        (F.col("class") != F.col("p_class"))
+        & (F.struct("weight", "node") < F.struct("p_weight", "p_node"))
+        & _may_match(threshold)
+        & (F.least("rest", "p_rest") >= needed)
+    )
+
+    @F.arrow_udf("boolean")
+    def may_share(needed: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
+        enough = [np.empty(0, bool)]
+        for k in range(0, len(a), CHUNK):
+            least = np.minimum(*(unpacked(x.slice(k, CHUNK)) for x in (a, b))).sum(axis=1)
+            # Sums of 32 bits may be less by their rounding.
+            enough.append(least >= needed.slice(k, CHUNK).to_numpy() * (1 - 1e-4))
+        return pa.array(np.concatenate(enough))
 
-    def run(table: pa.Table) -> pa.Table:
-        column = {c: table.column(c).combine_chunks() for c in table.column_names}
-        node, weight, label, d = (column[c].to_numpy(zero_copy_only=False) for c in ("node", "weight", "class", "d"))
-        at, low, high = (column[c].to_numpy() for c in ("chunk", "low", "high"))
-        a, b = np.flatnonzero(at == low), np.flatnonzero(at == high)
-        w, v = weight[a][:, None], weight[b][None, :]
-        may = (label[a][:, None] != label[b][None, :]) & (np.minimum(w, v) >= (threshold - 1e-9) * np.maximum(w, v))
-        # Without a distance to the bucket's first pivot it is NaN.
-        may &= ~(np.abs(d[a][:, None] - d[b][None, :]) > 1 - threshold + 1e-9)
-        if low[0] == high[0]:
-            may = np.triu(may, 1)
-        i, j = np.nonzero(may)
-        i, j, kept = a[i], b[j], []
-        cells = unpacked(column["packed"])
-        sums = cells.reshape(len(cells), -1, CELL_SUMS).sum(axis=2)
-        # Sums of 32 bits may be less by their rounding.
-        needed = (threshold - 1e-9) / (1 + threshold) * (1 - 1e-4) * (weight[i] + weight[j])
-        for k in range(0, len(i), CHUNK_PAIRS):
-            found = np.arange(k, min(k + CHUNK_PAIRS, len(i)))
-            for of in (sums, cells):
-                found = found[np.minimum(of[i[found]], of[j[found]]).sum(axis=1) >= needed[found]]
-            kept.append(found)
-        found = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
-        x, y = node[i[found]], node[j[found]]
-        return pa.table({"node": np.maximum(x, y), "pivot": np.minimum(x, y)})
-
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")
-    met = rows.join(sizes, "bucket").select("*", chunk).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    met = met.select(
-        "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-        "chunk", "node", "weight", "class", "d",
-    ).join(fine.select("node", "packed"), "node")
-    return met.groupBy("bucket", "low", "high").applyInArrow(run, "node long, pivot long")
+    met = spool(met.select("node", "p_node", needed.alias("needed")).distinct(), "met")
+    of_heavy = fine.select(F.col("node").alias("p_node"), F.col("packed").alias("p_packed"))
+    met = met.join(of_heavy, "p_node").join(fine.select("node", "packed"), "node").filter(may_share("needed", "packed", "p_packed"))
+    return met.select(F.greatest("node", "p_node").alias("node"), F.least("node", "p_node").alias("pivot"))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -371,7 +386,7 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
     pivot and meet only what isn't in their class yet, half are not; there are
     more in each round, so a dense group settles before many are compared. Once
     few of the pairs compared are similar, no dense group is left, and all
-    members that are still there meet in one last round.
+    members that are still there meet at their rarest shingles.
     A pair is passed over only if it can't matter: both are in one class
     already, their weights differ too much, the bucket's first pivot proves them
     apart (1 - similarity is a metric), or what they weigh in cells of shingles
@@ -426,7 +441,7 @@ def links(members: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: floa
         if rows.isEmpty():
             return labels
         if tally["similar"] <= FRUITFUL * tally["n"]:
-            last = _edges(_similar(_unproven(rows, fine, threshold), texts, idf), threshold)
+            last = _edges(_similar(_unproven(rows, texts, fine, idf, threshold), texts, idf), threshold)
             return labels if last.isEmpty() else classes(edges.union(last))
 
 
