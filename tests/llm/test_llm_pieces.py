@@ -1,8 +1,10 @@
 import itertools
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -127,3 +129,18 @@ def test_beginnings_leave_no_piece_out():
         table[:] = True
     everything = vocabulary.edges(chars, len(chars) - np.arange(len(chars)))
     assert all((a == b).all() for a, b in zip(found, everything))
+
+
+def test_memory_is_bounded_by_the_texts_sampled_at_a_time():
+    """31 MB, the vocabulary included; 67 MB when a megabyte of text was sampled at a time."""
+    rng = np.random.default_rng(3)
+    known = ["".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(8000)]
+    texts = [" ".join(known[i] for i in rng.integers(0, len(known), 250)) for _ in range(600)]
+    keys = [str(i) for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(keys), pa.array(texts)], names=["doc_id", "key", "text"])
+    tracemalloc.start()
+    kept = list(P.encoded(iter([batch]), MODEL))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in kept) == len(texts) and all(all(b.column("lossless").to_pylist()) for b in kept)
+    assert len(kept) >= 4 and peak < 45e6

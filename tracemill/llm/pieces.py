@@ -25,7 +25,9 @@ SHARPNESS = 1.0
 # Pieces the model marks as never to be formed have scores below this.
 UNUSED_SCORE = -1e8
 # Units whose lattice one task keeps at a time.
-CACHE_UNITS = 200_000
+CACHE_UNITS = 100_000
+# Bytes of texts sampled at a time: arrays of a number a step of each unit take some 100 times as much.
+TEXT_BYTES = 1 << 18
 # Random numbers of a step are below this.
 DRAWS = 1 << 32
 
@@ -311,6 +313,21 @@ class Sampler:
         return ids, np.diff(upto[np.concatenate([[0], np.cumsum(n_units)])])
 
 
+def encoded(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.RecordBatch]:
+    """What `encode` gives for batches of doc_id, key and text."""
+    vocabulary = Vocabulary(model_file)
+    sampler = Sampler(vocabulary)
+    for batch in cut(batches, TEXT_BYTES):
+        texts = batch.column("text").to_pylist()
+        ids, counts = sampler.sample(batch.column("key").to_pylist(), texts)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        same = vocabulary.lossless(ids, counts, texts)
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(counts), lists, pa.array(same)], names=["doc_id", "n_pieces", "ids", "lossless"]
+        )
+
+
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_pieces, ids, and whether decoding them gave the text back.
 
@@ -320,22 +337,9 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model_file)
-        sampler = Sampler(vocabulary)
-        for batch in cut(batches):
-            texts = batch.column("text").to_pylist()
-            ids, counts = sampler.sample(batch.column("key").to_pylist(), texts)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            same = vocabulary.lossless(ids, counts, texts)
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts), lists, pa.array(same)], names=["doc_id", "n_pieces", "ids", "lossless"]
-            )
-
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids array<int>, lossless boolean")
+    return rows.mapInArrow(lambda batches: encoded(batches, model_file), f"doc_id {kind}, n_pieces long, ids array<int>, lossless boolean")
 
 
 def decode(rows: DataFrame, model_file: str) -> DataFrame:
