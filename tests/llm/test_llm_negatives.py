@@ -6,6 +6,7 @@ import numpy as np
 
 import __spark_entry__ as entry
 from tracemill.llm import negatives as N
+from tracemill.session import spool
 
 SCHEMA = "vec_id LONG, embedding ARRAY<DOUBLE>, label INT, block STRING, slot STRING, id INT"
 
@@ -103,3 +104,33 @@ def test_query_against_sql(spark):
     want = sorted(query.fetchall())
     got = entry.queries()["op12_hard_negatives"](spark, base)
     assert got.columns == names and found(got) == want and len(want) > 200
+
+
+def test_anchors_are_not_sent_once_for_each_block(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 8)
+    limit = "spark.sql.maxBroadcastTableSize"
+    was = spark.conf.get(limit)
+
+    def limited(df, label):
+        # Where anchors meet blocks: 120 anchors of 512 bytes and their windows, which would be 8 MB with each of 75 blocks.
+        spark.conf.set(limit, 1 << 20 if label == "found" else was)
+        try:
+            return spool(df, label)
+        finally:
+            spark.conf.set(limit, was)
+
+    monkeypatch.setattr(N, "spool", limited)
+    rows = rows_of(600, 64, 2)
+    assert found(N.hard_negatives(frame(spark, rows), "id % 5 = 0")) == brute(rows, lambda i: i % 5 == 0) != []
+
+
+def test_waves_of_anchors_and_bests_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(N, "BLOCK_ANCHORS", 9)
+    monkeypatch.setattr(N, "TILE", 4)
+    monkeypatch.setattr(N, "WAVE_BYTES", 4 << 10)
+    labels = []
+    monkeypatch.setattr(N, "spool", lambda df, label: labels.append(label) or spool(df, label))
+    rows = rows_of(200, 12, 4)
+    assert found(N.hard_negatives(frame(spark, rows), "id % 5 = 0")) == brute(rows, lambda i: i % 5 == 0) != []
+    assert labels.count("found") > labels.count("packs") + 2

@@ -13,8 +13,15 @@ and so their exact score.
 Thresholds start high and are lowered in rounds, for the anchors only that have
 a window yet to fill; at the last level the bound of the window itself holds, so
 what is returned is exact.
+
+Blocks stay where they are written and are read once for each wave of anchors,
+which comes to them as a broadcast of bounded size. A task keeps the best rows
+of each window over all its blocks; the last of them is the window's threshold
+in the blocks that follow, and only what is left at the end is shuffled.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,21 +31,32 @@ from tracemill.llm.common import table
 from tracemill.llm.vectors import matrix, packed, take_part, unpacked
 from tracemill.session import spool
 
-# Rows of a block, anchors searched at a time, dimensions of one group of lists.
-BLOCK_ROWS, BLOCK_ANCHORS, GROUP = 4096, 512, 8
+# Rows of a block, anchors of a pack, anchors searched at a time, dimensions of one group of lists.
+BLOCK_ROWS, BLOCK_ANCHORS, TILE, GROUP = 4096, 2048, 256, 8
+# Bytes of anchors, their windows and what is found for them that go through the blocks at a time.
+WAVE_BYTES = 16 << 20
 # Thresholds by round: of the anchor's norm times the greatest norm, then none; of the window's upper end.
 POSITIVE_LEVELS, NEGATIVE_LEVELS = (0.6, 0.3, None), (0.95, 0.88, None)
 
-BLOCK = "block INT, dim INT, ids BINARY, labels BINARY, vecs BINARY"
+BLOCK = "block INT, dim INT, kind STRING, ids BINARY, labels BINARY, vecs BINARY"
 SCORED = "anchor_id LONG, slot LONG, id LONG, score LONG"
 
 
-def scaled(vecs: np.ndarray, scale: int) -> np.ndarray:
-    """Components as floor(scale * x): doubles where scores stay exact in them, else Python integers."""
-    whole = np.floor(vecs * scale)
-    most = np.abs(whole).max(initial=0)
-    if most * most * max(1, vecs.shape[1]) < 1 << 52:
-        return whole
+def exact_kind(whole: np.ndarray) -> type:
+    """What inner products of such rows are exact in: floats, doubles, else Python integers."""
+    most = float(np.abs(whole).max(initial=0))
+    reach = most * most * max(1, whole.shape[1])
+    return np.float32 if reach < 1 << 24 else np.float64 if reach < 1 << 52 else object
+
+
+def wider(a: type, b: type) -> type:
+    return max(a, b, key=(np.float32, np.float64, object).index)
+
+
+def typed(whole: np.ndarray, kind: type) -> np.ndarray:
+    """Whole numbers in the given kind."""
+    if kind is not object:
+        return whole.astype(kind)
     return np.array([[int(x) for x in row] for row in whole], dtype=object).reshape(whole.shape)
 
 
@@ -49,95 +67,170 @@ def as_longs(scores: np.ndarray) -> np.ndarray:
     return np.array([min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in scores], dtype=np.int64)
 
 
+def group_cuts(dim: int) -> list[int]:
+    return list(range(0, dim, GROUP)) + [dim]
+
+
+def suffix_norms(vecs: np.ndarray) -> np.ndarray:
+    """Column g: norms of what follows the first g groups of dimensions."""
+    squares = vecs.astype(np.float64) ** 2
+    groups = np.add.reduceat(squares, group_cuts(vecs.shape[1])[:-1], axis=1)
+    tail = np.concatenate([np.cumsum(groups[:, ::-1], axis=1)[:, ::-1], np.zeros((len(vecs), 1))], axis=1)
+    return np.sqrt(tail) * (1 + 1e-12)
+
+
 class Postings:
     """The inverted index of a block for one threshold a row has to reach with some anchor."""
 
-    def __init__(self, vecs: np.ndarray, greatest: float, threshold: float):
-        """`vecs` with dimensions in their order; `greatest` is the largest anchor norm."""
-        n, dim = vecs.shape
-        squares = (vecs.astype(np.float64)) ** 2
-        # rest[:, g]: norm of what follows the first g groups of dimensions.
-        cuts = list(range(0, dim, GROUP)) + [dim]
-        tail = np.concatenate([np.cumsum(squares[:, ::-1], axis=1)[:, ::-1], np.zeros((n, 1))], axis=1)
-        self.cuts, self.rest = cuts, np.sqrt(tail[:, cuts]) * (1 + 1e-12)
+    def __init__(self, vecs: np.ndarray, greatest: float, threshold: float, rest: np.ndarray | None = None):
+        """`vecs` with dimensions in their order; `greatest` is the largest anchor norm, `rest` the suffix norms of `vecs`."""
+        self.vecs, self.cuts = vecs, group_cuts(vecs.shape[1])
+        self.rest = suffix_norms(vecs) if rest is None else rest
         # Groups a row is entered in: the last ones go while they alone can't reach the threshold.
-        self.entered = (self.rest * greatest >= threshold).sum(axis=1) if threshold > 0 else np.full(n, len(cuts))
-        self.entered = np.minimum(self.entered, len(cuts) - 1)
-        self.vecs = vecs
+        self.entered = (self.rest * greatest >= threshold).sum(axis=1) if threshold > 0 else np.full(len(vecs), len(self.cuts))
+        self.entered = np.minimum(self.entered, len(self.cuts) - 1)
 
     def candidates(self, anchors: np.ndarray, norms: np.ndarray, thresholds: np.ndarray, rows: np.ndarray) -> tuple:
         """(anchor, row, score): all pairs of these rows that reach the anchor's threshold, scores exact."""
-        cuts, last = self.cuts, len(self.cuts) - 1
-        partial = np.zeros((len(anchors), len(rows)), dtype=self.vecs.dtype)
         # Rows entered in more groups first, so each group's list is a beginning of the rows left.
         rows = rows[np.argsort(-self.entered[rows], kind="stable")]
-        for g in range(last):
-            listed = int((self.entered[rows] > g).sum())
-            if not listed:
+        # Bounds are a little wider than they are, so rounding never loses a pair; what can't be reached is as far as any.
+        kind = np.float32 if self.vecs.dtype == np.float32 else np.float64
+        most = norms[:, 0].max(initial=0) * self.rest[rows, 0].max(initial=0)
+        bounds = (np.clip(thresholds, -2 * most - 1, 2 * most + 1) - (1e-6 * most + 1e-6)).astype(kind)
+        wide, rest = (norms * (1 + 1e-6)).astype(kind), (self.rest[rows] * (1 + 1e-6)).astype(kind)
+        found = []
+        for start in range(0, len(anchors), TILE):
+            tile = slice(start, start + TILE)
+            at, row, score = self._tile(anchors[tile], wide[tile], bounds[tile], rows, rest)
+            reached = score >= thresholds[tile][at]
+            found.append((at[reached] + start, row[reached], score[reached]))
+        return tuple(np.concatenate(c) for c in zip(*found))
+
+    def _tile(self, anchors: np.ndarray, norms: np.ndarray, bounds: np.ndarray, rows: np.ndarray, rest: np.ndarray) -> tuple:
+        """(anchor, row, score): pairs that may reach the bounds."""
+        cuts, last = self.cuts, len(self.cuts) - 1
+        vecs, entered = self.vecs[rows], self.entered[rows]
+        partial = np.zeros((len(anchors), len(rows)), dtype=vecs.dtype)
+        for g in range(0, last, 2):
+            h = min(g + 2, last)
+            # Rows in the lists of the first and of the second group.
+            one, both = np.searchsorted(-entered, [-g, 1 - h])
+            if not one:
                 break
-            partial[:, :listed] += anchors[:, cuts[g] : cuts[g + 1]] @ self.vecs[rows[:listed], cuts[g] : cuts[g + 1]].T
+            partial[:, :both] += anchors[:, cuts[g] : cuts[h]] @ vecs[:both, cuts[g] : cuts[h]].T
+            if both < one:
+                partial[:, both:one] += anchors[:, cuts[g] : cuts[g + 1]] @ vecs[both:one, cuts[g] : cuts[g + 1]].T
             # Only groups that follow in the lists can still add to a row entered there.
-            if g % 2 and g + 1 < last:
-                seen = np.minimum(self.entered[rows], g + 1)
-                alive = self._may_reach(partial, norms, thresholds, rows, seen).any(axis=0)
-                if alive.sum() < 0.9 * len(rows):
-                    rows, partial = rows[alive], partial[:, alive]
-        seen = self.entered[rows]
-        at, col = np.nonzero(self._may_reach(partial, norms, thresholds, rows, seen))
+            if h < last:
+                seen = np.minimum(entered, h)
+                # Rows a few anchors may reach stay, so where these hold most of them nothing is to be gained.
+                if self._may_reach(partial[:16], norms[:16], bounds[:16], rest, seen).any(axis=0).sum() < 0.9 * len(rows):
+                    alive = self._may_reach(partial, norms, bounds, rest, seen).any(axis=0)
+                    if alive.sum() < 0.9 * len(rows):
+                        rows, vecs, entered, rest, partial = rows[alive], vecs[alive], entered[alive], rest[alive], partial[:, alive]
+        at, col = np.nonzero(self._may_reach(partial, norms, bounds, rest, entered))
         score = partial[at, col]
         for g in range(last):
-            missing = np.flatnonzero(seen[col] <= g)
+            missing = np.flatnonzero(entered[col] <= g)
             if len(missing):
-                pair = anchors[at[missing], cuts[g] : cuts[g + 1]] * self.vecs[rows[col[missing]], cuts[g] : cuts[g + 1]]
+                pair = anchors[at[missing], cuts[g] : cuts[g + 1]] * vecs[col[missing], cuts[g] : cuts[g + 1]]
                 score[missing] += pair.sum(axis=1)
-        reached = score >= thresholds[at]
-        return at[reached], rows[col[reached]], score[reached]
-
-    def _may_reach(self, partial, norms, thresholds, rows, seen) -> np.ndarray:
-        """Pairs whose partial score and remaining norms together reach the threshold, rounding aside."""
-        remaining = norms[:, seen] * self.rest[rows, seen]
-        return partial.astype(np.float64) + remaining * (1 + 1e-9) + 1e-6 >= thresholds[:, None] * (1 - 1e-12) - 1e-6
-
-
-def search_block(block: dict, asked: dict, order: np.ndarray, scale: int, same: bool, k: int) -> tuple:
-    """(window number, row, score): the k best rows of the block in each window, ties to the smaller id.
-
-    `asked` has ids, labels and vecs of anchors and, by window, the number of
-    its anchor and the least, lowest (this round) and highest score.
-    """
-    vecs = scaled(block["vecs"], scale)[:, order]
-    anchors = scaled(asked["vecs"], scale)[:, order]
-    if vecs.dtype != anchors.dtype:
-        vecs, anchors = vecs.astype(object), anchors.astype(object)
-    of, low, high = asked["of"], asked["low"], asked["high"]
-    squares = anchors.astype(np.float64) ** 2
-    tail = np.concatenate([np.cumsum(squares[:, ::-1], axis=1)[:, ::-1], np.zeros((len(anchors), 1))], axis=1)
-    norms = np.sqrt(tail[:, list(range(0, vecs.shape[1], GROUP)) + [vecs.shape[1]]]) * (1 + 1e-12)
-    threshold = np.full(len(anchors), np.inf)
-    # A hair lower, as doubles round large numbers; windows compare whole numbers afterwards.
-    np.minimum.at(threshold, of, np.nextafter(low.astype(np.float64), -np.inf))
-    postings = Postings(vecs, norms[:, 0].max(initial=0), threshold.min(initial=np.inf))
-    pairs = []
-    for label in np.unique(asked["labels"]):
-        who = np.flatnonzero(asked["labels"] == label)
-        rows = np.flatnonzero((block["labels"] == label) == same)
-        if len(rows):
-            at, row, score = postings.candidates(anchors[who], norms[who], threshold[who], rows)
-            pairs.append((who[at], row, score))
-    if not pairs:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
-    at, row, score = (np.concatenate(c) for c in zip(*pairs))
-    mine = asked["ids"][at] != block["ids"][row]
-    at, row, score = at[mine], row[mine], as_longs(score[mine])
-    by = np.lexsort((block["ids"][row], -score, at))
-    at, row, score = at[by], row[by], score[by]
-    start, stop = np.searchsorted(at, of), np.searchsorted(at, of, side="right")
-    out = []
-    for w in range(len(of)):
-        inside = np.arange(start[w], stop[w])
-        inside = inside[(score[inside] >= low[w]) & (score[inside] <= high[w])][:k]
-        out.append((np.full(len(inside), w), row[inside], score[inside]))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, int),) * 3
+        return at, rows[col], score
+
+    @staticmethod
+    def _may_reach(partial, norms, bounds, rest, seen) -> np.ndarray:
+        """Pairs whose partial score and remaining norms together reach the bound; `seen` falls from row to row."""
+        out = np.empty(partial.shape, dtype=bool)
+        edges = [0, *(np.flatnonzero(np.diff(seen)) + 1), len(seen)]
+        for a, b in zip(edges, edges[1:]):
+            if a < b:
+                most = np.outer(norms[:, seen[a]], rest[a:b, seen[a]])
+                most += partial[:, a:b].astype(most.dtype, copy=False)
+                np.greater_equal(most, bounds[:, None], out=out[:, a:b])
+        return out
+
+
+class Block:
+    """Rows of a block, their components as whole numbers, dimensions in their order."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, whole: np.ndarray):
+        self.ids, self.labels, self.whole = ids, labels, whole
+        self.kind, self.rest = exact_kind(whole), suffix_norms(whole)
+        self.vecs = typed(whole, self.kind)
+
+
+class Pack:
+    """Anchors with their windows, and the k best rows of each window so far, ties to the smaller id."""
+
+    def __init__(self, pack: pa.StructArray, order: np.ndarray, scale: int, k: int):
+        # Copies, as what is kept would hold on to the batch.
+        self.ids, self.labels = (pack.field(c).to_numpy().copy() for c in ("anchor_id", "label"))
+        self.whole = np.floor(matrix(pack.field("vec")) * scale)[:, order]
+        self.kind, self.norms, self.k = exact_kind(self.whole), suffix_norms(self.whole), k
+        self.vecs = typed(self.whole, self.kind)
+        windows = pack.field("windows")
+        inner = windows.flatten()
+        # By window: its anchor, the least score that counts now, the highest.
+        self.of = np.repeat(np.arange(len(pack)), np.diff(windows.offsets.to_numpy()))
+        self.slots, self.low, self.high = (inner.field(c).to_numpy().copy() for c in ("slot", "lowest", "high"))
+        self.best = (np.zeros(0, np.int64),) * 3
+
+    def meet(self, block: Block, same: bool) -> None:
+        """Search the block's rows of each anchor's label if `same`, else of others, for what is better."""
+        kind = wider(self.kind, block.kind)
+        vecs, anchors = (x.vecs if x.kind is kind else typed(x.whole, kind) for x in (block, self))
+        threshold = np.full(len(self.ids), np.inf)
+        # A hair lower, as doubles round large numbers; windows compare whole numbers afterwards.
+        np.minimum.at(threshold, self.of, np.nextafter(self.low.astype(np.float64), -np.inf))
+        postings = Postings(vecs, self.norms[:, 0].max(initial=0), threshold.min(initial=np.inf), block.rest)
+        pairs = []
+        for label in np.unique(self.labels):
+            who = np.flatnonzero(self.labels == label)
+            rows = np.flatnonzero((block.labels == label) == same)
+            if len(rows):
+                at, row, score = postings.candidates(anchors[who], self.norms[who], threshold[who], rows)
+                pairs.append((who[at], row, score))
+        if not pairs:
+            return
+        at, row, score = (np.concatenate(c) for c in zip(*pairs))
+        ids = block.ids[row]
+        mine = self.ids[at] != ids
+        at, ids, score = at[mine], ids[mine], as_longs(score[mine])
+        if len(at):
+            self._keep(*self._in_windows(at, ids, score))
+
+    def _in_windows(self, at: np.ndarray, ids: np.ndarray, score: np.ndarray) -> tuple:
+        """(window, id, score): of the pairs the k best in each window."""
+        # ~s falls as s grows, and has no overflow.
+        by = np.lexsort((ids, ~score, at))
+        at, ids, score = at[by], ids[by], score[by]
+        # Scores by rank, so that (anchor, falling score) is one number; those of a window stand together.
+        levels = np.unique(score)
+        top, wide = len(levels), len(levels) + 1
+        key = at * wide + top - np.searchsorted(levels, score)
+        first = np.searchsorted(key, self.of * wide + top - np.searchsorted(levels, self.high, side="right") + 1)
+        after = np.searchsorted(key, self.of * wide + top - np.searchsorted(levels, self.low), side="right")
+        count = np.clip(after - first, 0, self.k)
+        window = np.repeat(np.arange(len(self.of)), count)
+        place = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return window, ids[place], score[place]
+
+    def _keep(self, window: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        """Merge these into the best, and let no window that is full take less than its last."""
+        window, ids, score = (np.concatenate(c) for c in zip(self.best, (window, ids, score)))
+        by = np.lexsort((ids, ~score, window))
+        window, ids, score = window[by], ids[by], score[by]
+        rank = np.arange(len(window)) - np.searchsorted(window, window)
+        kept = rank < self.k
+        self.best = window[kept], ids[kept], score[kept]
+        last = rank == self.k - 1
+        self.low[window[last]] = np.maximum(self.low[window[last]], score[last])
+
+    def found(self) -> pa.RecordBatch:
+        window, ids, score = self.best
+        columns = self.ids[self.of[window]], self.slots[window], ids, score
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in SCORED.split(", ")])
 
 
 def dimension_order(vectors: DataFrame, scale: int, dim: int) -> np.ndarray:
@@ -163,18 +256,21 @@ class ThresholdJoin:
         n = vectors.count()
         self.n_blocks = -(-n // BLOCK_ROWS)
         dim = len(vectors.select("vec").first()["vec"])
-        self.order = dimension_order(vectors, scale, dim)
+        self.order = order = dimension_order(vectors, scale, dim)
 
         def build(group: pa.Table) -> pa.Table:
             ids, labels = group["id"].to_numpy(), group["label"].to_numpy()
             by = np.lexsort((ids, labels))
-            vecs = matrix(group["vec"])[by]
-            cells = [group["block"][0].as_py(), vecs.shape[1], packed(ids[by], "<i8"), packed(labels[by], "<i8"), packed(vecs, "<f8")]
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            whole = np.floor(matrix(group["vec"])[by] * scale)[:, order]
+            kind = "<i2" if np.abs(whole).max(initial=0) < 1 << 15 else "<f8"
+            cells = [group["block"][0].as_py(), dim, kind, packed(ids[by], "<i8"), packed(labels[by], "<i8"), packed(whole, kind)]
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
             return pa.table({c.split()[0]: pa.array([v], t) for c, v, t in zip(BLOCK.split(", "), cells, kinds)})
 
         dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id", F.lit(12)), F.lit(self.n_blocks)).cast("int"))
-        self.blocks = spool(dealt.groupBy("block").applyInArrow(build, BLOCK), "blocks")
+        # Files enough for every core to read some, whatever Spark would make of so few bytes.
+        files = min(self.n_blocks, max(4 * vectors.sparkSession.sparkContext.defaultParallelism, self.n_blocks // 16))
+        self.blocks = spool(dealt.repartition(files, "block").groupBy("block").applyInArrow(build, BLOCK), "blocks")
 
     def norms(self, rows: DataFrame) -> DataFrame:
         """`rows` with the norm of their scaled vectors."""
@@ -196,7 +292,7 @@ class ThresholdJoin:
             asked = spool(open_.withColumn("lowest", lowest), "windows")
             if asked.isEmpty():
                 break
-            found = spool(self._search(asked, same, k), "found")
+            found = self._search(asked, same, k)
             if level is not None:
                 full = asked.join(found.groupBy("anchor_id", "slot").agg(F.count("*").alias("n")), ["anchor_id", "slot"], "left")
                 settled = (F.coalesce("n", F.lit(0)) >= k) | (F.col("lowest") <= F.col("low"))
@@ -207,34 +303,37 @@ class ThresholdJoin:
         return done if done is not None else windows.sparkSession.createDataFrame([], SCORED)
 
     def _search(self, asked: DataFrame, same: bool, k: int) -> DataFrame:
-        """The k best of each window over all blocks, thresholds as given in `lowest`."""
-        order, scale = self.order, self.scale
+        """The k best of each window over all blocks, thresholds as given in `lowest`; written."""
         by_anchor = asked.groupBy("anchor_id").agg(
             F.min("label").alias("label"), F.min("vec").alias("vec"), F.collect_list(F.struct("slot", "lowest", "high")).alias("windows")
         )
-        parts = -(-by_anchor.count() // BLOCK_ANCHORS)
-        packs = by_anchor.groupBy(F.pmod(F.xxhash64("anchor_id", F.lit(3)), F.lit(parts)).alias("part"))
+        anchors, windows = asked.agg(F.count_distinct("anchor_id"), F.count("*")).first()
+        parts = -(-anchors // BLOCK_ANCHORS)
+        waves = min(parts, -(-(anchors * (16 + 8 * len(self.order)) + windows * 24 * (k + 1)) // WAVE_BYTES))
+        packs = by_anchor.groupBy(F.pmod(F.xxhash64("anchor_id", F.lit(3)), F.lit(parts)).cast("int").alias("part"))
         packs = packs.agg(F.collect_list(F.struct("anchor_id", "label", "vec", "windows")).alias("asked"))
-        packs = packs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(self.n_blocks - 1))))
-        met = self.blocks.join(packs, "block").select("dim", "ids", "labels", "vecs", "asked")
+        packs = spool(packs.withColumn("wave", F.col("part") % waves), "packs")
+        found = [spool(self._meet(packs.filter(F.col("wave") == wave), same, k), "found") for wave in range(waves)]
+        return reduce(DataFrame.union, found)
+
+    def _meet(self, packs: DataFrame, same: bool, k: int) -> DataFrame:
+        """The k best of each window of these packs, which are few."""
+        order, scale = self.order, self.scale
+        met = self.blocks.crossJoin(F.broadcast(packs)).select(*self.blocks.columns, "part", "asked")
 
         def search(batches):
+            last, block, known = None, None, {}
             for batch in batches:
-                for row in range(batch.num_rows):
-                    get = lambda name: batch.column(name)[row].as_py()
-                    dim = get("dim")
-                    block = {"ids": unpacked(get("ids"), "<i8"), "labels": unpacked(get("labels"), "<i8"), "vecs": unpacked(get("vecs"), "<f8", dim)}
-                    pack = batch.column("asked")[row].values
-                    windows = pack.field("windows")
-                    count = np.diff(windows.offsets.to_numpy())
-                    inner = windows.flatten()
-                    anchors = {
-                        "ids": pack.field("anchor_id").to_numpy(), "labels": pack.field("label").to_numpy(), "vecs": matrix(pack.field("vec")),
-                        "of": np.repeat(np.arange(len(pack)), count), "low": inner.field("lowest").to_numpy(), "high": inner.field("high").to_numpy(),
-                    }
-                    window, hit, score = search_block(block, anchors, order, scale, same, k)
-                    ids = anchors["ids"][anchors["of"][window]], inner.field("slot").to_numpy()[window], block["ids"][hit], score
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in ids], ["anchor_id", "slot", "id", "score"])
+                numbers, parts = batch.column("block").to_pylist(), batch.column("part").to_pylist()
+                for row, (number, part) in enumerate(zip(numbers, parts)):
+                    if number != last:
+                        get = lambda name: batch.column(name)[row].as_py()  # noqa: B023, E731
+                        block = Block(unpacked(get("ids"), "<i8"), unpacked(get("labels"), "<i8"), unpacked(get("vecs"), get("kind"), get("dim")))
+                        last = number
+                    if part not in known:
+                        known[part] = Pack(batch.column("asked")[row].values, order, scale, k)
+                    known[part].meet(block, same)
+            yield from (pack.found() for pack in known.values())
 
         rank = F.row_number().over(Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "id"))
         return met.mapInArrow(search, SCORED).withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")
