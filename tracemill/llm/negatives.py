@@ -129,7 +129,7 @@ class Postings:
                     alive = self._may_reach(partial, norms, bounds, rest, seen).any(axis=0)
                     if alive.sum() < 0.9 * len(rows):
                         rows, vecs, entered, rest, partial = rows[alive], vecs[alive], entered[alive], rest[alive], partial[:, alive]
-        at, col = np.nonzero(self._may_reach(partial, norms, bounds, rest, entered))
+        at, col = np.divmod(np.flatnonzero(self._may_reach(partial, norms, bounds, rest, entered)), len(rows) or 1)
         score = partial[at, col]
         for g in range(last):
             missing = np.flatnonzero(entered[col] <= g)
